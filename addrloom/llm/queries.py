@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import audio, tokens
-from .common import table
+from . import audio, mixing, packing, token_files, tokens
+from .common import stored, table
 
 
 def op2_telephony(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,9 +18,21 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.count_tokens(table(spark, sf_dir, "documents"), tokens.tokenizer_path("word_bpe_49k.json"))
 
 
+def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.read_digests(token_files.write_token_files(table(spark, sf_dir, "documents"), tokens.tokenizer_path("byte_bpe_50k.json"), end_id=2))
+
+
+def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(stored(mixing.sizes(table(spark, sf_dir, "documents"))))
+
+
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(packing.pieces(table(spark, sf_dir, "documents"), tokens.tokenizer_path("word_bpe_49k.json"), end_id=1))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: v for k, v in globals().items() if k.startswith("op") and callable(v)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op5_source_mix": mixing.mix_sql()}
