@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import audio, mixing, packing, token_files, tokens
+from . import audio, fingerprint, mixing, packing, token_files, tokens
 from .common import stored, table
 
 
+def op1_phrase_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.fingerprint_pairs(table(spark, sf_dir, "documents"))
+
+
 def op2_telephony(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audio.telephony_features(audio.store_telephony(table(spark, sf_dir, "documents")))
 
