@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import audio, fingerprint, mixing, packing, token_files, tokens
+from . import audio, fingerprint, mixing, packing, quality, token_files, tokens
 from .common import stored, table
 
 
@@ -34,6 +35,12 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(packing.pieces(table(spark, sf_dir, "documents"), tokens.tokenizer_path("word_bpe_49k.json"), end_id=1))
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    forest = quality.train(docs, table(spark, sf_dir, "labels"))
+    return quality.score_documents(docs, partial(quality.text_scores, forest), modulus=4, held_out=2)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: v for k, v in globals().items() if k.startswith("op") and callable(v)}
 
