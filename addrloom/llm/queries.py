@@ -7,7 +7,7 @@ from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import audio, fingerprint, mixing, packing, quality, token_files, tokens
+from . import audio, fingerprint, mixing, packing, quality, token_files, tokens, toxicity
 from .common import stored, table
 
 
@@ -41,6 +41,12 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_documents(docs, partial(quality.text_scores, forest), modulus=4, held_out=2)
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    return quality.score_documents(docs, model.scores, modulus=3, held_out=1)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: v for k, v in globals().items() if k.startswith("op") and callable(v)}
 
