@@ -22,7 +22,7 @@ from .common import bound_batches, utf8
 from .quality import labelled
 
 #: Labelled rows to learn from at most, and bytes of their texts.
-SAMPLE, SAMPLE_BYTES = 5000, 12 << 20
+SAMPLE, SAMPLE_BYTES = 4000, 5 << 20
 #: Words of a window, words between the beginnings of two windows, hidden units of a direction.
 WINDOW, STRIDE, HIDDEN = 32, 16, 8
 #: Random components of word, prefix and trigram inputs; documents that must hold a unit; strength of the prior in its log-odds.
