@@ -7,7 +7,7 @@ from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import audio, fingerprint, mixing, packing, quality, token_files, tokens, toxicity
+from . import audio, fingerprint, mixing, neardup, packing, quality, token_files, tokens, toxicity
 from .common import stored, table
 
 
@@ -47,6 +47,10 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_documents(docs, model.scores, modulus=3, held_out=1)
 
 
+def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: v for k, v in globals().items() if k.startswith("op") and callable(v)}
 
