@@ -7,7 +7,7 @@ from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import audio, fingerprint, mixing, neardup, packing, quality, token_files, tokens, toxicity
+from . import audio, fingerprint, html_extract, mixing, neardup, packing, quality, token_files, tokens, toxicity
 from .common import stored, table
 
 
@@ -31,6 +31,10 @@ def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(stored(mixing.sizes(table(spark, sf_dir, "documents"))))
 
 
+def op6_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(table(spark, sf_dir, "pages"))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(packing.pieces(table(spark, sf_dir, "documents"), tokens.tokenizer_path("word_bpe_49k.json"), end_id=1))
 
