@@ -1,10 +1,67 @@
-"""The corpus pipeline."""
+"""The corpus pipeline: quality classifier, toxicity, near-duplicates, source mix, packing.
+
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as Parquet and
+reread as the next stage's docs. Both classifiers are fitted on the labelled documents of sf_dir
+(their bounded samples, see the operators), and then decide over all that the stage was given.
+All stages but the last return the columns they were given.
+"""
 
 from __future__ import annotations
 
-STAGES: list = []
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from addrloom.llm import mixing, neardup, packing, quality, tokens, toxicity
+from addrloom.llm.common import stored, table
+
+
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier predicts to be good stay."""
+    forest = quality.train(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return quality.keep_documents(docs, lambda text: quality.text_scores(forest, text) >= quality.KEEP)
+
+
+def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the network predicts to be toxic go."""
+    model = toxicity.train(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return quality.keep_documents(docs, lambda text: model.scores(text) < quality.KEEP)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near-duplicates the document with the least doc_id stays; rows that repeat an id stay once."""
+    rows = neardup.near_duplicates(docs).filter("kept").groupBy(F.col("doc_id").alias("_kept_id")).agg(F.count(F.lit(1)).alias("_rows"))
+    kept = stored(rows)
+    out = docs.join(kept.select("_kept_id").hint("merge"), docs["doc_id"].eqNullSafe(kept["_kept_id"]), "left_semi")
+    repeated = not kept.filter("_rows > 1").isEmpty()
+    return out.dropDuplicates(["doc_id"]) if repeated else out
+
+
+def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix takes it: none, once, or twice."""
+    return mixing.mixed_documents(docs)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of all documents, copies included, in sequences of at most 4096 tokens."""
+    return packing.pack(packing.pieces(docs, tokens.tokenizer_path("word_bpe_49k.json"), end_id=1))
+
+
+STAGES = [
+    ("quality_classifier", quality_classifier),
+    ("toxicity", toxicity_filter),
+    ("near_duplicates", near_duplicates),
+    ("source_mix", source_mix),
+    ("best_fit_packing", packed),
+]
+
+#: The classifiers are fitted in numpy, which SQL can't express.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for k, (_, stage) in enumerate(STAGES):
+        docs = stage(spark, docs, sf_dir)
+        if k < len(STAGES) - 1:
+            docs = stored(docs)
+    return docs
