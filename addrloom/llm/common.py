@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bounds of what one Arrow batch brings to a Python worker.
-BATCH_ROWS, BATCH_BYTES = 2048, 8 << 20
+BATCH_ROWS, BATCH_BYTES = 1024, 2 << 20
 #: Bytes of text that one range of `ordered_ranges` should hold, and the most ranges it makes.
 RANGE_BYTES, MAX_RANGES = 24 << 20, 1 << 16
 
