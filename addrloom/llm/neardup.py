@@ -4,8 +4,8 @@ Documents with equal shingle sets form a class; classes are compared by one memb
 are cut into bands; classes that share a band are candidates. Of a pair's signatures batches are
 compared one after another, and the pair is dropped as soon as the posterior probability that its
 similarity reaches the threshold falls below MISS; every survivor is confirmed on both full
-shingle sets. Candidates are tried in rounds: first each bucket's members with the bucket's least
-member, then, where a bucket still holds several components, members of different components.
+shingle sets. Candidates are tried in two rounds: first each bucket's members with the bucket's
+least member, then, where a bucket still holds several components, all members of different ones.
 """
 
 from __future__ import annotations
@@ -29,9 +29,9 @@ WORDS, ABOVE, BELOW = 5, 75, 100
 HASHES, ROWS, STEP, MISS = 128, 4, 16, 1e-6
 BANDS = HASHES // ROWS
 #: Members that are verified against one copy of a centre's text; members of a bucket that a tile holds on either side.
-BLOCK, TILE = 64, 1024
-#: Candidates that a member tries in one other component in the first of the later rounds; each round allows eight times as many.
-TRIES = 4
+BLOCK, TILE = 64, 512
+#: Bytes of text whose shingles are made at once.
+SLICE = 1 << 20
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, *range(9, 14)]] = True
@@ -89,7 +89,7 @@ def sketch(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for b in by_bytes(whole, "text", 2 << 20):
+            for b in by_bytes(whole, "text", SLICE):
                 sets = shingles(*utf8(b.column("text")))
                 sig = np.ascontiguousarray(signatures(sets), ">u2")
                 n = np.array([len(s) for s in sets], np.int64)
@@ -188,7 +188,7 @@ def confirmed(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, centre = None, np.zeros(0, np.uint64)
         for whole in batches:
-            for b in by_bytes(whole, "text", 2 << 20):
+            for b in by_bytes(whole, "text", SLICE):
                 xs, ys = [], []
                 for y, k, role, x, s in zip(*(b.column(c).to_pylist() for c in ("y", "block", "role", "doc_id")), shingles(*utf8(b.column("text"))), strict=True):
                     if role == 0:
@@ -204,62 +204,115 @@ def confirmed(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "u long, v long")
 
 
-def _cross(members: DataFrame, reps: DataFrame, comps: DataFrame, tries: int) -> DataFrame:
-    """Surviving pairs of members of different components in buckets, and whether any were held back (x null).
+def _full_sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """doc_id and the shingle set (sorted 64-bit keys as bytes) of the documents named by ids."""
+    rows = ids.hint("merge").join(_filtered(docs, ids), "doc_id").select("doc_id", "text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for b in by_bytes(whole, "text", SLICE):
+                yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([s.tobytes() for s in shingles(*utf8(b.column("text")))], pa.binary())], ["doc_id", "keys"])
+
+    return rows.mapInArrow(run, "doc_id long, keys binary").dropDuplicates(["doc_id"])
+
+
+class _Side:
+    """Members of a tile: ids, components, signatures and full sets."""
+
+    def __init__(self, parts: list[pa.RecordBatch]) -> None:
+        self.id, self.comp = (np.concatenate([np.asarray(p.column(c)) for p in parts]) for c in ("doc_id", "comp"))
+        self.sig = np.concatenate([_rows(p.column("sig")) for p in parts])
+        data = [utf8(p.column("keys")) for p in parts]
+        self.n = np.concatenate([np.diff(off) for off, _ in data]) // 8
+        self.keys = np.concatenate([np.frombuffer(d.tobytes(), np.uint64) for _, d in data])
+        self.end = np.cumsum(self.n)
+
+
+def _tile_links(a: _Side, b: _Side) -> list[tuple[int, int]]:
+    """Links between members of a and of b that join components, as many as a forest of them has.
+
+    Signatures are compared first, batch by batch; the survivors' intersections with a member's
+    full set are then counted in one pass. A member of a component that is already joined with
+    the other's isn't compared again.
+    """
+    root = {int(c): int(c) for c in np.concatenate([a.comp, b.comp])}
+
+    def find(c: int) -> int:
+        while root[c] != c:
+            root[c] = c = root[root[c]]
+        return c
+
+    names, number = np.unique(b.keys, return_inverse=True)
+    mark = np.zeros(len(names) + 1, bool)
+    group = np.array([find(int(c)) for c in b.comp])
+    links: list[tuple[int, int]] = []
+    for k in range(len(a.id)):
+        own = find(int(a.comp[k]))
+        at = np.flatnonzero((group != own) & (np.minimum(b.n, a.n[k]) * BELOW >= np.maximum(b.n, a.n[k]) * ABOVE))
+        if not len(at):
+            continue
+        at = at[survivors(np.broadcast_to(a.sig[k], (len(at), HASHES)), b.sig[at])]
+        if not len(at):
+            continue
+        keys = a.keys[a.end[k] - a.n[k] : a.end[k]]
+        place = np.minimum(np.searchsorted(names, keys), len(names) - 1)
+        place = place[names[place] == keys]
+        mark[place] = True
+        n = b.n[at]
+        take = np.repeat(b.end[at] - n - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        both = np.add.reduceat(mark[number[take]], np.cumsum(n) - n, dtype=np.int64)
+        mark[place] = False
+        for y in at[BELOW * both >= ABOVE * (n + a.n[k] - both)].tolist():
+            other = find(int(b.comp[y]))
+            own = find(own)
+            if other != own:
+                links.append((int(a.id[k]), int(b.id[y])))
+                low, high = sorted((own, other))
+                root[high] = low
+                group[(group == high)] = low
+    return links
+
+
+def _cross(docs: DataFrame, members: DataFrame, reps: DataFrame, comps: DataFrame) -> DataFrame:
+    """Links (u, v) that join components within buckets which hold several.
 
     In each bucket the members outside its largest component (the left side) are compared with
-    all members, in tiles; a member proposes its `tries` best partners in each other component.
+    all members, in tiles of TILE on either side, so a bucket of any size is dealt over many
+    tasks. A tile gets its members' signatures and full shingle sets and returns no more links
+    than it joins components.
     """
     m = members.join(comps.withColumnRenamed("node", "doc_id").hint("merge"), "doc_id", "left").withColumn("comp", F.coalesce("component", "doc_id")).drop("component")
     count = m.groupBy("band", "key", "comp").agg(F.count(F.lit(1)).alias("size"))
     open_ = count.groupBy("band", "key").agg(F.sum("size").alias("all"), F.max(F.struct("size", "comp")).alias("top"), F.count(F.lit(1)).alias("comps")).filter("comps > 1 and `all` > 2")
     open_ = open_.select("band", "key", F.col("top.comp").alias("main"), F.ceil((F.col("all") - F.col("top.size")) / TILE).cast("int").alias("lefts"), F.ceil(F.col("all") / TILE).cast("int").alias("rights"))
-    m = m.join(open_.hint("merge"), ["band", "key"]).join(reps.select("doc_id", "sig", "n").hint("merge"), "doc_id")
+    m = stored(m.join(open_.hint("merge"), ["band", "key"]))
+    sets = _full_sets(docs, m.select("doc_id").distinct())
+    m = m.join(sets.hint("merge"), "doc_id").join(reps.select("doc_id", "sig").hint("merge"), "doc_id")
     h = F.xxhash64("doc_id")
     spread = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
-    left = m.filter("comp <> main").select("*", F.pmod(h, F.col("lefts")).cast("int").alias("i"), F.explode(spread("rights")).alias("j"), F.lit(0).alias("side"))
-    right = m.select("*", F.explode(spread("lefts")).alias("i"), F.pmod(h, F.col("rights")).cast("int").alias("j"), F.lit(1).alias("side"))
-    x = left.select("band", "key", "i", "j", "side", "doc_id", "comp", "n", "sig").unionByName(right.select("band", "key", "i", "j", "side", "doc_id", "comp", "n", "sig"))
+    columns = ["band", "key", "i", "j", "side", "doc_id", "comp", "sig", "keys"]
+    # Each member takes its places as right side (one for each block of the left) and, outside the largest component, as left side.
+    right = F.transform(spread("lefts"), lambda i: F.struct(i.alias("i"), F.pmod(h, F.col("rights")).cast("int").alias("j"), F.lit(1).alias("side")))
+    left = F.transform(spread("rights"), lambda j: F.struct(F.pmod(h, F.col("lefts")).cast("int").alias("i"), j.alias("j"), F.lit(0).alias("side")))
+    places = F.when(F.col("comp") == F.col("main"), right).otherwise(F.concat(right, left))
+    x = m.select("band", "key", "doc_id", "comp", "sig", "keys", F.inline(places)).select(*columns)
     parts = int(reps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     x = x.repartition(parts, "band", "key", "i", "j").sortWithinPartitions("band", "key", "i", "j", "side", "doc_id")
 
-    def tile(a: dict, b: dict) -> tuple[list, list]:
-        xs, ys = [], []
-        for k in range(len(a["doc_id"])):
-            fit = (b["comp"] != a["comp"][k]) & (np.minimum(b["n"], a["n"][k]) * BELOW >= np.maximum(b["n"], a["n"][k]) * ABOVE)
-            at = np.flatnonzero(fit)
-            if not len(at):
-                continue
-            own = np.broadcast_to(a["sig"][k], (len(at), HASHES))
-            at = at[survivors(own, b["sig"][at])]
-            if len(at):
-                agree = (b["sig"][at] == a["sig"][k]).sum(axis=1)
-                order = np.lexsort((b["doc_id"][at], -agree, b["comp"][at]))
-                at = at[order]
-                rank = np.arange(len(at)) - np.searchsorted(b["comp"][at], b["comp"][at])
-                if (rank >= tries).any():
-                    xs.append(None)
-                    ys.append(None)
-                for y in b["doc_id"][at[rank < tries]].tolist():
-                    xs.append(max(int(a["doc_id"][k]), y))
-                    ys.append(min(int(a["doc_id"][k]), y))
-        return xs, ys
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, now = ["doc_id", "comp", "n"], None
+        now: tuple | None = None
         sides: list[list[pa.RecordBatch]] = [[], []]
 
         def done() -> Iterator[pa.RecordBatch]:
             if sides[0] and sides[1]:
-                a, b = ({**{c: np.concatenate([np.asarray(p.column(c)) for p in s]) for c in names}, "sig": np.concatenate([_rows(p.column("sig")) for p in s])} for s in sides)
-                xs, ys = tile(a, b)
-                if xs:
-                    yield pa.RecordBatch.from_arrays([pa.array(xs, pa.int64()), pa.array(ys, pa.int64())], ["x", "y"])
+                links = _tile_links(_Side(sides[0]), _Side(sides[1]))
+                if links:
+                    yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in links], pa.int64()), pa.array([y for _, y in links], pa.int64())], ["u", "v"])
             sides[0].clear()
             sides[1].clear()
 
         for b in batches:
-            keys = list(zip(*(b.column(c).to_pylist() for c in ("band", "key", "i", "j", "side")), strict=True))
+            keys = list(zip(*(b.column(c).to_pylist() for c in columns[:5]), strict=True))
             at = 0
             while at < len(keys):
                 to = at
@@ -272,7 +325,7 @@ def _cross(members: DataFrame, reps: DataFrame, comps: DataFrame, tries: int) ->
                 at = to
         yield from done()
 
-    return x.mapInArrow(run, "x long, y long")
+    return x.mapInArrow(run, "u long, v long")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -292,19 +345,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     members = stored(bands.join(centres.hint("merge"), ["band", "key"]))
     first = members.filter("doc_id <> centre").select(F.col("doc_id").alias("x"), F.col("centre").alias("y")).distinct()
     links = stored(confirmed(texts, stored(_pruned(first, reps))))
-    comps, tries = stored(components(links)), TRIES
-    while True:
-        found = stored(_cross(members.drop("centre"), reps, comps, tries).distinct())
-        held_back = not found.filter("x is null").isEmpty()
-        found = found.dropna()
-        if not found.isEmpty():
-            more = stored(confirmed(texts, found))
-            links = links.unionByName(more)
-            discard(comps)
-            comps = stored(components(links))
-        if not held_back:
-            break
-        tries *= 8
+    comps = stored(components(links))
+    more = stored(_cross(texts, members.drop("centre"), reps, comps))
+    if not more.isEmpty():
+        discard(comps)
+        comps = stored(components(links.unionByName(more)))
     labels = classes.join(comps.withColumnRenamed("node", "doc_id").hint("merge"), "doc_id", "left").select("c1", "c2", "n", F.coalesce("component", "doc_id").alias("component_id"))
     out = every.select("doc_id", "c1", "c2", "n").join(labels.hint("merge"), ["c1", "c2", "n"], "left")
     own = F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
