@@ -38,9 +38,7 @@ def components(links: DataFrame) -> DataFrame:
         if tuple(now) == mark or not now["n"]:
             break
         mark = tuple(now)
-        large = stored(_large(edges))
-        small = stored(_small(large))
+        now_edges = stored(_small(_large(edges)))
         discard(edges)
-        discard(large)
-        edges = small
+        edges = now_edges
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())

@@ -344,9 +344,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     centres = bands.groupBy("band", "key").agg(F.min("doc_id").alias("centre"), F.count(F.lit(1)).alias("many")).filter("many > 1").drop("many")
     members = stored(bands.join(centres.hint("merge"), ["band", "key"]))
     first = members.filter("doc_id <> centre").select(F.col("doc_id").alias("x"), F.col("centre").alias("y")).distinct()
-    links = stored(confirmed(texts, stored(_pruned(first, reps))))
+    links = stored(confirmed(texts, stored(_pruned(first, reps).distinct())).distinct())
     comps = stored(components(links))
-    more = stored(_cross(texts, members.drop("centre"), reps, comps))
+    more = stored(_cross(texts, members.drop("centre"), reps, comps).distinct())
     if not more.isEmpty():
         discard(comps)
         comps = stored(components(links.unionByName(more)))
