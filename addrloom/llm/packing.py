@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 from .common import bound_batches, by_bytes, stored, utf8
 from .tokens import encoder
 
-#: Tokens of a sequence; pieces that one task packs; rounds over bins left underfull; bins in a row that the search fails to empty before it ends.
-CAPACITY, GROUP, ROUNDS, GIVE_UP = 4096, 40_000, 3, 6
+#: Tokens of a sequence; pieces that one task packs; rounds over bins left underfull; bins in a row that the search can't improve before it ends, and bins it tries at most.
+CAPACITY, GROUP, ROUNDS, GIVE_UP, TRIED = 4096, 40_000, 3, 6, 200
 PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -67,19 +67,24 @@ def refine(lengths: np.ndarray, where: np.ndarray, capacity: int = CAPACITY) ->
     """Local search on a packing. Empties the emptiest bins by steps that raise the sum of squared fills.
 
     A step moves a piece of the emptiest bin into another underfull bin, or exchanges one or two
-    of its pieces for one smaller piece there; the receiving bin gets fuller each time. It ends
-    at the lower bound of bins, or when GIVE_UP bins in a row can't be emptied.
+    of its pieces for one smaller piece there; the receiving bin gets fuller each time. A bin that
+    can't be emptied is set aside until a step elsewhere succeeds. The search ends at the lower
+    bound of bins, when GIVE_UP bins in a row allow no step, or after TRIED bins.
     """
     where = where.copy()
     fill = np.bincount(where, lengths).astype(np.int64)
     least, used, failed, stuck = -(-int(lengths.sum()) // capacity), int((fill > 0).sum()), 0, set()
-    while used > least and failed < GIVE_UP:
-        open_bins = [b for b in np.flatnonzero((fill > 0) & (fill < capacity)).tolist() if b not in stuck]
-        if len(open_bins) < 2:
+    tried = 0
+    while used > least and failed < GIVE_UP and tried < TRIED:
+        tried += 1
+        steps = 0
+        underfull = np.flatnonzero((fill > 0) & (fill < capacity)).tolist()
+        open_bins = [b for b in underfull if b not in stuck]
+        if len(underfull) < 2 or not open_bins:
             break
         low = min(open_bins, key=lambda b: (fill[b], b))
         inside = np.zeros(len(fill), bool)
-        inside[np.flatnonzero((fill > 0) & (fill < capacity))] = True
+        inside[underfull] = True
         others = np.flatnonzero(inside[where] & (where != low))
         while fill[low] > 0:
             mine = np.flatnonzero(where == low)
@@ -88,7 +93,7 @@ def refine(lengths: np.ndarray, where: np.ndarray, capacity: int = CAPACITY) ->
             gap, size = free[where[others]], lengths[others]
             best: tuple[int, tuple[int, ...], int] | None = None
             for a in mine.tolist():
-                fits = np.flatnonzero(gap >= lengths[a])
+                fits = np.flatnonzero((gap >= lengths[a]) & (fill[where[others]] + lengths[a] > fill[low]))
                 if len(fits):
                     best = (int(lengths[a]), (a,), int(others[fits[np.argmin(gap[fits])]]))
                     where[a] = where[best[2]]
@@ -96,13 +101,14 @@ def refine(lengths: np.ndarray, where: np.ndarray, capacity: int = CAPACITY) ->
             if best:
                 fill[low] -= best[0]
                 fill[where[best[1][0]]] += best[0]
+                steps += 1
                 continue
             pairs = [(int(lengths[a]), (a,)) for a in mine.tolist()]
             top = mine[:24].tolist()
             pairs += [(int(lengths[a] + lengths[b]), (a, b)) for i, a in enumerate(top) for b in top[i + 1 :]]
             for total, own in pairs:
                 gain = total - size
-                ok = np.flatnonzero((gain > 0) & (gain <= gap) & (fill[where[others]] + gain > fill[low] - gain))
+                ok = np.flatnonzero((gain > 0) & (gain <= gap) & (fill[where[others]] + gain > fill[low]))
                 if len(ok):
                     k = ok[np.argmax(gain[ok])]
                     if best is None or gain[k] > best[0]:
@@ -113,12 +119,11 @@ def refine(lengths: np.ndarray, where: np.ndarray, capacity: int = CAPACITY) ->
             where[list(best[1])], where[best[2]] = there, low
             fill[low] -= best[0]
             fill[there] += best[0]
+            steps += 1
             others = np.flatnonzero(inside[where] & (where != low))
-        if fill[low] == 0:
-            used, failed = used - 1, 0
-        else:
-            stuck.add(low)
-            failed += 1
+        used -= int(fill[low] == 0)
+        failed = 0 if steps else failed + 1
+        stuck = {low} if steps else stuck | {low}
     return where
 
 
