@@ -48,6 +48,20 @@ def best_configuration(summary: DataFrame, by: str = "configuration") -> DataFra
     return summary.agg(F.min_by(by, F.struct(-F.col("avg_throughput"), F.col(by))).alias("best_configuration"), F.max("avg_throughput").alias("best_throughput"))
 
 
+def ranked_suites(summary: DataFrame, notable: float = 500.0) -> DataFrame:
+    """Adds place by best throughput, its gap to the best, and whether the gap is notable. One short row per configuration."""
+    w = Window.orderBy(F.col("max_throughput").desc(), "configuration")
+    best = summary.agg(F.max("max_throughput").alias("_best"))
+    x = summary.withColumn("place", F.row_number().over(w)).crossJoin(F.broadcast(best))  # one row
+    return x.withColumn("gap", F.col("_best") - F.col("max_throughput")).withColumn("notable", F.col("gap") > notable).drop("_best")
+
+
+def recovery_rate(errors: DataFrame, recovered: str = "recovered") -> DataFrame:
+    """Errors, those recovered from, and their percentage of one error at least."""
+    g = errors.agg(F.count(F.lit(1)).alias("errors"), F.count_if(recovered).alias("recovered"))
+    return g.withColumn("recovery_pct", F.round(F.col("recovered") / F.greatest("errors", F.lit(1)) * 100, 6))
+
+
 def variation(runs: DataFrame, value: str, mean: Column | None = None, limit: float = 0.3) -> DataFrame:
     """Population deviation around a reported mean over that mean, and whether it is above the limit."""
     m = mean if mean is not None else F.avg(value)

@@ -6,7 +6,7 @@ from ..functions import complexity, llm_json, rules
 from ..schema import COMPARED, FIELDS
 from .fixtures import addresses_sql
 
-A = f"addresses AS ({addresses_sql()})"
+A = f"addresses AS MATERIALIZED ({addresses_sql()})"
 
 
 def strip(c: str) -> str:
@@ -29,11 +29,11 @@ def first_listed(c: str, names: list[str]) -> str:
 def parsed(source: str = "addresses", city: str | None = None, society: str | None = None, note: str = rules.NOTE) -> str:
     """CTEs t, c and p: the rule parser over a relation with row_id, addr_text and whatever it has besides."""
     own_city, own_society = first_listed("t", rules.CITIES), squeeze(first_match("t", rules.SOCIETY, "i"))
-    return f"""t AS (SELECT *, {strip("coalesce(addr_text, '')")} AS t FROM {source}),
-c AS (SELECT *, {f"coalesce(nullif({city}, ''), {own_city})" if city else own_city} AS r_city, {f"coalesce(nullif({society}, ''), {own_society})" if society else own_society} AS r_society FROM t),
+    return f"""t AS MATERIALIZED (SELECT *, {strip("coalesce(addr_text, '')")} AS t FROM {source}),
+c AS MATERIALIZED (SELECT *, {f"coalesce(nullif({city}, ''), {own_city})" if city else own_city} AS r_city, {f"coalesce(nullif({society}, ''), {own_society})" if society else own_society} AS r_society FROM t),
 d AS (SELECT *, CASE WHEN r_city = '' THEN 0 ELSE instr(lower(t), lower(r_city)) END AS place FROM c),
-e AS (SELECT *, CASE WHEN place > 1 THEN list_transform(string_split({strip("substr(t, 1, place - 1)")}, ','), lambda x: {strip("x")}) ELSE [] END AS parts FROM d),
-p AS (SELECT * EXCLUDE (t, r_city, r_society, place, parts), t <> '' AS parse_success, CASE WHEN t = '' THEN '{rules.EMPTY_ERROR}' END AS parse_error,
+e AS MATERIALIZED (SELECT *, CASE WHEN place > 1 THEN list_transform(string_split({strip("substr(t, 1, place - 1)")}, ','), lambda x: {strip("x")}) ELSE [] END AS parts FROM d),
+p AS MATERIALIZED (SELECT * EXCLUDE (t, r_city, r_society, place, parts), t <> '' AS parse_success, CASE WHEN t = '' THEN '{rules.EMPTY_ERROR}' END AS parse_error,
   CASE WHEN t = '' THEN '' ELSE {first_match("t", rules.UNIT, "i")} END AS unit_number, CASE WHEN t = '' THEN '' ELSE r_society END AS society_name,
   {strip(f"regexp_extract(t, '{rules.LANDMARK}', 1)")} AS landmark, {first_match("t", rules.ROAD)} AS road,
   CASE WHEN len(parts) >= 2 THEN parts[-1] ELSE '' END AS sub_locality, CASE WHEN len(parts) >= 3 THEN parts[-2] ELSE '' END AS locality,
@@ -56,7 +56,7 @@ def entities(compare: str, note: str) -> str:
         "unit_number": word("x_unit"), "society_name": f"coalesce(nullif({word('x_society')}, ''), CASE WHEN {x} THEN 'Second Name' ELSE '' END)", "landmark": f"CASE WHEN {x} THEN {word('x_near')} ELSE '' END", "road": word("x_road"), "sub_locality": "''",
         "locality": word("x_locality"), "city": f"coalesce(nullif({town}, ''), CASE WHEN {x} THEN x_city ELSE '' END)", "district": f"coalesce(nullif({town}, ''), CASE WHEN {x} THEN x_city ELSE '' END)", "state": word("x_state"), "country": "'India'", "pin_code": PIN, "note": f"'{note}'",
     }
-    return "n AS (SELECT row_id, addr_text, pincode, " + ", ".join(f"CASE WHEN {blank} THEN '' ELSE {e} END AS {f}" for f, e in v.items()) + f", NOT ({blank}) AS parse_success, CASE WHEN {blank} THEN '{rules.EMPTY_ERROR}' END AS parse_error FROM addresses)"
+    return "n AS MATERIALIZED (SELECT row_id, addr_text, pincode, " + ", ".join(f"CASE WHEN {blank} THEN '' ELSE {e} END AS {f}" for f, e in v.items()) + f", NOT ({blank}) AS parse_success, CASE WHEN {blank} THEN '{rules.EMPTY_ERROR}' END AS parse_error FROM addresses)"
 
 
 def score(c: str) -> str:
@@ -79,7 +79,7 @@ def summary(sample: int = 5, titles: bool = True) -> str:
     short = lambda c: f"coalesce(array_to_string(({c})[1:{sample}], '; '), '') || CASE WHEN len({c}) > {sample} THEN '...' ELSE '' END"
     full = lambda c: f"coalesce(array_to_string({c}, '; '), '')"
     return f"""q AS (SELECT {EPIN} AS pin, parse_success AS ok, nullif({strip('lower(locality)')}, '') AS l, nullif({strip('lower(society_name)')}, '') AS s FROM p),
-r AS (SELECT pin AS pin_code, count(*) AS total_addresses, count_if(ok)::BIGINT AS successful_parses, coalesce(list_sort(list_distinct(list(l) FILTER (ok AND l IS NOT NULL))), []) AS ls, coalesce(list_sort(list_distinct(list(s) FILTER (ok AND s IS NOT NULL))), []) AS ss FROM q GROUP BY pin),
+r AS MATERIALIZED (SELECT pin AS pin_code, count(*) AS total_addresses, count_if(ok)::BIGINT AS successful_parses, coalesce(list_sort(list_distinct(list(l) FILTER (ok AND l IS NOT NULL))), []) AS ls, coalesce(list_sort(list_distinct(list(s) FILTER (ok AND s IS NOT NULL))), []) AS ss FROM q GROUP BY pin),
 u AS (SELECT pin_code, total_addresses, successful_parses, successful_parses / total_addresses * 100 AS success_rate_percent, len(ls)::BIGINT AS distinct_localities_count, len(ss)::BIGINT AS distinct_societies_count,
   {short(shape('ls'))} AS localities_sample, {short(shape('ss'))} AS societies_sample, {full(shape('ls'))} AS all_localities, {full(shape('ss'))} AS all_societies FROM r)"""
 
@@ -100,6 +100,10 @@ BENCH = lambda where: f"SELECT configuration, avg(throughput) FILTER (ok) AS avg
 BENCH_OUT = "configuration, round(avg_throughput, 6) AS avg_throughput, max_throughput, min_throughput, round(throughput_std, 6) AS throughput_std, round(avg_utilisation, 6) AS avg_utilisation, test_count, round(success_rate, 6) AS success_rate"
 
 
+SHEET_FIELDS = ["unit_number", "society_name", "landmark", "road", "locality", "city", "pin_code"]
+SHEET = f"sh AS (SELECT row_id, CASE WHEN length(addr_text) > 100 THEN substr(addr_text, 1, 100) || '...' ELSE addr_text END AS address, {', '.join(SHEET_FIELDS)}, {' + '.join(f"({f} <> '')::INT" for f in SHEET_FIELDS)} AS fields, parse_success AS ok, coalesce(parse_error, '') AS error FROM p)"
+
+
 def mock_fields() -> dict[str, str]:
     low, words = "lower(addr_text)", "list_filter(regexp_split_to_array(addr_text, '\\s+'), lambda w: w <> '')"
 
@@ -203,8 +207,8 @@ SELECT *, total_attempts - total_parsed AS total_failed, round(total_parsed / to
         "part_numbers": f"WITH {A} SELECT source_file, regexp_extract(source_file, 'p(\\d+)', 1)::INT AS part, count(*) AS n FROM addresses GROUP BY ALL",
         "head_rows": f"WITH {A} SELECT row_id, addr_text FROM addresses ORDER BY row_id LIMIT 100",
         "throughput_1s": "SELECT date_trunc('second', ts) AS at, count(*) AS n FROM events GROUP BY 1",
-        "running_peak": f"WITH {RUNS} SELECT event_id, round(avg(throughput) OVER w, 4) AS running_mean, max(throughput) OVER w AS running_peak FROM runs WINDOW w AS (PARTITION BY user_id ORDER BY event_id ROWS UNBOUNDED PRECEDING)",
-        "moving_100": f"WITH {RUNS} SELECT event_id, round(avg(throughput) OVER w, 4) AS running_mean, max(throughput) OVER w AS running_peak FROM runs WINDOW w AS (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN 99 PRECEDING AND CURRENT ROW)",
+        "running_peak": f"WITH {RUNS} SELECT event_id, round(avg(throughput) OVER w + 1e-9, 4) AS running_mean, max(throughput) OVER w AS running_peak FROM runs WINDOW w AS (PARTITION BY user_id ORDER BY event_id ROWS UNBOUNDED PRECEDING)",
+        "moving_100": f"WITH {RUNS} SELECT event_id, round(avg(throughput) OVER w + 1e-9, 4) AS running_mean, max(throughput) OVER w AS running_peak FROM runs WINDOW w AS (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN 99 PRECEDING AND CURRENT ROW)",
         "relative_perf": f"WITH {RUNS}, b AS ({BENCH('true')}), m AS (SELECT greatest(avg(avg_throughput), 1.0) AS mean FROM b) SELECT configuration, round(avg_throughput / mean * 100, 6) AS relative_pct, avg_throughput / mean * 100 < 80 AS needs_optimization FROM b, m",
         "bench_by_config": f"WITH {RUNS}, b AS ({BENCH('true')}) SELECT {BENCH_OUT} FROM b",
         "best_config": f"WITH {RUNS}, b AS ({BENCH('true')}) SELECT arg_min(configuration, (-avg_throughput, configuration)) AS best_configuration, round(max(avg_throughput), 6) AS best_throughput FROM b",
@@ -220,5 +224,16 @@ y AS (SELECT *, greatest(1, floor(n * r)) AS cpu FROM x),
 z AS (SELECT o_orderkey, n, CASE WHEN (n - cpu) / n < 0.95 THEN greatest(floor(n * 0.95::DOUBLE), n - greatest(10, floor(n * 0.05::DOUBLE))) WHEN (n - cpu) / n > 0.98 THEN n - greatest(1, floor(n * 0.02::DOUBLE)) ELSE n - cpu END::BIGINT AS gpu FROM y) SELECT o_orderkey, gpu, n - gpu AS cpu FROM z""",
         "recommendations": f"SELECT o_orderkey, coalesce(nullif(concat_ws('; ', CASE WHEN {cs} < 1500 THEN 'raise throughput' END, CASE WHEN o_orderkey % 101 < 90 THEN 'raise utilisation' END, CASE WHEN o_orderkey % 100 < 80 THEN 'raise efficiency' END), ''), 'targets achieved') AS advice FROM orders",
         "batch_totals": f"{RULES}, f AS (SELECT source_file, count(*) AS rows, count_if(parse_success) AS succeeded, sum(length(addr_text)) / 1000.0::DOUBLE AS seconds FROM p GROUP BY 1) SELECT count(*) AS files, sum(rows)::BIGINT AS rows, sum(succeeded)::BIGINT AS succeeded, round(avg(rows / seconds), 6) AS avg_rate FROM f",
+        "rank_suites": f"WITH {RUNS}, b AS ({BENCH('true')}) SELECT configuration, row_number() OVER (ORDER BY max_throughput DESC, configuration)::INT AS place, round((SELECT max(max_throughput) FROM b) - max_throughput, 6) AS gap, (SELECT max(max_throughput) FROM b) - max_throughput > 500 AS notable FROM b",
+        "recovery_rate": f"{RULES} SELECT count(*) AS errors, count_if(row_id % 2 = 0)::BIGINT AS recovered, round(count_if(row_id % 2 = 0) / greatest(count(*), 1) * 100, 6) AS recovery_pct FROM p WHERE NOT parse_success",
+        "first_errors": f"{RULES} SELECT row_id, parse_error AS error FROM p WHERE NOT parse_success ORDER BY row_id LIMIT 5",
+        "sheet_details": f"{RULES}, {SHEET} SELECT * EXCLUDE (error) FROM sh",
+        "sheet_summary": f"{RULES}, {SHEET} SELECT count(*) AS rows, count_if(ok)::BIGINT AS parsed, round(avg(fields), 6) AS fields_per_row FROM sh",
+        "sheet_quality": f"{RULES}, {SHEET} SELECT fields, count(*) AS rows FROM sh GROUP BY 1",
+        "sheet_failed": f"{RULES}, {SHEET} SELECT row_id, address, error FROM sh WHERE NOT ok",
+        "prompts": f"WITH {A} SELECT row_id, 'Split this Indian postal address into its parts. Answer with one JSON object with the keys {', '.join(COMPARED)}; use an empty string for a part that is missing.' || chr(10) || 'Address: ' || '{{\"address\":' || to_json(addr_text) || '}}' AS prompt FROM addresses",
+        "report_json": f"{RULES} SELECT '{{\"total_rows\":' || count(*) || ',\"successful\":' || count_if(parse_success) || ',\"failed\":' || count_if(NOT parse_success) || '}}' AS report FROM p",
+        "stream_rule_parse": f"{RULES} SELECT row_id, {ALL}, parse_success FROM p",
+        "stream_throughput": "SELECT date_trunc('second', ts) AS at, count(*) AS n FROM events GROUP BY 1",
         "error_counts": f"{RULES} SELECT parse_error AS error_type, count(*) AS errors FROM p WHERE parse_error IS NOT NULL GROUP BY 1",
     }

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,11 +12,12 @@ from pyspark.sql import functions as F
 from ..functions import text
 from ..functions.complexity import complexity
 from ..functions.entities import label_inventory, map_components, map_entities, map_generic_entities
-from ..functions.llm_json import keyword_parse, map_answers
+from ..functions.llm_json import keyword_parse, map_answers, prompt
 from ..functions.rules import rule_parse
 from ..operators import compare, consolidate, metrics, pins, routing
 from ..schema import FIELDS
 from ..sources import readers, sinks
+from ..streaming import incremental
 from .fixtures import addresses, with_answers, with_components, with_entities
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -439,12 +442,12 @@ def throughput_1s(s, d):
 
 @query
 def running_peak(s, d):
-    return metrics.running(_runs(s, d), "throughput", "event_id", "user_id").select("event_id", F.round("running_mean", 4).alias("running_mean"), "running_peak")
+    return metrics.running(_runs(s, d), "throughput", "event_id", "user_id").select("event_id", F.round(F.col("running_mean") + 1e-9, 4).alias("running_mean"), "running_peak")
 
 
 @query
 def moving_100(s, d):
-    return metrics.running(_runs(s, d), "throughput", "event_id", "user_id", last=100).select("event_id", F.round("running_mean", 4).alias("running_mean"), "running_peak")
+    return metrics.running(_runs(s, d), "throughput", "event_id", "user_id", last=100).select("event_id", F.round(F.col("running_mean") + 1e-9, 4).alias("running_mean"), "running_peak")
 
 
 @query
@@ -516,6 +519,85 @@ def recommendations(s, d):
     return o.select("o_orderkey", F.array_join(metrics.recommendations(rate, use, eff), "; ").alias("advice"))
 
 
+@query
+def rank_suites(s, d):
+    return metrics.ranked_suites(metrics.benchmark_summary(_runs(s, d))).select("configuration", "place", F.round("gap", 6).alias("gap"), "notable")
+
+
+@query
+def recovery_rate(s, d):
+    return metrics.recovery_rate(_parsed(s, d).select((~F.col("parsed.parse_success")).alias("error"), (F.col("row_id") % 2 == 0).alias("recovered")).filter("error"))
+
+
+# Reports
+
+
+@query
+def first_errors(s, d):
+    return sinks.first_errors(_parsed(s, d), 5)
+
+
+@query
+def sheet_details(s, d):
+    return sinks.sheets(_parsed(s, d))["details"]
+
+
+@query
+def sheet_summary(s, d):
+    return sinks.sheets(_parsed(s, d))["summary"]
+
+
+@query
+def sheet_quality(s, d):
+    return sinks.sheets(_parsed(s, d))["quality"]
+
+
+@query
+def sheet_failed(s, d):
+    return sinks.sheets(_parsed(s, d))["failed"]
+
+
+@query
+def prompts(s, d):
+    return addresses(s, d).select("row_id", prompt(F.col("addr_text")).alias("prompt"))
+
+
+@query
+def report_json(s, d):
+    return sinks.metadata(_parsed(s, d)).select(F.to_json(F.struct("total_rows", "successful", "failed")).alias("report"))
+
+
+# Streams: the same operators over a file source, to the end of what is there
+
+
+def _folder(s: SparkSession) -> str:
+    base = s.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="addrloom-stream-")
+    return f"{base.rstrip('/')}/stream-{uuid.uuid4().hex}"
+
+
+@query
+def stream_rule_parse(s, d):
+    folder = _folder(s)
+    addresses(s, d).select("row_id", "addr_text").repartition(4).write.parquet(f"{folder}/in")
+    x = s.read.parquet(f"{folder}/in")
+    stream = incremental.parsed_stream(incremental.address_stream(s, f"{folder}/in", x.schema, 2, "parquet"))
+    incremental.run_to_parquet(_flat(stream, FIELDS, "parse_success"), f"{folder}/out", f"{folder}/checkpoint")
+    return s.read.parquet(f"{folder}/out")
+
+
+@query
+def stream_throughput(s, d):
+    folder = _folder(s)
+    schema = _table(s, d, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"))
+    schema.repartition(3).write.parquet(f"{folder}/in")
+    end = s.createDataFrame([(None, "2100-01-01 00:00:00")], "event_id long, at string").select("event_id", F.col("at").cast("timestamp").alias("ts"))
+    first = incremental.throughput(incremental.address_stream(s, f"{folder}/in", schema.schema, 100, "parquet"))
+    incremental.run_to_parquet(first, f"{folder}/out", f"{folder}/checkpoint")
+    end.write.mode("append").parquet(f"{folder}/in")  # moves the watermark past all events, so the last windows close
+    incremental.run_to_parquet(incremental.throughput(incremental.address_stream(s, f"{folder}/in", schema.schema, 100, "parquet")), f"{folder}/out", f"{folder}/checkpoint")
+    return s.read.parquet(f"{folder}/out").select(F.col("at").cast("timestamp_ntz").alias("at"), "n")
+
+
 def queries() -> dict[str, Query]:
     return dict(_ALL)
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..functions.text import location_identifier, sanitize
+from ..functions.text import location_identifier, sanitize, truncated
 from ..schema import COMPARED, FIELDS, SHORT
 
 
@@ -64,6 +64,24 @@ def write_json(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 
 
+def first_errors(rows: DataFrame, n: int = 5, order: str = "row_id") -> DataFrame:
+    """The first n failed rows and their errors."""
+    return rows.filter(~F.col("parsed.parse_success")).orderBy(order).limit(n).select(order, F.col("parsed.parse_error").alias("error"))
+
+
+def sheets(rows: DataFrame, order: str = "row_id") -> dict[str, DataFrame]:
+    """The tables of a workbook: details, summary, quality (rows by number of fields) and failed rows."""
+    from ..operators.compare import SHEET_FIELDS, field_count
+
+    shaped = rows.select(order, truncated(F.col("addr_text")).alias("address"), *(F.col(f"parsed.{f}").alias(f) for f in SHEET_FIELDS), field_count("parsed", SHEET_FIELDS).alias("fields"), F.col("parsed.parse_success").alias("ok"), F.coalesce("parsed.parse_error", F.lit("")).alias("error"))
+    return {
+        "details": shaped.drop("error"),
+        "summary": shaped.agg(F.count(F.lit(1)).alias("rows"), F.count_if("ok").alias("parsed"), F.round(F.avg("fields"), 6).alias("fields_per_row")),
+        "quality": shaped.groupBy("fields").agg(F.count(F.lit(1)).alias("rows")),
+        "failed": shaped.filter("not ok").select(order, "address", "error"),
+    }
+
+
 def report_text(one_row: DataFrame, title: str) -> str:
     """A text report of a one-row table."""
     row = one_row.first()
