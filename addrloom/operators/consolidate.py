@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.similarity import common_subsequence, could_reach, sorted_tokens
 from ..functions.text import is_blank, normalize_name
+from ..workers import ship_package
 
 UNMATCHED = "UNMATCHED"
 #: Similarity from which names belong together; most distinct names of a code whose leaders are found in one task (see `fuzzy_leaders`).
@@ -72,6 +73,7 @@ def fuzzy_leaders(rows: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     names in order of their first rows decide for all rows. The scan over leaders is sequential
     within a code by definition; it sees one row per distinct name, not per record.
     """
+    ship_package(rows.sparkSession)
     names = rows.filter("name_key is not null").groupBy("pin_key", "name_key").agg(F.min("row_id").alias("first_row"))
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from ..functions.rules import rule_parse
 from ..operators.consolidate import THRESHOLD, leaders_of
+from ..workers import ship_package
 
 
 def address_stream(spark: SparkSession, folder: str, schema: T.StructType, files_per_trigger: int = 10, fmt: str = "csv") -> DataFrame:
@@ -41,6 +42,7 @@ def consolidated_stream(stream: DataFrame, threshold: float = THRESHOLD) -> Data
     The state of a code is its leaders in order. Within a batch names are taken in order of row_id,
     so a stream whose batches follow that order gives what the batch operator gives.
     """
+    ship_package(stream.sparkSession)
     out = T.StructType([T.StructField("pin_key", T.StringType()), T.StructField("name_key", T.StringType()), T.StructField("leader", T.StringType()), T.StructField("rows", T.LongType())])
     state = T.StructType([T.StructField("leaders", T.ArrayType(T.StringType()))])
 
