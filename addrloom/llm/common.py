@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..workers import ship_package
+
 #: Bounds of what one Arrow batch brings to a Python worker.
 BATCH_ROWS, BATCH_BYTES = 1024, 2 << 20
 #: Rows that the Parquet reader decodes at once: a batch's texts are one array on the heap.
@@ -32,7 +34,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def bound_batches(spark: SparkSession) -> None:
-    """Limits Arrow batches by rows and by bytes, and the reader's batches by rows, so that long texts can't fill a worker's or an executor's memory."""
+    """Limits Arrow batches by rows and by bytes, and the reader's batches by rows, so that long texts can't fill a worker's or an executor's memory; and sees to it that workers can import this package."""
+    ship_package(spark)
     spark.conf.set("spark.sql.parquet.columnarReaderBatchSize", str(READ_ROWS))
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
