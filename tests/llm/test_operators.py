@@ -180,6 +180,8 @@ def test_html_blocks_and_structure():
     assert html_extract.lines("") == ([], False)
     assert html_extract.lines("a < b <p> &lt;i&gt;&nbsp;c")[0] == ["a < b", "<i> c"]
     assert html_extract.lines("<div class=ad>x<article><p>y</article>") == (["y"], True)
+    assert html_extract.lines("<div class='site-header'>S</div><div class='post-header'><h2 class=header>T</h2></div><p class=byline>By A</p><div id=reader-comments><p>c</div><div role=navigation>n</div><p>e</p>")[0] == ["T", "By A", "e"]
+    assert html_extract.lines("<article><p>a</p><div class='comment-list'><article><p>reply</p></article></div><p>b</p><script>'</article>'</script></article>") == (["a", "b"], True)
 
 
 @settings(max_examples=100, deadline=None)
