@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.readers import spread
+
 
 def pick(key: str, values: list[str]) -> str:
     return f"split_part('{'|'.join(values)}', '|', cast({key} + 1 as int))"
@@ -54,8 +56,8 @@ FROM (
 
 def addresses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The relation over the tables in sf_dir."""
-    for name in ("orders", "customer"):
-        spark.read.parquet(f"{sf_dir}/{name}.parquet").createOrReplaceTempView(f"addrloom_{name}")
+    spread(spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", "o_custkey")).createOrReplaceTempView("addrloom_orders")
+    spark.read.parquet(f"{sf_dir}/customer.parquet").createOrReplaceTempView("addrloom_customer")
     return spark.sql(addresses_sql("addrloom_orders", "addrloom_customer"))
 
 

@@ -94,6 +94,12 @@ def with_address(df: DataFrame, column: str) -> DataFrame:
     return df.filter(~is_blank(F.col(column)))
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deals a small input out over all cores, for the expensive projections that follow; an input with as many partitions as cores stays as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def head(df: DataFrame, n: int, order: str) -> DataFrame:
     return df.orderBy(order).limit(n)
 
