@@ -59,5 +59,28 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: v for k, v in globals().items() if k.startswith("op") and callable(v)}
 
 
+#: Near-duplicates by counting shared shingles of all pairs that share one, and the least id reachable.
+NEAR_DUPLICATES_SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS s FROM words),
+shingles AS (SELECT doc_id, len(s) AS n, unnest(s) AS x FROM sets),
+shared AS (SELECT a.doc_id AS a, b.doc_id AS b, any_value(a.n) AS na, any_value(b.n) AS nb, count(*) AS k FROM shingles a JOIN shingles b ON a.x = b.x AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+links AS (SELECT a, b FROM shared WHERE 100 * k >= 75 * (na + nb - k)),
+reached AS (SELECT doc_id AS a, doc_id AS least FROM documents UNION SELECT l.b, r.least FROM reached r JOIN links l ON r.a = l.a),
+component AS (SELECT a AS doc_id, min(least) AS component_id FROM reached GROUP BY a)
+SELECT doc_id, len(s)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept FROM sets JOIN component USING (doc_id)"""
+
+#: Text of pages that mark their article and hold only paragraphs and headings in it, as those of the test tables do.
+PAGE_TEXT_SQL = r"""
+WITH marked AS (SELECT page_id, url, regexp_extract(coalesce(html, ''), '<article>(.*?)</article>', 1, 's') AS article FROM pages),
+blocks AS (SELECT page_id, url, list_transform(regexp_split_to_array(replace(article, '<br>', ' '), '</?(?:p|h1)>'), lambda b: regexp_replace(b, '<[^>]+>', '', 'g')) AS b FROM marked),
+plain AS (SELECT page_id, url, list_filter(list_transform(b, lambda x: trim(regexp_replace(replace(replace(replace(replace(replace(x, '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#x27;', chr(39)), '&amp;', '&'), '\s+', ' ', 'g'))), lambda x: x <> '') AS b FROM blocks),
+joined AS (SELECT page_id, url, coalesce(array_to_string(b, chr(10)), '') AS text FROM plain)
+SELECT *, length(text)::BIGINT AS n_chars FROM joined"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op5_source_mix": mixing.mix_sql()}
+    return {"op5_source_mix": mixing.mix_sql(), "op6_page_text": PAGE_TEXT_SQL, "op10_near_duplicates": NEAR_DUPLICATES_SQL}
