@@ -29,7 +29,7 @@ WORDS, ABOVE, BELOW = 5, 75, 100
 HASHES, ROWS, STEP, MISS = 128, 4, 16, 1e-6
 BANDS = HASHES // ROWS
 #: Members that are verified against one copy of a centre's text; members of a bucket that a tile holds on either side.
-BLOCK, TILE = 64, 512
+BLOCK, TILE = 64, 256
 #: Bytes of text whose shingles are made at once.
 SLICE = 1 << 20
 
