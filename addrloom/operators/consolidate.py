@@ -2,19 +2,22 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.similarity import common_subsequence, could_reach, sorted_tokens
+from ..functions.similarity import common_subsequence, could_reach, sorted_tokens, token_sort_similarity
 from ..functions.text import is_blank, normalize_name
 from ..workers import ship_package
 
 UNMATCHED = "UNMATCHED"
 #: Similarity from which names belong together; most distinct names of a code whose leaders are found in one task (see `fuzzy_leaders`).
 THRESHOLD = 0.85
+#: Names of one code and one character that a task compares with all others of them.
+PAIR_BLOCK = 1024
 
 
 def keyed(df: DataFrame, normalize: bool = True) -> DataFrame:
@@ -93,15 +96,61 @@ def fuzzy_groups(rows: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     return exact_groups(with_leaders(rows, fuzzy_leaders(rows, threshold)))
 
 
-def candidate_pairs(rows: DataFrame, threshold: float = THRESHOLD, prefix: int = 4) -> DataFrame:
-    """Pairs of distinct names of one code and one beginning whose similarity reaches the threshold, as a join with a native predicate."""
-    from ..functions.similarity import similarity_column
+def _characters(name: str) -> list[str]:
+    """The characters of the sorted words, each with its number among equal ones: two names' common ones are at least as many as a common subsequence has."""
+    seen: Counter[str] = Counter()
+    out = []
+    for c in sorted_tokens(name):
+        seen[c] += 1
+        out.append(f"{c}{seen[c]}")
+    return out
+
+
+def candidate_pairs(rows: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """All pairs of distinct names of one code whose similarity reaches the threshold, as a join with a predicate.
+
+    A pair has at least least(n) = n * t / (2 - t) characters in common, n being either's length;
+    so one of the n - least(n) + 1 rarest characters of either is among the other's, and the names
+    are joined by code and such a character. Pairs are then held against the bounds by lengths and
+    by common characters; both are exact, so only pairs below the threshold are left out. A code's
+    hot character is dealt out in blocks of PAIR_BLOCK names. The similarity of what is left is
+    taken in Python workers, after these bounds. The distinct names are persisted: several joins
+    read them, and the optimizer doesn't carry the parser's expressions through each of them.
+    """
+    ship_package(rows.sparkSession)
 
-    n = rows.filter("name_key is not null and name_key <> ''").select("pin_key", "name_key").distinct().withColumn("block", F.substring("name_key", 1, prefix))
-    a, b = n.alias("a"), n.alias("b")
-    j = a.join(b, (F.col("a.pin_key") == F.col("b.pin_key")) & (F.col("a.block") == F.col("b.block")) & (F.col("a.name_key") < F.col("b.name_key")))
-    s = similarity_column(F.col("a.name_key"), F.col("b.name_key"))
-    return j.select(F.col("a.pin_key").alias("pin_key"), F.col("a.name_key").alias("left_name"), F.col("b.name_key").alias("right_name"), F.round(s, 6).alias("similarity")).filter(F.col("similarity") >= threshold)
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            yield pdf.assign(chars=[_characters(x) for x in pdf["name_key"]])
+
+    @F.pandas_udf("double")
+    def similarity(left: pd.Series, right: pd.Series) -> pd.Series:
+        return pd.Series([token_sort_similarity(x, y) for x, y in zip(left, right, strict=True)], dtype="float64")
+
+    limit = threshold - 1e-6  # similarities are rounded to six places
+    n = rows.filter("name_key is not null and name_key <> ''").select("pin_key", "name_key").distinct()
+    if limit <= 0:
+        j = n.alias("a").join(n.alias("b"), (F.col("a.pin_key") == F.col("b.pin_key")) & (F.col("a.name_key") < F.col("b.name_key")))
+    else:
+        chars = n.mapInPandas(cut, "pin_key string, name_key string, chars array<string>").persist()
+        each = chars.select("pin_key", "name_key", F.explode("chars").alias("char"))
+        often = each.groupBy("char").agg(F.count(F.lit(1)).alias("often"))
+        ranked = each.join(often, "char").groupBy("pin_key", "name_key").agg(F.array_sort(F.collect_list(F.struct("often", "char"))).alias("ranked"))
+        size = F.size("ranked")
+        least = F.ceil(size * (limit / (2 - limit)) - 1e-9).cast("int")
+        keys = ranked.select("pin_key", "name_key", F.col("ranked.char").alias("chars"), F.slice("ranked.char", F.lit(1), size - least + 1).alias("first"))
+        keys = keys.withColumn("char", F.explode("first"))
+        blocks = keys.groupBy("pin_key", "char").agg(F.ceil(F.count(F.lit(1)) / PAIR_BLOCK).cast("int").alias("blocks"))
+        keys = keys.join(blocks, ["pin_key", "char"])
+        a = keys.withColumn("block", F.pmod(F.xxhash64("name_key"), F.col("blocks")).cast("int")).alias("a")
+        b = keys.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).alias("b")
+        j = a.join(b, (F.col("a.pin_key") == F.col("b.pin_key")) & (F.col("a.char") == F.col("b.char")) & (F.col("a.block") == F.col("b.block")) & (F.col("a.name_key") < F.col("b.name_key")))
+        x, y = F.size("a.chars"), F.size("b.chars")
+        total = (x + y) * limit - 1e-9
+        j = j.filter((F.least(x, y) * 2 >= total) & (F.element_at(F.array_intersect("a.first", "b.first"), 1) == F.col("a.char")))  # once, at the first of the shared ones
+        j = j.filter(F.size(F.array_intersect("a.chars", "b.chars")) * 2 >= total)
+    pairs = j.select(F.col("a.pin_key").alias("pin_key"), F.col("a.name_key").alias("left_name"), F.col("b.name_key").alias("right_name"))
+    return pairs.withColumn("similarity", F.round(similarity("left_name", "right_name"), 6)).filter(F.col("similarity") >= threshold)
 
 
 def group_members(rows: DataFrame, groups: DataFrame | None = None) -> DataFrame:

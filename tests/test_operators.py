@@ -38,6 +38,21 @@ def test_fuzzy_leaders_equal_row_by_row(spark, threshold):
         assert leaders[(pin, rows[row_id][1])] == name
 
 
+@pytest.mark.parametrize("threshold", [0.0, 0.5, 0.85, 1.0])
+def test_candidate_pairs_are_all_pairs(spark, monkeypatch, threshold):
+    monkeypatch.setattr(consolidate, "PAIR_BLOCK", 3)
+    names = ["blue ridge", "ridge blue", "blue ridges", "the prestige lakeside", "prestige lakeside", "the kumar paradise", "kumar paradise", "the green valley homes", "green valley homes", "aaaa", "aaab", "a", "", "  ", "x y z", "z y x", None]
+    rows = [(n, pin) for n in names for pin in ("", "411001")] + [("green valleys", "2"), ("blue ridge", "2"), ("green valley", "2")]
+    df = spark.createDataFrame(rows, "name_key string, pin_key string")
+    got = consolidate.candidate_pairs(df, threshold).collect()
+    want = {}
+    for a, p in rows:
+        for b, q in rows:
+            if p == q and a and b and a < b and round(token_sort_similarity(a, b), 6) >= threshold:
+                want[p, a, b] = round(token_sort_similarity(a, b), 6)
+    assert {(r.pin_key, r.left_name, r.right_name): r.similarity for r in got} == want and len(got) == len(want)
+
+
 def test_stream_of_one_batch_equals_batch(spark, tmp_path):
     rows = [(k, "1", n) for k, n in enumerate(["blue ridge", "blue ridges", "green park", "ridge blue"])]
     df = spark.createDataFrame(rows, "row_id long, pin_key string, name_key string")
