@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 from .common import bound_batches, by_bytes, stored, utf8
 from .tokens import encoder
 
-#: Tokens of a sequence; pieces that one task packs; rounds over bins left underfull; bins in a row that the search can't improve before it ends, and bins it tries at most.
-CAPACITY, GROUP, ROUNDS, GIVE_UP, TRIED = 4096, 40_000, 3, 6, 200
+#: Tokens of a sequence; pieces that one task packs.
+CAPACITY, GROUP = 4096, 40_000
 PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -63,67 +63,133 @@ def best_fit(lengths: np.ndarray, capacity: int = CAPACITY) -> np.ndarray:
     return out
 
 
+class _Underfull:
+    """Underfull bins by gap, and by gap and length of a piece they hold; so a step is found without a look at each piece."""
+
+    def __init__(self, capacity: int) -> None:
+        self.bins: dict[int, dict[int, None]] = defaultdict(dict)
+        self.holders: dict[int, dict[int, dict[int, None]]] = defaultdict(lambda: defaultdict(dict))
+        self.mask = 0  # bit g: some bin has the gap g
+        self.next = np.zeros((capacity + 1, capacity + 1), np.int32)  # [g, x]: the least length from x on in a bin of gap g, or 0; rows are touched when used
+        self.stale: set[int] = set()
+
+    def add(self, b: int, gap: int, lengths: dict[int, list[int]]) -> None:
+        self.bins[gap][b] = None
+        self.mask |= 1 << gap
+        own = self.holders[gap]
+        for n in lengths:
+            if n not in own:
+                self.stale.add(gap)
+            own[n][b] = None
+
+    def remove(self, b: int, gap: int, lengths: dict[int, list[int]]) -> None:
+        del self.bins[gap][b]
+        if not self.bins[gap]:
+            del self.bins[gap]
+            self.mask ^= 1 << gap
+        own = self.holders[gap]
+        for n in lengths:
+            del own[n][b]
+            if not own[n]:
+                del own[n]
+                self.stale.add(gap)
+
+    def move(self, lengths: dict[int, list[int]], gap: int) -> tuple[tuple[int, ...], int, int] | None:
+        """The longest piece of a bin with this gap that fits another which it leaves fuller than the first was, and the fullest such bin."""
+        for n in sorted(lengths, reverse=True):
+            fits = self.mask >> n
+            if fits:
+                g = n + (fits & -fits).bit_length() - 1
+                if g < gap + n:
+                    return (n,), 0, next(iter(self.bins[g]))
+        return None
+
+    def exchange(self, lengths: dict[int, list[int]], gap: int) -> tuple[tuple[int, ...], int, int] | None:
+        """One or two pieces for a smaller one of another bin, which it leaves fuller than the first was; that with the most gain."""
+        if not self.bins:
+            return None
+        for g in self.stale:
+            held = np.array([*sorted(self.holders[g]), 0], np.int32)
+            self.next[g] = held[np.searchsorted(held[:-1], np.arange(self.next.shape[1]))]
+        self.stale.clear()
+        n = sorted(lengths, reverse=True)
+        own = {x: (x,) for x in n}
+        for i, x in enumerate(n):
+            for y in n[i if len(lengths[x]) > 1 else i + 1 :]:
+                own.setdefault(x + y, (x, y))
+        total = np.fromiter(own, np.int64, len(own))[:, None]
+        gaps = np.fromiter(self.bins, np.int64, len(self.bins))[None, :]
+        size = self.next[gaps, np.maximum(total - gaps, 1)]
+        gain = np.where((size > 0) & (size < total) & (gaps < gap + total - size), total - size, 0)
+        k, g = divmod(int(gain.argmax()), gain.shape[1])
+        if not gain[k, g]:
+            return None
+        there = int(size[k, g])
+        return own[int(total[k, 0])], there, next(iter(self.holders[int(gaps[0, g])][there]))
+
+
 def refine(lengths: np.ndarray, where: np.ndarray, capacity: int = CAPACITY) -> np.ndarray:
     """Local search on a packing. Empties the emptiest bins by steps that raise the sum of squared fills.
 
-    A step moves a piece of the emptiest bin into another underfull bin, or exchanges one or two
-    of its pieces for one smaller piece there; the receiving bin gets fuller each time. A bin that
-    can't be emptied is set aside until a step elsewhere succeeds. The search ends at the lower
-    bound of bins, when GIVE_UP bins in a row allow no step, or after TRIED bins.
+    A step moves a piece of the bin into another underfull bin, or exchanges one or two of its
+    pieces for one smaller piece there; the receiving bin gets fuller than the giving one was. The
+    underfull bins are gone through from the emptiest on, again and again, until none allows a
+    step, or the lower bound of bins is reached.
     """
     where = where.copy()
-    fill = np.bincount(where, lengths).astype(np.int64)
-    least, used, failed, stuck = -(-int(lengths.sum()) // capacity), int((fill > 0).sum()), 0, set()
-    tried = 0
-    while used > least and failed < GIVE_UP and tried < TRIED:
-        tried += 1
-        steps = 0
-        underfull = np.flatnonzero((fill > 0) & (fill < capacity)).tolist()
-        open_bins = [b for b in underfull if b not in stuck]
-        if len(underfull) < 2 or not open_bins:
-            break
-        low = min(open_bins, key=lambda b: (fill[b], b))
-        inside = np.zeros(len(fill), bool)
-        inside[underfull] = True
-        others = np.flatnonzero(inside[where] & (where != low))
-        while fill[low] > 0:
-            mine = np.flatnonzero(where == low)
-            mine = mine[np.argsort(-lengths[mine], kind="stable")]
-            free = capacity - fill
-            gap, size = free[where[others]], lengths[others]
-            best: tuple[int, tuple[int, ...], int] | None = None
-            for a in mine.tolist():
-                fits = np.flatnonzero((gap >= lengths[a]) & (fill[where[others]] + lengths[a] > fill[low]))
-                if len(fits):
-                    best = (int(lengths[a]), (a,), int(others[fits[np.argmin(gap[fits])]]))
-                    where[a] = where[best[2]]
-                    break
-            if best:
-                fill[low] -= best[0]
-                fill[where[best[1][0]]] += best[0]
-                steps += 1
+    fill = np.bincount(where, lengths).astype(np.int64).tolist()
+    least, used = -(-int(lengths.sum()) // capacity), sum(n > 0 for n in fill)
+    if used <= least:
+        return where
+    content: dict[int, dict[int, list[int]]] = defaultdict(dict)
+    for k, (b, n) in enumerate(zip(where.tolist(), lengths.tolist(), strict=True)):
+        if fill[b] < capacity:
+            content[b].setdefault(n, []).append(k)
+    index = _Underfull(capacity)
+    for b, own in content.items():
+        index.add(b, capacity - fill[b], own)
+
+    def take(b: int, n: int) -> int:
+        k = content[b][n].pop()
+        if not content[b][n]:
+            del content[b][n]
+        fill[b] -= n
+        return k
+
+    def put(b: int, n: int, k: int) -> None:
+        content[b].setdefault(n, []).append(k)
+        fill[b] += n
+        where[k] = b
+
+    changed = True
+    while changed:
+        changed = False
+        for low in sorted((b for b in content if 0 < fill[b] < capacity), key=lambda b: (fill[b], b)):
+            if fill[low] == capacity:
                 continue
-            pairs = [(int(lengths[a]), (a,)) for a in mine.tolist()]
-            top = mine[:24].tolist()
-            pairs += [(int(lengths[a] + lengths[b]), (a, b)) for i, a in enumerate(top) for b in top[i + 1 :]]
-            for total, own in pairs:
-                gain = total - size
-                ok = np.flatnonzero((gain > 0) & (gain <= gap) & (fill[where[others]] + gain > fill[low]))
-                if len(ok):
-                    k = ok[np.argmax(gain[ok])]
-                    if best is None or gain[k] > best[0]:
-                        best = (int(gain[k]), own, int(others[k]))
-            if best is None:
-                break
-            there = where[best[2]]
-            where[list(best[1])], where[best[2]] = there, low
-            fill[low] -= best[0]
-            fill[there] += best[0]
-            steps += 1
-            others = np.flatnonzero(inside[where] & (where != low))
-        used -= int(fill[low] == 0)
-        failed = 0 if steps else failed + 1
-        stuck = {low} if steps else stuck | {low}
+            index.remove(low, capacity - fill[low], content[low])
+            while fill[low]:
+                gap = capacity - fill[low]
+                step = index.move(content[low], gap) or index.exchange(content[low], gap)
+                if step is None:
+                    break
+                mine, back, other = step
+                index.remove(other, capacity - fill[other], content[other])
+                if back:
+                    k = take(other, back)
+                for n in mine:
+                    put(other, n, take(low, n))
+                if back:
+                    put(low, back, k)
+                if fill[other] < capacity:
+                    index.add(other, capacity - fill[other], content[other])
+                changed = True
+            if fill[low]:
+                index.add(low, capacity - fill[low], content[low])
+            else:
+                used -= 1
+                if used == least:
+                    return where
     return where
 
 
@@ -148,7 +214,7 @@ def _pack(rows: DataFrame, group: int, number: int, capacity: int) -> DataFrame:
         offset = np.empty(len(n), np.int64)
         offset[order] = ends - n[order] - np.repeat(begin, np.diff(np.append(first, len(b))))
         fill = np.bincount(where, n).astype(np.int64)[where]
-        seq = (np.int64(number) << 60) + (np.asarray(t["_g"]).astype(np.int64) << 28) + where
+        seq = (np.int64(number) << 52) + (np.asarray(t["_g"]).astype(np.int64) << 24) + where
         t = t.drop_columns(["_g"]).append_column("sequence_id", pa.array(seq)).append_column("offset", pa.array(offset)).append_column("fill", pa.array(fill))
         yield from t.to_batches(max_chunksize=20_000)
 
@@ -160,19 +226,27 @@ def pack(rows: DataFrame, capacity: int = CAPACITY, group: int = GROUP, full: fl
     """sequence_id and offset for each piece; sequences are gapless from 0 and hold at most `capacity` tokens.
 
     Groups of pieces are packed apart; what their underfull bins hold is gathered and packed
-    again, in fewer groups, so that the waste doesn't grow with the number of groups.
+    again, in fewer groups, so that the waste doesn't grow with the number of groups. Rounds go on
+    until one group holds the rest, or until a round saves no bin: its bins are then left as they were.
     """
     columns = ["doc_id", "piece", "start", "length", "ids_crc32"]
     todo, done, number = stored(rows.select(columns)), [], 0
+    rest, before = None, 0
     while True:
         many = todo.count() > group
         out = _pack(todo, group, number, capacity)
-        if not many or number + 1 >= ROUNDS:
+        if many or rest is not None:
+            out = stored(out)
+        if rest is not None and out.filter(F.col("offset") == 0).count() >= before:
+            done.append(rest)
+            break
+        if not many:
             done.append(out)
             break
-        out = stored(out)
         done.append(out.filter(F.col("fill") >= full * capacity))
-        todo, number = stored(out.filter(F.col("fill") < full * capacity).select(columns)), number + 1
+        rest = out.filter(F.col("fill") < full * capacity)
+        before = rest.filter(F.col("offset") == 0).count()
+        todo, number = stored(rest.select(columns)), number + 1
     result = done[0]
     for x in done[1:]:
         result = result.unionByName(x)

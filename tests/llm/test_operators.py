@@ -252,6 +252,22 @@ def test_refining_swaps_to_empty_a_bin():
     assert len(set(packing.refine(n, where, 100).tolist())) == 2
 
 
+def test_refining_runs_until_no_step_is_left():
+    n = np.repeat([1800, 1200, 1096], 700)  # fit in 700 full bins
+    first = packing.best_fit(n)
+    after = packing.refine(n, first)
+    assert len(set(first.tolist())) > 800 and np.bincount(after, n).max() <= 4096
+    assert len(set(after.tolist())) == 700
+
+
+def test_rounds_go_on_while_they_save_bins(spark):
+    n = np.repeat([1800, 1200, 1096], 100).tolist()
+    random.Random(4).shuffle(n)
+    df = spark.createDataFrame([(k, 0, 0, x, 0) for k, x in enumerate(n)], packing.PIECE)
+    rows = packing.pack(df, group=60).collect()
+    assert sorted(r.length for r in rows) == sorted(n) and check_packing(rows, 4096) <= 103
+
+
 def test_forest_learns_and_handles_one_class():
     r = np.random.default_rng(3)
     x = r.normal(size=(600, 4))
