@@ -83,8 +83,13 @@ def signatures(sets: list[np.ndarray], together: int = 1 << 15) -> np.ndarray:
     return (words.finish(out) >> np.uint64(48)).astype(np.uint16)
 
 
+def text_key(text: Column) -> Column:
+    """64 bits that name a text, whatever ids its rows have."""
+    return F.xxhash64(F.coalesce(text.cast("string"), F.lit("")))
+
+
 def sketch(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n (shingles), c1 and c2 (a 128-bit key of the set) and sig for each row; no shuffle."""
+    """doc_id, key (of the text), n (shingles), c1 and c2 (a 128-bit key of the set) and sig for each row; no shuffle."""
     bound_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -95,9 +100,10 @@ def sketch(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
                 n = np.array([len(s) for s in sets], np.int64)
                 c1 = np.array([s.sum(dtype=np.uint64) for s in sets], np.uint64).view(np.int64)
                 c2 = np.array([words.finish(s ^ _PLACE[0]).sum(dtype=np.uint64) for s in sets], np.uint64).view(np.int64)
-                yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(n), pa.array(c1), pa.array(c2), pa.array([r.tobytes() for r in sig], pa.binary())], ["doc_id", "n", "c1", "c2", "sig"])
+                yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("key"), pa.array(n), pa.array(c1), pa.array(c2), pa.array([r.tobytes() for r in sig], pa.binary())], ["doc_id", "key", "n", "c1", "c2", "sig"])
 
-    return docs.selectExpr(f"cast(`{id_col}` as long) doc_id", f"cast(`{text_col}` as string) text").mapInArrow(run, "doc_id long, n long, c1 long, c2 long, sig binary")
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    return rows.withColumn("key", text_key(F.col("text"))).mapInArrow(run, "doc_id long, key long, n long, c1 long, c2 long, sig binary")
 
 
 def least_matches(hashes: int = HASHES, step: int = STEP, miss: float = MISS, similarity: float = ABOVE / BELOW) -> np.ndarray:
@@ -328,18 +334,17 @@ def _cross(docs: DataFrame, members: DataFrame, reps: DataFrame, comps: DataFram
     return x.mapInArrow(run, "u long, v long")
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_shingles, component_id and kept for every row.
+def grouped(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, key (of the text), n_shingles, component (names the group of near-duplicates; null without shingles), component_id and kept for every row.
 
-    component_id is the least doc_id reachable over links of 100 * intersection >= 75 * union,
-    itself included. A null or empty text, or one without words, has n_shingles 0 and is linked
-    with nothing. Rows of one id are one document if their texts' shingle sets are equal; a row
-    without an id takes the component of rows with an equal set, or null.
+    Classes of equal sets are named by the least key of their texts, so rows without an id, and
+    texts that share one, are compared like any other. In the tables of the comparison that key
+    stands in the column doc_id.
     """
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    texts = docs.select(text_key(F.col(text_col)).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     every = stored(sketch(docs, id_col, text_col))
-    classes = stored(every.filter("n > 0").groupBy("c1", "c2", "n").agg(F.min("doc_id").alias("doc_id")))
-    reps = stored(classes.dropna(subset=["doc_id"]).hint("merge").join(every.select("doc_id", "c1", "c2", "sig"), ["doc_id", "c1", "c2"]).select("doc_id", "n", "sig").dropDuplicates(["doc_id"]))
+    classes = stored(every.filter("n > 0").groupBy("c1", "c2", "n").agg(F.min("key").alias("class"), F.min("doc_id").alias("least"), F.first("sig").alias("sig")))
+    reps = classes.select(F.col("class").alias("doc_id"), "n", "sig")
     bands = reps.select("doc_id", F.explode(F.array(*(F.struct(F.lit(k).alias("band"), F.expr(f"substring(sig, {2 * ROWS * k + 1}, {2 * ROWS})").alias("key")) for k in range(BANDS)))).alias("b")).select("doc_id", "b.*")
     centres = bands.groupBy("band", "key").agg(F.min("doc_id").alias("centre"), F.count(F.lit(1)).alias("many")).filter("many > 1").drop("many")
     members = stored(bands.join(centres.hint("merge"), ["band", "key"]))
@@ -350,7 +355,22 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     if not more.isEmpty():
         discard(comps)
         comps = stored(components(links.unionByName(more)))
-    labels = classes.join(comps.withColumnRenamed("node", "doc_id").hint("merge"), "doc_id", "left").select("c1", "c2", "n", F.coalesce("component", "doc_id").alias("component_id"))
-    out = every.select("doc_id", "c1", "c2", "n").join(labels.hint("merge"), ["c1", "c2", "n"], "left")
-    own = F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
-    return out.select("doc_id", F.col("n").alias("n_shingles"), own.alias("component_id"), own.eqNullSafe(F.col("doc_id")).alias("kept"))
+    own = comps.withColumnRenamed("node", "class").hint("merge").join(classes.select("class", "least"), "class")
+    named = own.join(own.groupBy("component").agg(F.min("least").alias("_least")).hint("merge"), "component").select("class", "component", "_least")
+    labels = classes.select("c1", "c2", "n", "class", "least").join(named.hint("merge"), "class", "left")
+    labels = labels.select("c1", "c2", "n", F.coalesce("component", "class").alias("component"), F.coalesce("_least", "least").alias("component_id"))
+    out = every.select("doc_id", "key", "c1", "c2", "n").join(labels.hint("merge"), ["c1", "c2", "n"], "left")
+    least = F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
+    return out.select("doc_id", "key", F.col("n").alias("n_shingles"), "component", least.alias("component_id"), least.eqNullSafe(F.col("doc_id")).alias("kept"))
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, n_shingles, component_id and kept for every row.
+
+    component_id is the least doc_id reachable over links of 100 * intersection >= 75 * union,
+    itself included. A null or empty text, or one without words, has n_shingles 0 and is linked
+    with nothing. Links are those of the texts: a row without an id takes the least id of its
+    component, or null where no row of that has one; rows that share an id are in one component
+    only if their texts are.
+    """
+    return grouped(docs, id_col, text_col).select("doc_id", "n_shingles", "component_id", "kept")

@@ -10,6 +10,7 @@ import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from addrloom.llm import audio, components, fingerprint, html_extract, mixing, neardup, packing, quality, token_files, tokens, toxicity
 from addrloom.llm.common import utf8
@@ -388,6 +389,21 @@ def test_near_duplicates_edges(docs, nothing):
     assert neardup.near_duplicates(nothing).count() == 0
 
 
+def test_near_duplicates_of_null_and_repeated_ids(spark):
+    w = [prose(60, 900 + k).split() for k in range(4)]
+    near = lambda k: " ".join([*w[k][:-1], "other"])
+    text = lambda k: " ".join(w[k])
+    rows = [(None, text(0)), (9, near(0)), (7, text(1)), (7, text(2)), (8, near(1)), (6, near(2)), (None, text(3)), (None, near(3)), (None, "")]
+    got = neardup.grouped(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    by = {t: r for t, r in ((t, r) for i, t in rows for r in got if r.doc_id == i and r.key == spark.createDataFrame([(t,)], "t string").select(neardup.text_key(F.col("t"))).first()[0])}
+    assert len(got) == len(rows) == len(by)
+    assert by[text(0)].component_id == by[near(0)].component_id == 9 and not by[text(0)].kept
+    assert by[text(1)].component_id == by[near(1)].component_id == 7 and by[text(1)].kept and not by[near(1)].kept
+    assert by[text(2)].component_id == by[near(2)].component_id == 6 and not by[text(2)].kept
+    assert by[text(1)].component != by[text(2)].component
+    assert by[text(3)].component == by[near(3)].component is not None and by[text(3)].component_id is None
+
+
 def test_bayes_limits_miss_less_than_asked():
     from math import comb
 
