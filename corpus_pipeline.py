@@ -28,12 +28,16 @@ def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates the document with the least doc_id stays; rows that repeat an id stay once."""
-    rows = neardup.near_duplicates(docs).filter("kept").groupBy(F.col("doc_id").alias("_kept_id")).agg(F.count(F.lit(1)).alias("_rows"))
-    kept = stored(rows)
-    out = docs.join(kept.select("_kept_id").hint("merge"), docs["doc_id"].eqNullSafe(kept["_kept_id"]), "left_semi")
-    repeated = not kept.filter("_rows > 1").isEmpty()
-    return out.dropDuplicates(["doc_id"]) if repeated else out
+    """Of each group of near-duplicates one row stays: of those with the least doc_id (without one, where no row has any) the one with the least text key. Rows without words are in no group and stay."""
+    rows = neardup.grouped(docs).filter("kept or n_shingles = 0")
+    one = rows.filter("n_shingles > 0").groupBy("component").agg(F.min("doc_id").alias("_id"), F.min("key").alias("_key"), (F.count(F.lit(1)) > 1).alias("_many"))
+    bare = rows.filter("n_shingles = 0").select(F.col("doc_id").alias("_id"), F.col("key").alias("_key"), F.lit(False).alias("_many")).distinct()
+    kept = stored(one.select("_id", "_key", "_many").unionByName(bare))
+    same = F.col("_doc").eqNullSafe(F.col("_id")) & (F.col("_text") == F.col("_key"))
+    out = docs.withColumn("_doc", F.col("doc_id").cast("long")).withColumn("_text", neardup.text_key(F.col("text"))).join(kept.hint("merge"), same)
+    if kept.filter("_many").isEmpty():
+        return out.select(*docs.columns)
+    return out.filter("not _many").unionByName(out.filter("_many").dropDuplicates(["_doc", "_text"])).select(*docs.columns)
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
