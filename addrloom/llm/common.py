@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -105,6 +105,17 @@ def sums(values: np.ndarray, off: np.ndarray) -> np.ndarray:
     return out
 
 
+def fitted(rows: DataFrame, fit: Callable[[Iterator[pa.RecordBatch]], bytes]) -> bytes:
+    """What fit makes of a bounded sample, whose rows (ascending by doc_id and text) one executor task reads batch by batch; the driver gets the result alone."""
+    bound_batches(rows.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield pa.RecordBatch.from_arrays([pa.array([fit(batches)], pa.binary())], ["model"])
+
+    made = rows.repartition(1).sortWithinPartitions("doc_id").mapInArrow(run, "model binary").first()
+    return bytes(made["model"]) if made else fit(iter(()))
+
+
 def ordered_ranges(df: DataFrame, id_col: str, text_col: str, range_bytes: int = RANGE_BYTES) -> tuple[DataFrame, int]:
     """Adds `_p`, the number of the id range that a row belongs to, ascending with the id; null ids come first.
 

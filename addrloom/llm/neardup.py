@@ -6,6 +6,10 @@ compared one after another, and the pair is dropped as soon as the posterior pro
 similarity reaches the threshold falls below MISS; every survivor is confirmed on both full
 shingle sets. Candidates are tried in two rounds: first each bucket's members with the bucket's
 least member, then, where a bucket still holds several components, all members of different ones.
+
+Rows are named by their place in the stored sketches and texts by an MD5 digest, so neither null
+nor repeated ids matter. Words are exact (see `words`), shingles are 64-bit keys of five words'
+keys, and a link of the first round is confirmed once more on the words themselves.
 """
 
 from __future__ import annotations
@@ -40,13 +44,14 @@ _LOWER[65:91] += 32
 _RNG = np.random.Generator(np.random.PCG64(23))
 _PLACE = _RNG.integers(1, 1 << 63, WORDS + 1, np.uint64) | np.uint64(1)
 _LENGTH = np.arange(WORDS, dtype=np.uint64) * _PLACE[WORDS]
+#: Bytes of two texts up to which they are compared as sets of word tuples; longer ones as sorted numbers.
+TUPLES = 1 << 21
 _TURN = _RNG.integers(1, 1 << 63, HASHES, np.uint64) | np.uint64(1)
 
 
 def shingles(off: np.ndarray, data: np.ndarray) -> list[np.ndarray]:
     """The sorted 64-bit keys of each text's distinct shingles; a text of one to four words has one, one without words none."""
-    begin, end, first = words.spans(~_SPACE[data], off)
-    key = words.keys(words.prefix_hash(_LOWER[data]), begin, end)
+    key, first = words.word_keys(~_SPACE, _LOWER[data], off)
     n = np.diff(first)
     if len(key) >= WORDS:
         run = reduce(np.add, (key[j : len(key) - WORDS + 1 + j] * _PLACE[j] for j in range(WORDS)))
@@ -83,13 +88,39 @@ def signatures(sets: list[np.ndarray], together: int = 1 << 15) -> np.ndarray:
     return (words.finish(out) >> np.uint64(48)).astype(np.uint16)
 
 
+def exactly_linked(a: bytes, b: bytes) -> bool:
+    """Whether 100 * intersection >= 75 * union of two texts' shingle sets, by the words themselves."""
+    x, y = a.lower().split(), b.lower().split()  # of bytes: A to Z, and the six white-space bytes
+    if len(a) + len(b) <= TUPLES:
+        s, t = ({tuple(w)} if 0 < len(w) < WORDS else set(zip(*(w[k:] for k in range(WORDS)), strict=False)) for w in (x, y))
+        both, either = len(s & t), len(s | t)
+    else:
+        number: dict[bytes, int] = {}
+        u, v = (np.fromiter((number.setdefault(w, len(number)) for w in z), np.int64, len(z)) for z in (x, y))
+        if min(len(u), len(v)) < WORDS:  # one word sequence as a whole equals no run of five words of another
+            return len(u) == len(v) and bool((u == v).all())
+        runs = np.concatenate([u, v])
+        for k in range(1, WORDS):  # numbers of runs of k + 1 words
+            p, q = (runs[: len(u) - k + 1], u), (runs[len(u) - k + 1 :], v)
+            pair = np.concatenate([r[:-1] * len(number) + z[k:] for r, z in (p, q)])
+            runs = np.unique(pair, return_inverse=True)[1].ravel()
+        s, t = np.unique(runs[: len(u) - WORDS + 1]), np.unique(runs[len(u) - WORDS + 1 :])
+        both = len(np.intersect1d(s, t, assume_unique=True))
+        either = len(s) + len(t) - both
+    return bool(either) and BELOW * both >= ABOVE * either
+
+
 def text_key(text: Column) -> Column:
-    """64 bits that name a text, whatever ids its rows have."""
-    return F.xxhash64(F.coalesce(text.cast("string"), F.lit("")))
+    """16 bytes that name a text, whatever ids its rows have."""
+    return F.unhex(F.md5(F.coalesce(text.cast("string"), F.lit(""))))
 
 
 def sketch(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, key (of the text), n (shingles), c1 and c2 (a 128-bit key of the set) and sig for each row; no shuffle."""
+    """doc_id, key (of the text), n (shingles), c1 and c2 (a 128-bit key of the set) and sig for each row; no shuffle.
+
+    A null text counts as empty; texts without words have n = 0 and a signature without meaning.
+    A long text's words are keyed slice by slice, so its arrays hold eight bytes a word.
+    """
     bound_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -103,7 +134,7 @@ def sketch(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
                 yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("key"), pa.array(n), pa.array(c1), pa.array(c2), pa.array([r.tobytes() for r in sig], pa.binary())], ["doc_id", "key", "n", "c1", "c2", "sig"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return rows.withColumn("key", text_key(F.col("text"))).mapInArrow(run, "doc_id long, key long, n long, c1 long, c2 long, sig binary")
+    return rows.withColumn("key", text_key(F.col("text"))).mapInArrow(run, "doc_id long, key binary, n long, c1 long, c2 long, sig binary")
 
 
 def least_matches(hashes: int = HASHES, step: int = STEP, miss: float = MISS, similarity: float = ABOVE / BELOW) -> np.ndarray:
@@ -141,68 +172,82 @@ def _rows(col: pa.Array) -> np.ndarray:
     return data.view(">u2").reshape(-1, HASHES)
 
 
-def _size_fits(a: Column, b: Column) -> Column:
-    return F.least(a, b) * BELOW >= F.greatest(a, b) * ABOVE
+def _dealt(pairs: DataFrame) -> DataFrame:
+    """node, y, block and role (0: the centre y itself) for pairs (x, y): the pairs of a centre in blocks of at most BLOCK.
+
+    Pairs are brought into ranges of (y, hash of x) and numbered within, so a centre with a third
+    of all pairs spreads like any other; what follows is dealt out by block, never by centre.
+    """
+    own = pairs.repartitionByRange(F.col("y"), F.xxhash64("x")).sortWithinPartitions("y")
+    members = stored(own.select(F.col("x").alias("node"), "y", F.floor(F.monotonically_increasing_id() / BLOCK).alias("block")))
+    centres = members.select(F.col("y").alias("node"), "y", "block").distinct()
+    return members.withColumn("role", F.lit(1)).unionByName(centres.withColumn("role", F.lit(0)))
+
+
+def _by_block(rows: DataFrame) -> DataFrame:
+    """A block's rows in one task, each centre before its members."""
+    return rows.repartition("block").sortWithinPartitions("block", "y", "role", "node")
 
 
 def _pruned(pairs: DataFrame, reps: DataFrame) -> DataFrame:
-    """Pairs (x, y) whose signatures pass the sequential comparison."""
-    own = reps.select("doc_id", "sig", "n")
-    p = pairs.join(own.select(F.col("doc_id").alias("x"), F.col("sig").alias("sx"), F.col("n").alias("nx")).hint("merge"), "x")
-    p = p.join(own.select(F.col("doc_id").alias("y"), F.col("sig").alias("sy"), F.col("n").alias("ny")).hint("merge"), "y").filter(_size_fits(F.col("nx"), F.col("ny")))
+    """Pairs (x, y) whose sizes allow a link and whose signatures pass the sequential comparison."""
+    rows = _by_block(_dealt(pairs).join(reps.select("node", "sig", "n").hint("merge"), "node").select("block", "y", "role", "node", "sig", "n"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sig, n = np.zeros((1, HASHES), ">u2"), np.zeros(1, np.int64)  # of the last centre so far
         for b in batches:
-            stay = pa.array(survivors(_rows(b.column("sx")), _rows(b.column("sy"))))
-            yield pa.RecordBatch.from_arrays([b.column("x").take(stay), b.column("y").take(stay)], ["x", "y"])
+            role = np.asarray(b.column("role"))
+            sig, n = np.concatenate([sig[-1:], _rows(b.column("sig"))]), np.concatenate([n[-1:], np.asarray(b.column("n"))])
+            centre = np.maximum.accumulate(np.where(role == 0, np.arange(1, len(role) + 1), 0))
+            at = np.flatnonzero(role == 1)
+            low, high = np.minimum(n[at + 1], n[centre[at]]), np.maximum(n[at + 1], n[centre[at]])
+            at = at[low * BELOW >= high * ABOVE]
+            stay = pa.array(at[survivors(sig[at + 1], sig[centre[at]])])
+            yield pa.RecordBatch.from_arrays([b.column("node").take(stay), b.column("y").take(stay)], ["x", "y"])
+            if len(role):
+                sig, n = sig[centre[-1] :][:1], n[centre[-1] :][:1]
 
-    return p.select("x", "y", "sx", "sy").mapInArrow(run, "x long, y long")
+    return rows.mapInArrow(run, "x long, y long")
 
 
-def _filtered(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """Rows of docs whose doc_id may be among the ids: a bitmap of 8 million bits (1 MB, whatever the number of ids) is broadcast.
+def _texts_of(docs: DataFrame, keys: DataFrame) -> DataFrame:
+    """key and text, once each, for the keys and some others: a bitmap of 8 million bits (1 MB, whatever the number of keys) is broadcast.
 
-    It only spares the shuffle rows that can't match; a join has to follow.
+    It only spares the shuffle rows that can't match; a join by key has to follow, which needs no
+    further shuffle. Copies are put together before the shuffle, so those of one text are no hot key.
     """
     h = lambda c: F.xxhash64(c)
     part, bit = lambda c: F.pmod(h(c), F.lit(256)), lambda c: F.pmod(F.shiftright(h(c), 8), F.lit(32768))
-    maps = ids.select(part("doc_id").alias("_part"), bit("doc_id").alias("_bit")).groupBy("_part").agg(F.expr("bitmap_construct_agg(_bit)").alias("_map"))
-    x = docs.withColumn("_part", part("doc_id")).join(F.broadcast(maps), "_part")
-    place = bit("doc_id")
+    maps = keys.select(part("key").alias("_part"), bit("key").alias("_bit")).groupBy("_part").agg(F.expr("bitmap_construct_agg(_bit)").alias("_map"))
+    x = docs.withColumn("_part", part("key")).join(F.broadcast(maps), "_part")
+    place = bit("key")
     byte = F.conv(F.hex(F.expr("substring(_map, cast(_at as int) + 1, 1)")), 16, 10).cast("int")
     x = x.withColumn("_at", F.floor(place / 8)).withColumn("_one", F.pow(F.lit(2), place % 8).cast("int"))
-    return x.filter(byte.bitwiseAND(F.col("_one")) != 0).drop("_part", "_map", "_at", "_one")
+    return x.filter(byte.bitwiseAND(F.col("_one")) != 0).groupBy("key").agg(F.first("text").alias("text"))
 
 
-def confirmed(docs: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The stored pairs (x, y) for which 100 * intersection >= 75 * union on the full shingle sets.
+def confirmed(texts: DataFrame, reps: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The stored pairs (x, y) for which 100 * intersection >= 75 * union on the full shingle sets, first by keys, then by the words themselves.
 
-    docs: doc_id (one row of any id that the pairs name at least) and text. Pairs are grouped by y
-    in blocks of BLOCK, so a hot centre's partners spread over many tasks, each with one copy of
-    the centre's text.
+    texts: key and text of all rows; reps: node and the key of its text.
     """
-    bound_batches(docs.sparkSession)
-    blocks = pairs.groupBy("y").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
-    members = pairs.join(blocks.hint("merge"), "y").select(F.col("x").alias("doc_id"), "y", F.pmod(F.xxhash64("x"), F.col("blocks")).cast("int").alias("block"))
-    centres = blocks.select(F.col("y").alias("doc_id"), "y", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
-    wanted = stored(members.unionByName(centres))
-    texts = _filtered(docs, wanted.select("doc_id"))
-    rows = wanted.hint("merge").join(texts, "doc_id")
-    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = rows.select("y", "block", (F.col("doc_id") != F.col("y")).cast("int").alias("role"), "doc_id", "text").repartition(n, "y", "block").sortWithinPartitions("y", "block", "role", "doc_id")
+    bound_batches(texts.sparkSession)
+    wanted = stored(_dealt(pairs).join(reps.select("node", "key").hint("merge"), "node"))
+    rows = _by_block(wanted.hint("merge").join(_texts_of(texts, wanted.select("key")), "key").select("block", "y", "role", "node", "text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, centre = None, np.zeros(0, np.uint64)
+        now, keys, centre = None, np.zeros(0, np.uint64), b""
         for whole in batches:
             for b in by_bytes(whole, "text", SLICE):
                 xs, ys = [], []
-                for y, k, role, x, s in zip(*(b.column(c).to_pylist() for c in ("y", "block", "role", "doc_id")), shingles(*utf8(b.column("text"))), strict=True):
+                off, data = utf8(b.column("text"))
+                for k, (block, y, role, x, s) in enumerate(zip(*(b.column(c).to_pylist() for c in ("block", "y", "role", "node")), shingles(off, data), strict=True)):
                     if role == 0:
-                        now, centre = (y, k), s
-                    elif now == (y, k) and len(s) and len(centre):
-                        at = np.minimum(np.searchsorted(centre, s), len(centre) - 1)
-                        both = int((centre[at] == s).sum())
-                        if BELOW * both >= ABOVE * (len(s) + len(centre) - both):
+                        now, keys, centre = (block, y), s, data[off[k] : off[k + 1]].tobytes()
+                    elif now == (block, y) and len(s) and len(keys):
+                        at = np.minimum(np.searchsorted(keys, s), len(keys) - 1)
+                        both = int((keys[at] == s).sum())
+                        if BELOW * both >= ABOVE * (len(s) + len(keys) - both) and exactly_linked(centre, data[off[k] : off[k + 1]].tobytes()):
                             xs.append(x)
                             ys.append(y)
                 yield pa.RecordBatch.from_arrays([pa.array(xs, pa.int64()), pa.array(ys, pa.int64())], ["u", "v"])
@@ -210,23 +255,23 @@ def confirmed(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "u long, v long")
 
 
-def _full_sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """doc_id and the shingle set (sorted 64-bit keys as bytes) of the documents named by ids."""
-    rows = ids.hint("merge").join(_filtered(docs, ids), "doc_id").select("doc_id", "text")
+def _full_sets(texts: DataFrame, nodes: DataFrame) -> DataFrame:
+    """node and the shingle set (sorted 64-bit keys as bytes) of the nodes (with their keys)."""
+    rows = nodes.hint("merge").join(_texts_of(texts, nodes.select("key")), "key").select("node", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for b in by_bytes(whole, "text", SLICE):
-                yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([s.tobytes() for s in shingles(*utf8(b.column("text")))], pa.binary())], ["doc_id", "keys"])
+                yield pa.RecordBatch.from_arrays([b.column("node"), pa.array([s.tobytes() for s in shingles(*utf8(b.column("text")))], pa.binary())], ["node", "keys"])
 
-    return rows.mapInArrow(run, "doc_id long, keys binary").dropDuplicates(["doc_id"])
+    return rows.mapInArrow(run, "node long, keys binary")
 
 
 class _Side:
     """Members of a tile: ids, components, signatures and full sets."""
 
     def __init__(self, parts: list[pa.RecordBatch]) -> None:
-        self.id, self.comp = (np.concatenate([np.asarray(p.column(c)) for p in parts]) for c in ("doc_id", "comp"))
+        self.id, self.comp = (np.concatenate([np.asarray(p.column(c)) for p in parts]) for c in ("node", "comp"))
         self.sig = np.concatenate([_rows(p.column("sig")) for p in parts])
         data = [utf8(p.column("keys")) for p in parts]
         self.n = np.concatenate([np.diff(off) for off, _ in data]) // 8
@@ -279,7 +324,7 @@ def _tile_links(a: _Side, b: _Side) -> list[tuple[int, int]]:
     return links
 
 
-def _cross(docs: DataFrame, members: DataFrame, reps: DataFrame, comps: DataFrame) -> DataFrame:
+def _cross(texts: DataFrame, members: DataFrame, reps: DataFrame, comps: DataFrame) -> DataFrame:
     """Links (u, v) that join components within buckets which hold several.
 
     In each bucket the members outside its largest component (the left side) are compared with
@@ -287,23 +332,22 @@ def _cross(docs: DataFrame, members: DataFrame, reps: DataFrame, comps: DataFram
     tasks. A tile gets its members' signatures and full shingle sets and returns no more links
     than it joins components.
     """
-    m = members.join(comps.withColumnRenamed("node", "doc_id").hint("merge"), "doc_id", "left").withColumn("comp", F.coalesce("component", "doc_id")).drop("component")
-    count = m.groupBy("band", "key", "comp").agg(F.count(F.lit(1)).alias("size"))
-    open_ = count.groupBy("band", "key").agg(F.sum("size").alias("all"), F.max(F.struct("size", "comp")).alias("top"), F.count(F.lit(1)).alias("comps")).filter("comps > 1 and `all` > 2")
-    open_ = open_.select("band", "key", F.col("top.comp").alias("main"), F.ceil((F.col("all") - F.col("top.size")) / TILE).cast("int").alias("lefts"), F.ceil(F.col("all") / TILE).cast("int").alias("rights"))
-    m = stored(m.join(open_.hint("merge"), ["band", "key"]))
-    sets = _full_sets(docs, m.select("doc_id").distinct())
-    m = m.join(sets.hint("merge"), "doc_id").join(reps.select("doc_id", "sig").hint("merge"), "doc_id")
-    h = F.xxhash64("doc_id")
+    m = members.join(comps.hint("merge"), "node", "left").withColumn("comp", F.coalesce("component", "node")).drop("component")
+    count = m.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("size"))
+    open_ = count.groupBy("bucket").agg(F.sum("size").alias("all"), F.max(F.struct("size", "comp")).alias("top"), F.count(F.lit(1)).alias("comps")).filter("comps > 1 and `all` > 2")
+    open_ = open_.select("bucket", F.col("top.comp").alias("main"), F.ceil((F.col("all") - F.col("top.size")) / TILE).cast("int").alias("lefts"), F.ceil(F.col("all") / TILE).cast("int").alias("rights"))
+    m = stored(m.join(open_.hint("merge"), "bucket"))
+    sets = _full_sets(texts, m.select("node").distinct().join(reps.select("node", "key").hint("merge"), "node"))
+    m = m.join(sets.join(reps.select("node", "sig").hint("merge"), "node").hint("merge"), "node")
+    h = F.xxhash64("node")
     spread = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
-    columns = ["band", "key", "i", "j", "side", "doc_id", "comp", "sig", "keys"]
+    columns = ["bucket", "i", "j", "side", "node", "comp", "sig", "keys"]
     # Each member takes its places as right side (one for each block of the left) and, outside the largest component, as left side.
     right = F.transform(spread("lefts"), lambda i: F.struct(i.alias("i"), F.pmod(h, F.col("rights")).cast("int").alias("j"), F.lit(1).alias("side")))
     left = F.transform(spread("rights"), lambda j: F.struct(F.pmod(h, F.col("lefts")).cast("int").alias("i"), j.alias("j"), F.lit(0).alias("side")))
     places = F.when(F.col("comp") == F.col("main"), right).otherwise(F.concat(right, left))
-    x = m.select("band", "key", "doc_id", "comp", "sig", "keys", F.inline(places)).select(*columns)
-    parts = int(reps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    x = x.repartition(parts, "band", "key", "i", "j").sortWithinPartitions("band", "key", "i", "j", "side", "doc_id")
+    x = m.select("bucket", "node", "comp", "sig", "keys", F.inline(places)).select(*columns)
+    x = x.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j", "side", "node")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now: tuple | None = None
@@ -318,16 +362,16 @@ def _cross(docs: DataFrame, members: DataFrame, reps: DataFrame, comps: DataFram
             sides[1].clear()
 
         for b in batches:
-            keys = list(zip(*(b.column(c).to_pylist() for c in columns[:5]), strict=True))
+            keys = list(zip(*(b.column(c).to_pylist() for c in columns[:4]), strict=True))
             at = 0
             while at < len(keys):
                 to = at
                 while to < len(keys) and keys[to] == keys[at]:
                     to += 1
-                if keys[at][:4] != now:
+                if keys[at][:3] != now:
                     yield from done()
-                    now = keys[at][:4]
-                sides[keys[at][4]].append(b.slice(at, to - at))
+                    now = keys[at][:3]
+                sides[keys[at][3]].append(b.slice(at, to - at))
                 at = to
         yield from done()
 
@@ -335,33 +379,31 @@ def _cross(docs: DataFrame, members: DataFrame, reps: DataFrame, comps: DataFram
 
 
 def grouped(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, key (of the text), n_shingles, component (names the group of near-duplicates; null without shingles), component_id and kept for every row.
-
-    Classes of equal sets are named by the least key of their texts, so rows without an id, and
-    texts that share one, are compared like any other. In the tables of the comparison that key
-    stands in the column doc_id.
-    """
-    texts = docs.select(text_key(F.col(text_col)).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    every = stored(sketch(docs, id_col, text_col))
-    classes = stored(every.filter("n > 0").groupBy("c1", "c2", "n").agg(F.min("key").alias("class"), F.min("doc_id").alias("least"), F.first("sig").alias("sig")))
-    reps = classes.select(F.col("class").alias("doc_id"), "n", "sig")
-    bands = reps.select("doc_id", F.explode(F.array(*(F.struct(F.lit(k).alias("band"), F.expr(f"substring(sig, {2 * ROWS * k + 1}, {2 * ROWS})").alias("key")) for k in range(BANDS)))).alias("b")).select("doc_id", "b.*")
-    centres = bands.groupBy("band", "key").agg(F.min("doc_id").alias("centre"), F.count(F.lit(1)).alias("many")).filter("many > 1").drop("many")
-    members = stored(bands.join(centres.hint("merge"), ["band", "key"]))
-    first = members.filter("doc_id <> centre").select(F.col("doc_id").alias("x"), F.col("centre").alias("y")).distinct()
-    links = stored(confirmed(texts, stored(_pruned(first, reps).distinct())).distinct())
+    """doc_id, key (of the text), n_shingles, component (names the group of near-duplicates; null without shingles), component_id and kept for every row."""
+    texts = docs.select(text_key(F.col(text_col)).alias("key"), F.col(text_col).cast("string").alias("text"))
+    every = stored(sketch(docs, id_col, text_col).withColumn("node", F.monotonically_increasing_id()))
+    full = every.filter("n > 0")
+    classes = stored(full.groupBy("c1", "c2", "n").agg(F.min(F.struct("node", "key", "sig")).alias("first"), F.min("doc_id").alias("least")).select("c1", "c2", "n", "first.*", "least"))
+    reps = classes.select("node", "key", "n", "sig")
+    band = lambda k: F.xxhash64(F.lit(k), F.expr(f"substring(sig, {2 * ROWS * k + 1}, {2 * ROWS})"))
+    bands = reps.select("node", F.explode(F.array(*(band(k) for k in range(BANDS)))).alias("bucket"))
+    centres = bands.groupBy("bucket").agg(F.min("node").alias("centre"), F.count(F.lit(1)).alias("many")).filter("many > 1").drop("many")
+    members = stored(bands.join(centres.hint("merge"), "bucket"))
+    first = members.filter("node <> centre").select(F.col("node").alias("x"), F.col("centre").alias("y")).distinct()
+    links = stored(confirmed(texts, reps, stored(_pruned(stored(first), reps))).distinct())
     comps = stored(components(links))
     more = stored(_cross(texts, members.drop("centre"), reps, comps).distinct())
     if not more.isEmpty():
         discard(comps)
         comps = stored(components(links.unionByName(more)))
-    own = comps.withColumnRenamed("node", "class").hint("merge").join(classes.select("class", "least"), "class")
-    named = own.join(own.groupBy("component").agg(F.min("least").alias("_least")).hint("merge"), "component").select("class", "component", "_least")
-    labels = classes.select("c1", "c2", "n", "class", "least").join(named.hint("merge"), "class", "left")
-    labels = labels.select("c1", "c2", "n", F.coalesce("component", "class").alias("component"), F.coalesce("_least", "least").alias("component_id"))
-    out = every.select("doc_id", "key", "c1", "c2", "n").join(labels.hint("merge"), ["c1", "c2", "n"], "left")
-    least = F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
-    return out.select("doc_id", "key", F.col("n").alias("n_shingles"), "component", least.alias("component_id"), least.eqNullSafe(F.col("doc_id")).alias("kept"))
+    own = comps.hint("merge").join(classes.select("node", "least"), "node")
+    named = own.join(own.groupBy("component").agg(F.min("least").alias("_least")).hint("merge"), "component").select("node", "component", "_least")
+    labels = classes.select("c1", "c2", "n", "node", "least").join(named.hint("merge"), "node", "left")
+    labels = labels.select("c1", "c2", "n", F.coalesce("component", "node").alias("component"), F.coalesce("_least", "least").alias("component_id"))
+    grouped_ = full.select("doc_id", "key", "c1", "c2", "n").join(labels.hint("merge"), ["c1", "c2", "n"]).select("doc_id", "key", F.col("n").alias("n_shingles"), "component", "component_id")
+    # Rows without words, however many, are joined with nothing.
+    bare = every.filter("n = 0").select("doc_id", "key", F.col("n").alias("n_shingles"), F.lit(None).cast("long").alias("component"), F.col("doc_id").alias("component_id"))
+    return grouped_.unionByName(bare).withColumn("kept", F.col("component_id").eqNullSafe(F.col("doc_id")))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -371,6 +413,6 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     itself included. A null or empty text, or one without words, has n_shingles 0 and is linked
     with nothing. Links are those of the texts: a row without an id takes the least id of its
     component, or null where no row of that has one; rows that share an id are in one component
-    only if their texts are.
+    only if their texts are, and then are all kept or all not.
     """
     return grouped(docs, id_col, text_col).select("doc_id", "n_shingles", "component_id", "kept")

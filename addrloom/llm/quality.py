@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pickle
 from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
@@ -11,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bound_batches, by_bytes, sums, utf8
+from .common import bound_batches, by_bytes, fitted, sums, utf8
 
 #: Labelled rows that a model is fitted on at most: those with the least hashes of their ids.
 SAMPLE = 8000
@@ -119,21 +120,26 @@ def fit(x: np.ndarray, y: np.ndarray, trees: int = TREES, depth: int = DEPTH) ->
 
 
 def labelled(docs: DataFrame, labels: DataFrame, label: str, modulus: int, held_out: int, sample: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, text and label (y) of at most `sample` rows to learn from.
+    """doc_id, text and label (y) of at most `sample` ids to learn from, one row of each.
 
     Rows with crc32(id as text) mod modulus = held_out are never among them; of the others those
-    with the least hashes are taken. An id's labels are averaged if it has several; null labels don't count.
-    Only ids and labels are sorted; the documents are joined with that bounded set.
+    with the least hashes are taken. An id's labels are averaged if it has several; null labels don't
+    count, and neither do null ids. Of several rows with one id the text of the least hash stands
+    for it, so the sample is bounded whatever repeats. Null texts are empty ones. Only ids and
+    labels are sorted; the documents are joined with that bounded set.
     """
     y = labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label).cast("double").alias("y")).dropna()
     y = y.filter(F.crc32(F.col("doc_id").cast("string")) % modulus != held_out).groupBy("doc_id").agg(F.avg("y").alias("y"))
     y = y.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    return own.join(F.broadcast(y), "doc_id")
+    return own.join(F.broadcast(y), "doc_id").groupBy("doc_id").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"), F.first("y").alias("y"))
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "quality", modulus: int = 4, held_out: int = 2, sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text") -> Forest:
-    """Fits the trees on the driver, from the statistics (not the texts) of the bounded sample."""
+    """Fits the trees in one executor task, from the statistics (not the texts) of the bounded sample (see `labelled`); the driver gets the finished trees.
+
+    Without labelled rows, or with one class only, every score is the smoothed share of that label.
+    """
     bound_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -141,10 +147,12 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", modulus: i
             x = statistics(b.column("text").to_pylist(), *utf8(b.column("text")))
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("y"), pa.array(list(x), pa.list_(pa.float64()))], ["doc_id", "y", "x"])
 
-    rows = labelled(docs, labels, label, modulus, held_out, sample, id_col, text_col).mapInArrow(run, "doc_id long, y double, x array<double>").toArrow()
-    rows = rows.sort_by("doc_id")
-    x = np.array(rows["x"].to_pylist(), float).reshape(len(rows), len(FEATURES))
-    return fit(x, np.asarray(rows["y"], float))
+    def learn(batches: Iterator[pa.RecordBatch]) -> bytes:
+        got = [(np.array(b.column("x").to_pylist(), float).reshape(-1, len(FEATURES)), np.asarray(b.column("y"), float)) for b in batches]
+        x, y = (np.concatenate(v) for v in zip((np.zeros((0, len(FEATURES))), np.zeros(0)), *got, strict=True))
+        return pickle.dumps(fit(x, y), protocol=5)
+
+    return pickle.loads(fitted(labelled(docs, labels, label, modulus, held_out, sample, id_col, text_col).mapInArrow(run, "doc_id long, y double, x array<double>"), learn))
 
 
 def text_scores(forest: Forest, col: pa.Array) -> np.ndarray:

@@ -3,8 +3,11 @@
 A text is split at spaces, which are safe boundaries for both tokenizers: neither a merge nor a
 normalisation crosses one. Distinct chunks are encoded by the library in batches; their ids are
 kept in an open-addressing table of numpy arrays, so that the rest of the work on a batch of texts
-is a few array operations. A chunk whose isolated encoding could differ from the one in its text
-(white space at its ends, which joins a run of white space) sends the whole text to the library.
+is a few array operations. Chunks of up to 15 bytes are compared as the bytes they are, longer
+ones by a dictionary of their bytes, so no two chunks are ever taken for one another. A chunk whose
+isolated encoding could differ from the one in its text (white space at its ends, which joins a
+run of white space) sends its segment to the library: a long text is cut into segments at single
+spaces between ASCII letters, so neither arrays nor library calls grow with a text's length.
 """
 
 from __future__ import annotations
@@ -17,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from . import words
 from .common import bound_batches, by_bytes, sums, utf8
 
 #: Letters, whose encoding can't depend on anything beyond the run they form, and marks that may follow.
@@ -24,14 +28,40 @@ _PLAIN = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+([.,!?;:|%$*&#]*)\Z")
 #: Slots of a worker's table (a power of two, at most half of them used), ids kept, chunks that one library call encodes.
 BITS, POOL, TOGETHER = 22, 12 << 20, 4096
 SLOTS, _SHIFT = 1 << BITS, np.uint64(64 - BITS)
-_RANDOM = np.random.Generator(np.random.PCG64(5)).integers(1, 1 << 63, 258, np.uint64) | np.uint64(1)
-_BYTE, _BASE, _MIX = _RANDOM[:256], _RANDOM[256], _RANDOM[257]
+#: Bytes of a segment from which a long text is cut; bytes of segments encoded together; bytes of long chunks kept.
+SEGMENT, GROUP, LONG_KEPT = 1 << 18, 2 << 20, 8 << 20
+#: Marks in a chunk's second number: a long chunk, whose first number counts it; a text's first chunk.
+_LONG, _HEAD = np.uint64(1 << 63), np.uint64(1 << 62)
 
+_LETTER = np.zeros(256, bool)
+_LETTER[[*range(65, 91), *range(97, 123)]] = True
 
-def _powers(base: np.uint64, n: int) -> np.ndarray:
-    out = np.full(n, base, np.uint64)
-    out[0] = 1
-    return np.multiply.accumulate(out)
+
+def segments(off: np.ndarray, data: np.ndarray, segment: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Begin and end of each segment and the first segment of each text: a text of more than `segment` bytes ends one at the first single space between ASCII letters from there on, which belongs to neither side."""
+    begin, end, first = [off[:-1]], [off[1:]], np.arange(len(off))
+    long = np.flatnonzero(np.diff(off) > segment)
+    if len(long):
+        cuts = []
+        for k in long.tolist():
+            at, to = int(off[k]), int(off[k + 1])
+            while at + segment < to:
+                low = at + segment
+                while low < to - 1:  # looked for block by block
+                    part = data[low - 1 : min(low + segment, to)]
+                    found = np.flatnonzero((part[1:-1] == 32) & _LETTER[part[:-2]] & _LETTER[part[2:]])
+                    if len(found):
+                        cuts.append(low + int(found[0]))
+                        break
+                    low += segment - 1
+                if low >= to - 1:
+                    break
+                at = cuts[-1] + 1
+        at = np.array(cuts, np.int64)
+        first = first + np.searchsorted(at, off)
+        begin.append(at + 1)
+        end.append(at)
+    return np.sort(np.concatenate(begin), kind="stable"), np.sort(np.concatenate(end), kind="stable"), first
 
 
 class ChunkEncoder:
@@ -44,14 +74,15 @@ class ChunkEncoder:
         self.lib = Tokenizer.from_file(path)
         # A tokenizer that keeps white space gets each chunk with the space before it.
         self.lead = " " if self.lib.encode("a  b", add_special_tokens=False).ids != self.lib.encode("a b", add_special_tokens=False).ids else ""
-        self.up = self.down = np.ones(1, np.uint64)
         self.reset()
 
     def reset(self) -> None:
-        self.key = np.zeros(SLOTS, np.uint64)
+        self.low, self.high = np.zeros(SLOTS, np.uint64), np.zeros(SLOTS, np.uint64)  # high is 0 where a slot is free
         self.at = np.zeros(SLOTS, np.int32)
         self.n = np.zeros(SLOTS, np.int32)  # -1: not to be encoded alone
         self.pool, self.used, self.kept = np.zeros(1 << 16, np.uint32), 0, 0
+        self.long: dict[bytes, int] = {}
+        self.long_bytes = 0
 
     def _lib(self, texts: list[str]) -> list[list[int]]:
         out: list[list[int]] = []
@@ -69,40 +100,41 @@ class ChunkEncoder:
         ids = self._lib([self.lead + c for c in chunks])
         return np.array([x for y in ids for x in y], np.uint32), np.array([len(x) for x in ids])
 
-    def _put(self, keys: np.ndarray, ids: np.ndarray, lengths: np.ndarray) -> None:
+    def _put(self, low: np.ndarray, high: np.ndarray, ids: np.ndarray, lengths: np.ndarray) -> None:
         need = self.used + len(ids)
         if need > len(self.pool):
             self.pool = np.concatenate([self.pool, np.zeros(max(need, 2 * len(self.pool)) - len(self.pool), np.uint32)])
         self.pool[self.used : need] = ids
         at = self.used + np.cumsum(np.maximum(lengths, 0)) - np.maximum(lengths, 0)
-        self.used, self.kept = need, self.kept + len(keys)
-        slot = (keys >> _SHIFT).astype(np.int64)
-        todo = np.arange(len(keys))
+        self.used, self.kept = need, self.kept + len(low)
+        slot = (words.mixed(low, high) >> _SHIFT).astype(np.int64)
+        todo = np.arange(len(low))
         while len(todo):
             s = slot[todo]
-            free = self.key[s] == 0
-            self.key[s[free]] = keys[todo[free]]  # of several for one slot the last stays
-            won = self.key[s] == keys[todo]
-            w = todo[won]
-            self.at[slot[w]], self.n[slot[w]] = at[w], lengths[w]
-            todo = todo[~won]
+            free = todo[self.high[s] == 0]
+            _, one = np.unique(slot[free], return_index=True)  # of several for one slot one is taken
+            w = free[one]
+            at_slot = slot[w]
+            self.low[at_slot], self.high[at_slot], self.at[at_slot], self.n[at_slot] = low[w], high[w], at[w], lengths[w]
+            left = np.ones(len(low), bool)
+            left[w] = False
+            todo = todo[left[todo]]
             slot[todo] = (slot[todo] + 1) % SLOTS
 
-    def _find(self, keys: np.ndarray) -> np.ndarray:
-        """Slots of keys; -1 where a key is not in the table."""
-        slot = (keys >> _SHIFT).astype(np.int64)
-        there = self.key[slot]
-        todo = np.flatnonzero(there != keys)
-        slot[todo[there[todo] == 0]] = -1
-        todo = todo[there[todo] != 0]
+    def _find(self, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        """Slots of chunks; -1 where a chunk is not in the table."""
+        slot = (words.mixed(low, high) >> _SHIFT).astype(np.int64)
+        todo = np.flatnonzero((self.high[slot] != high) | (self.low[slot] != low))
         while len(todo):
+            free = self.high[slot[todo]] == 0
+            slot[todo[free]] = -1
+            todo = todo[~free]
             slot[todo] = (slot[todo] + 1) % SLOTS
-            there = self.key[slot[todo]]
-            slot[todo[there == 0]] = -1
-            todo = todo[(there != 0) & (there != keys[todo])]
+            there = slot[todo]
+            todo = todo[(self.high[there] != high[todo]) | (self.low[there] != low[todo])]
         return slot
 
-    def _learn(self, keys: np.ndarray, chunks: list[str]) -> None:
+    def _learn(self, low: np.ndarray, high: np.ndarray, chunks: list[str]) -> None:
         plain, runs, other = [], [], []
         for k, c in enumerate(chunks):
             if m := _PLAIN.match(c):
@@ -112,54 +144,74 @@ class ChunkEncoder:
                 other.append(k)
         for k in range(0, len(plain), TOGETHER):
             part = plain[k : k + TOGETHER]
-            self._put(keys[part], *self._plain([chunks[j] for j in part], np.array(runs[k : k + TOGETHER])))
+            self._put(low[part], high[part], *self._plain([chunks[j] for j in part], np.array(runs[k : k + TOGETHER])))
         if other:
             ids = self._lib([self.lead + chunks[j] for j in other])
             alone = [not self.lead or bool(c) and not c[0].isspace() and not c[-1].isspace() for c in (chunks[j] for j in other)]
-            ids = [x if ok else [] for x, ok in zip(ids, alone, strict=True)]
-            self._put(keys[other], np.array([x for y in ids for x in y], np.uint32), np.array([len(x) if ok else -1 for x, ok in zip(ids, alone, strict=True)]))
+            self._keep(low[other], high[other], ids, alone)
+
+    def _keep(self, low: np.ndarray, high: np.ndarray, ids: list[list[int]], alone: list[bool]) -> None:
+        self._put(low, high, np.array([x for y, ok in zip(ids, alone, strict=True) if ok for x in y], np.uint32), np.array([len(x) if ok else -1 for x, ok in zip(ids, alone, strict=True)]))
+
+    def _names(self, data: np.ndarray, begin: np.ndarray, end: np.ndarray, heads: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The two numbers that name each chunk; heads: the texts' first chunks."""
+        low, high, long = words.packed(data, begin, end)
+        for k in long.tolist():
+            raw = data[begin[k] : end[k]].tobytes()
+            if (number := self.long.get(raw)) is None:
+                number = self.long[raw] = len(self.long)
+                self.long_bytes += len(raw)
+            low[k], high[k] = number, _LONG
+        if self.lead:  # a text's first chunk has no space before it
+            high[heads] ^= _HEAD
+        return low, high
 
     def encode(self, off: np.ndarray, data: np.ndarray, with_ids: bool = True) -> tuple[np.ndarray, np.ndarray]:
         """Lengths of the texts that data holds between the offsets, and all their ids (none without with_ids)."""
-        texts = len(off) - 1
-        if not texts:
+        if len(off) < 2:
             return np.zeros(0, np.int64), np.zeros(0, np.uint32)
-        if self.kept > SLOTS // 2 or self.used > POOL:
+        begin, end, first = segments(off, data, SEGMENT)
+        head = np.zeros(len(begin), bool)
+        head[first[:-1]] = True
+        lengths, ids, at = [], [], 0
+        while at < len(begin):
+            to = max(at + 1, int(np.searchsorted(end, begin[at] + GROUP, "right")))
+            n, x = self._encode(begin[at:to] - begin[at], end[at:to] - begin[at], data[begin[at] : end[to - 1]], head[at:to], with_ids)
+            lengths.append(n)
+            ids.append(x)
+            at = to
+        return sums(np.concatenate(lengths), first), np.concatenate(ids)
+
+    def _encode(self, seg_begin: np.ndarray, seg_end: np.ndarray, data: np.ndarray, head: np.ndarray, with_ids: bool) -> tuple[np.ndarray, np.ndarray]:
+        """The same for segments; between two of one text there is a space."""
+        if self.kept > SLOTS // 2 or self.used > POOL or self.long_bytes > LONG_KEPT:
             self.reset()
-        if len(self.up) <= len(data) + 1:
-            self.up, self.down = _powers(_BASE, len(data) + 2), _powers(np.uint64(pow(int(_BASE), -1, 1 << 64)), len(data) + 2)
         space = np.flatnonzero(data == 32)
-        begin, end = np.sort(np.concatenate([off[:-1], space + 1])), np.sort(np.concatenate([space, off[1:]]))
-        first = np.searchsorted(space, off) + np.arange(texts + 1)  # of each text, its first chunk's number
-        total = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(_BYTE[data] * self.up[: len(data)], out=total[1:])
-        keys = ((total[end] - total[begin]) * self.down[begin] + (end - begin).astype(np.uint64) * _BASE) * _MIX
-        keys ^= keys >> np.uint64(29)
-        keys = keys * _BASE | np.uint64(1)
-        if self.lead:  # a text's first chunk has no space before it
-            keys[first[:-1]] ^= np.uint64(2)
-        slot = self._find(keys)
+        space = space[space < seg_end[np.searchsorted(seg_begin, space, "right") - 1]]
+        begin, end = np.sort(np.concatenate([seg_begin, space + 1])), np.sort(np.concatenate([space, seg_end]))
+        first = np.searchsorted(space, np.append(seg_begin, len(data) + 1)) + np.arange(len(seg_begin) + 1)  # of each segment, its first chunk's number
+        heads = first[:-1][head]
+        low, high = self._names(data, begin, end, heads)
+        slot = self._find(low, high)
         if len(miss := np.flatnonzero(slot < 0)):
-            new, where = np.unique(keys[miss], return_index=True)
-            at = miss[where]
-            if self.kept + len(new) > SLOTS * 3 // 4:  # no batch has as many unless its texts are all but free of repetition
+            if self.kept + len(miss) > SLOTS * 3 // 4:  # no batch has as many unless its texts are all but free of repetition
                 self.reset()
-                new, at = np.unique(keys, return_index=True)
+                low, high = self._names(data, begin, end, heads)
+                miss = np.arange(len(low))
+            order = miss[np.lexsort((low[miss], high[miss]))]
+            new = np.append(True, (low[order[1:]] != low[order[:-1]]) | (high[order[1:]] != high[order[:-1]]))
+            at = np.sort(order[new])
             raw = data.tobytes()
             chunks = [raw[b:e].decode("utf-8", "replace") for b, e in zip(begin[at].tolist(), end[at].tolist(), strict=True)]
-            head = np.zeros(len(keys), bool)
+            is_head = np.zeros(len(low), bool)
             if self.lead:
-                head[first[:-1]] = True
-            head = head[at]
-            self._learn(new[~head], [c for c, h in zip(chunks, head.tolist(), strict=True) if not h])
-            if head.any():
-                own = [c for c, h in zip(chunks, head.tolist(), strict=True) if h]
-                ids = self._lib(own)
-                bad = [not c or c[-1].isspace() for c in own]
-                self._put(new[head], np.array([x for y, b in zip(ids, bad, strict=True) for x in y * (not b)], np.uint32), np.array([-1 if b else len(x) for x, b in zip(ids, bad, strict=True)]))
-            slot[miss] = self._find(keys[miss])
-            if (slot < 0).any() or len(at) > len(miss):
-                slot = self._find(keys)
+                is_head[heads] = True
+            is_head = is_head[at]
+            self._learn(low[at[~is_head]], high[at[~is_head]], [c for c, h in zip(chunks, is_head.tolist(), strict=True) if not h])
+            if is_head.any():
+                own = [c for c, h in zip(chunks, is_head.tolist(), strict=True) if h]
+                self._keep(low[at[is_head]], high[at[is_head]], self._lib(own), [bool(c) and not c[-1].isspace() for c in own])
+            slot = self._find(low, high)
         n = self.n[slot].astype(np.int64)
         odd = np.flatnonzero(sums(n < 0, first)) if (n < 0).any() else []
         n = np.maximum(n, 0)
@@ -169,9 +221,8 @@ class ChunkEncoder:
             take = np.repeat(self.at[slot] - (np.cumsum(n) - n), n)
             take += np.arange(len(take))
             ids = self.pool[take]
-        if len(odd):  # these texts go to the library as they are
-            raw = data.tobytes()
-            whole = self._lib([raw[off[k] : off[k + 1]].decode("utf-8", "replace") for k in odd])
+        if len(odd):  # these segments go to the library as they are
+            whole = self._lib([("" if head[k] else self.lead) + data[seg_begin[k] : seg_end[k]].tobytes().decode("utf-8", "replace") for k in odd])
             parts, old = np.split(ids, np.cumsum(lengths)[:-1]) if with_ids else [], lengths
             lengths = old.copy()
             for k, x in zip(odd, whole, strict=True):

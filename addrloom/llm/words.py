@@ -1,22 +1,18 @@
-"""Words of many texts at once, as spans of their bytes and 64-bit keys."""
+"""Words of many texts at once, as spans of their bytes; and byte strings as exact pairs of numbers, or as 64-bit keys."""
 
 from __future__ import annotations
 
-import numpy as np
-
-_RANDOM = np.random.Generator(np.random.PCG64(17)).integers(1, 1 << 63, 259, np.uint64) | np.uint64(1)
-_BYTE, _BASE, _MIX, _LAST = _RANDOM[:256], _RANDOM[256], _RANDOM[257], _RANDOM[258]
-_INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
-_POWERS: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+import hashlib
 
+import numpy as np
 
-def _powers(n: int) -> list[np.ndarray]:
-    if len(_POWERS[0]) < n:
-        for k, base in enumerate((_BASE, _INVERSE)):
-            x = np.full(n + n // 4, base, np.uint64)
-            x[0] = 1
-            _POWERS[k] = np.multiply.accumulate(x)
-    return _POWERS
+_RANDOM = np.random.Generator(np.random.PCG64(17)).integers(1, 1 << 63, 4, np.uint64) | np.uint64(1)
+_MIX, _LAST, _HIGH, _LONG = _RANDOM
+#: Bytes that `packed` holds exactly, and the masks that keep the first k of eight bytes.
+EXACT = 15
+_MASK = np.array([(1 << 8 * k) - 1 for k in range(8)] + [(1 << 64) - 1], np.uint64)
+#: Bytes whose words are looked at together.
+SLICE = 1 << 20
 
 
 def spans(inside: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -42,12 +38,48 @@ def finish(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
-def prefix_hash(data: np.ndarray) -> np.ndarray:
-    total = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_BYTE[data] * _powers(len(data) + 2)[0][: len(data)], out=total[1:])
-    return total
+def packed(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Two numbers for each byte string between begin and end, and the places of the strings of more than EXACT bytes.
+
+    The first holds bytes 0 to 7, the second bytes 8 to 14 and, in its top byte, the length plus
+    one; so up to EXACT bytes equal numbers are equal strings. For longer strings they mean nothing.
+    """
+    padded = np.concatenate([data, np.zeros(16, np.uint8)])
+    eight = np.ndarray(len(data) + 9, "<u8", padded, strides=(1,))  # the eight bytes from each place on
+    n = end - begin
+    low = eight[begin] & _MASK[np.minimum(n, 8)]
+    high = eight[begin + np.minimum(n, 8)] & _MASK[np.clip(n - 8, 0, 7)] | np.minimum(n + 1, 255).astype(np.uint64) << np.uint64(56)
+    return low, high, np.flatnonzero(n > EXACT)
+
+
+def mixed(low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    return finish(finish(low) + high * _HIGH)
+
+
+def keys(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit keys of the byte strings between begin and end, equal for equal strings wherever they stand: mixed from all their bytes, or, of more than EXACT bytes, a BLAKE2 digest."""
+    low, high, long = packed(data, begin, end)
+    out = mixed(low, high)
+    for k in long.tolist():
+        out[k] = int.from_bytes(hashlib.blake2b(data[begin[k] : end[k]], digest_size=8).digest(), "little")
+    return out
 
 
-def keys(total: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """Keys of the byte strings between begin and end, equal for equal strings wherever they stand."""
-    return finish((total[end] - total[begin]) * _powers(len(total) + 1)[1][begin] + (end - begin).astype(np.uint64) * _BASE)
+def word_keys(inside: np.ndarray, data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The keys of all words (runs of bytes for which inside is true) of the texts in data, and each offset's first word; in slices of about SLICE bytes, cut between words."""
+    parts, at, first = [], 0, np.zeros(len(off), np.int64)
+    while at < len(data) or not parts:
+        to = len(data)
+        if to - at > SLICE:
+            gaps = np.flatnonzero(~inside[data[at + SLICE :][: 1 << 16]])
+            step = 1 << 16
+            while not len(gaps) and at + SLICE + step < len(data):
+                gaps = np.flatnonzero(~inside[data[at + SLICE + step :][: 1 << 16]]) + step
+                step += 1 << 16
+            to = at + SLICE + int(gaps[0]) if len(gaps) else len(data)
+        own = np.clip(off, at, to) - at
+        begin, end, number = spans(inside[data[at:to]], own)
+        first[off >= at] = (number + sum(map(len, parts)))[off >= at]
+        parts.append(keys(data[at:to], begin, end))
+        at = to
+    return np.concatenate(parts), first

@@ -62,6 +62,32 @@ def test_chunks_encode_as_the_library(name, texts):
     assert got == [ids_of(name, t) for t in texts]
 
 
+def thue_morse(n, a, b):
+    """The word over two letters and its complement, which every power-of-two polynomial takes for one."""
+    x = [0]
+    while len(x) < n:
+        x += [1 - v for v in x]
+    return ["".join((a, b)[v] for v in x[:n]), "".join((b, a)[v] for v in x[:n])]
+
+
+@pytest.mark.parametrize("name", [WORD_BPE, BYTE_BPE])
+def test_chunks_are_known_by_their_bytes(name):
+    texts = [t for n in (1024, 2048, 4096) for t in thue_morse(n, "a", "q")] + ["x" * 15, "x" * 16, "x" * 15 + "y", "x" * 14 + "\0", "x" * 14]
+    n, ids = tokens.ChunkEncoder(tokens.tokenizer_path(name)).encode(*utf8(pa.array(texts)))
+    assert [x.tolist() for x in np.split(ids, np.cumsum(n)[:-1])] == [ids_of(name, t) for t in texts]
+
+
+@pytest.mark.parametrize("name", [WORD_BPE, BYTE_BPE])
+def test_long_texts_are_cut_where_it_is_safe(name, monkeypatch):
+    monkeypatch.setattr(tokens, "SEGMENT", 40)
+    monkeypatch.setattr(tokens, "GROUP", 200)
+    texts = [prose(400, 3), "a  b " * 60 + "c d " * 60, "é" * 300, "", "don't 's a\n\nb  c" * 30, "x y" * 90]
+    n, ids = tokens.ChunkEncoder(tokens.tokenizer_path(name)).encode(*utf8(pa.array(texts)))
+    assert [x.tolist() for x in np.split(ids, np.cumsum(n)[:-1])] == [ids_of(name, t) for t in texts]
+    begin, end, first = tokens.segments(*utf8(pa.array(texts)), 40)
+    assert first[-1] == len(begin) > 40 and (end >= begin).all()
+
+
 def test_table_survives_being_full(monkeypatch):
     monkeypatch.setattr(tokens, "POOL", 50)
     tool = tokens.ChunkEncoder(tokens.tokenizer_path(BYTE_BPE))
@@ -301,7 +327,7 @@ def test_network_gradients():
     mask[4:, 2] = mask[:, 3] = 0
     raw *= mask[:, :, None]
     y = np.array([1, 0, 1, 0, 1.0])
-    _, g = toxicity.gradients(w, raw, mask, y)
+    _, g, of_inputs = toxicity.gradients(w, raw, mask, y)
     for k in w:
         i = tuple(r.integers(0, n) for n in w[k].shape)
         loss = []
@@ -310,6 +336,77 @@ def test_network_gradients():
             v[k][i] += e
             loss.append(toxicity.gradients(v, raw, mask, y)[0])
         assert g[k][i] == pytest.approx((loss[0] - loss[1]) / 2e-4, abs=1e-5)
+    for i in ((0, 0, 1), (3, 1, 7), (5, 4, toxicity.INPUTS - 1)):
+        loss = []
+        for e in (1e-4, -1e-4):
+            v = raw.copy()
+            v[i] += e
+            loss.append(toxicity.gradients(w, v, mask, y)[0])
+        assert of_inputs[i] == pytest.approx((loss[0] - loss[1]) / 2e-4, abs=1e-5)
+
+
+def small_network(seed=1):
+    """A model with random weights and embeddings for the words of TEXTS."""
+    r = np.random.default_rng(seed)
+    _, _, units = toxicity.read(*utf8(pa.array([t or "" for t in TEXTS])))
+    key = np.unique(units.key)
+    own = np.where(r.random(len(key)) < 0.7, np.arange(len(key)) + toxicity.KINDS, -1).astype(np.int32)
+    embedding = r.normal(0, 1, (len(key) + toxicity.KINDS, toxicity.SIZE)).astype(np.float32)
+    return toxicity.Model(toxicity.fresh(seed), toxicity.Vocabulary(key, r.normal(0, 1, len(key)).astype(np.float32), own), embedding, 1.3, -0.4)
+
+
+def plain_score(m, text):
+    """The score of one text, word by word and window by window."""
+    import math
+    import re
+
+    low = bytes(c + 32 if 65 <= c <= 90 else c for c in toxicity.lowered(np.frombuffer((text or "").encode(), np.uint8)).tobytes()).decode()
+    found = re.findall(r"[0-9A-Za-z\u0080-\U0010ffff]+", low)
+    place = {int(k): j for j, k in enumerate(m.vocabulary.key)}
+
+    def one(piece, kind, plus):
+        raw = np.frombuffer(piece.encode(), np.uint8)
+        k = int((toxicity.words.keys(raw, np.array([0]), np.array([len(raw)])) + np.uint64(plus))[0])
+        j = place.get(k)
+        row = kind if j is None or m.vocabulary.own[j] < 0 else m.vocabulary.own[j]
+        return [0.0 if j is None else float(m.vocabulary.value[j]), *m.embedding[row].astype(float)]
+
+    def vector(word):
+        x = one(word, 0, 0) + one(word[:3], 1, 3) + one(word[:4], 2, 4) + one(word[:5], 3, 5)
+        grams = [one(word[k : k + 3], 4, 9) for k in range(len(word) - 2)]
+        return np.array(x + ([max(g[0] for g in grams), *np.mean([g[1:] for g in grams], 0)] if grams else [0.0] * (1 + toxicity.SIZE)))
+
+    w, h = m.weights, toxicity.HIDDEN
+    sig = lambda v: 1 / (1 + np.exp(-v))
+
+    def states(xs, d):
+        state, out = np.zeros(h), []
+        for x in xs if d == "f" else xs[::-1]:
+            p, u = x @ w[f"W{d}"] + w[f"c{d}"], state @ w[f"U{d}"]
+            z, r = sig(p[:h] + u[:h]), sig(p[h : 2 * h] + u[h : 2 * h])
+            state = (1 - z) * state + z * np.tanh(p[2 * h :] + r * u[2 * h :])
+            out.append(state)
+        return out if d == "f" else out[::-1]
+
+    xs, best = [vector(x) for x in found], -math.inf
+    for a in range(0, max(1, len(xs) - (toxicity.WINDOW - toxicity.STRIDE)), toxicity.STRIDE):
+        win = xs[a : a + toxicity.WINDOW]
+        logit = float(w["b"][0])
+        if win:
+            hs = np.concatenate([states(win, "f"), states(win, "b")], 1)
+            e = np.exp(np.tanh(hs @ w["A"]) @ w["a"])
+            logit += float((e / e.sum()) @ hs @ w["o"])
+        best = max(best, logit)
+    return float(sig(m.scale * best + m.shift))
+
+
+def test_toxicity_scores_equal_a_plain_walk_over_all_windows(monkeypatch):
+    m = small_network()
+    texts = [*TEXTS, prose(300, 44), *thue_morse(2048, "a", "q"), "ÀÉß × Ünder"]
+    want = [plain_score(m, t) for t in texts]
+    assert m.scores(pa.array(texts)) == pytest.approx(want, abs=1e-5)
+    monkeypatch.setattr(toxicity, "TOGETHER", 64)  # long texts in pieces
+    assert m.scores(pa.array(texts)) == pytest.approx(want, abs=1e-5)
 
 
 def test_windows_cover_all_words():
@@ -338,6 +435,9 @@ def test_toxicity_held_out_and_edges(spark, docs, nothing):
     s = model.scores(pa.array([LONG, late, "", None, "..."]))
     assert s[1] >= 0.7 > s[0] and s[2] == s[3] == s[4] < 0.7
     assert len(quality.score_documents(docs, model.scores, 3, 1).collect()) == len(ROWS)
+    assert (model.vocabulary.own >= 0).any() and len(model.embedding) > toxicity.KINDS
+    again = toxicity.train(df.unionByName(df).repartition(5), spark.createDataFrame([(k, int(k % 4 == 0)) for k in range(400)], "doc_id long, toxic int"))
+    assert (again.embedding == model.embedding).all()  # repeated rows count once
     none = toxicity.train(nothing, spark.createDataFrame([], "doc_id long, toxic int"))
     assert quality.score_documents(nothing, none.scores, 3, 1).count() == 0
 
@@ -381,6 +481,33 @@ def test_near_duplicates_equal_brute_force(spark, monkeypatch, tile):
     assert got == brute_groups(rows)
 
 
+def test_links_are_those_of_the_words(spark, monkeypatch):
+    long = thue_morse(1024, "a", "q")
+    rows = [(k, t) for k, t in enumerate([*long, " ".join([long[0], *prose(40, 5).split()]), " ".join([long[1], *prose(40, 5).split()]), " ".join(long), " ".join(long[::-1])])]
+    got = {x.doc_id: (x.n_shingles, x.component_id) for x in neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == brute_groups(rows)
+    r = random.Random(12)
+    base = prose(90, 6).split()
+    for tuples in (1 << 21, 0):
+        monkeypatch.setattr(neardup, "TUPLES", tuples)
+        for n in (0, 1, 4, 5, 90):
+            for changes in (0, 1, 2, 3, 6):
+                v = base[:n]
+                for _ in range(changes if n else 0):
+                    v[r.randrange(n)] = "other"
+                a, b = " ".join(base[:n]), "  ".join(v).upper()
+                assert neardup.exactly_linked(a.encode(), b.encode()) == (len({g for _, g in brute_groups([(1, a), (2, b)]).values()}) == 1 and n > 0), (n, changes)
+
+
+def test_a_hot_centre_is_dealt_in_blocks(spark):
+    pairs = spark.createDataFrame([(k, 1) for k in range(2, 700)] + [(k, k - 1) for k in range(900, 950)], "x long, y long")
+    got = neardup._dealt(pairs)
+    rows = got.collect()
+    assert sorted((r.node, r.y) for r in rows if r.role) == sorted(map(tuple, pairs.collect()))
+    assert max(sum(r.block == b and r.role for r in rows) for b in {r.block for r in rows}) <= neardup.BLOCK
+    assert {(r.y, r.block) for r in rows if r.role} == {(r.y, r.block) for r in rows if not r.role and r.node == r.y}
+
+
 def test_near_duplicates_edges(docs, nothing):
     rows = neardup.near_duplicates(docs).collect()
     assert len(rows) == len(ROWS) and all(r.kept == (r.component_id == r.doc_id) for r in rows)
