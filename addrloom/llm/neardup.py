@@ -34,6 +34,8 @@ HASHES, ROWS, STEP, MISS = 128, 4, 16, 1e-6
 BANDS = HASHES // ROWS
 #: Members that are verified against one copy of a centre's text; members of a bucket that a tile holds on either side.
 BLOCK, TILE = 64, 256
+#: Parts of a component whose least ids are found apart.
+PARTS = 256
 #: Bytes of text whose shingles are made at once.
 SLICE = 1 << 20
 
@@ -396,8 +398,11 @@ def grouped(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     if not more.isEmpty():
         discard(comps)
         comps = stored(components(links.unionByName(more)))
-    own = comps.hint("merge").join(classes.select("node", "least"), "node")
-    named = own.join(own.groupBy("component").agg(F.min("least").alias("_least")).hint("merge"), "component").select("node", "component", "_least")
+    # The least id of a component, of any size: by parts of it, then of the parts, then back to the parts.
+    own = stored(comps.hint("merge").join(classes.select("node", "least"), "node").withColumn("part", F.pmod(F.xxhash64("node"), F.lit(PARTS))))
+    parts = own.groupBy("component", "part").agg(F.min("least").alias("least"))
+    parts = parts.select("component", "part").join(parts.groupBy("component").agg(F.min("least").alias("_least")).hint("merge"), "component")
+    named = own.join(parts.hint("merge"), ["component", "part"]).select("node", "component", "_least")
     labels = classes.select("c1", "c2", "n", "node", "least").join(named.hint("merge"), "node", "left")
     labels = labels.select("c1", "c2", "n", F.coalesce("component", "node").alias("component"), F.coalesce("_least", "least").alias("component_id"))
     grouped_ = full.select("doc_id", "key", "c1", "c2", "n").join(labels.hint("merge"), ["c1", "c2", "n"]).select("doc_id", "key", F.col("n").alias("n_shingles"), "component", "component_id")
