@@ -16,6 +16,8 @@ from .common import bound_batches, by_bytes, sums, utf8
 #: Bytes that a payload is padded to a multiple of, which is also the length of an ADPCM block; and what it is padded with.
 BLOCK, PAD = 192, 32
 RATE = 8000
+#: File format of the media and PCM columns: small row groups, since a cell can be large, and no dictionary for what hardly repeats.
+LAYOUT = {"compression": "zstd", "parquet__compression__codec__zstd__level": "6", "parquet__enable__dictionary": "false", "parquet__block__size": str(16 << 20)}
 
 # Fixed values of the IMA ADPCM format: step sizes follow its published table, index changes by nibble.
 # fmt: off
@@ -82,6 +84,23 @@ def doubled(pcm: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
     return out
 
 
+def pack_pcm(pcm: np.ndarray) -> bytes:
+    """Lossless storage of 16-bit samples at twice the rate: every other sample, then of those between the difference (modulo 2^16) to their neighbours' mean, which is what compresses well."""
+    even, odd = pcm[0::2], pcm[1::2]
+    after = np.append(even[1:], even[-1:]).astype(np.int32)
+    return even.astype("<i2").tobytes() + (odd.astype(np.int32) - (even + after >> 1)).astype("<i2").tobytes()
+
+
+def unpack_pcm(stored: bytes) -> np.ndarray:
+    """The samples that `pack_pcm` was given."""
+    even, rest = np.frombuffer(stored, "<i2").reshape(2, -1)
+    out = np.empty(2 * len(even), np.int16)
+    out[0::2] = even
+    after = np.append(even[1:], even[-1:]).astype(np.int32)
+    out[1::2] = rest.astype(np.int32) + (even + after >> 1)
+    return out
+
+
 def wav(payload: bytes, n_bytes: int) -> bytes:
     """Mu-law WAV: fmt (tag 7), fact, a chunk `ulen` with the unpadded length, data."""
     body = b"WAVE" + b"fmt " + struct.pack("<IHHIIHHH", 18, 7, 1, RATE, RATE, 1, 8, 0) + b"fact" + struct.pack("<II", 4, len(payload)) + b"ulen" + struct.pack("<IQ", 8, n_bytes) + b"data" + struct.pack("<I", len(payload)) + payload
@@ -123,7 +142,7 @@ def store_telephony(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def telephony_features(media: DataFrame, keep_pcm: bool = False) -> DataFrame:
-    """Reads doc_id and media back: payload digests and a feature string; with keep_pcm also `pcm`, 16-bit samples at 16 kHz.
+    """Reads doc_id and media back: payload digests and a feature string; with keep_pcm also `pcm`, 16-bit samples at 16 kHz as `pack_pcm` stores them.
 
     feature: energies of the payload as mu-law, as A-law and as IMA ADPCM blocks of 192 bytes,
     zero crossings, and the CRC of the resampled PCM; all sums are whole numbers, so equal
@@ -159,9 +178,24 @@ def telephony_features(media: DataFrame, keep_pcm: bool = False) -> DataFrame:
                     own = raw[4 * off[k] : 4 * off[k + 1]]
                     e = [(p[k] / s) ** 0.5 for p, s in zip(power[:3], (size[k], size[k], size[k] // BLOCK * ad.shape[1]), strict=True)]
                     feature = f"mu_rms={e[0]:.3f};a_rms={e[1]:.3f};adpcm_rms={e[2]:.3f};crossings={power[3][k]};pcm_crc={zlib.crc32(own):08x}"
-                    for r, v in zip(rows[1:], (n, len(data), hashlib.sha256(data).hexdigest(), zlib.crc32(data[-16:]), len(m), hashlib.sha256(m).hexdigest(), feature, own), strict=False):
+                    for r, v in zip(rows[1:], (n, len(data), hashlib.sha256(data).hexdigest(), zlib.crc32(data[-16:]), len(m), hashlib.sha256(m).hexdigest(), feature, pack_pcm(pcm[2 * off[k] : 2 * off[k + 1]]) if keep_pcm else None), strict=False):
                         r.append(v)
                 kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.binary()]
                 yield pa.RecordBatch.from_arrays([b.column("doc_id"), *(pa.array(r, t) for r, t in zip(rows[1:], kinds[1:], strict=False))], names)
 
     return media.select("doc_id", "media").mapInArrow(run, schema)
+
+
+def read_features(written: DataFrame) -> DataFrame:
+    """The digest columns of stored features, with pcm_bytes and pcm_crc32 of the samples that the stored PCM holds (null where the media is)."""
+    bound_batches(written.sparkSession)
+    own = [c for c in written.columns if c != "pcm"]
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in written.schema.fields if f.name != "pcm") + ", pcm_bytes long, pcm_crc32 long"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            pcm = [None if x is None else unpack_pcm(x) for x in b.column("pcm").to_pylist()]
+            size, crc = pa.array([None if x is None else x.nbytes for x in pcm], pa.int64()), pa.array([None if x is None else zlib.crc32(x) for x in pcm], pa.int64())
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in own), size, crc], [*own, "pcm_bytes", "pcm_crc32"])
+
+    return written.mapInArrow(run, schema)

@@ -16,7 +16,8 @@ def op1_phrase_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_telephony(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return audio.telephony_features(audio.store_telephony(table(spark, sf_dir, "documents")))
+    media = stored(audio.store_telephony(table(spark, sf_dir, "documents")), **audio.LAYOUT)
+    return audio.read_features(stored(audio.telephony_features(media, keep_pcm=True), **audio.LAYOUT))
 
 
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
