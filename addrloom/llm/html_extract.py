@@ -1,10 +1,14 @@
-"""HTML extraction: marked-up structure first, nearest-URL page differencing for what it leaves open.
+"""HTML extraction: nearest-URL page differencing, guided by a page's structure.
 
-A page is cut into lines, one per block of text. Elements that hold no article text (menus, page
-headers, footers, sidebars, notices, adverts, forms, scripts, comments...) are left out by tag,
-role, class or id. Where a page marks its article, the lines inside are its text. A page without
-such a mark is open: it is paired with the nearest page of its host by URL path, the lines of both
-are aligned by longest common subsequence, and the lines they share are deleted.
+A page is cut into lines, one per block of text, and each line is sure, open or dropped. Dropped
+are the lines of elements that hold no article text (menus, page headers, footers, sidebars,
+notices, adverts, forms, comments...), by tag, role, class or id; scripts and styles give no lines
+at all. Where a page marks its article, its paragraphs, headings, list items, quotes and cells are
+sure; what else stands in it is open: blocks of no such kind, blocks that are all link, and blocks
+with an ambiguous class. On a page without that mark all that isn't dropped is open.
+
+Every page is paired with the nearest page of its host by URL path that isn't a copy of it; the
+lines of both are aligned by longest common subsequence, and open lines that they share are deleted.
 """
 
 from __future__ import annotations
@@ -15,9 +19,11 @@ import re
 from collections.abc import Iterator
 from urllib.parse import urlsplit
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .common import bound_batches, by_bytes, stored
 
@@ -32,109 +38,177 @@ NAMES = {
     "masthead", "menu", "menus", "modal", "nav", "navbar", "navigation", "newsletter", "notice", "notices", "notification", "pager", "pagination", "paywall", "popup", "promo", "promoted", "promotion", "recommended", "related", "respond", "share", "sharing",
     "sidebar", "sidebars", "skip", "social", "sponsor", "sponsored", "subscribe", "subscription", "toolbar", "topbar", "widget", "widgets",
 }
+# Fixed words that go with such names, as in comment-list or site-footer; and names that also stand for an article's subject.
+BESIDE = {"area", "bar", "block", "body", "bottom", "box", "btn", "button", "buttons", "container", "content", "form", "group", "holder", "icons", "inline", "inner", "item", "items", "js", "left", "link", "links", "list", "main", "outer", "page", "panel", "post", "posts", "reader", "right", "row", "section", "site", "thread", "top", "user", "wrap", "wrapper"}
+AMBIGUOUS = {"banner", "banners", "comment", "consent", "copyright", "menu", "menus", "notice", "notices", "notification", "promotion", "recommended", "related", "respond", "share", "sharing", "skip", "social", "subscription", "widget", "widgets"}
 #: A block named header is the page's unless it is named after the article as well.
 HEADER, OF_ARTICLE = "header", {"article", "content", "entry", "post", "story"}
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
+#: Blocks that are sure in a marked article.
+TEXT = HEADINGS | {"p", "li", "blockquote", "pre", "td", "th", "caption", "dd", "dt", "figcaption"}
 ROLES = {"alert", "alertdialog", "banner", "complementary", "contentinfo", "dialog", "form", "menu", "menubar", "navigation", "search", "toolbar"}
+#: What a line is; and, in a tag's verdict, that its element is left alone.
+SURE, OPEN, GONE = 0, 1, 2
 
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*"|'[^']*')*+)>|<[!?/][^>]*>""", re.S)
-_ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
+_ATTRIBUTE = re.compile(r"""([^\s=/>"']+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
 _SPACE = re.compile(r"\s+")
 _WORD = re.compile(r"[a-z0-9]+")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
-def _unwanted(name: str, attributes: str, in_article: bool) -> bool:
-    if name in KEPT:
-        return name == "article" and in_article and bool(attributes) and _marked(attributes)
+def verdict(name: str, attributes: str, in_article: bool) -> int:
+    """What an element makes of the lines in it: GONE, OPEN, or SURE where it says nothing about them."""
     if name in DROPPED or name == "header" and not in_article:
-        return True
-    return bool(attributes) and _marked(attributes, not in_article and name not in HEADINGS)
-
-
-def _marked(attributes: str, page_header: bool = False) -> bool:
+        return GONE
+    if not attributes or name in KEPT and not (name == "article" and in_article):
+        return SURE
+    tokens: set[str] = set()
     for m in _ATTRIBUTE.finditer(attributes):
         what, value = m[1].lower(), (m[2] or "").strip("\"'").lower()
         if what == "hidden" or what == "aria-hidden" and value == "true" or what == "role" and value in ROLES or what == "style" and _HIDDEN.search(value):
-            return True
-        if what in ("class", "id"):
-            parts = set(_WORD.findall(value))
-            if not NAMES.isdisjoint(parts) or page_header and HEADER in parts and OF_ARTICLE.isdisjoint(parts):
-                return True
-    return False
-
-
-def lines(page: str) -> tuple[list[str], bool]:
-    """The text lines of a page, and whether they are those of marked articles. No markup, references decoded, white space single."""
-    inside: list[str] = []
-    outside: list[str] = []
+            return GONE
+        if what == "class" or what == "id" and name not in TEXT:  # the id of a paragraph or heading is made of its words
+            tokens.update(value.split())
+    if not tokens:
+        return SURE
+    parts = [set(_WORD.findall(t)) for t in tokens]
+    named = [p for p in parts if not NAMES.isdisjoint(p)]
+    every = set().union(*parts)
+    if not in_article:
+        return GONE if named or name not in HEADINGS and HEADER in every and OF_ARTICLE.isdisjoint(every) else SURE
+    if not named:
+        return SURE
+    # Inside the article: a name alone, or with words that only go with one, is clear; beside other words it may be the subject.
+    clear = [p for p in named if p <= NAMES | BESIDE]
+    if not clear or not (every <= NAMES | BESIDE) and every & NAMES <= AMBIGUOUS:
+        return OPEN
+    return GONE
+
+
+def lines(page: str) -> tuple[list[tuple[str, int]], bool]:
+    """The text lines of a page, each with what it is, and whether the page marks its article. No markup, references decoded, white space single."""
+    out: list[tuple[str, int, bool]] = []
     block: list[str] = []
-    depth = at = 0
-    article, where = False, outside
-    skip, nested = "", 0  # the element being left out, and how many of its name are open
+    depth = main_depth = at = linked = 0
+    article = False
+    holder, all_link = "", True  # the innermost block's tag, and whether the block's text so far is all link
+    skip, nested, inline, why = "", 0, False, SURE  # the element whose lines are dropped or open, and how many of its name are open
 
     def flush() -> None:
+        nonlocal all_link
         if block:
             if text := _SPACE.sub(" ", html.unescape("".join(block))).strip():
-                where.append(text)
+                kind = why if why else SURE if depth and holder in TEXT and not (all_link and holder not in HEADINGS) else OPEN
+                out.append((text, kind, depth > 0))
             block.clear()
+        all_link = True
+
+    def put(text: str) -> None:
+        nonlocal all_link
+        if skip and inline:  # a marked part of a line: left out, and the line goes on
+            return
+        block.append(text)
+        all_link = all_link and (linked > 0 or not text.strip())
 
-    main_depth = 0
     while m := _TAG.search(page, at):
-        if m.start() > at and not skip:
-            block.append(page[at : m.start()])
+        if m.start() > at:
+            put(page[at : m.start()])
         at = m.end()
         if m[2] is None:
             continue
         name, closing = m[2].lower(), bool(m[1])
-        if name in ("article", "main") and not closing and skip and skip not in ("article", "main") and not depth and not main_depth:
-            skip = ""  # what was to be left out was never closed
+        if skip and name in ("article", "main") and not closing and skip not in ("article", "main") and not depth and not main_depth:
+            flush()
+            skip, why = "", SURE  # what was to be left out was never closed
         if skip:
+            done = False
             if name == skip:
                 nested += -1 if closing else 1 if name not in ("p", "li") else 0
-                if closing and nested <= 0:
-                    skip = ""
+                done = nested <= 0 or not closing and name in ("p", "li")
             elif skip == "p" and name not in INLINE or skip == "li" and closing and name in ("ul", "ol"):
-                skip = ""
-            if skip and not (skip in ("p", "li") and name == skip and not closing):
+                done = True
+            if done:
+                if not inline:
+                    flush()
+                skip, why, inline = "", SURE, False
+                if name == m[2].lower() and closing:
+                    continue
+            elif inline or why == GONE:
+                if name in RAW and not closing:
+                    end = re.compile(rf"</{name}[\s/>]", re.I).search(page, at)
+                    at = end.start() if end else len(page)
+                elif name not in INLINE and not inline:
+                    flush()
                 continue
-            if closing:
-                continue
-            skip = ""
         if name not in INLINE:
             flush()
+            if closing:
+                holder = ""
+            elif name not in RAW and name not in VOID:
+                holder = name
+        elif name == "a":
+            linked = max(0, linked + (-1 if closing else 1))
         if closing:
             if name == "article" and depth:
                 depth -= 1
             elif name == "main" and main_depth:
                 main_depth -= 1
-            where = inside if depth else outside
             continue
         if name in RAW:
             end = re.compile(rf"</{name}[\s/>]", re.I).search(page, at)
             at = end.start() if end else len(page)
             continue
-        if name not in VOID and _unwanted(name, m[3], depth > 0):
-            if not m[3].rstrip().endswith("/"):
-                skip, nested = name, 1
-                flush()
-            continue
-        if name == "article":
+        if not skip and name not in VOID and (found := verdict(name, m[3], depth > 0)) and not m[3].rstrip().endswith("/"):
+            skip, nested, why, inline = name, 1, found, name in INLINE and found == GONE
+            if name in INLINE and found == OPEN:
+                skip, why = "", SURE
+            elif name == "a" and inline:
+                linked = max(0, linked - 1)
+            if found == GONE and name == "article":
+                continue
+        if name == "article" and why != GONE:
             depth, article = depth + 1, True
         elif name == "main":
             main_depth += 1
         elif name == "br":
-            block.append(" ")
-        where = inside if depth else outside
-    if not skip:
-        block.append(page[at:])
+            put(" ")
+    put(page[at:])
     flush()
-    return (inside, True) if article else (outside, False)
+    return [(text, GONE if article and not inside else kind) for text, kind, inside in out], article
+
+
+#: Bits of the table of a subsequence that are kept at once.
+TABLE_BITS = 1 << 27
+
+
+def _row(a: list[int], b: list[int]) -> int:
+    """Bit k is 0 where the first k + 1 of a have a longer common subsequence with b than the first k."""
+    places: dict[int, int] = {}
+    for k, x in enumerate(a):
+        places[x] = places.get(x, 0) | 1 << k
+    full = row = (1 << len(a)) - 1
+    for y in b:
+        u = row & places.get(y, 0)
+        row = ((row + u) | (row - u)) & full
+    return row
 
 
-def shared(a: list[int], b: list[int]) -> list[int]:
-    """Places in a of a longest common subsequence of a and b. One row of bits per line of b, so its cost is len(a) * len(b) / 64."""
+def shared(a: list[int], b: list[int], bits: int = TABLE_BITS) -> list[tuple[int, int]]:
+    """Places in a and b of a longest common subsequence. Rows of bits, so its cost is len(a) * len(b) / 64; where their table exceeds `bits`, b is halved and a cut where the halves' sum is largest, so memory stays bounded."""
+    head = next((k for k, (x, y) in enumerate(zip(a, b, strict=False)) if x != y), min(len(a), len(b)))
+    if head:
+        return [(k, k) for k in range(head)] + [(i + head, j + head) for i, j in shared(a[head:], b[head:], bits)]
     n = len(a)
+    if not n or not b:
+        return []
+    if n * len(b) > bits and len(b) > 1:
+        half = len(b) // 2
+        up, down = _row(a, b[:half]), _row(a[::-1], b[half:][::-1])
+        left, right = (np.cumsum(np.array([1 - (r >> k & 1) for k in range(n)]) if n < 64 else 1 - np.unpackbits(np.frombuffer(r.to_bytes(-(-n // 8), "little"), np.uint8), bitorder="little")[:n].astype(np.int64)) for r in (up, down))
+        total = np.append(0, left) + np.append(0, right)[::-1]
+        cut = int(total.argmax())
+        return shared(a[:cut], b[:half], bits) + [(i + cut, j + half) for i, j in shared(a[cut:], b[half:], bits)]
     places: dict[int, int] = {}
     for k, x in enumerate(a):
         places[x] = places.get(x, 0) | 1 << k
@@ -151,7 +225,7 @@ def shared(a: list[int], b: list[int]) -> list[int]:
         elif j > 0 and not rows[j - 1] >> k & 1:
             j -= 1
         elif a[k] == b[j]:
-            out.append(k)
+            out.append((k, j))
             k, j = k - 1, j - 1
         else:
             j -= 1
@@ -177,85 +251,130 @@ def nearness(a: str, b: str) -> tuple[int, int]:
     return k, next((i for i, (p, q) in enumerate(zip(a, b, strict=False)) if p != q), min(len(a), len(b)))
 
 
-def deletions(path: str, own: list[int], others: list[tuple[str, list[int]]], mirror: float = 0.6) -> list[int]:
-    """Places of the lines that a page shares with its nearest neighbour. A neighbour that has more than `mirror` of the page's lines is a copy of it and tells nothing."""
-    best: tuple[tuple[int, int], list[int]] | None = None
-    for other_path, other in others:
-        both = shared(own, other)
-        if len(both) <= mirror * len(own) and (best is None or nearness(path, other_path) > best[0]):
-            best = (nearness(path, other_path), both)
-    return best[1] if best else []
+def is_copy(sizes: list[int], both: list[int], mirror: float = 0.6) -> bool:
+    """Whether the shared lines hold more than `mirror` of a page's characters: menus and notices are many lines, but short ones."""
+    return sum(sizes[k] for k in both) > mirror * sum(sizes)
 
 
-PARSED = "page_id long, url string, host string, path string, text string, lines array<string>, open array<long>"
+PARSED = "page_id long, url string, host string, path string, lines array<string>, at array<int>, numbers array<long>, sizes array<int>, open array<int>"
 
 
 def parse_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """One row per page: text where its article is marked; else lines and their numbers, to be compared. No shuffle."""
+    """One row per page: the lines that aren't dropped and their places, then of all lines a number, the size (0: dropped), and the places of the open ones. No shuffle.
+
+    A null or empty page has no lines; a URL that can't be read has the host ''.
+    """
     bound_batches(pages.sparkSession)
+    kinds = [pa.string(), pa.string(), pa.list_(pa.string()), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int32())]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for b in by_bytes(whole, "html", 4 << 20):
-                hosts, paths, texts, kept, numbers = [], [], [], [], []
+                rows = []
                 for u, page in zip(b.column("url").to_pylist(), b.column("html").to_pylist(), strict=True):
-                    found, marked = lines(page or "")
-                    host, path = _address(u)
-                    hosts.append(host)
-                    paths.append(path)
-                    texts.append("\n".join(found) if marked or not found else None)
-                    kept.append(None if marked or not found else found)
-                    numbers.append([] if marked or not found else [_number(x) for x in found])
-                yield pa.RecordBatch.from_arrays([b.column("page_id"), b.column("url"), pa.array(hosts, pa.string()), pa.array(paths, pa.string()), pa.array(texts, pa.string()), pa.array(kept, pa.list_(pa.string())), pa.array(numbers, pa.list_(pa.int64()))], [x.split()[0] for x in PARSED.split(", ")])
+                    found, _ = lines(page or "")
+                    at = [k for k, (_, kind) in enumerate(found) if kind != GONE]
+                    rows.append((*_address(u), [found[k][0] for k in at], at, [_number(x) for x, _ in found], [len(x) if kind != GONE else 0 for x, kind in found], [k for k, (_, kind) in enumerate(found) if kind == OPEN]))
+                columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)] if rows else [pa.array([], t) for t in kinds]
+                yield pa.RecordBatch.from_arrays([b.column("page_id"), b.column("url"), *columns], [x.split()[0] for x in PARSED.split(", ")])
 
     rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"), F.col(html_col).cast("string").alias("html"))
     return rows.mapInArrow(run, PARSED)
 
 
-def differenced(parsed: DataFrame) -> DataFrame:
-    """host, c (hash of a page's lines) and the places of the lines that such an open page shares with its nearest page.
+#: What a page is known by when pages are compared: its lines and which of them are open.
+_CONTENT = ["numbers", "sizes", "open"]
 
-    Pages of one host with equal lines are one entry, so a copy is never a page's neighbour. The
-    entries are brought into one order, by host, path and content, over as many ranges as there
-    are shuffle partitions, so a hot host spreads like any other; neighbours in that order are
-    then joined by their rank. The driver sees one count per range.
-    """
-    spark = parsed.sparkSession
-    order = ["host", "path", "c"]
-    ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    entries = parsed.filter("lines is not null").groupBy("host", F.xxhash64("open").alias("c")).agg(F.min(F.struct("path", "open")).alias("e")).select("host", "e.path", "c", "e.open")
-    placed = stored(entries.repartitionByRange(ranges, *order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id()))
-    part, place = F.shiftright("_at", 33).cast("int"), F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
+
+def _compared(pairs: DataFrame) -> DataFrame:
+    """rank, near, copy, gone, joined for both pages (structs a and b) of each pair: how near they are, whether the other is a copy, the open lines that both share, and for b whether either is a copy."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: list[tuple] = []
+            for r in batch.to_pylist():
+                a, b = r["a"], r["b"]
+                both = shared(a["numbers"], b["numbers"])
+                near = dict(zip(("segments", "letters"), nearness(a["path"], b["path"]), strict=True))
+                sides = [(a, [i for i, _ in both]), (b, [j for _, j in both])]
+                copies = [is_copy(own["sizes"], places) for own, places in sides]
+                for (own, places), copy in zip(sides, copies, strict=True):
+                    open_ = set(own["open"])
+                    out.append((own["rank"], near, copy, [k for k in places if k in open_], own is b and any(copies)))
+            near = pa.struct([("segments", pa.int32()), ("letters", pa.int32())])
+            columns = zip(*out, strict=True) if out else [[]] * 5
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), near, pa.bool_(), pa.list_(pa.int32()), pa.bool_()), strict=True)], ["rank", "near", "copy", "gone", "joined"])
+
+    return pairs.select("a", "b").mapInArrow(run, "rank long, near struct<segments:int,letters:int>, copy boolean, gone array<int>, joined boolean")
+
+
+def _nearest(compared: DataFrame) -> DataFrame:
+    """Of each rank's comparisons the nearest with a page that isn't a copy; none if all are."""
+    return compared.filter("not copy").groupBy("rank").agg(F.max_by("gone", F.struct("near", F.negative(F.size("gone")), "gone")).alias("gone"))
+
+
+def _running(spark: SparkSession, rows: DataFrame, part: Column, value: Column) -> DataFrame:
+    """Adds _before, the sum of value over all parts before a row's own; parts are few, and the driver sees one sum for each."""
     total, before = 0, []
-    for p, n in sorted(placed.groupBy(part.alias("p")).count().collect()):
+    for p, n in sorted(tuple(r) for r in rows.groupBy(part.alias("p")).agg(F.sum(value)).collect()):
         before.append((p, total))
         total += n
-    base = spark.createDataFrame(before, "_p int, _before long")
-    ranked = placed.withColumn("_p", part).join(F.broadcast(base), "_p").select(*order, "open", (F.col("_before") + place).alias("rank"))
-    side = lambda step: ranked.select(F.struct("host", "path", "open").alias(f"_{'next' if step > 0 else 'last'}"), (F.col("rank") - step).alias("rank"))
-    rows = ranked.join(side(1).hint("merge"), "rank", "left").join(side(-1).hint("merge"), "rank", "left")
+    return rows.withColumn("_p", part.cast("long")).join(F.broadcast(spark.createDataFrame(before, "_p long, _before long")), "_p").drop("_p")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            out = []
-            for r in b.to_pylist():
-                others = [(x["path"], x["open"]) for x in (r["_last"], r["_next"]) if x and x["host"] == r["host"]]
-                out.append(deletions(r["path"], r["open"], others))
-            yield pa.RecordBatch.from_arrays([b.column("host"), b.column("c"), pa.array(out, pa.list_(pa.int32()))], ["host", "c", "gone"])
 
-    return rows.select("host", "c", "path", "open", "_last", "_next").mapInArrow(run, "host string, c long, gone array<int>").filter(F.size("gone") > 0)
+def differenced(parsed: DataFrame) -> DataFrame:
+    """host, c (hash of a page's content) and the places of the open lines that such a page shares with its nearest page.
+
+    Pages of one host with equal lines are one entry, so an exact copy is never a page's
+    neighbour. The entries are brought into one order, by host, path and content, over ranges, so
+    a hot host spreads like any other; each is compared with the next in that order. An entry
+    whose neighbours are all near copies is one of a run of such: it is compared with the last
+    entry before the run and the first after it, however long the run is. The driver sees one
+    count per range, and one per 65,536 entries.
+    """
+    spark = parsed.sparkSession
+    order = ["host", "path", "c"]
+    entries = parsed.groupBy("host", F.xxhash64("numbers", "open").alias("c")).agg(F.min(F.struct("path", *_CONTENT)).alias("e")).select("host", "c", "e.*")
+    placed = stored(entries.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id()))
+    ranked = _running(spark, placed, F.shiftright("_at", 33), F.lit(1)).select(*order, *_CONTENT, (F.col("_before") + F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))).alias("rank"))
+    side = F.struct("rank", "host", "path", *_CONTENT)
+    own, after = ranked.select("rank", side.alias("a")), ranked.select((F.col("rank") - 1).alias("rank"), side.alias("b"))
+    pairs = own.join(after.hint("merge"), "rank").filter("a.host = b.host and (size(a.open) > 0 or size(b.open) > 0)")
+    first = stored(_compared(pairs))
+    out = _nearest(first)
+    lone = ranked.filter("size(open) > 0").join(out.select("rank").hint("merge"), "rank", "left_anti").join(first.select("rank").distinct().hint("merge"), "rank", "left_semi")
+    lone = stored(lone.select("rank", "host"))
+    if not lone.isEmpty():
+        # A run ends where an entry isn't a copy of the next, nor that of it.
+        joined = first.filter("joined").select("rank", F.lit(0).alias("_start"))
+        block = F.floor(F.col("rank") / 65536)
+        starts = stored(ranked.select("rank", "host").join(joined.hint("merge"), "rank", "left").withColumn("_start", F.coalesce("_start", F.lit(1))))
+        runs = _running(spark, starts, block, F.col("_start")).withColumn("run", F.col("_before") + F.sum("_start").over(Window.partitionBy(block).orderBy("rank")))
+        runs = stored(runs.select("rank", "host", "run"))
+        ends = stored(runs.groupBy("run", "host").agg(F.min("rank").alias("begin"), F.max("rank").alias("end")))
+        mine = stored(lone.join(runs.select("rank", "run").hint("merge"), "rank"))
+        last = mine.join(ends.select((F.col("run") + 1).alias("run"), "host", F.col("end").alias("other")).hint("merge"), ["run", "host"])
+        two = last.unionByName(mine.join(ends.select((F.col("run") - 1).alias("run"), "host", F.col("begin").alias("other")).hint("merge"), ["run", "host"]))
+        a = two.join(ranked.select("rank", side.alias("a")).hint("merge"), "rank")
+        again = a.join(ranked.select(F.col("rank").alias("other"), side.alias("b")).hint("merge"), "other")
+        later = _compared(again).join(lone.select("rank").hint("merge"), "rank", "left_semi")
+        out = stored(out.unionByName(_nearest(later)))
+    return ranked.select("host", "c", "rank").join(out.hint("merge"), "rank").select("host", "c", "gone").filter(F.size("gone") > 0)
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """page_id, url, text and n_chars for every page.
 
     A null or empty page, or one without text, gives an empty text. Pages of one host with equal
-    lines give equal texts. Pages without a URL (or a host in it) count as one host.
+    lines give equal texts, whatever their ids; rows that repeat an id are rows like any other.
+    Pages without a URL (or a host in it) count as one host. Of equally near pages that with fewer
+    shared lines counts. A page that is alone on its host keeps all its open lines.
     """
     parsed = stored(parse_pages(pages, id_col, url_col, html_col))
     gone = stored(differenced(parsed))
-    marked = parsed.filter("lines is null").select("page_id", "url", F.coalesce("text", F.lit("")).alias("text"))
-    open_ = parsed.filter("lines is not null").select("page_id", "url", "host", F.xxhash64("open").alias("c"), "lines").join(gone.hint("merge"), ["host", "c"], "left")
-    kept = F.filter("lines", lambda x, k: ~F.coalesce(F.array_contains("gone", k), F.lit(False)))
-    open_ = open_.select("page_id", "url", F.array_join(kept, "\n").alias("text"))
-    return marked.unionByName(open_).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+    rows = parsed.select("page_id", "url", "host", F.xxhash64("numbers", "open").alias("c"), "lines", "at", F.size("open").alias("n"))
+    whole = rows.filter("n = 0").select("page_id", "url", F.array_join("lines", "\n").alias("text"))
+    some = rows.filter("n > 0").join(gone.hint("merge"), ["host", "c"], "left")
+    kept = F.filter("lines", lambda _, k: ~F.coalesce(F.array_contains("gone", F.element_at("at", k + 1)), F.lit(False)))
+    some = some.select("page_id", "url", F.array_join(kept, "\n").alias("text"))
+    return whole.unionByName(some).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
