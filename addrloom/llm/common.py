@@ -42,13 +42,19 @@ def bound_batches(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir; where that is unset (tests on one machine), a temporary one."""
+    """The folder that driver and executors share: spark.checkpoint.dir. Where that is unset, a temporary one, but on one machine only: elsewhere each executor would write to a disk of its own."""
     if not (base := spark.conf.get("spark.checkpoint.dir", None)):
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("spark.checkpoint.dir has to name a folder that driver and executors share")
         base = "file://" + tempfile.mkdtemp(prefix="addrloom-shared-")
         spark.conf.set("spark.checkpoint.dir", base)
     return base.rstrip("/")
 
 
+#: Paths of stored tables, oldest first.
+_STORED: list[str] = []
+
+
 def stored(df: DataFrame, **options: str) -> DataFrame:
     """Writes df as Parquet into the shared folder and reads it back: cuts lineage, survives lost executors."""
     spark = df.sparkSession
@@ -59,15 +65,32 @@ def stored(df: DataFrame, **options: str) -> DataFrame:
     writer.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._addrloom_path = path
+    _STORED.append(path)
     return out
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(p, True)
+
+
 def discard(df: DataFrame) -> None:
     """Deletes what `stored` has written for df."""
     if path := getattr(df, "_addrloom_path", None):
-        jvm = df.sparkSession._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        p.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(p, True)
+        _delete(df.sparkSession, path)
+        if path in _STORED:
+            _STORED.remove(path)
+
+
+def stored_so_far() -> int:
+    return len(_STORED)
+
+
+def discard_since(spark: SparkSession, mark: int, keep: DataFrame) -> None:
+    """Deletes the tables stored since `stored_so_far` gave mark, but for that of keep, which must not need them any more."""
+    for path in [p for p in _STORED[mark:] if p != getattr(keep, "_addrloom_path", None)]:
+        _delete(spark, path)
+        _STORED.remove(path)
 
 
 def utf8(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -119,21 +142,36 @@ def fitted(rows: DataFrame, fit: Callable[[Iterator[pa.RecordBatch]], bytes]) ->
 def ordered_ranges(df: DataFrame, id_col: str, text_col: str, range_bytes: int = RANGE_BYTES) -> tuple[DataFrame, int]:
     """Adds `_p`, the number of the id range that a row belongs to, ascending with the id; null ids come first.
 
-    The boundaries are quantiles of all ids, computed once, so the ranges stay the same
-    however often the plan is run. Only ids and lengths are aggregated; the driver gets
-    one boundary per range, at most MAX_RANGES.
+    Boundaries are taken from finer quantiles of all ids, joined until a range holds about
+    range_bytes of text, so a region of long texts is no larger a task than others. They are
+    computed once, and the ranges stay the same however often the plan is run. Only ids and lengths
+    are aggregated; the driver gets one boundary and one sum per fine range, at most MAX_RANGES.
+    Rows of one id are never parted.
     """
-    from pyspark.ml.feature import Bucketizer
-
     n, size = df.agg(F.count(F.lit(1)), F.sum(F.octet_length(text_col))).first()
-    ranges = int(min(MAX_RANGES, max(1, -(-(size or 0) // range_bytes)), max(1, n)))
+    fine = int(min(MAX_RANGES, max(1, -(-8 * (size or 0) // range_bytes)), max(1, n)))
     cuts: list[float] = []
-    if ranges > 1:
-        at = [k / ranges for k in range(1, ranges)]
-        cuts = sorted(set(df.select(F.col(id_col).cast("double").alias("x")).approxQuantile("x", at, 0.2 / ranges)))
+    if (size or 0) > range_bytes and fine > 1:
+        at = [k / fine for k in range(1, fine)]
+        cuts = sorted(set(df.select(F.col(id_col).cast("double").alias("x")).approxQuantile("x", at, 0.2 / fine)))
+        sums_ = dict(_numbered(df, id_col, cuts).groupBy("_p").agg(F.sum(F.octet_length(text_col))).collect())
+        kept, held = [], sums_.get(0) or 0
+        for k, cut in enumerate(cuts, 1):
+            own = sums_.get(k) or 0
+            if held and held + own > range_bytes:
+                kept.append(cut)
+                held = 0
+            held += own
+        cuts = kept
     if not cuts:
         return df.withColumn("_p", F.lit(0)), 1
-    # The range of a key is the number of cuts that are not above it.
+    return _numbered(df, id_col, cuts), len(cuts) + 1
+
+
+def _numbered(df: DataFrame, id_col: str, cuts: list[float]) -> DataFrame:
+    """Adds `_p`, the number of cuts that are not above the id."""
+    from pyspark.ml.feature import Bucketizer
+
     tool = Bucketizer(splits=[-float("inf"), *cuts, float("inf")], inputCol="_x", outputCol="_b", handleInvalid="keep")
     out = tool.transform(df.withColumn("_x", F.coalesce(F.col(id_col).cast("double"), F.lit(-1.7e308))))
-    return out.withColumn("_p", F.col("_b").cast("int")).drop("_x", "_b"), len(cuts) + 1
+    return out.withColumn("_p", F.col("_b").cast("int")).drop("_x", "_b")

@@ -4,7 +4,8 @@ A text is parsed in levels. At each level runs of one name are collapsed, determ
 tossing reduces every name to a label of eight values that depends on three neighbours to the
 left, and phrases begin at the labels' local maxima; a phrase's name is a hash of the names in it.
 So a phrase depends only on its surroundings: equal substrings share their interior phrases
-wherever they stand. A fingerprint is a MinHash sketch of the phrases of level LEVEL, counted as often as they occur.
+wherever they stand, and a long text can be parsed piece by piece. A fingerprint is a MinHash
+sketch of the phrases of level LEVEL, counted as often as they occur.
 """
 
 from __future__ import annotations
@@ -60,22 +61,26 @@ def _before(x: np.ndarray, starts: np.ndarray, first: np.ndarray) -> np.ndarray:
     return out
 
 
-def next_level(names: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Names and offsets of the phrases of one level up. Texts lie between the offsets; each non-empty one has a phrase."""
-    if not len(names):
-        return names, off
+def _collapsed(names: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each run of equal names within a text becomes one name of its symbol and length."""
     starts = off[:-1][off[1:] > off[:-1]]
     same = np.zeros(len(names), bool)
     same[1:] = names[1:] == names[:-1]
     same[starts] = False
-    if same.any():  # a run becomes one name of its symbol and length
-        keep = np.flatnonzero(~same)
-        run = np.diff(np.append(keep, len(names))).astype(np.uint64)
-        names = names[keep]
-        long = run > 1
-        names[long] = _mix(names[long] + run[long] * _C[2])
-        off = np.searchsorted(keep, off)
-        starts = off[:-1][off[1:] > off[:-1]]
+    if not same.any():
+        return names, off
+    keep = np.flatnonzero(~same)
+    return _of_runs(names[keep], np.diff(np.append(keep, len(names)))), np.searchsorted(keep, off)
+
+
+def _of_runs(names: np.ndarray, run: np.ndarray) -> np.ndarray:
+    out, long = names.copy(), run > 1
+    out[long] = _mix(out[long] + run[long].astype(np.uint64) * _C[2])
+    return out
+
+
+def _tops(names: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Whether a phrase may begin at a name: its label is above both neighbours'."""
     differ = names ^ _before(names, starts, ~names[starts])
     low = differ & (~differ + np.uint64(1))
     label = _BIT[(low * _DE_BRUIJN) >> np.uint64(58)] * np.uint8(2) + ((names & low) != 0)
@@ -84,12 +89,78 @@ def next_level(names: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarr
     top = np.ones(len(label), bool)
     top[1:] = label[1:] > label[:-1]
     top[:-1] &= label[:-1] > label[1:]
+    return top
+
+
+def _phrases(names: np.ndarray, begin: np.ndarray) -> np.ndarray:
+    """Names of the phrases that begin at the given places; the last reaches to the end."""
+    place = np.arange(len(names)) - np.repeat(begin, np.diff(np.append(begin, len(names))))
+    return _mix(np.add.reduceat(names * _POW[np.minimum(place, 63)], begin) + _C[2])
+
+
+def next_level(names: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Names and offsets of the phrases of one level up. Texts lie between the offsets; each non-empty one has a phrase."""
+    if not len(names):
+        return names, off
+    names, off = _collapsed(names, off)
+    starts = off[:-1][off[1:] > off[:-1]]
+    top = _tops(names, starts)
     ends = off[1:][off[1:] > off[:-1]] - 1
     top[ends] = False  # a text's last name never begins a phrase, but for the only one
     top[starts] = True
     begin = np.flatnonzero(top)
-    place = np.arange(len(names)) - np.repeat(begin, np.diff(np.append(begin, len(names))))
-    return _mix(np.add.reduceat(names * _POW[np.minimum(place, 63)], begin) + _C[2]), np.searchsorted(begin, off)
+    return _phrases(names, begin), np.searchsorted(begin, off)
+
+
+#: Names to the left on which a phrase's beginning can depend: three tosses and a neighbour, with room to spare.
+CONTEXT = 8
+
+
+def _runs_in_pieces(pieces: Iterator[np.ndarray]) -> Iterator[np.ndarray]:
+    """What `_collapsed` gives for one text whose names come in pieces."""
+    name, count = None, 0  # the run that may go on
+    for x in pieces:
+        if not len(x):
+            continue
+        first = np.flatnonzero(np.append(True, x[1:] != x[:-1]))
+        symbol, run = x[first], np.diff(np.append(first, len(x)))
+        if name is not None:
+            if symbol[0] == name:
+                run[0] += count
+            else:
+                symbol, run = np.append(name, symbol), np.append(count, run)
+        name, count = symbol[-1], int(run[-1])
+        yield _of_runs(symbol[:-1], run[:-1])
+    if name is not None:
+        yield _of_runs(np.array([name], np.uint64), np.array([count]))
+
+
+def next_level_in_pieces(pieces: Iterator[np.ndarray]) -> Iterator[np.ndarray]:
+    """The same phrases as `next_level` for one text, whose names come and go in pieces, so that memory doesn't grow with it.
+
+    What is kept between pieces is the last phrase, which may go on, and CONTEXT names before it.
+    """
+    held, known = np.zeros(0, np.uint64), 0  # names kept, and how many of them are only context
+    for x in _runs_in_pieces(pieces):
+        held = np.concatenate([held, x])
+        if len(held) < known + CONTEXT:
+            continue
+        top = _tops(held, np.zeros(1, np.int64))
+        top[: known + 1] = False
+        top[known] = True  # the pending phrase begins here
+        top[-1] = False  # not decided yet: its right neighbour is unknown
+        begin = np.flatnonzero(top)
+        if len(begin) > 1:
+            last = int(begin[-1])
+            yield _phrases(held[known:last], begin[:-1] - known)
+            keep = max(0, last - CONTEXT)
+            held, known = held[keep:], last - keep
+    if len(held):
+        top = _tops(held, np.zeros(1, np.int64))
+        top[: known + 1] = False
+        top[-1] = False
+        top[known] = True
+        yield _phrases(held[known:], np.flatnonzero(top) - known)
 
 
 def _occurrences(names: np.ndarray, off: np.ndarray) -> np.ndarray:
@@ -105,34 +176,59 @@ def _occurrences(names: np.ndarray, off: np.ndarray) -> np.ndarray:
     return out
 
 
+def _codes(text: str) -> np.ndarray:
+    return _mix(np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64) + _C[2])
+
+
+def _long_names(text: str, level: int) -> np.ndarray:
+    """The phrase names of one long text, parsed in pieces of TOGETHER code points."""
+    names: Iterator[np.ndarray] = (_codes(text[k : k + TOGETHER]) for k in range(0, len(text), TOGETHER))
+    for _ in range(level):
+        names = next_level_in_pieces(names)
+    return np.concatenate([*names])
+
+
 def sketches(texts: list[str], level: int = LEVEL) -> np.ndarray:
     """A row of SLOTS 16-bit values for each text; all ones for an empty text.
 
     One-permutation hashing of the phrases with their multiplicity: a phrase falls into the slot
     of its top bits, the least of a slot stays, and an empty slot takes over the next full one's
-    value, changed by the distance.
+    value, changed by the distance. A text of more than TOGETHER code points is parsed in pieces.
     """
-    codes = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
-    off = np.append(0, np.cumsum([len(t) for t in texts]))
-    names = _mix(codes.astype(np.uint64) + _C[2])
+    out = np.full((len(texts), SLOTS), _EMPTY, np.uint64)
+    long = [k for k, t in enumerate(texts) if len(t) > TOGETHER]
+    short = [k for k, t in enumerate(texts) if len(t) <= TOGETHER]
+    for k in long:
+        names = _long_names(texts[k], level)
+        out[k] = _least(names, np.array([0, len(names)]))[0]
+    names = _codes("".join(texts[k] for k in short))
+    off = np.append(0, np.cumsum([len(texts[k]) for k in short], dtype=np.int64))
     for _ in range(level):
         names, off = next_level(names, off)
-    empty = np.uint64(0xFFFFFFFFFFFFFFFF)
-    out = np.full(len(texts) * SLOTS, empty, np.uint64)
-    if len(names):
-        names = _mix(_occurrences(names, off) + _C[1])
-        np.minimum.at(out, np.repeat(np.arange(len(texts)) * SLOTS, np.diff(off)) + (names >> np.uint64(64 - 6)).astype(np.int64), names << np.uint64(6) >> np.uint64(6))
-    out = out.reshape(len(texts), SLOTS)
-    have = out != empty
+    out[short] = _least(names, off)
+    have = out != _EMPTY
     place = np.where(np.tile(have, 2), np.arange(2 * SLOTS), 4 * SLOTS)
     at = np.minimum.accumulate(place[:, ::-1], axis=1)[:, ::-1][:, :SLOTS]
     far = (at - np.arange(SLOTS)).astype(np.uint64)
     got = np.take_along_axis(out, at % SLOTS, 1)
     got = np.where(far > 0, _mix(got + far * _C[2]), got)
-    got[~have.any(axis=1)] = empty
+    got[~have.any(axis=1)] = _EMPTY
     return (got & np.uint64(0xFFFF)).astype(np.uint16)
 
 
+_EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
+
+
+def _least(names: np.ndarray, off: np.ndarray) -> np.ndarray:
+    """The least phrase of each slot of each text; _EMPTY where there is none."""
+    texts = len(off) - 1
+    out = np.full(texts * SLOTS, _EMPTY, np.uint64)
+    if len(names):
+        names = _mix(_occurrences(names, off) + _C[1])
+        np.minimum.at(out, np.repeat(np.arange(texts) * SLOTS, np.diff(off)) + (names >> np.uint64(64 - 6)).astype(np.int64), names << np.uint64(6) >> np.uint64(6))
+    return out.reshape(texts, SLOTS)
+
+
 def likeness(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Share of two texts of equal length that agrees, 0 to 1, from the part j of their slots that agree: 2j / (1 + j)."""
     j = (a == b).mean(axis=-1)
@@ -155,7 +251,9 @@ def fingerprint_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     The next document is the next by ascending doc_id, the first's after the last. One shuffle, of
     texts, into id ranges; the first document of each range is also sent to the range before it
     (the first of all to the last), so no task needs another's rows. Rows with equal ids follow
-    each other by text; null ids come first. A single document is its own next one.
+    each other by text; null ids come first; a null text is empty, and two empty texts are alike
+    (1). A single document is its own next one. A long text costs its own bytes and eight for each
+    level-2 phrase; what is computed together is bounded.
     """
     bound_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))

@@ -130,6 +130,95 @@ def test_fingerprints_depend_on_the_text_alone(docs, nothing):
     assert fingerprint.fingerprint_pairs(nothing).count() == 0
 
 
+def plain_phrases(names):
+    """One level of locally consistent parsing of one text, name by name."""
+    M = (1 << 64) - 1
+
+    def mix(x):
+        return int(fingerprint._mix(np.array([x & M], np.uint64))[0])
+
+    runs = []
+    for x in names:
+        if runs and runs[-1][0] == x:
+            runs[-1][1] += 1
+        else:
+            runs.append([x, 1])
+    names = [x if n == 1 else mix(x + n * int(fingerprint._C[2])) for x, n in runs]
+
+    def toss(left, own):
+        d = left ^ own
+        bit = (d & -d).bit_length() - 1 if d else 0
+        return 2 * bit + (own >> bit & 1)
+
+    label = [toss((names[k - 1] if k else ~x & M), x) for k, x in enumerate(names)]
+    for _ in range(2):
+        label = [toss(label[k - 1] if k else x ^ 1, x) for k, x in enumerate(label)]
+    begin = [k for k in range(len(names)) if k == 0 or k < len(names) - 1 and label[k] > label[k - 1] and label[k] > label[k + 1]]
+    out = []
+    for a, b in zip(begin, [*begin[1:], len(names)], strict=False):
+        out.append(mix(sum(x * int(fingerprint._POW[min(k, 63)]) for k, x in enumerate(names[a:b])) + int(fingerprint._C[2])))
+    return out
+
+
+@settings(max_examples=60, deadline=None)
+@given(text=st.one_of(st.text(max_size=80), st.text(alphabet="ab", max_size=120), st.text(alphabet="a", max_size=30)), sizes=st.lists(st.integers(1, 9), min_size=1, max_size=4))
+def test_parsing_equals_a_plain_version_and_itself_in_pieces(text, sizes):
+    want = whole = fingerprint._codes(text)
+    off = np.array([0, len(whole)])
+    pieces, at, k = [], 0, 0
+    while at < len(whole):
+        pieces.append(whole[at : at + sizes[k % len(sizes)]])
+        at, k = at + sizes[k % len(sizes)], k + 1
+    parts = iter(pieces)
+    for _ in range(3):
+        whole, off = fingerprint.next_level(whole, off)
+        want, parts = plain_phrases([int(x) for x in want]), fingerprint.next_level_in_pieces(parts)
+        assert whole.tolist() == want
+    assert np.concatenate([np.zeros(0, np.uint64), *parts]).tolist() == want
+
+
+def test_likeness_of_pairs_and_long_texts(docs, monkeypatch):
+    """near_edited and near_next follow the share of a text that stays, and don't depend on how it is cut."""
+    r = random.Random(60)  # words of random letters: unrelated texts share no phrases by chance of a small vocabulary
+    t = [" ".join("".join(r.choices("abcdefghijklmnopqrstuvwxyz", k=6)) for _ in range(400)) for _ in range(3)]
+    half = " ".join([*t[0].split()[:200], *t[1].split()[200:]])
+    for a, b, true in ((t[0], t[0], 1), (t[0], half, 0.5), (t[0], fingerprint.edited(t[0], t[1]), 0.75), (t[0], t[2], 0)):
+        x, y = fingerprint.sketches([a, b])
+        assert fingerprint.likeness(x, y) == pytest.approx(true, abs=0.2)
+    whole = [tuple(r) for r in fingerprint.fingerprint_pairs(docs).collect()]
+    for r, (a, b) in zip(sorted(whole, key=lambda r: (r[0] is not None, r[0])), zip(order := sorted(ROWS, key=lambda r: (r[0] is not None, r[0], r[1] or "")), order[1:] + order[:1], strict=True), strict=True):
+        if [x[0] for x in ROWS].count(r[0]) == 1:
+            x, y, z = fingerprint.sketches([a[1] or "", fingerprint.edited(a[1] or "", b[1] or ""), b[1] or ""])
+            assert r[5:] == (fingerprint.likeness(x, y), fingerprint.likeness(x, z))
+    texts = [u or "" for u in TEXTS]
+    want = fingerprint.sketches(texts)
+    monkeypatch.setattr(fingerprint, "TOGETHER", 100)
+    assert (fingerprint.sketches(texts) == want).all()
+
+
+def test_ranges_follow_ids_and_hold_like_bytes(spark):
+    from addrloom.llm.common import ordered_ranges
+
+    rows = [(None, "x")] + [(k, "y" * (2000 if 300 <= k < 340 else 50)) for k in range(600)] + [(7, "again")] * 5
+    df, ranges = ordered_ranges(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), "doc_id", "text", 10_000)
+    got = df.collect()
+    assert sorted((r.doc_id or -1, len(r.text)) for r in got) == sorted((i or -1, len(t)) for i, t in rows)
+    by = {p: [r for r in got if r._p == p] for p in range(ranges)}
+    assert 8 <= ranges <= 40 and max(sum(len(r.text) for r in v) for v in by.values()) <= 25_000
+    ends = [(min(r.doc_id if r.doc_id is not None else -1 for r in v), max(r.doc_id if r.doc_id is not None else -1 for r in v)) for _, v in sorted(by.items()) if v]
+    assert all(a[1] < b[0] for a, b in zip(ends, ends[1:], strict=False))
+
+
+def test_tables_are_not_kept_on_a_machine_of_a_cluster():
+    from types import SimpleNamespace
+
+    from addrloom.llm.common import shared_dir
+
+    fake = SimpleNamespace(conf=SimpleNamespace(get=lambda *_: None), sparkContext=SimpleNamespace(master="spark://host:7077"))
+    with pytest.raises(ValueError, match="checkpoint.dir"):
+        shared_dir(fake)
+
+
 def test_edited_text():
     assert fingerprint.edited("abcdefgh", "XYZ") == "abcdefXY" and fingerprint.edited("abcdefgh", "") == "abcdef" and fingerprint.edited("", "x") == ""
 
@@ -162,7 +251,14 @@ def test_audio_tables_blocks_and_round_trip(docs, nothing):
         assert (r.n_bytes, r.payload_bytes, r.payload_sha256, r.tail_crc32) == (len(raw), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-16:]))
         m = audio.wav(payload, len(raw))
         assert (r.media_bytes, r.media_sha256) == (len(m), hashlib.sha256(m).hexdigest())
-        assert (np.frombuffer(r.pcm, np.int16)[::2] == audio.MU_LAW[np.frombuffer(payload, np.uint8)]).all()
+        assert (audio.unpack_pcm(r.pcm)[::2] == audio.MU_LAW[np.frombuffer(payload, np.uint8)]).all()
+    from addrloom.llm.common import stored
+
+    kept = audio.read_features(stored(audio.telephony_features(stored(media, **audio.LAYOUT), keep_pcm=True), **audio.LAYOUT)).collect()
+    assert sorted((r.doc_id or -1, r.media_sha256, r.pcm_crc32, r.pcm_bytes) for r in kept) == sorted((i or -1, r.media_sha256, zlib.crc32(audio.unpack_pcm(r.pcm)), len(r.pcm)) for i, x in by.items() for r in x)
+    noise = np.random.default_rng(2).integers(-32768, 32768, 400).astype(np.int16)
+    assert (audio.unpack_pcm(audio.pack_pcm(noise)) == noise).all()
+    assert all(f"pcm_crc={r.pcm_crc32:08x}" in r.feature and r.pcm_bytes == 4 * r.payload_bytes for r in kept)
     assert by[5][0].feature == by[6][0].feature and audio.telephony_features(audio.store_telephony(nothing)).count() == 0
 
 
@@ -201,38 +297,131 @@ def test_targets_equal_stepwise_resharing(spark):
         assert got == pytest.approx(want)
 
 
+def kept_lines(page):
+    return [t for t, kind in html_extract.lines(page)[0] if kind != html_extract.GONE]
+
+
 def test_html_blocks_and_structure():
     page = "<html><head><title>T</title></head><body><header>Site</header><nav>m<ul><li>a</ul></nav><div class='cookie-notice'>C</div><article><header><h1>H &amp; h</h1></header><p>One <b>two</b>\n three<p class=ad>Buy<p>Four<br>five<script>var a='<p>no'</script><!-- x --><form>f<input></form><section id=comments>me</section></article><aside>s</aside><footer>f</footer>"
-    assert html_extract.lines(page) == (["H & h", "One two three", "Four five"], True)
+    assert kept_lines(page) == ["H & h", "One two three", "Four five"] and html_extract.lines(page)[1]
     assert html_extract.lines("") == ([], False)
-    assert html_extract.lines("a < b <p> &lt;i&gt;&nbsp;c")[0] == ["a < b", "<i> c"]
-    assert html_extract.lines("<div class=ad>x<article><p>y</article>") == (["y"], True)
-    assert html_extract.lines("<div class='site-header'>S</div><div class='post-header'><h2 class=header>T</h2></div><p class=byline>By A</p><div id=reader-comments><p>c</div><div role=navigation>n</div><p>e</p>")[0] == ["T", "By A", "e"]
-    assert html_extract.lines("<article><p>a</p><div class='comment-list'><article><p>reply</p></article></div><p>b</p><script>'</article>'</script></article>") == (["a", "b"], True)
+    assert kept_lines("a < b <p> &lt;i&gt;&nbsp;c") == ["a < b", "<i> c"]
+    assert kept_lines("<div class=ad>x<article><p>y</article>") == ["y"]
+    assert kept_lines("<div class='site-header'>S</div><div class='post-header'><h2 class=header>T</h2></div><p class=byline>By A</p><div id=reader-comments><p>c</div><div role=navigation>n</div><p>e</p>") == ["T", "By A", "e"]
+    assert kept_lines("<article><p>a</p><div class='comment-list'><article><p>reply</p></article></div><p>b</p><script>'</article>'</script></article>") == ["a", "b"]
+
 
+def test_html_attributes_are_read_as_such():
+    assert kept_lines('<article><p title="a hidden valley">First paragraph.</p><p data-id="share">Second.</p><p hidden>no</p></article>') == ["First paragraph.", "Second."]
+    found, _ = html_extract.lines('<article><h2 id="related-work">R</h2><div class="social history"><p>x</p></div><p>One <a class=share>SHARE</a> two</p><div>bare</div><p><a href=x>all link</a></p></article><p>out</p>')
+    assert found == [("R", html_extract.SURE), ("x", html_extract.OPEN), ("One two", html_extract.SURE), ("bare", html_extract.OPEN), ("all link", html_extract.OPEN), ("out", html_extract.GONE)]
+    assert kept_lines("<article><p>a <span class=ad>buy <b>now</b></span> b<p>c") == ["a b", "c"]
 
+
+@pytest.mark.parametrize("bits", [1 << 27, 8])
 @settings(max_examples=100, deadline=None)
 @given(a=st.lists(st.integers(0, 4), max_size=12), b=st.lists(st.integers(0, 4), max_size=12))
-def test_shared_is_a_longest_common_subsequence(a, b):
+def test_shared_is_a_longest_common_subsequence(bits, a, b):
     best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
     for i, x in enumerate(a):
         for j, y in enumerate(b):
             best[i + 1][j + 1] = best[i][j] + 1 if x == y else max(best[i][j + 1], best[i + 1][j])
-    got = html_extract.shared(a, b)
-    it = iter(b)
-    assert len(got) == best[-1][-1] and all(any(a[k] == y for y in it) for k in got)
+    got = html_extract.shared(a, b, bits)
+    assert len(got) == best[-1][-1] and all(a[i] == b[j] for i, j in got)
+    assert all(x[0] < y[0] and x[1] < y[1] for x, y in zip(got, got[1:], strict=False))
+
+
+def test_long_pages_are_compared_within_bounds():
+    r = random.Random(1)
+    a = [r.randrange(60000) for _ in range(20000)]
+    b = [x for x in a if r.random() < 0.9]
+    assert len(html_extract.shared(a, b, 1 << 24)) == len(b)
+
+
+def plain_pages(rows):
+    """Text of each page by comparing all pages of a host: of its distinct contents in URL order the next ones that aren't copies, the nearer one's shared open lines deleted."""
+    from itertools import groupby
+
+    read = {}
+    for i, url, page in rows:
+        found, _ = html_extract.lines(page or "")
+        read[i] = (*html_extract._address(url), tuple(html_extract._number(t) for t, _ in found), tuple(k for k, (_, kind) in enumerate(found) if kind == html_extract.OPEN), found)
+    out = {}
+    for host in {r[0] for r in read.values()}:
+        own = [r for r in read.values() if r[0] == host]
+        content = {(r[2], r[3]) for r in own}
+        entries = sorted((min(r[1] for r in own if (r[2], r[3]) == c), c, next(r[4] for r in own if (r[2], r[3]) == c)) for c in content)
+        sizes = [[len(t) if kind != html_extract.GONE else 0 for t, kind in e[2]] for e in entries]
+        both = lambda x, y: html_extract.shared(list(entries[x][1][0]), list(entries[y][1][0]))
+        copy = lambda x, y: html_extract.is_copy(sizes[x], [i for i, _ in both(x, y)])
+        gone = {}
+        for x, (path, (numbers, open_), _) in enumerate(entries):
+            def near(step, x=x):
+                y = x + step
+                if 0 <= y < len(entries) and not copy(x, y):
+                    return [y]
+                while 0 <= y < len(entries) and (copy(y - step, y) or copy(y, y - step)):
+                    y += step
+                return [y] if 0 <= y < len(entries) and not copy(x, y) else []
+
+            beside = [y for y in (x - 1, x + 1) if 0 <= y < len(entries) and not copy(x, y)] or near(-1) + near(1)
+            if beside and open_:
+                options = [(html_extract.nearness(path, entries[y][0]), [i for i, _ in both(x, y) if i in open_]) for y in beside]
+                gone[entries[x][1]] = max(options, key=lambda o: (o[0], -len(o[1]), o[1]))[1]
+        for i, r in read.items():
+            if r[0] == host:
+                drop = gone.get((r[2], r[3]), [])
+                out[i] = "\n".join(t for k, (t, kind) in enumerate(r[4]) if kind != html_extract.GONE and k not in drop)
+    return out
+
+
+def extracted(spark, rows):
+    return {r.page_id: r.text for r in html_extract.extract(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4)).collect()}
 
 
 def test_pages_lose_what_their_neighbours_share(spark):
     body = lambda k: f"<body><div>Welcome to our site</div><p>Own text {k} of this page</p><p>More words {k}</p><div>Call us now</div></body>"
     rows = [(k, f"http://h.example/a/{k}", body(k)) for k in range(6)] + [(6, None, None), (7, "http://lone.example/x", body(7)), (8, "http://h.example/a/0", body(0)), (9, "::bad[", "")]
-    got = {r.page_id: r.text for r in html_extract.extract(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4)).collect()}
-    assert len(got) == 10 and got[6] == got[9] == ""
+    got = extracted(spark, rows)
+    assert len(got) == 10 and got[6] == got[9] == "" and got == plain_pages(rows)
     assert all(got[k] == f"Own text {k} of this page\nMore words {k}" for k in range(6)) and got[8] == got[0]
     assert got[7].startswith("Welcome")
     assert html_extract.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
+def test_differencing_equals_a_plain_version(spark):
+    """Marked and unmarked pages, menus in heavy markup, runs of near copies, repeated ids, on several hosts."""
+    r = random.Random(31)
+    menu = "".join(f"<div>{w} menu</div>" for w in WORDS[:7])
+    rows = []
+    for k in range(90):
+        host, text = f"http://h{k % 3}.example", "".join(f"<p>{prose(25, 1000 + k * 9 + j)}</p>" for j in range(r.randint(1, 3)))
+        kind = k % 5
+        if kind == 0:
+            page = f"{menu}<article>{text}<div>Follow us</div><p><a href=x>Read next</a></p></article><div>foot</div>"
+        elif kind == 1:
+            page = f"{menu}<p>short {k}</p><div>foot</div>"
+        else:
+            page = f"{menu}{text}<div>Follow us</div><div>foot</div>"
+        rows.append((k, f"{host}/{kind}/{k:03d}", page))
+    long = "".join(f"<p>{prose(40, 5000 + j)}</p>" for j in range(5))
+    rows += [(200 + k, f"http://h1.example/2/near{k:02d}", f"{menu}{long}<p>version {k}</p><div>foot</div>") for k in range(12)]  # a run of near copies
+    rows += [(5, "http://h2.example/2/005", "<p>another page with this id</p>"), (300, "http://h0.example/x", None)]
+    rows = list({i: (i, u, p) for i, u, p in rows}.values())
+    got = extracted(spark, rows)
+    assert got == plain_pages(rows)
+    assert all("menu" not in got[200 + k] and got[200 + k].endswith(f"version {k}") for k in range(12))
+    assert got[0].count("\n") < 4 and "Follow us" not in got[10]
+
+
+def test_page_columns_and_repeated_ids(spark):
+    x, y = "<p>The own text of one page</p><p>same</p>", "<p>And that of the other page</p><p>same</p>"
+    rows = [(1, "http://a.example/1", x, "t", 5), (1, "http://a.example/2", y, None, 6), (None, "http://a.example/2", y, None, 6)]
+    got = html_extract.extract(spark.createDataFrame(rows, "page_id long, url string, html string, text string, rank int"))
+    assert got.columns == ["page_id", "url", "text", "n_chars"]
+    assert sorted((r.page_id or 0, r.text) for r in got.collect()) == [(0, "And that of the other page"), (1, "And that of the other page"), (1, "The own text of one page")]
+
+
 def check_packing(rows, capacity):
     at = {}
     for r in sorted(rows, key=lambda r: (r.sequence_id, r.offset)):
@@ -304,6 +493,91 @@ def test_forest_learns_and_handles_one_class():
     assert (quality.fit(x[:10], np.ones(10)).score(x) > 0.9).all() and len(quality.fit(x[:0], y[:0]).score(x)) == 600
 
 
+def plain_statistics(text):
+    """The features of one text, spelled out."""
+    import math
+    from itertools import pairwise
+
+    raw = text.encode()
+    kinds = {"lower": "abcdefghijklmnopqrstuvwxyz", "upper": "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "digit": "0123456789", "blank": " \t\r\v\f", "newline": "\n", "stop": ".,", "cry": "!?", "bar": "|", "junk": "%$*&#@~^_=+<>\\"}
+    share = [sum(chr(c) in v for c in raw if c < 128) / max(1, len(raw)) for v in kinds.values()] + [sum(c >= 128 for c in raw) / max(1, len(raw))]
+    w, lines = text.split(), text.split("\n")
+    rest = [0.0] * 10
+    if w:
+        rest = [math.log1p(len(w)), len(text) / len(w), len(set(w)) / len(w), max(w.count(x) for x in w) / len(w), sum(a == b for a, b in pairwise(w)) / len(w), len(set(pairwise(w))) / max(len(w) - 1, 1),
+                math.log1p(len(lines)), len(set(lines)) / len(lines), math.log1p(len(text) / len(lines)), sum(not x[-1].isalnum() for x in w) / len(w)]
+    return [*share, math.log1p(len(raw)), *rest]
+
+
+def test_statistics_equal_a_plain_version():
+    texts = [t or "" for t in TEXTS if t is not LONG] + ["A!? b|c %%\n\nA!? é", "x"]
+    assert quality.statistics(texts, *utf8(pa.array(texts))) == pytest.approx(np.array([plain_statistics(t) for t in texts]))
+
+
+def plain_boosting(x, y, trees, depth):
+    """Scores of the training rows by the same boosting, node by node and cut by cut."""
+    cuts = [np.unique(np.quantile(c, np.linspace(0, 1, quality.BINS + 1)[1:-1], method="lower")) for c in x.T]
+    p0 = (y.sum() + 0.5) / (len(y) + 1)
+    raw = np.full(len(y), np.log(p0 / (1 - p0)))
+    for _ in range(trees):
+        p = 1 / (1 + np.exp(-raw))
+        g, h = p - y, p * (1 - p)
+
+        def value(rows):
+            return g[rows].sum() ** 2 / (h[rows].sum() + quality.RIDGE)
+
+        def grow(rows, d):
+            if d == depth:
+                raw[rows] -= quality.RATE * g[rows].sum() / (h[rows].sum() + quality.RIDGE)
+                return
+            best = (1e-6, None, None)
+            for j in range(x.shape[1]):
+                for c in cuts[j]:
+                    left = x[rows, j] <= c
+                    if min(left.sum(), (~left).sum()) >= quality.LEAST_ROWS:
+                        gain = value(rows[left]) + value(rows[~left]) - value(rows)
+                        if gain > best[0] + 1e-12:
+                            best = (gain, j, c)
+            if best[1] is None:
+                return grow(rows, depth)
+            left = x[rows, best[1]] <= best[2]
+            grow(rows[left], d + 1)
+            grow(rows[~left], d + 1)
+
+        grow(np.arange(len(y)), 0)
+    return 1 / (1 + np.exp(-raw))
+
+
+def test_forest_equals_plain_boosting_and_a_plain_walk():
+    r = np.random.default_rng(7)
+    x = np.round(r.normal(size=(150, 3)), 2)
+    y = ((x[:, 0] > 0.2) ^ (r.random(150) < 0.1)).astype(float)
+    f = quality.fit(x, y, trees=5, depth=3)
+    assert f.score(x) == pytest.approx(plain_boosting(x, y, 5, 3))
+
+    def walk(row):
+        total = f.base
+        for column, cut, leaf in zip(f.column, f.cut, f.leaf, strict=True):
+            at = 0
+            while at < len(column):
+                at = 2 * at + 1 + int(row[column[at]] > cut[at])
+            total += leaf[at - len(column)]
+        return 1 / (1 + np.exp(-total))
+
+    new = r.normal(size=(50, 3))
+    assert f.score(new) == pytest.approx([walk(v) for v in new])
+
+
+def test_quality_learns_an_id_once(spark):
+    table = [(k, prose(30, k) + (" %%%" * 20 if k % 3 == 0 else "")) for k in range(90)]
+    labels = spark.createDataFrame([(k, int(k % 3 != 0)) for k in range(90)], "doc_id long, quality int")
+    once = quality.train(spark.createDataFrame(table, "doc_id long, text string"), labels)
+    many = quality.train(spark.createDataFrame(table * 3 + [(None, "x")], "doc_id long, text string").repartition(5), labels)
+    assert (once.cut == many.cut).all() and (once.leaf == many.leaf).all()
+    rows = quality.labelled(spark.createDataFrame([(1, f"text {k}") for k in range(50)], "doc_id long, text string"), labels, "quality", 4, 2, 10)
+    assert rows.count() <= 1
+
+
 def test_quality_held_out_and_edges(spark, docs, nothing):
     good, bad = [prose(60, k) for k in range(150)], [" ".join(["junk%%%"] * 20 + [w + "$$$" for w in prose(30, k).split()]) for k in range(60)]
     table = spark.createDataFrame(list(enumerate(good + bad)), "doc_id long, text string")
