@@ -3,7 +3,9 @@
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as Parquet and
 reread as the next stage's docs. Both classifiers are fitted on the labelled documents of sf_dir
 (their bounded samples, see the operators), and then decide over all that the stage was given.
-All stages but the last return the columns they were given.
+All stages but the last return the columns they were given, whatever further columns those are.
+A stage looks at doc_id, text and (the mix) source alone: a null text counts as empty, rows with a
+null or a repeated id are rows like any other, and an empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -12,17 +14,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from addrloom.llm import mixing, neardup, packing, quality, tokens, toxicity
-from addrloom.llm.common import stored, table
+from addrloom.llm.common import discard_since, stored, stored_so_far, table
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier predicts to be good stay."""
+    """Documents that the classifier predicts to be good stay. Empty texts are scored like any other; without labels to learn from all have one score."""
     forest = quality.train(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return quality.keep_documents(docs, lambda text: quality.text_scores(forest, text) >= quality.KEEP)
 
 
 def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the network predicts to be toxic go."""
+    """Documents that the network predicts to be toxic go; a text without words is scored by one empty window."""
     model = toxicity.train(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return quality.keep_documents(docs, lambda text: model.scores(text) < quality.KEEP)
 
@@ -41,12 +43,12 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it: none, once, or twice."""
+    """Each document as often as the mix takes it: none, once, or twice; rows that repeat an id share its coin. A null source is a source of its own."""
     return mixing.mixed_documents(docs)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of all documents, copies included, in sequences of at most 4096 tokens."""
+    """Pieces of all documents, copies included, in sequences of at most 4096 tokens; an empty text is its end id alone."""
     return packing.pack(packing.pieces(docs, tokens.tokenizer_path("word_bpe_49k.json"), end_id=1))
 
 
@@ -63,9 +65,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages; the tables that a stage has stored go once its result is written."""
     docs = table(spark, sf_dir, "documents")
+    mark = stored_so_far()
     for k, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if k < len(STAGES) - 1:
             docs = stored(docs)
+            discard_since(spark, mark, docs)
     return docs
