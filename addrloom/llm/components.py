@@ -8,10 +8,16 @@ from pyspark.sql import functions as F
 from .common import discard, stored
 
 
+#: Parts into which a hub's edges fall while its least neighbour is found and told to them.
+PARTS = 64
+
+
 def _with_least(edges: DataFrame) -> DataFrame:
-    """u, v, least: the least of u and its neighbours. Partial aggregation first; the join back may be split where a hub is hot."""
-    least = edges.groupBy("u").agg(F.min("v").alias("least")).select(F.col("u").alias("_u"), F.least("u", "least").alias("least"))
-    return edges.join(least.hint("merge"), edges["u"] == least["_u"]).drop("_u")
+    """u, v, least: the least of u and its neighbours. It is found by parts of a hub's edges, then of the parts, and told to the parts, so no task gets all edges of a hub."""
+    own = edges.withColumn("part", F.pmod(F.xxhash64("v"), F.lit(PARTS)))
+    parts = own.groupBy("u", "part").agg(F.min("v").alias("least"))
+    least = parts.groupBy("u").agg(F.min("least").alias("least")).select("u", F.least("u", "least").alias("least"))
+    return own.join(parts.select("u", "part").join(least.hint("merge"), "u").hint("merge"), ["u", "part"]).select("u", "v", "least")
 
 
 def _large(edges: DataFrame) -> DataFrame:
