@@ -17,7 +17,7 @@ from .common import bound_batches, by_bytes, sums, utf8
 BLOCK, PAD = 192, 32
 RATE = 8000
 #: File format of the media and PCM columns: small row groups, since a cell can be large, and no dictionary for what hardly repeats.
-LAYOUT = {"compression": "zstd", "parquet__compression__codec__zstd__level": "6", "parquet__enable__dictionary": "false", "parquet__block__size": str(16 << 20)}
+LAYOUT = {"compression": "zstd", "parquet__compression__codec__zstd__level": "9", "parquet__enable__dictionary": "false", "parquet__block__size": str(16 << 20)}
 
 # Fixed values of the IMA ADPCM format: step sizes follow its published table, index changes by nibble.
 # fmt: off
@@ -129,7 +129,7 @@ def store_telephony(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for b in by_bytes(whole, "text", 4 << 20):
+            for b in by_bytes(whole, "text", 1 << 20):
                 off, data = utf8(b.column("text"))
                 raw, at = data.tobytes(), off.tolist()
                 made = []
@@ -154,7 +154,7 @@ def telephony_features(media: DataFrame, keep_pcm: bool = False) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [x.split()[0] for x in schema.split(", ")]
         for whole in batches:
-            for b in by_bytes(whole, "media", 4 << 20):
+            for b in by_bytes(whole, "media", 1 << 20):
                 made = b.column("media").to_pylist()
                 read = [read_wav(m) if m is not None else (memoryview(b"\0" * BLOCK), 0) for m in made]
                 size = np.array([len(x) for x, _ in read], np.int64)
