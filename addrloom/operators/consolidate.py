@@ -14,7 +14,7 @@ from ..functions.text import is_blank, normalize_name
 from ..workers import ship_package
 
 UNMATCHED = "UNMATCHED"
-#: Similarity from which names belong together; most distinct names of a code whose leaders are found in one task (see `fuzzy_leaders`).
+#: Similarity from which names belong together.
 THRESHOLD = 0.85
 #: Names of one code and one character that a task compares with all others of them.
 PAIR_BLOCK = 1024
@@ -43,28 +43,30 @@ def exact_groups(rows: DataFrame) -> DataFrame:
 
 
 def leaders_of(names: list[str], threshold: float) -> list[str]:
-    """For distinct names in order of appearance, the first leader each is similar enough to; a name without one leads itself."""
-    leaders: list[tuple[str, str]] = []
+    """For distinct names in order of appearance, the first leader each is similar enough to; a name without one leads itself.
+
+    Leaders are kept by the length of their sorted words, so a name is only held against those
+    whose length allows the threshold, and, among these, whose characters do.
+    """
+    leaders: dict[int, list[tuple[int, str, str, Counter[str]]]] = {}
+    known: set[str] = set()
     out = []
     for n in names:
         own = sorted_tokens(n)
-        found = None
-        if n:
-            for key, tokens in leaders:
-                if not own or not tokens:
-                    alike = 0.0
-                elif not could_reach(len(own), len(tokens), threshold):
-                    continue
-                else:
-                    total = len(own) + len(tokens)
-                    alike = 1 - (total - 2 * common_subsequence(own, tokens)) / total
-                if alike >= threshold:
+        found = n
+        if n and threshold <= 0:
+            found = min((x for v in leaders.values() for x in v), default=(0, n, "", None))[1]
+        elif n and own:
+            have = Counter(own)
+            fits = sorted(x for size, v in leaders.items() if could_reach(len(own), size, threshold) for x in v)
+            for _, key, tokens, chars in fits:
+                total = len(own) + len(tokens)
+                if 2 * (have & chars).total() / total >= threshold and 1 - (total - 2 * common_subsequence(own, tokens)) / total >= threshold:
                     found = key
                     break
-        if found is None:
-            found = n
-            if n not in {k for k, _ in leaders}:
-                leaders.append((n, own))
+        if found == n and n not in known:
+            known.add(n)
+            leaders.setdefault(len(own), []).append((len(known), n, own, Counter(own)))
         out.append(found)
     return out
 
@@ -93,7 +95,26 @@ def with_leaders(rows: DataFrame, leaders: DataFrame) -> DataFrame:
 
 
 def fuzzy_groups(rows: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    return exact_groups(with_leaders(rows, fuzzy_leaders(rows, threshold)))
+    """The groups of `exact_groups` with each name replaced by its leader's.
+
+    Rows are first counted by code and name, so they are read and parsed once; the scan for
+    leaders and the grouping see one row per distinct name. The names of rows without a code
+    are one code's names like any other's.
+    """
+    ship_package(rows.sparkSession)
+    x = rows.select("row_id", "name_key", "pin_key", F.col("parsed.society_name").alias("society"))
+    names = x.groupBy("pin_key", "name_key").agg(F.count(F.lit(1)).alias("n"), F.min_by("society", "row_id").alias("society"), F.min("row_id").alias("first_row"))
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("first_row")
+        return pdf.assign(leader=leaders_of(pdf["name_key"].tolist(), threshold))
+
+    led = names.filter("name_key is not null").groupBy("pin_key").applyInPandas(run, "pin_key string, name_key string, n long, society string, first_row long, leader string")
+    first = [F.min_by(F.struct("society", "pin_key"), "first_row").alias("first"), F.sum("n").alias("record_count"), F.min("first_row").alias("first_row")]
+    named = led.groupBy(group_id(F.col("leader"), F.col("pin_key")).alias("group_id")).agg(*first).select("group_id", "first.society", "first.pin_key", "record_count", "first_row")
+    none = names.filter("name_key is null").groupBy(F.lit(UNMATCHED).alias("group_id")).agg(F.sum("n").alias("record_count"), F.min("first_row").alias("first_row"))
+    none = none.select("group_id", F.lit("").alias("society"), F.lit("").alias("pin_key"), "record_count", "first_row")
+    return named.unionByName(none).select("group_id", F.col("society").alias("society_name"), F.col("pin_key").alias("pin_code"), "record_count", "first_row")
 
 
 def _characters(name: str) -> list[str]:
@@ -176,14 +197,3 @@ def group_stats(groups: DataFrame, rows: DataFrame) -> DataFrame:
         F.round(ratio(n - F.col("unmatched_count"), n) * 100, 6).alias("match_percentage"), "parse_success_count", (n - F.col("parse_success_count")).alias("parse_failure_count"), "unmatched_count",
     )
 
-
-def leaders_in_stream(batches: Iterator[pd.DataFrame], known: list[str], threshold: float) -> list[str]:
-    """Leaders after further names of one code; what the streaming form keeps as its state."""
-    out = list(known)
-    for pdf in batches:
-        for n in pdf["name_key"].tolist():
-            if n is not None:
-                lead = leaders_of([*out, n], threshold)[-1]
-                if lead == n and n not in out:
-                    out.append(n)
-    return out

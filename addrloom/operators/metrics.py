@@ -65,9 +65,9 @@ def recovery_rate(errors: DataFrame, recovered: str = "recovered") -> DataFrame:
 def variation(runs: DataFrame, value: str, mean: Column | None = None, limit: float = 0.3) -> DataFrame:
     """Population deviation around a reported mean over that mean, and whether it is above the limit."""
     m = mean if mean is not None else F.avg(value)
-    g = runs.agg(m.alias("mean"), F.avg(F.col(value) * F.col(value)).alias("sq"), F.avg(value).alias("own"))
-    var = F.col("sq") - 2 * F.col("mean") * F.col("own") + F.col("mean") * F.col("mean")
-    cv = F.when(F.col("mean") > 0, F.sqrt(F.greatest(var, F.lit(0.0))) / F.col("mean")).otherwise(F.lit(0.0))
+    g = runs.agg(m.alias("mean"), F.var_pop(value).alias("var"), F.avg(value).alias("own"))
+    var = F.col("var") + (F.col("own") - F.col("mean")) * (F.col("own") - F.col("mean"))
+    cv = F.when(F.col("mean") > 0, F.sqrt(var) / F.col("mean")).otherwise(F.lit(0.0))
     return g.select(cv.alias("variation"), (cv > limit).alias("variable"))
 
 

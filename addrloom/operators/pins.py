@@ -9,6 +9,19 @@ from pyspark.sql.window import Window
 from ..functions.text import effective_pin, none_if_empty, strip, title_case, truncated
 
 
+def pin_counts(rows: DataFrame) -> DataFrame:
+    """The counts of `pin_summary` without its lists, which may be as long as a code has names: nothing here grows with a code."""
+    ok = F.col("parsed.parse_success")
+    x = rows.select(effective_pin(F.col("parsed.pin_code"), F.col("pincode")).alias("pin_code"), ok.alias("ok"), _folded(F.col("parsed.locality"), ok).alias("locality"), _folded(F.col("parsed.society_name"), ok).alias("society"))
+    g = x.groupBy("pin_code").agg(F.count(F.lit(1)).alias("total_addresses"), F.count_if("ok").alias("successful_parses"), F.countDistinct("locality").alias("distinct_localities_count"), F.countDistinct("society").alias("distinct_societies_count"))
+    return g.withColumn("success_rate_percent", F.col("successful_parses") / F.col("total_addresses") * 100)
+
+
+def by_size(summary: DataFrame) -> DataFrame:
+    """A summary from the largest code to the smallest, equal ones by code: totally ordered, by ranges."""
+    return summary.orderBy(F.col("total_addresses").desc(), "pin_code")
+
+
 def _folded(c: Column, on: Column) -> Column:
     return F.when(on, none_if_empty(F.lower(strip(c))))
 

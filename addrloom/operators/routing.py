@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -27,7 +29,7 @@ def resolved(df: DataFrame, rules: str = "by_rules", entities: str = "by_entitie
     first = F.col("route") == ENTITIES
     own, other = F.when(first, F.col(entities)).otherwise(F.col(rules)), F.when(first, F.col(rules)).otherwise(F.col(entities))
     name, other_name = F.when(first, F.lit(ENTITIES)).otherwise(F.lit(RULES)), F.when(first, F.lit(RULES)).otherwise(F.lit(ENTITIES))
-    score = F.format_string("%.2f", F.col("complexity"))
+    score = F.format_number("complexity", 2)  # of the exact value, as a tie of the decimal notation is none
     good = _noted(own, F.concat(F.lit("Parsed using "), name, F.lit(" parser (complexity: "), score, F.lit(")")))
     second = _noted(other, F.concat(F.lit("Parsed using "), other_name, F.lit(" parser (fallback, complexity: "), score, F.lit(")")))
     x = df.withColumn("_own", own).withColumn("_other", other)
@@ -38,6 +40,33 @@ def resolved(df: DataFrame, rules: str = "by_rules", entities: str = "by_entitie
     return x.withColumn(out, result).withColumn("used", used).withColumn("fell_back", ~ok & other_ok & F.lit(fallback)).drop("_own", "_other")
 
 
+Parser = Callable[[DataFrame, str, str], DataFrame]
+
+
+def routed_parse(df: DataFrame, rules: Parser, entities: Parser, column: str = "addr_text", out: str = "parsed", threshold: float = THRESHOLD, fallback: bool = True) -> DataFrame:
+    """Adds complexity, route, the record, `used` and `fell_back`: each row is read by the parser it is routed to, and by the other only if that fails.
+
+    A parser takes rows, the column to read and the column to write. It is given null where it
+    isn't asked, which it answers with a failed record at no cost, so nothing is split or joined.
+    """
+    asked = lambda x, when, read, parser, to: parser(x.withColumn(read, F.when(when, F.col(column))), read, to).drop(read)
+    x = routed(df, column, threshold)
+    x = asked(x, F.col("route") == RULES, "_asked", rules, "_rules")
+    x = asked(x, F.col("route") == ENTITIES, "_asked", entities, "_entities")
+    first = F.when(F.col("route") == ENTITIES, F.col("_entities")).otherwise(F.col("_rules"))
+    x = x.withColumn("_first", first).drop("_rules", "_entities")
+    if not fallback:
+        x = x.withColumn("_second", failed(F.lit("")))
+    else:
+        again = ~F.col("_first.parse_success")
+        x = asked(x, again & (F.col("route") == ENTITIES), "_asked", rules, "_rules")
+        x = asked(x, again & (F.col("route") == RULES), "_asked", entities, "_entities")
+        x = x.withColumn("_second", F.when(F.col("route") == ENTITIES, F.col("_rules")).otherwise(F.col("_entities"))).drop("_rules", "_entities")
+    own = lambda name: F.when(F.col("route") == name, F.col("_first")).otherwise(F.col("_second"))
+    x = x.withColumn("by_rules", own(RULES)).withColumn("by_entities", own(ENTITIES)).drop("_first", "_second")
+    return resolved(x, out=out, fallback=fallback).drop("by_rules", "by_entities")
+
+
 def usage(df: DataFrame) -> DataFrame:
     """One row: how often each parser was used, fell back, failed; percentages to one place."""
     g = df.agg(F.count(F.lit(1)).alias("total_attempts"), F.count_if(F.col("used").isNotNull()).alias("total_parsed"), F.count_if(F.col("used") == RULES).alias("rules_used"), F.count_if(F.col("used") == ENTITIES).alias("entities_used"), F.count_if("fell_back").alias("fallback_used"))

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from ..functions import complexity, llm_json, rules
-from ..schema import COMPARED, FIELDS
+from ..schema import COMPARED, FIELDS, SHORT
 from .fixtures import addresses_sql
 
 A = f"addresses AS MATERIALIZED ({addresses_sql()})"
@@ -104,6 +104,22 @@ SHEET_FIELDS = ["unit_number", "society_name", "landmark", "road", "locality", "
 SHEET = f"sh AS (SELECT row_id, CASE WHEN length(addr_text) > 100 THEN substr(addr_text, 1, 100) || '...' ELSE addr_text END AS address, {', '.join(SHEET_FIELDS)}, {' + '.join(f"({f} <> '')::INT" for f in SHEET_FIELDS)} AS fields, parse_success AS ok, coalesce(parse_error, '') AS error FROM p)"
 
 
+FILES = """fs AS (SELECT source_file, count(*) AS rows, count_if(parse_success)::BIGINT AS succeeded FROM p GROUP BY 1),
+fr AS (SELECT row_number() OVER (ORDER BY source_file)::INT AS file_index, source_file, rows, succeeded, rows - succeeded AS errors, round(succeeded / rows * 100, 6) AS success_rate, seconds, round(CASE WHEN seconds > 0 THEN rows / seconds ELSE 0 END, 6) AS rate
+  FROM (SELECT *, CASE WHEN source_file = 'p7.csv' THEN 0.0::DOUBLE ELSE regexp_extract(source_file, '(\\d+)', 1)::INT * 0.25::DOUBLE END AS seconds FROM fs))"""
+MACHINE = "WITH m AS (SELECT *, mb / greatest(gpus, 1) AS each FROM (SELECT o_orderkey, o_orderkey % 4 AS gpus, o_orderkey % 13 * 1000 AS mb, o_orderkey % 3 <> 0 AS usable, o_orderkey % 33 AS cores, o_orderkey % 40 AS memory FROM orders))"
+
+
+def splits_sql() -> str:
+    def row(name: str, shares: list[str]) -> str:
+        parts = [f"floor(n * {x}::DOUBLE)::BIGINT" for x in shares]
+        return f"SELECT o_orderkey, '{name}' AS split, array_to_string([{', '.join([*parts, 'n - ' + ' - '.join(parts)])}]::VARCHAR[], ',') AS rows FROM x"
+
+    named = {"70/30": ["0.7"], "65/30/5": ["0.65", "0.3"], "80/1/19": ["0.8", "0.01"], "75/1/24": ["0.75", "0.01"], "90/1/9": ["0.9", "0.01"], "85/2/13": ["0.85", "0.02"], "95/5": ["0.95"], "80/20": ["0.8"], "90/10": ["0.9"], "98/2": ["0.98"]}
+    even = "SELECT o_orderkey, 'even' AS split, array_to_string([" + ", ".join(["n // 7"] * 6) + ", n - 6 * (n // 7)]::VARCHAR[], ',') AS rows FROM x"
+    return "WITH x AS (SELECT o_orderkey, o_orderkey % 2000 + 1 AS n FROM orders) " + " UNION ALL ".join([*(row(k, v) for k, v in named.items()), even])
+
+
 def mock_fields() -> dict[str, str]:
     low, words = "lower(addr_text)", "list_filter(regexp_split_to_array(addr_text, '\\s+'), lambda w: w <> '')"
 
@@ -134,6 +150,19 @@ def when_text(fields: dict[str, str]) -> str:
     return ", ".join(f"CASE WHEN {strip('addr_text')} = '' THEN '' ELSE {e} END AS {f}" for f, e in fields.items())
 
 
+def fuzzy_names() -> str:
+    """CTEs: distinct names per code in order of their first rows (k), and how alike any two names are, by the longest common subsequence of their sorted words."""
+    n = NAME.replace("society_name", "society_name")
+    longest = """list_reduce(list_prepend(list_transform(range(0, len(y) + 1), lambda i: 0::BIGINT), list_transform(x, lambda c: [ascii(c)::BIGINT])),
+      lambda row, c: list_transform(range(1, len(y) + 2), lambda j: list_max(list_prepend(0::BIGINT, list_transform(range(2, j + 1), lambda i: CASE WHEN ascii(y[i - 1]) = c[1] THEN row[i - 1] + 1 ELSE row[i] END)))))"""
+    return f"""{RULES}, {entities('>', 'x')},
+kn AS (SELECT row_id, pin_code AS pin_key, society_name, CASE WHEN {strip('society_name')} <> '' THEN {n} END AS name_key FROM n),
+dn AS MATERIALIZED (SELECT pin_key, name_key, min(row_id) AS first_row, count(*) AS rows, arg_min(society_name, row_id) AS society FROM kn WHERE name_key IS NOT NULL GROUP BY 1, 2),
+one AS MATERIALIZED (SELECT DISTINCT name_key AS name, string_split(array_to_string(list_sort(list_filter(string_split(name_key, ' '), lambda w: w <> '')), ' '), '') AS c FROM dn WHERE name_key <> ''),
+two AS MATERIALIZED (SELECT a.name AS a, b.name AS b, a.c AS x, b.c AS y FROM one a JOIN one b ON a.name < b.name AND 2 * least(len(a.c), len(b.c)) >= 0.84 * (len(a.c) + len(b.c))),
+like_ AS MATERIALIZED (SELECT a, b, round(2.0::DOUBLE * ({longest})[-1] / (len(x) + len(y)), 6) AS similarity FROM two)"""
+
+
 def oracle_sql() -> dict[str, str]:
     levels = [f"round((n - {c}) / n * 100, 6) AS {c}_pct" for c in ("societies", "localities", "pins")] + [f"round(n / {c}, 6) AS {c}_factor" for c in ("societies", "localities", "pins")]
     top = lambda by, n, extra="": f"{RULES}, {summary()} SELECT pin_code, total_addresses{extra} FROM u ORDER BY {by} DESC, pin_code LIMIT {n}"
@@ -153,6 +182,17 @@ def oracle_sql() -> dict[str, str]:
         "location_identifier": f"{RULES} SELECT row_id, CASE WHEN society_name = '' THEN 'UNMATCHED' ELSE society_name END || '_' || pin_code AS location_identifier FROM p",
         "sanitize": "SELECT doc_id, regexp_replace(coalesce(text, '') || chr(1) || 'x' || chr(9) || chr(11) || chr(31), '[\\x00-\\x08\\x0B\\x0C\\x0E-\\x1F]', '', 'g') AS clean FROM documents",
         "display_truncate": f"WITH {A} SELECT row_id, CASE WHEN length(addr_text) > 100 THEN substr(addr_text, 1, 100) || '...' ELSE addr_text END AS shown FROM addresses",
+        "random_sample": f"WITH {A} SELECT row_id, addr_text FROM addresses ORDER BY md5('42|' || row_id), row_id LIMIT 100",
+        "similarity_pairs": f"{fuzzy_names()} SELECT p1.pin_key, a AS left_name, b AS right_name, similarity FROM like_ JOIN dn p1 ON p1.name_key = a JOIN dn p2 ON p2.name_key = b AND p1.pin_key = p2.pin_key WHERE similarity >= 0.85",
+        "consolidate_fuzzy": f"""{fuzzy_names().replace('WITH ', 'WITH RECURSIVE ', 1)},
+near AS MATERIALIZED (SELECT name, list(other) AS others FROM (SELECT a AS name, b AS other FROM like_ WHERE similarity >= 0.85 UNION ALL SELECT b, a FROM like_ WHERE similarity >= 0.85) GROUP BY 1),
+seq AS MATERIALIZED (SELECT pin_key, name_key, coalesce(others, []) AS others, row_number() OVER (PARTITION BY pin_key ORDER BY first_row) AS k FROM dn LEFT JOIN near ON name = name_key),
+walk AS (SELECT pin_key, 0::BIGINT AS k, []::VARCHAR[] AS leaders, NULL::VARCHAR AS name_key, NULL::VARCHAR AS leader FROM (SELECT DISTINCT pin_key FROM dn)
+  UNION ALL SELECT w.pin_key, s.k, CASE WHEN len(list_filter(w.leaders, lambda l: list_contains(s.others, l))) > 0 THEN w.leaders ELSE list_append(w.leaders, s.name_key) END, s.name_key, coalesce(list_filter(w.leaders, lambda l: list_contains(s.others, l))[1], s.name_key)
+  FROM walk w JOIN seq s ON s.pin_key = w.pin_key AND s.k = w.k + 1),
+led AS (SELECT coalesce(md5(w.leader || '|' || kn.pin_key), 'UNMATCHED') AS group_id, kn.row_id, kn.society_name, kn.pin_key FROM kn LEFT JOIN walk w ON w.pin_key = kn.pin_key AND w.name_key = kn.name_key)
+SELECT group_id, CASE WHEN group_id = 'UNMATCHED' THEN '' ELSE arg_min(society_name, row_id) END AS society_name, CASE WHEN group_id = 'UNMATCHED' THEN '' ELSE arg_min(pin_key, row_id) END AS pin_code, count(*) AS record_count FROM led GROUP BY group_id""",
+        "stream_consolidation": f"{fuzzy_names()} SELECT pin_key, sum(rows)::BIGINT AS rows, count(*) AS names FROM dn GROUP BY 1",
         "consolidate_exact": f"{RULES}, {KEYED}, {GROUPS} SELECT group_id, society_name, pin_code, record_count FROM gs",
         "group_members": f"{RULES}, {KEYED} SELECT row_id, group_id FROM g",
         "group_stats": f"""{RULES}, {KEYED}, {GROUPS}, s AS (SELECT count(*) AS total_groups, sum(record_count)::BIGINT AS n, max(record_count) AS largest_group_size, arg_max(society_name, (record_count, (group_id <> 'UNMATCHED')::INT, -first_row)) AS largest_group_name, coalesce(sum(record_count) FILTER (group_id = 'UNMATCHED'), 0)::BIGINT AS unmatched_count FROM gs)
@@ -177,6 +217,9 @@ SELECT *, round((total_addresses - distinct_societies) / total_addresses * 100,
 f AS (SELECT *, CASE WHEN route = 'rules' THEN CASE WHEN okr THEN 'rules' WHEN oke THEN 'entities' END ELSE CASE WHEN oke THEN 'entities' WHEN okr THEN 'rules' END END AS used FROM v),
 h AS (SELECT count(*) AS total_attempts, count(used) AS total_parsed, count_if(used = 'rules')::BIGINT AS rules_used, count_if(used = 'entities')::BIGINT AS entities_used, count_if(used <> route)::BIGINT AS fallback_used FROM f)
 SELECT *, total_attempts - total_parsed AS total_failed, round(total_parsed / total_attempts * 100, 1) AS success_rate_percent, round(rules_used / total_parsed * 100, 1) AS rules_usage_percent, round(entities_used / total_parsed * 100, 1) AS entities_usage_percent, round(fallback_used / total_attempts * 100, 1) AS fallback_usage_percent FROM h""",
+        "route_notes": f"""{RULES}, {entities('>', 'x')}, w AS (SELECT row_id, {score("coalesce(addr_text, '')")} AS complexity FROM addresses), v AS (SELECT row_id, complexity, CASE WHEN complexity >= 0.3 THEN 'entities' ELSE 'rules' END AS route, p.parse_success AND row_id % 7 <> 0 AS okr, n.parse_success AND row_id % 5 <> 0 AS oke, p.parse_error AS er, n.parse_error AS ee FROM w JOIN p USING (row_id) JOIN n USING (row_id)),
+f AS (SELECT *, CASE WHEN route = 'rules' THEN okr ELSE oke END AS ok1, CASE WHEN route = 'rules' THEN oke ELSE okr END AS ok2, CASE WHEN route = 'rules' THEN 'entities' ELSE 'rules' END AS other, CASE WHEN route = 'rules' THEN ee ELSE er END AS e2 FROM v)
+SELECT row_id, ok1 OR ok2 AS parse_success, CASE WHEN ok1 THEN 'Parsed using ' || route || ' parser (complexity: ' || printf('%.2f', complexity) || ')' WHEN ok2 THEN 'Parsed using ' || other || ' parser (fallback, complexity: ' || printf('%.2f', complexity) || ')' ELSE '' END AS note, CASE WHEN NOT ok1 AND NOT ok2 THEN 'Both parsers failed. Primary: ' || route || ', Fallback: ' || coalesce(e2, '') END AS parse_error FROM f""",
         "tune_threshold": f"WITH {A}, w AS (SELECT {score("coalesce(addr_text, '')")} AS s FROM addresses), o AS (SELECT s, row_number() OVER (ORDER BY s) AS k, count(*) OVER () AS n FROM w) SELECT round(s, 6) AS threshold FROM o WHERE k = floor(n * (1.0::DOUBLE - 0.3::DOUBLE)) + 1",
         "entity_map": f"WITH {A}, {entities('>', 'Parsed using entity recogniser')} SELECT row_id, {ALL}, parse_success FROM n",
         "entity_map_cpu": f"WITH {A}, {entities('>=', 'cpu')} SELECT row_id, {ALL}, parse_success FROM n",
@@ -235,5 +278,37 @@ z AS (SELECT o_orderkey, n, CASE WHEN (n - cpu) / n < 0.95 THEN greatest(floor(n
         "report_json": f"{RULES} SELECT '{{\"total_rows\":' || count(*) || ',\"successful\":' || count_if(parse_success) || ',\"failed\":' || count_if(NOT parse_success) || '}}' AS report FROM p",
         "stream_rule_parse": f"{RULES} SELECT row_id, {ALL}, parse_success FROM p",
         "stream_throughput": "SELECT date_trunc('second', ts) AS at, count(*) AS n FROM events GROUP BY 1",
+        "pins_by_size": f"{RULES}, {summary()} SELECT row_number() OVER (ORDER BY total_addresses DESC, pin_code) AS place, pin_code, total_addresses FROM u",
+        "first_societies": f"{RULES} SELECT DISTINCT {strip('society_name')} AS society_name FROM p WHERE {strip('society_name')} <> '' ORDER BY 1 LIMIT 20",
+        "hybrid_output": f"{RULES} SELECT addr_hash_key, addr_text, city_id, pincode, state_id, zone_id, address_id, assigned_pickup_dlvd_geo_points, assigned_pickup_dlvd_geo_points_count, {', '.join(f'{f} AS {x}' for f, x in SHORT.items())}, parse_success, coalesce(parse_error, '') AS parse_error, 'hybrid_gpu_cpu' AS processing_method, 1.5::DOUBLE AS processing_time FROM p",
+        "comprehensive_full": f"{RULES} SELECT row_id, {', '.join(f'{f} AS parsed_{f}' for f in FIELDS)}, parse_success, coalesce(parse_error, '') AS parse_error, '2024-01-01T00:00:00' AS processing_timestamp, 2.5::DOUBLE AS processing_time_seconds, CASE WHEN row_number() OVER (ORDER BY row_id) <= 1000 THEN 'GPU' ELSE 'CPU' END AS processed_by_device, 'none' AS gpu_device_name, 400.0::DOUBLE AS throughput_rate, 10.0::DOUBLE AS gpu_utilization_percent, 50.0::DOUBLE AS processing_efficiency FROM p",
+        "file_report": f"{RULES}, {FILES} SELECT * FROM fr",
+        "batch_report": f"{RULES}, {FILES}, b AS (SELECT count(*) AS files, sum(rows)::BIGINT AS rows, sum(succeeded)::BIGINT AS succeeded, avg(CASE WHEN rate > 0 THEN rate END) AS m, max(rate) AS x, stddev_pop(CASE WHEN rate > 0 THEN rate END) AS sp FROM fr) SELECT files, rows, succeeded, round(m, 6) AS mean_rate, round(x, 6) AS peak_rate, round(sp / m, 6) AS variation, round(least(m / 1500 * 50, 50) + 30 + 14, 6) AS score, m >= 1500 AS rate_target_met, true AS utilisation_target_met, concat_ws('; ', CASE WHEN m < 1500 THEN 'raise throughput' END, 'raise efficiency', CASE WHEN sp / m > 0.3 THEN 'files differ much: like sizes, like batches' END) AS advice, files::INT AS details FROM b",
+        "csv_ingest": f"WITH {A} SELECT row_id, addr_text, pincode, city_id, source_file AS file_name FROM addresses",
+        "skip_files": f"WITH {A} SELECT DISTINCT source_file AS path FROM addresses WHERE source_file NOT IN ('p1.csv', 'p4.csv')",
+        "processed_parts": "SELECT o_orderkey, CASE WHEN o_orderkey % 4 < 2 THEN 'p' || o_orderkey % 50 END AS part FROM orders",
+        "run_times": "SELECT user_id, strftime(min(ts), '%Y%m%d_%H%M%S') AS stamp, date_diff('second', date_trunc('second', min(ts)), date_trunc('second', max(ts))) AS seconds FROM events GROUP BY 1",
+        "external_parser": f"""WITH {A}, v AS (SELECT row_id, {strip('addr_text')} AS t, list_transform(string_split({strip('addr_text')}, ','), lambda x: trim(x)) AS c FROM addresses WHERE row_id % 101 <> 0)
+SELECT row_id, CASE WHEN len(c) > 1 THEN c[-2] ELSE '' END AS locality, CASE WHEN len(c) > 1 THEN c[-1] ELSE '' END AS city, CASE WHEN len(c) > 1 THEN 'India' ELSE '' END AS country, len(c) > 1 AS parse_success, CASE WHEN t = '' THEN '{rules.EMPTY_ERROR}' WHEN len(c) < 2 THEN 'parsing failed after 2 attempts: no parts' END AS parse_error FROM v""",
+        "llm_json_long": f"WITH {A}, v AS (SELECT *, {strip('addr_text')} <> '' AND row_id % 5 <> 2 AS ok FROM addresses) SELECT row_id, ok AS parse_success, CASE WHEN ok THEN x_unit ELSE '' END AS unit_number, CASE WHEN ok AND {strip('x_society')} <> '' THEN x_society ELSE '' END AS society_name, CASE WHEN ok THEN x_city ELSE '' END AS city, CASE WHEN ok THEN CASE WHEN row_id % 2 = 0 THEN 'Bharat' ELSE 'India' END ELSE '' END AS country FROM v",
+        "llm_token_cost": f"""WITH {A}, j AS (SELECT source_file, row_id, length('Split this Indian postal address into its parts. Answer with one JSON object with the keys {', '.join(COMPARED)}; use an empty string for a part that is missing.' || chr(10) || 'Address: ' || '{{"address":' || to_json(addr_text) || '}}') AS q, length('{{"UN":' || to_json(x_unit) || ',"SN":' || to_json(x_society) || ',"LOC":' || to_json(x_locality) || ',"CY":' || to_json(x_city) || ',"PIN":' || to_json(x_pin) || '}}') AS f FROM addresses),
+t AS (SELECT source_file, ceil(q / 4) AS asked, ceil(CASE row_id % 5 WHEN 0 THEN f + 12 WHEN 1 THEN 14 WHEN 2 THEN 12 ELSE f END / 4) AS answered FROM j)
+SELECT source_file, sum(asked + answered)::BIGINT AS tokens, round(sum(asked / 1000 * 0.01::DOUBLE + answered / 1000 * 0.03::DOUBLE), 6) AS cost, round(avg(asked / 1000 * 0.01::DOUBLE + answered / 1000 * 0.03::DOUBLE), 6) AS cost_per_address FROM t GROUP BY 1""",
+        "entity_lookup": f"WITH {A} SELECT row_id, x_road AS street, x_state AS state, 9 AS labels FROM addresses",
+        "fixed_splits": splits_sql(),
+        "device_conflict": "SELECT o_orderkey, (o_orderkey % 2 = 0 AND o_orderkey % 4 >= 2) OR (o_orderkey % 3 = 0 AND o_orderkey % 5 >= 4) OR (o_orderkey % 4 > 0 AND o_orderkey % 5 > 2) AS conflict FROM orders",
+        "hardware_estimate": f"""{MACHINE} SELECT o_orderkey, floor(500.0::DOUBLE * CASE WHEN gpus > 0 AND usable THEN CASE WHEN mb > 8000 THEN 4.0::DOUBLE WHEN mb > 4000 THEN 2.5 ELSE 1.5 END * CASE WHEN gpus > 1 THEN least(gpus * 0.7::DOUBLE, 2.0) ELSE 1.0 END ELSE 1.0 END * CASE WHEN cores >= 16 THEN 1.3::DOUBLE WHEN cores >= 8 THEN 1.1 ELSE 1.0 END * CASE WHEN memory >= 32 THEN 1.2::DOUBLE WHEN memory >= 16 THEN 1.1 ELSE 1.0 END + 1e-9)::BIGINT AS rate,
+CASE WHEN gpus <= 0 THEN 400 WHEN each > 8000 THEN 600 WHEN each > 4000 THEN 400 ELSE 200 END AS batch_size, CASE WHEN gpus <= 0 THEN 10 WHEN each > 8000 THEN 15 WHEN each > 4000 THEN 10 ELSE 8 END AS queue_size, CASE WHEN cores >= 16 THEN 0.01::DOUBLE WHEN cores >= 8 THEN 0.02 ELSE 0.03 END AS cpu_ratio,
+(CASE WHEN gpus > 0 THEN least(gpus * 2, 4) ELSE 2 END)::INT AS streams, (CASE WHEN cores < 4 THEN 1 ELSE greatest(2, cores // 4) END)::INT AS workers, memory < 8 AS memory_limited, gpus > 0 AND floor(each) < 4000 AS gpu_memory_limited, cores < 4 AS cpu_limited FROM m""",
+        "hardware_tuning": f"""{MACHINE} SELECT o_orderkey, CASE WHEN mb / 600 >= 12 THEN 800 WHEN mb / 600 >= 8 THEN 600 ELSE 400 END AS batch_size, CASE WHEN mb / 600 >= 12 THEN 0.95::DOUBLE WHEN mb / 600 >= 8 THEN 0.9 ELSE 0.85 END AS memory_share, CASE WHEN mb / 600 >= 12 THEN 15 WHEN mb / 600 >= 8 THEN 12 ELSE 8 END AS queue_size, CASE WHEN mb / 600 >= 12 THEN 3 ELSE 2 END AS streams,
+CASE WHEN cores >= 16 THEN 0.02::DOUBLE WHEN cores >= 8 THEN 0.03 ELSE 0.05 END AS cpu_ratio, CASE WHEN cores >= 16 THEN 4 WHEN cores >= 8 THEN 3 ELSE 2 END AS workers, CASE WHEN cores >= 16 THEN 75 WHEN cores >= 8 THEN 60 ELSE 50 END AS cpu_batch_size, CASE WHEN o_orderkey % 3000 >= 2500 THEN 5 WHEN o_orderkey % 3000 >= 2000 THEN 10 ELSE 15 END AS log_interval, CASE WHEN o_orderkey % 3000 >= 2500 THEN 0.95::DOUBLE WHEN o_orderkey % 3000 >= 2000 THEN 0.9 ELSE 0.85 END AS utilisation FROM m""",
+        "progress_eta": "SELECT o_orderkey, round((o_orderkey % 1000) / 1000 * 100, 6) AS percent, round(CASE WHEN o_orderkey % 60 > 0 THEN (o_orderkey % 1000) / (o_orderkey % 60) ELSE 0.0::DOUBLE END, 6) AS rate, round(CASE WHEN o_orderkey % 60 > 0 AND o_orderkey % 1000 > 0 THEN (1000 - o_orderkey % 1000) / ((o_orderkey % 1000) / (o_orderkey % 60)) / 60 ELSE 0.0::DOUBLE END, 6) AS eta_minutes FROM orders",
+        "time_estimate": "SELECT o_orderkey, floor(o_orderkey * 0.75::DOUBLE)::BIGINT AS rows, 10 + floor(o_orderkey * 0.75::DOUBLE) * 0.5::DOUBLE AS seconds, (10 + floor(o_orderkey * 0.75::DOUBLE) * 0.5::DOUBLE) * 1.5::DOUBLE AS safe_seconds FROM orders",
+        "advice_run": f"""SELECT o_orderkey, concat_ws('; ', CASE WHEN o_orderkey % 101 < 50 THEN 'utilisation is very low: larger batches, or fewer rows for the CPU' WHEN o_orderkey % 101 < 70 THEN 'utilisation is low: a longer queue, or more streams' END, CASE WHEN {cs} < 1000 THEN 'rate is below half the target: compile the model, use half precision' WHEN {cs} < 1600 THEN 'rate is below the target: larger batches, or more memory for them' END,
+CASE o_orderkey % 3 WHEN 0 THEN 'feeding is slow: more feeders, or cheaper preparation of batches' WHEN 1 THEN 'collecting is slow: more collectors, or cheaper output' END, CASE WHEN o_orderkey % 100 > 95 THEN 'memory is nearly full: smaller batches' WHEN o_orderkey % 100 < 70 THEN 'memory is free: larger batches' END, CASE WHEN o_orderkey % 97 > 80 THEN 'temperature is high: check the cooling' END) AS advice FROM orders""",
+        "advice_benchmarks": f"""WITH {RUNS}, b AS ({BENCH('true')}), t AS (SELECT max(avg_throughput) AS rate, max(avg_utilisation) AS use FROM b) SELECT unnest(list_filter([CASE WHEN rate < 1000 THEN 'rate is low: accelerate, enlarge batches or compile the model' WHEN rate < 1500 THEN 'rate is moderate: tune batch sizes and the queue' END, CASE WHEN use < 70 THEN 'utilisation is low: enlarge batches or feed faster' WHEN use > 95 THEN 'utilisation is very high: watch heat and memory' END], lambda x: x IS NOT NULL)) AS advice FROM t
+UNION ALL SELECT 'low success rate: ' || configuration FROM b WHERE success_rate < 90""",
+        "advice_suite": f"WITH {RUNS}, b AS ({BENCH('true')}), t AS (SELECT arg_max(avg_utilisation, avg_throughput) AS use, max(avg_throughput) AS rate, min(avg_throughput) AS worst, count(*) AS n FROM b) SELECT concat_ws('; ', CASE WHEN rate < 1000 THEN 'best rate is below half the target: better hardware, or acceleration' WHEN rate < 1600 THEN 'best rate is below the target: larger batches, or a compiled model' END, CASE WHEN use < 70 THEN 'utilisation is low: enlarge batches or feed faster' WHEN use > 95 THEN 'utilisation is very high: watch heat and memory' END, 'little memory: smaller batches', CASE WHEN n > 1 AND rate > worst * 1.5 THEN 'configurations differ much: keep to the best' END) AS advice FROM t",
+        "advice_batch": f"SELECT o_orderkey, coalesce(nullif(concat_ws('; ', CASE WHEN {cs} < 1500 THEN 'raise throughput' END, CASE WHEN o_orderkey % 101 < 90 THEN 'raise utilisation' END, CASE WHEN o_orderkey % 100 < 80 THEN 'raise efficiency' END, CASE WHEN (o_orderkey % 10) / 20.0::DOUBLE > 0.3 THEN 'files differ much: like sizes, like batches' END), ''), 'targets achieved') AS advice FROM orders",
         "error_counts": f"{RULES} SELECT parse_error AS error_type, count(*) AS errors FROM p WHERE parse_error IS NOT NULL GROUP BY 1",
     }

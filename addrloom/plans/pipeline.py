@@ -7,9 +7,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import Config
-from ..functions.rules import rule_parse
 from ..operators import consolidate
 from ..sources import readers, sinks
+from .parsers import parser, with_inputs
 
 
 def consolidated(rows: DataFrame, fuzzy: bool = False, threshold: float = consolidate.THRESHOLD, normalize: bool = True) -> DataFrame:
@@ -24,7 +24,8 @@ def consolidate_files(spark: SparkSession, c: Config) -> str:
     """Reads, validates, parses, groups and writes; returns the report. The parsed rows are kept for the two passes over them."""
     raw = readers.read_addresses(spark, c.input_path, c.required_columns)
     checked = readers.classified(raw, c.required_columns).withColumn("row_id", F.monotonically_increasing_id())
-    rows = consolidated(rule_parse(readers.valid(checked)), c.fuzzy, c.fuzzy_threshold, c.normalize).persist(StorageLevel.MEMORY_AND_DISK)
+    parse = parser(c.parser_type, c.complexity_threshold)
+    rows = consolidated(parse(with_inputs(readers.valid(checked), c.parser_type), "addr_text", "parsed"), c.fuzzy, c.fuzzy_threshold, c.normalize).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         written = sinks.write_csv(sinks.enriched(rows, [x for x in raw.columns if x != "source_file"]), c.output_path)
         stats = consolidate.group_stats(consolidate.exact_groups(rows), rows)

@@ -8,17 +8,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..functions import text
 from ..functions.complexity import complexity
 from ..functions.entities import label_inventory, map_components, map_entities, map_generic_entities
-from ..functions.llm_json import keyword_parse, map_answers, prompt
+from ..functions.llm_json import answer_cost, keyword_parse, map_answers, prompt
 from ..functions.rules import rule_parse
-from ..operators import compare, consolidate, metrics, pins, routing
+from ..operators import advice, compare, consolidate, devices, metrics, pins, routing
 from ..schema import FIELDS
 from ..sources import readers, sinks
 from ..streaming import incremental
 from .fixtures import addresses, with_answers, with_components, with_entities
+from .parsers import external
 
 Query = Callable[[SparkSession, str], DataFrame]
 _ALL: dict[str, Query] = {}
@@ -50,7 +52,9 @@ def _checked(s: SparkSession, d: str) -> DataFrame:
 
 
 def _pairs(s: SparkSession, d: str) -> DataFrame:
-    return compare.joined(_parsed(s, d), _recognised(s, d))
+    """Both parsers' records of each row, from one projection: what is parsed from the same rows needs no join."""
+    x = map_entities(with_entities(rule_parse(addresses(s, d), out="a")), out="b")
+    return x.select("row_id", "a", "b")
 
 
 def _runs(s: SparkSession, d: str) -> DataFrame:
@@ -200,22 +204,22 @@ def consolidation_pct(s, d):
 
 @query
 def consolidation_levels(s, d):
-    return pins.consolidation_levels(pin_summary(s, d))
+    return pins.consolidation_levels(pins.pin_counts(_parsed(s, d)))
 
 
 @query
 def top_pins(s, d):
-    return pins.top(pin_summary(s, d), "total_addresses", 10)
+    return pins.top(pins.pin_counts(_parsed(s, d)), "total_addresses", 10)
 
 
 @query
 def locality_diversity(s, d):
-    return pins.top(pin_summary(s, d), "distinct_localities_count", 10)
+    return pins.top(pins.pin_counts(_parsed(s, d)), "distinct_localities_count", 10)
 
 
 @query
 def society_diversity(s, d):
-    return pins.top(pin_summary(s, d), "distinct_societies_count", 10)
+    return pins.top(pins.pin_counts(_parsed(s, d)), "distinct_societies_count", 10)
 
 
 @query
@@ -235,7 +239,7 @@ def keyword_buckets(s, d):
 
 @query
 def quality_buckets(s, d):
-    return pins.quality_buckets(pin_summary(s, d))
+    return pins.quality_buckets(pins.pin_counts(_parsed(s, d)))
 
 
 @query
@@ -261,11 +265,22 @@ def route(s, d):
     return routing.routed(addresses(s, d), threshold=0.3).select("row_id", "route")
 
 
+def _routed(s: SparkSession, d: str) -> DataFrame:
+    """Routed records, of parsers that fail on some rows."""
+    fails = lambda x, out, k: x.withColumn(out, F.col(out).withField("parse_success", F.col(f"{out}.parse_success") & (F.col("row_id") % k != 0)))
+    rules = lambda x, column, out: fails(rule_parse(x, column, out), out, 7)
+    entities = lambda x, column, out: fails(map_entities(x, column, out=out), out, 5)
+    return routing.routed_parse(with_entities(addresses(s, d)), rules, entities, threshold=0.3)
+
+
 @query
 def route_usage(s, d):
-    x = rule_parse(map_entities(with_entities(routing.routed(addresses(s, d), threshold=0.3)), out="by_entities"), out="by_rules")
-    x = x.withColumn("by_rules", F.col("by_rules").withField("parse_success", F.col("by_rules.parse_success") & (F.col("row_id") % 7 != 0))).withColumn("by_entities", F.col("by_entities").withField("parse_success", F.col("by_entities.parse_success") & (F.col("row_id") % 5 != 0)))
-    return routing.usage(routing.resolved(x))
+    return routing.usage(_routed(s, d))
+
+
+@query
+def route_notes(s, d):
+    return _flat(_routed(s, d), ["note"], "parse_success", "parse_error")
 
 
 @query
@@ -567,6 +582,195 @@ def report_json(s, d):
     return sinks.metadata(_parsed(s, d)).select(F.to_json(F.struct("total_rows", "successful", "failed")).alias("report"))
 
 
+@query
+def pins_by_size(s, d):
+    return sinks.ranked(pins.by_size(pins.pin_counts(_parsed(s, d))).withColumn("order", F.row_number().over(Window.orderBy(F.col("total_addresses").desc(), "pin_code"))), "order", "place").select("place", "pin_code", "total_addresses")
+
+
+@query
+def first_societies(s, d):
+    return sinks.first_names(pins.societies(_parsed(s, d)), 20)
+
+
+@query
+def hybrid_output(s, d):
+    return sinks.hybrid(_parsed(s, d), 1.5)
+
+
+@query
+def comprehensive_full(s, d):
+    return sinks.comprehensive_full(_parsed(s, d), ["row_id"], sinks.Run(at="2024-01-01T00:00:00", seconds=2.5, gpu_rows=1000, device="none", rate=400.0, utilisation=10.0, efficiency=50.0))
+
+
+def _file_reports(s: SparkSession, d: str) -> DataFrame:
+    seconds = s.createDataFrame([(f"p{k}.csv", k * 0.25) for k in range(1, 7)], "source_file string, seconds double")
+    return sinks.file_reports(_parsed(s, d), seconds)
+
+
+@query
+def file_report(s, d):
+    return _file_reports(s, d)
+
+
+@query
+def batch_report(s, d):
+    r = sinks.batch_report(_file_reports(s, d), utilisation=95.0, efficiency=70.0)
+    return r.select("files", "rows", "succeeded", "mean_rate", "peak_rate", "variation", "score", "rate_target_met", "utilisation_target_met", F.array_join("advice", "; ").alias("advice"), F.size("details").alias("details"))
+
+
+@query
+def csv_ingest(s, d):
+    """The relation as files of two layouts, read back by their own headers."""
+    folder = _folder(s)
+    columns = ["row_id", "addr_text", "pincode", "city_id", "source_file"]
+    rows = addresses(s, d).select(*columns[:-1], F.col("source_file").alias("file_name"))
+    half = F.col("row_id") % 2 == 0
+    rows.filter(half).write.options(**sinks.CSV).csv(f"{folder}/a")
+    rows.filter(~half).select("city_id", "row_id", "file_name", "addr_text", "pincode").write.options(**sinks.CSV).csv(f"{folder}/b")
+    back = readers.read_addresses(s, [f"{folder}/a/*.csv", f"{folder}/b/*.csv"], multi_line=False)
+    return back.select(F.col("row_id").cast("long").alias("row_id"), *(F.coalesce(c, F.lit("")).alias(c) for c in ("addr_text", "pincode", "city_id", "file_name")))
+
+
+@query
+def skip_files(s, d):
+    files = addresses(s, d).select(F.col("source_file").alias("path"), F.lit(100).cast("long").alias("modified")).distinct()
+    manifest = s.createDataFrame([("p1.csv", "out/a", "completed"), ("p2.csv", "out/gone", "completed"), ("p3.csv", "out/c", "failed")], "path string, output string, status string")
+    outputs = s.createDataFrame([("out/a", 1), ("out/c", 1), ("out/p4_processed_20240101_000000", 200), ("out/p5_processed_20240101_000000", 100), ("out/p6_other_x", 300)], "path string, modified long")
+    return sinks.to_process(files, manifest, outputs).select("path")
+
+
+@query
+def processed_parts(s, d):
+    k = F.col("o_orderkey")
+    name = F.concat(F.lit("out/"), F.when(k % 4 == 0, F.concat(F.lit("export_p"), k % 50, F.lit("_gpu_1.csv"))).when(k % 4 == 1, F.concat(F.lit("p"), k % 50, F.lit("_x_results_1.csv"))).when(k % 4 == 2, F.concat(F.lit("p"), k % 50, F.lit(".csv"))).otherwise(F.concat(F.lit("export_p"), k % 50, F.lit("_1.csv"))))
+    return _table(s, d, "orders").select("o_orderkey", readers.processed_part(name).alias("part"))
+
+
+@query
+def run_times(s, d):
+    """Stamps as outputs carry them, and seconds between a user's first and last event."""
+    e = _table(s, d, "events")
+    g = e.groupBy("user_id").agg(F.min("ts").alias("first"), F.max("ts").alias("last"))
+    seconds = F.unix_timestamp(F.date_trunc("second", "last")) - F.unix_timestamp(F.date_trunc("second", "first"))
+    return g.select("user_id", F.date_format("first", "yyyyMMdd_HHmmss").alias("stamp"), seconds.alias("seconds"))
+
+
+# Parsers of one's own, answers and their cost
+
+
+class _CommaModel:
+    """A stand-in for a user's model: the last two parts of an address."""
+
+    def parse_batch(self, texts: list[str]) -> list[dict]:
+        if any("Wakad" in t for t in texts) and len(texts) > 1:
+            raise ValueError("one text at a time")
+        parts = [[p.strip(" ") for p in t.strip().split(",")] for t in texts]
+        if any(len(p) < 2 for p in parts):
+            raise ValueError("no parts")
+        return [{"locality": p[-2], "city": p[-1], "country": "India"} for p in parts]
+
+
+@query
+def external_parser(s, d):
+    rows = addresses(s, d).select("row_id", "addr_text").filter("row_id % 101 <> 0")
+    return _flat(external(_CommaModel, batch_size=50, attempts=2, waits=[0.0])(rows, "addr_text", "parsed"), ["locality", "city", "country"], "parse_success", "parse_error")
+
+
+@query
+def llm_json_long(s, d):
+    full = F.to_json(F.struct(F.col("x_unit").alias("unit_number"), F.col("x_society").alias("society_name"), F.col("x_city").alias("city"), F.when(F.col("row_id") % 2 == 0, F.lit("Bharat")).alias("country")))
+    answers = addresses(s, d).withColumn("answer", F.when(F.col("row_id") % 5 == 2, F.lit("[]")).otherwise(full))
+    return _flat(map_answers(answers, long_keys=True), ["unit_number", "society_name", "city", "country"], "parse_success")
+
+
+@query
+def llm_token_cost(s, d):
+    """Cost of the answers of each file, by tokens of prompt and answer (four letters each, as a stand-in for a model's count)."""
+    x = with_answers(addresses(s, d)).select("source_file", F.ceil(F.length(prompt(F.col("addr_text"))) / 4).alias("asked"), F.ceil(F.length("answer") / 4).alias("answered"))
+    cost = answer_cost(F.col("asked"), F.col("answered"))
+    return x.groupBy("source_file").agg(F.sum(F.col("asked") + F.col("answered")).alias("tokens"), F.round(F.sum(cost), 6).alias("cost"), F.round(F.avg(cost), 6).alias("cost_per_address"))
+
+
+@query
+def entity_lookup(s, d):
+    """Entities as a map, the last of a label."""
+    own = F.transform("entities", lambda e: F.struct(F.lower(e["entity_group"]).alias("k"), e["word"].alias("v")))
+    m = F.map_from_entries(own)
+    return with_entities(addresses(s, d)).select("row_id", m["street"].alias("street"), m["state"].alias("state"), F.size(F.map_keys(m)).alias("labels"))
+
+
+# Machines and advice
+
+
+def _machine(s: SparkSession, d: str) -> tuple[DataFrame, list]:
+    k = F.col("o_orderkey")
+    return _table(s, d, "orders").select("o_orderkey"), [k % 4, k % 13 * 1000, k % 3 != 0, k % 33, k % 40]
+
+
+@query
+def fixed_splits(s, d):
+    k = F.col("o_orderkey")
+    parts = [F.struct(F.lit(n).alias("split"), F.array_join(devices.fixed_split(k % 2000 + 1, shares).cast("array<string>"), ",").alias("rows")) for n, shares in devices.SPLITS.items()]
+    parts.append(F.struct(F.lit("even").alias("split"), F.array_join(devices.even_split(k % 2000 + 1, 7).cast("array<string>"), ",").alias("rows")))
+    return _table(s, d, "orders").select("o_orderkey", F.inline(F.array(*parts)))
+
+
+@query
+def device_conflict(s, d):
+    k = F.col("o_orderkey")
+    return _table(s, d, "orders").select("o_orderkey", devices.conflict(k % 2 == 0, k % 4, k % 3 == 0, k % 5, F.lit(4)).alias("conflict"))
+
+
+@query
+def hardware_estimate(s, d):
+    rows, (gpus, mb, usable, cores, memory) = _machine(s, d)
+    own = devices.settings(gpus, mb, cores, memory, F.floor(mb / F.greatest(gpus, F.lit(1))))
+    return rows.select("o_orderkey", devices.capacity(gpus, mb, usable, cores, memory).alias("rate"), *(c.alias(n) for n, c in own.items()))
+
+
+@query
+def hardware_tuning(s, d):
+    rows, (_, mb, _, cores, _) = _machine(s, d)
+    return rows.select("o_orderkey", *(c.alias(n) for n, c in devices.tuning(mb / 600, cores, F.col("o_orderkey") % 3000).items()))
+
+
+@query
+def progress_eta(s, d):
+    k = F.col("o_orderkey")
+    own = devices.progress(k % 1000, F.lit(1000), (k % 60).cast("double"))
+    return _table(s, d, "orders").select("o_orderkey", *(F.round(c, 6).alias(n) for n, c in own.items()))
+
+
+@query
+def time_estimate(s, d):
+    k = F.col("o_orderkey")
+    return _table(s, d, "orders").select("o_orderkey", *(c.alias(n) for n, c in devices.time_estimate(k, F.lit(0.75)).items()))
+
+
+@query
+def advice_run(s, d):
+    k = F.col("o_orderkey")
+    o, (rate, use, _) = _gauges(s, d)
+    where = F.when(k % 3 == 0, F.lit("data_feeding")).when(k % 3 == 1, F.lit("result_collection")).otherwise(F.lit(""))
+    return o.select("o_orderkey", F.array_join(advice.about_run(rate, use, where, (k % 100).cast("double"), (k % 97).cast("double")), "; ").alias("advice"))
+
+
+@query
+def advice_benchmarks(s, d):
+    return advice.about_benchmarks(metrics.benchmark_summary(_runs(s, d)))
+
+
+@query
+def advice_suite(s, d):
+    return advice.about_suite(metrics.benchmark_summary(_runs(s, d)), memory_limited=True).select(F.array_join("advice", "; ").alias("advice"))
+
+
+@query
+def advice_batch(s, d):
+    o, (rate, use, eff) = _gauges(s, d)
+    return o.select("o_orderkey", F.array_join(advice.about_batch(rate, use, eff, F.col("o_orderkey") % 10 / 20.0), "; ").alias("advice"))
+
+
 # Streams: the same operators over a file source, to the end of what is there
 
 
@@ -598,6 +802,18 @@ def stream_throughput(s, d):
     return s.read.parquet(f"{folder}/out").select(F.col("at").cast("timestamp_ntz").alias("at"), "n")
 
 
+@query
+def stream_consolidation(s, d):
+    """Names and codes as a stream of a few files, consolidated with leaders as state; rows by leader over all batches."""
+    folder = _folder(s)
+    rows = consolidate.keyed(_recognised(s, d)).filter("name_key is not null").select("row_id", "pin_key", "name_key")
+    rows.repartitionByRange(3, "row_id").write.parquet(f"{folder}/in")
+    stream = incremental.consolidated_stream(incremental.address_stream(s, f"{folder}/in", rows.schema, 2, "parquet"))
+    incremental.run_to_parquet(stream, f"{folder}/out", f"{folder}/checkpoint")
+    out = s.read.parquet(f"{folder}/out")
+    return out.groupBy("pin_key").agg(F.sum("rows").alias("rows"), F.countDistinct("name_key").alias("names"))
+
+
 def queries() -> dict[str, Query]:
     return dict(_ALL)
 

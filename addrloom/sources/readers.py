@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import csv
+import io
 import re
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,14 +24,36 @@ ADDRESS_COLUMNS = {
 }
 
 
-def header(spark: SparkSession, path: str) -> list[str]:
-    """Column names of the first line, read as the reader below would split it."""
+def _file_system(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def files_of(spark: SparkSession, paths: str | list[str]) -> list[str]:
+    """The files that paths, patterns and folders name, in that order; hidden ones are left out. Raises FileNotFoundError for one that names none."""
+    out: list[str] = []
+    for path in [paths] if isinstance(paths, str) else paths:
+        fs, p = _file_system(spark, path)
+        found = [f for s in fs.globStatus(p) or [] for f in (fs.listStatus(s.getPath()) if s.isDirectory() else [s])]
+        own = sorted(str(f.getPath()) for f in found if f.isFile() and f.getPath().getName()[0] not in "._")
+        if not own:
+            raise FileNotFoundError(path)
+        out += own
+    return list(dict.fromkeys(out))
+
+
+def header(spark: SparkSession, path: str, most: int = 1 << 20) -> list[str]:
+    """Column names of a file's first record; only its first bytes are read, by the driver."""
+    fs, p = _file_system(spark, path)
+    stream = fs.open(p)
     try:
-        return spark.read.option("header", True).option("quote", '"').option("escape", '"').csv(path).columns
-    except Exception as e:  # Spark names a missing path in several ways
-        if "PATH_NOT_FOUND" in str(e):
-            raise FileNotFoundError(path) from e
-        raise
+        raw = b""
+        while len(raw) < most and b"\n" not in raw and (got := bytes(stream.readNBytes(1 << 16))):
+            raw += got
+    finally:
+        stream.close()
+    text = raw.decode("utf-8", "replace").removeprefix("\ufeff")
+    return next(csv.reader(io.StringIO(text)), [])
 
 
 def missing_columns(columns: list[str], required: list[str] = REQUIRED) -> list[str]:
@@ -35,19 +61,28 @@ def missing_columns(columns: list[str], required: list[str] = REQUIRED) -> list[
     return [c for c in required if c not in columns]
 
 
-def read_addresses(spark: SparkSession, paths: str | list[str], required: list[str] = REQUIRED) -> DataFrame:
-    """All columns as strings, unknown ones included, with source_file. Quoted line breaks are part of a field; short rows have nulls.
+def read_addresses(spark: SparkSession, paths: str | list[str], required: list[str] = REQUIRED, multi_line: bool = True) -> DataFrame:
+    """All columns as strings, unknown ones included, with source_file; short rows have nulls.
 
-    Raises FileNotFoundError for a path that isn't there, ValueError for a file without a header or required column.
+    Files are read by their own headers: those with like headers together, and their rows put
+    together by name, so neither another order nor another set of columns shifts a value. Quoted
+    line breaks are part of a field; with multi_line off they end a record, and a large file is
+    split over tasks. Raises FileNotFoundError for a path that isn't there, ValueError for a file
+    without a header or required column.
     """
-    first = paths if isinstance(paths, str) else paths[0]
-    names = header(spark, first)
-    if not names:
-        raise ValueError(f"no header: {first}")
-    if gone := missing_columns(names, required):
-        raise ValueError("missing columns: " + ", ".join(gone))
-    reader = spark.read.schema(raw_schema(names)).option("header", True).option("multiLine", True).option("quote", '"').option("escape", '"').option("encoding", "UTF-8")
-    return reader.csv(paths).withColumn("source_file", F.col("_metadata.file_path"))
+    files = files_of(spark, paths)
+    with ThreadPoolExecutor(16) as pool:
+        names = list(pool.map(lambda f: header(spark, f), files))
+    by: dict[tuple[str, ...], list[str]] = {}
+    for f, own in zip(files, names, strict=True):
+        if not own:
+            raise ValueError(f"no header: {f}")
+        if gone := missing_columns(own, required):
+            raise ValueError(f"missing columns: {', '.join(gone)} ({f})")
+        by.setdefault(tuple(own), []).append(f)
+    reader = spark.read.option("header", True).option("enforceSchema", True).option("multiLine", multi_line).option("quote", '"').option("escape", '"').option("encoding", "UTF-8")
+    parts = [reader.schema(raw_schema(list(own))).csv(group).withColumn("source_file", F.col("_metadata.file_path")) for own, group in by.items()]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
 def classified(raw: DataFrame, required: list[str] = REQUIRED) -> DataFrame:
@@ -105,18 +140,33 @@ def head(df: DataFrame, n: int, order: str) -> DataFrame:
 
 
 def hashed_sample(df: DataFrame, n: int, key: str, seed: int = 42) -> DataFrame:
-    """n rows that look random and are the same in every run: those with the least hashes."""
-    return df.orderBy(F.xxhash64(F.lit(seed), F.col(key)), key).limit(n)
+    """n rows that look random and are the same in every run and engine: those with the least digests of seed and key."""
+    return df.orderBy(F.md5(F.concat(F.lit(f"{seed}|"), F.col(key).cast("string"))), key).limit(n)
+
+
+def _pattern(glob: str) -> str:
+    """A regular expression for a path pattern: * and ? stay within a folder, **/ stands for any folders or none."""
+    parts = {"**/": "(?:.*/)?", "**": ".*", "*": "[^/]*", "?": "[^/]"}
+    return "".join(parts.get(x) or re.escape(x) for x in re.findall(r"\*\*/|\*\*|\*|\?|[^*?]+", glob))
 
 
 def _listed(spark: SparkSession, pattern: str) -> list[str]:
-    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
-    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
-    return [str(f.getPath()) for f in found or [] if f.isFile()]
+    fs, path = _file_system(spark, pattern if "**" not in pattern else pattern.split("**")[0].rstrip("/") or "/")
+    found = fs.globStatus(path) or []
+    if "**" not in pattern:
+        return [str(f.getPath()) for f in found if f.isFile()]
+    rest, out = re.compile(_pattern("**" + pattern.split("**", 1)[1])), []
+    for folder in (f for f in found if f.isDirectory()):
+        base, files = str(folder.getPath()).rstrip("/") + "/", fs.listFiles(folder.getPath(), True)
+        while files.hasNext():
+            name = str(files.next().getPath())
+            if rest.fullmatch(name.removeprefix(base)):
+                out.append(name)
+    return out
 
 
 def discover(spark: SparkSession, patterns: list[str]) -> list[str]:
-    """Files that any of the patterns match, once each, sorted; through Hadoop's file systems, so any store will do."""
+    """Files that any of the patterns match, ** included, once each, sorted; through Hadoop's file systems, so any store will do."""
     return sorted({f for p in patterns for f in _listed(spark, p)})
 
 
@@ -126,7 +176,7 @@ def numbered(spark: SparkSession, folder: str, start: int, end: int) -> list[str
 
 
 def fingerprints(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """path, size and SHA-256 of whole files."""
+    """path, size and SHA-256 of whole files; a file is one cell, so Spark takes files of up to 2 GB."""
     return spark.read.format("binaryFile").load(paths).select("path", F.col("length").alias("size"), F.sha2("content", 256).alias("sha256"))
 
 
@@ -135,9 +185,16 @@ def part_number(c):
     return F.regexp_extract(c, r"(?:^|/)p(\d+)[^/]*$", 1).cast("int")
 
 
-def row_count_estimate(lines: int, valid_share: float, base_seconds: float = 10.0, per_row: float = 0.5, slack: float = 1.5) -> dict[str, float]:
-    rows = int(lines * valid_share)
-    return {"rows": rows, "seconds": (base_seconds + rows * per_row) * slack}
+# Marks that outputs carry in their names.
+OUTPUT_MARKS = ("results", "gpu", "sustained", "balanced", "optimized")
+
+
+def processed_part(c):
+    """p{n} of the input that an output file was made from, by its name: ..._p{n}_... with one of the marks, or p{n}_..._results_...; else null."""
+    name = F.regexp_extract(c, r"([^/]*)$", 1)
+    long = F.when(name.rlike("_(" + "|".join(OUTPUT_MARKS) + ")_"), F.nullif(F.regexp_extract(name, r"_p(\d+)_", 1), F.lit("")))
+    short = F.when(name.contains("_results_"), F.nullif(F.regexp_extract(name, r"^p(\d+)_", 1), F.lit("")))
+    return F.concat(F.lit("p"), F.coalesce(short, long))
 
 
 def expand_variables(text: str, env: dict[str, str]) -> str:

@@ -2,12 +2,35 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+import uuid
+from dataclasses import dataclass, field
+
+from pyspark.ml.feature import Bucketizer
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.text import location_identifier, sanitize, truncated
-from ..schema import COMPARED, FIELDS, SHORT
+from ..operators.advice import about_batch
+from ..operators.metrics import LEAST_RATE, UTILISATION_TARGET, batch_score
+from ..schema import COMPARED, COUNT_FIELD, FIELDS, RAW_FIELDS, SHORT
+from .readers import _file_system
+
+
+@dataclass
+class Run:
+    """What is known of a run besides its rows."""
+
+    at: str = ""
+    seconds: float = 0.0
+    gpu_rows: int = 0
+    device: str = "CPU"
+    rate: float = 0.0
+    utilisation: float = 0.0
+    efficiency: float = 0.0
+    target_rate: float = 2000.0
+    errors: list[str] = field(default_factory=list)
+    advice: list[str] = field(default_factory=list)
 
 
 def enriched(rows: DataFrame, original: list[str]) -> DataFrame:
@@ -17,13 +40,19 @@ def enriched(rows: DataFrame, original: list[str]) -> DataFrame:
     return rows.select(*(sanitize(F.col(c)).alias(c) for c in original), *parsed, F.col("group_id"), where)
 
 
+#: Values are written as they are, white space at their ends included.
+CSV = {"header": "true", "escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+
+
 def write_csv(df: DataFrame, path: str) -> int:
-    """Writes CSV with a header and returns the number of rows, counted as they are written; without rows nothing is written."""
-    if df.isEmpty():
-        return 0
+    """Writes CSV with a header and returns the number of rows, counted as they are written; without rows nothing stays."""
     seen = Observation()
-    df.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
-    return int(seen.get["n"])
+    df.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").options(**CSV).csv(path)
+    n = int(seen.get["n"])
+    if not n:
+        fs, p = _file_system(df.sparkSession, path)
+        fs.delete(p, True)
+    return n
 
 
 def flat_results(rows: DataFrame, address: str = "addr_text", order: str = "row_id") -> DataFrame:
@@ -33,16 +62,25 @@ def flat_results(rows: DataFrame, address: str = "addr_text", order: str = "row_
     return ranked(rows, order).select(F.col("ordinal").alias("id"), F.col(address).alias("original_address"), *(keep(f).alias(f) for f in COMPARED), ok.alias("parse_success"), F.when(ok, F.lit("")).otherwise(F.coalesce("parsed.parse_error", F.lit(""))).alias("parse_error"), keep("note").alias("note"))
 
 
-def ranked(rows: DataFrame, order: str, name: str = "ordinal", ranges: int = 64) -> DataFrame:
+#: Rows that one range of `ranked` should hold, and the most ranges it makes.
+RANGE_ROWS, MAX_RANGES = 250_000, 1 << 15
+
+
+def ranked(rows: DataFrame, order: str, name: str = "ordinal", ranges: int | None = None) -> DataFrame:
     """Adds the 1-based place of each row in ascending order of a numeric column, without gathering the rows in one task.
 
-    Rows fall into ranges by the column's quantiles; a range's first place is the number of rows
-    in the ranges before it, at most `ranges` counts; places within are row numbers per range.
+    Rows fall into ranges by the column's quantiles, as many as their number asks for; a range's
+    first place is the number of rows in the ranges before it, one count for each; places within
+    are row numbers per range. Equal values share no order but their own.
     """
-    cuts = sorted(set(rows.select(F.col(order).cast("double").alias("x")).approxQuantile("x", [k / ranges for k in range(1, ranges)], 0.005)))
-    part = F.size(F.filter(F.array(*(F.lit(c) for c in cuts)), lambda c: c < F.col(order))) if cuts else F.lit(0)
-    x = rows.withColumn("_part", part)
-    counts = x.groupBy("_part").count().orderBy("_part")
+    keys = rows.select(F.col(order).cast("double").alias("x"))
+    ranges = ranges or min(MAX_RANGES, -(-keys.count() // RANGE_ROWS))
+    cuts = sorted(set(keys.approxQuantile("x", [k / ranges for k in range(1, ranges)], 0.2 / ranges))) if ranges > 1 else []
+    if not cuts:
+        return rows.withColumn(name, F.row_number().over(Window.orderBy(order)).cast("long"))  # one range's rows
+    tool = Bucketizer(splits=[-float("inf"), *cuts, float("inf")], inputCol="_x", outputCol="_part", handleInvalid="keep")
+    x = tool.transform(rows.withColumn("_x", F.coalesce(F.col(order).cast("double"), F.lit(-1.7e308)))).drop("_x")
+    counts = tool.transform(keys.withColumn("_x", F.coalesce("x", F.lit(-1.7e308)))).groupBy("_part").count()
     before = counts.select(F.col("_part"), (F.sum("count").over(Window.orderBy("_part")) - F.col("count")).alias("_before"))
     place = F.row_number().over(Window.partitionBy("_part").orderBy(order)).cast("long") + F.col("_before")
     return x.join(F.broadcast(before), "_part").withColumn(name, place).drop("_part", "_before")
@@ -54,12 +92,52 @@ def comprehensive(rows: DataFrame, original: list[str], gpu_rows: int, order: st
     return x.select(*original, *(F.col(f"parsed.{f}").alias(f"parsed_{f}") for f in FIELDS), F.col("parsed.parse_success").alias("parse_success"), F.coalesce("parsed.parse_error", F.lit("")).alias("parse_error"), F.when(F.col("ordinal") <= gpu_rows, F.lit("GPU")).otherwise(F.lit("CPU")).alias("processing_device"))
 
 
+def comprehensive_full(rows: DataFrame, original: list[str], run: Run, order: str = "row_id") -> DataFrame:
+    """All of `comprehensive`, with a run's time, device and rates beside each row."""
+    return comprehensive(rows, original, run.gpu_rows, order).select(
+        *original, *(f"parsed_{f}" for f in FIELDS), "parse_success", "parse_error",
+        F.lit(run.at).alias("processing_timestamp"), F.lit(float(run.seconds)).alias("processing_time_seconds"), F.col("processing_device").alias("processed_by_device"), F.lit(run.device).alias("gpu_device_name"),
+        F.lit(float(run.rate)).alias("throughput_rate"), F.lit(float(run.utilisation)).alias("gpu_utilization_percent"), F.lit(float(run.efficiency)).alias("processing_efficiency"),
+    )
+
+
+def hybrid(rows: DataFrame, seconds: float = 0.0, method: str = "hybrid_gpu_cpu") -> DataFrame:
+    """The nine original columns (empty where a file hasn't them), the twelve fields by their short names, and four about the processing."""
+    own = [F.col(c).cast("string").alias(c) if c in rows.columns else F.lit("").alias(c) for c in [*RAW_FIELDS, COUNT_FIELD]]
+    return rows.select(*own, *(F.col(f"parsed.{f}").alias(SHORT[f]) for f in FIELDS), F.col("parsed.parse_success").alias("parse_success"), F.coalesce("parsed.parse_error", F.lit("")).alias("parse_error"), F.lit(method).alias("processing_method"), F.lit(float(seconds)).alias("processing_time"))
+
+
 def metadata(rows: DataFrame) -> DataFrame:
     """One row about a run's result: counts and rates from the records' own success."""
     ok = F.col("parsed.parse_success")
     return rows.agg(F.count(F.lit(1)).alias("total_rows"), F.count_if(ok).alias("successful"), F.count_if(~ok).alias("failed"), F.round(F.avg(ok.cast("double")) * 100, 6).alias("success_rate"))
 
 
+def file_reports(rows: DataFrame, seconds: DataFrame, by: str = "source_file") -> DataFrame:
+    """A row per file: its index in order of names, rows, successes, errors, success rate, seconds and rate. seconds: file and seconds, measured outside."""
+    ok = F.col("parsed.parse_success")
+    g = rows.groupBy(by).agg(F.count(F.lit(1)).alias("rows"), F.count_if(ok).alias("succeeded"), F.count_if(~ok).alias("errors"))
+    x = g.join(seconds, by, "left").withColumn("seconds", F.coalesce("seconds", F.lit(0.0)))
+    rate = F.when(F.col("seconds") > 0, F.col("rows") / F.col("seconds")).otherwise(F.lit(0.0))
+    place = F.row_number().over(Window.orderBy(by)).cast("int")  # one short row per file
+    return x.select(place.alias("file_index"), by, "rows", "succeeded", "errors", F.round(F.col("succeeded") / F.col("rows") * 100, 6).alias("success_rate"), "seconds", F.round(rate, 6).alias("rate"))
+
+
+def batch_report(files: DataFrame, utilisation: float = 0.0, efficiency: float = 0.0) -> DataFrame:
+    """One row over file reports: totals, mean and peak rate, variation of the rates around their mean, score, targets met, advice, and the files as an array."""
+    own = F.when(F.col("rate") > 0, F.col("rate"))
+    g = files.agg(
+        F.count(F.lit(1)).alias("files"), F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"), F.coalesce(F.sum("succeeded"), F.lit(0)).alias("succeeded"), F.coalesce(F.avg(own), F.lit(0.0)).alias("mean_rate"), F.coalesce(F.max("rate"), F.lit(0.0)).alias("peak_rate"),
+        F.coalesce(F.stddev_pop(own), F.lit(0.0)).alias("spread"), F.array_sort(F.collect_list(F.struct("file_index", "source_file", "rows", "succeeded", "errors", "seconds", "rate"))).alias("details"),
+    )
+    rate, use, eff = F.col("mean_rate"), F.lit(float(utilisation)), F.lit(float(efficiency))
+    variation = F.when(rate > 0, F.col("spread") / rate).otherwise(F.lit(0.0))
+    return g.select(
+        "files", "rows", "succeeded", F.round(rate, 6).alias("mean_rate"), F.round("peak_rate", 6).alias("peak_rate"), F.round(variation, 6).alias("variation"), F.round(batch_score(rate, use, eff), 6).alias("score"),
+        (rate >= LEAST_RATE).alias("rate_target_met"), (use >= UTILISATION_TARGET).alias("utilisation_target_met"), about_batch(rate, use, eff, variation).alias("advice"), "details",
+    )
+
+
 def write_json(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 
@@ -88,10 +166,59 @@ def report_text(one_row: DataFrame, title: str) -> str:
     return "\n".join([title, "=" * len(title), *(f"{k}: {v}" for k, v in row.asDict().items())]) if row else title
 
 
+def _section(title: str, values: dict[str, object]) -> list[str]:
+    return [title, "-" * len(title), *(f"{k}: {v}" for k, v in values.items()), ""]
+
+
+def preamble(meta: dict[str, float], run: Run) -> list[str]:
+    """The comment lines that precede a comprehensive CSV; Spark writes them beside it, as readers with comment='#' would skip them."""
+    total, ok, bad = int(meta["total_rows"]), int(meta["successful"]), int(meta["failed"])
+    share = run.gpu_rows / total * 100 if total else 0.0
+    out = ["RUN", f"At: {run.at}", f"Seconds: {run.seconds:.2f}", f"Rows: {total:,}", f"Parsed: {ok:,}", f"Failed: {bad:,}", f"Success rate: {meta['success_rate'] or 0:.1f}%", f"Rate: {run.rate:.1f} a second", f"Utilisation: {run.utilisation:.1f}%", f"Efficiency: {run.efficiency:.1f}%", f"Device: {run.device}", f"GPU rows: {run.gpu_rows:,} ({share:.1f}%)", f"CPU rows: {max(0, total - run.gpu_rows):,} ({100 - share if total else 0:.1f}%)"]
+    if run.errors:
+        out += [f"Errors: {len(run.errors)}", *(f"  - {e}" for e in run.errors[:5])]
+    if run.advice:
+        out += ["Advice:", *(f"  - {a}" for a in run.advice[:3])]
+    return [f"# {x}" for x in out] + ["#"]
+
+
+def performance_text(meta: dict[str, float], run: Run) -> str:
+    """The report of a run: summary, rates against their targets, device, advice."""
+    total = int(meta["total_rows"])
+    lines = ["PERFORMANCE", "===========", ""]
+    lines += _section("Summary", {"Rows": f"{total:,}", "Parsed": f"{int(meta['successful']):,}", "Failed": f"{int(meta['failed']):,}", "Success rate": f"{meta['success_rate'] or 0:.1f}%", "Seconds": f"{run.seconds:.2f}"})
+    lines += _section("Rates", {"Rate": f"{run.rate:.1f} a second", "Target": f"{run.target_rate:.0f} a second", "Achieved": f"{run.rate / max(run.target_rate, 1) * 100:.1f}%", "Utilisation": f"{run.utilisation:.1f}%", "Efficiency": f"{run.efficiency:.1f}%"})
+    lines += _section("Devices", {"Device": run.device, "GPU rows": f"{run.gpu_rows:,}", "CPU rows": f"{max(0, total - run.gpu_rows):,}"})
+    if run.advice:
+        lines += _section("Advice", {str(k): a for k, a in enumerate(run.advice, 1)})
+    return "\n".join(lines)
+
+
+def error_text(counts: list[tuple[str, int]], first: list[tuple[object, str]]) -> str:
+    """The report of failures: how often each error occurred, and the first rows that failed."""
+    total = sum(n for _, n in counts)
+    lines = ["ERRORS", "======", "", f"Total: {total:,}", ""]
+    lines += _section("By kind", {e: f"{n:,} ({n / total * 100:.1f}%)" for e, n in sorted(counts, key=lambda x: (-x[1], x[0]))}) if total else ["none", ""]
+    return "\n".join(lines + (_section("First rows", {str(k): e for k, e in first}) if first else []))
+
+
+def batch_text(report: dict) -> str:
+    """The report of a batch: totals, rates, targets, then a line per file."""
+    lines = ["BATCH", "=====", ""]
+    lines += _section("Summary", {"Files": report["files"], "Rows": f"{report['rows']:,}", "Parsed": f"{report['succeeded']:,}", "Mean rate": f"{report['mean_rate']:.1f}", "Peak rate": f"{report['peak_rate']:.1f}", "Score": f"{report['score']:.1f}"})
+    lines += _section("Files", {f"{d['file_index']}. {d['source_file']}": f"{d['rows']:,} rows, {d['errors']:,} errors, {d['seconds']:.2f} s" for d in report["details"]})
+    return "\n".join(lines + _section("Advice", {str(k): a for k, a in enumerate(report["advice"], 1)}))
+
+
 def name_list(names: DataFrame, path: str, column: str = "society_name") -> None:
     names.select(column).orderBy(column).write.mode("overwrite").text(path)
 
 
+def first_names(names: DataFrame, n: int = 20, column: str = "society_name") -> DataFrame:
+    """The first n distinct names in order."""
+    return names.select(column).orderBy(column).limit(n)
+
+
 def unprocessed(files: DataFrame, manifest: DataFrame) -> DataFrame:
     """Files that the manifest doesn't list as completed with the same content. Columns: path, sha256; the manifest has status too."""
     return files.join(manifest.filter("status = 'completed'").select("path", "sha256"), ["path", "sha256"], "left_anti")
@@ -104,3 +231,36 @@ def append_manifest(entries: DataFrame, path: str) -> None:
 
 def current_manifest(manifest: DataFrame) -> DataFrame:
     return manifest.groupBy("path").agg(F.max_by(F.struct("sha256", "status", "rows"), "at").alias("e")).select("path", "e.*")
+
+
+def to_process(files: DataFrame, manifest: DataFrame, outputs: DataFrame) -> DataFrame:
+    """Files (path, modified) that are still to be processed.
+
+    Skipped are those that the manifest lists as completed and whose output is there, and those
+    for which an output with their name, <name>_processed_..., is newer than they are. outputs: path, modified.
+    """
+    name = lambda c: F.regexp_extract(c, r"([^/]*?)(?:\.[^./]*)?$", 1)
+    made = outputs.select(F.col("path").alias("output"), F.regexp_extract("path", r"([^/]*)_processed_[^/]*$", 1).alias("base"), F.col("modified").alias("made")).filter("base <> ''")
+    done = manifest.filter("status = 'completed'").join(outputs.select(F.col("path").alias("output")), "output", "left_semi").select("path").distinct()
+    newest = made.groupBy("base").agg(F.max("made").alias("made"))
+    rest = files.join(done, "path", "left_anti").withColumn("base", name(F.col("path"))).join(newest, "base", "left")
+    return rest.filter(F.col("made").isNull() | (F.col("made") <= F.col("modified"))).select("path", "modified")
+
+
+def save_state(state: DataFrame, path: str) -> None:
+    """Replaces the state at path: it is written beside it and then takes its place, so a reader finds the old or the new one, whole."""
+    spark, new = state.sparkSession, f"{path}-{uuid.uuid4().hex}"
+    state.write.parquet(new)
+    fs, target = _file_system(spark, path)
+    old = f"{path}-old-{uuid.uuid4().hex}"
+    path_of = lambda p: _file_system(spark, p)[1]
+    if fs.exists(target):
+        fs.rename(target, path_of(old))
+    fs.rename(path_of(new), target)
+    fs.delete(path_of(old), True)
+
+
+def load_state(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """The state at path; an empty one where none has been saved."""
+    fs, p = _file_system(spark, path)
+    return spark.read.schema(schema).parquet(path) if fs.exists(p) else spark.createDataFrame([], schema)
