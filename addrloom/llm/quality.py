@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import pickle
-from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -12,6 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import words
 from .common import bound_batches, by_bytes, fitted, sums, utf8
 
 #: Labelled rows that a model is fitted on at most: those with the least hashes of their ids.
@@ -35,25 +35,52 @@ _CLASS = _class_table()
 FEATURES = (*_CLASSES[:-1], "length", "words", "word_length", "distinct_words", "top_word", "stutter", "distinct_pairs", "lines", "distinct_lines", "line_length", "marked_words")
 
 
-def statistics(texts: list[str], off: np.ndarray, data: np.ndarray) -> np.ndarray:
-    """One row of FEATURES per text: shares of byte classes, and of repetition among words, pairs and lines. Zeros for an empty text."""
-    n = np.diff(off)
+_SPACE = np.zeros(256, bool)
+_SPACE[[32, *range(9, 14)]] = True
+_BARE = np.array([not (48 <= c < 58 or 65 <= c < 91 or 97 <= c < 123 or c >= 128) for c in range(256)])
+
+
+def _repetition(key: np.ndarray, text: np.ndarray, texts: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each text how many of its keys are distinct, and how often its most frequent one occurs."""
+    own = words.mixed(key, text.astype(np.uint64) + np.uint64(1))
+    order = np.argsort(own)
+    start = np.flatnonzero(np.append(True, np.diff(own[order]) != 0)) if len(own) else np.zeros(0, np.int64)
+    where, count, top = text[order[start]], np.diff(np.append(start, len(own))), np.zeros(texts, np.int64)
+    np.maximum.at(top, where, count)
+    return np.bincount(where, minlength=texts), top
+
+
+def statistics(off: np.ndarray, data: np.ndarray) -> np.ndarray:
+    """One row of FEATURES per text: shares of byte classes, and of repetition among words, pairs and lines. Zeros for words and lines of a text without words.
+
+    Words are runs of bytes other than ASCII white space. All is counted over whole texts, by
+    64-bit keys of words and lines, so a long text costs a few numbers a word.
+    """
+    n, texts = np.diff(off), len(off) - 1
     kind = _CLASS[data]
     part = [sums(kind == k, off) / np.maximum(n, 1) for k in range(len(_CLASSES) - 1)]
-    rest = np.zeros((len(texts), 10))
-    for k, t in enumerate(texts):
-        w = t.split()
-        if not w:
-            continue
-        count = Counter(w)
-        pairs = set(zip(w, w[1:], strict=False))
-        lines = t.split("\n")
-        m = len(w)
-        rest[k] = (
-            np.log1p(m), len(t) / m, len(count) / m, max(count.values()) / m, sum(map(str.__eq__, w, w[1:])) / m,
-            len(pairs) / max(m - 1, 1), np.log1p(len(lines)), len(set(lines)) / len(lines), np.log1p(len(t) / len(lines)), sum(c for x, c in count.items() if not x[-1].isalnum()) / m,
-        )
-    return np.column_stack([*part, np.log1p(n), rest])
+    key, first = words.word_keys(~_SPACE, data, off)
+    m, chars = np.diff(first), sums((data & 0xC0) != 0x80, off)
+    some, text = np.maximum(m, 1), np.repeat(np.arange(texts), m)
+    next_ = text[1:] == text[:-1]
+    distinct, top = _repetition(key, text, texts)
+    pairs, _ = _repetition(words.mixed(key[:-1], key[1:])[next_], text[:-1][next_], texts)
+    stutter = np.bincount(text[:-1][next_ & (key[1:] == key[:-1])], minlength=texts)
+    newline = np.flatnonzero(data == 10)
+    begin, end = np.sort(np.concatenate([off[:-1], newline + 1]), kind="stable"), np.sort(np.concatenate([newline, off[1:]]), kind="stable")
+    of_line = np.repeat(np.arange(texts), np.diff(np.searchsorted(newline, off)) + 1)
+    lines = np.bincount(of_line, minlength=texts)
+    own_lines, _ = _repetition(words.keys(data, begin, end), of_line, texts)
+    last = np.zeros(len(data), bool)  # bytes that end a word and are neither letter nor digit
+    if len(data):
+        last[:-1] = _SPACE[data[1:]]
+        last[off[1:][off[1:] > 0] - 1] = True
+        last &= _BARE[data] & ~_SPACE[data]
+    rest = np.stack([
+        np.log1p(m), chars / some, distinct / some, top / some, stutter / some, pairs / np.maximum(m - 1, 1),
+        np.log1p(lines), own_lines / lines, np.log1p(chars / lines), sums(last, off) / some,
+    ], 1)
+    return np.column_stack([*part, np.log1p(n), np.where(m[:, None] > 0, rest, 0.0)])
 
 
 @dataclass
@@ -144,7 +171,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", modulus: i
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            x = statistics(b.column("text").to_pylist(), *utf8(b.column("text")))
+            x = statistics(*utf8(b.column("text")))
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("y"), pa.array(list(x), pa.list_(pa.float64()))], ["doc_id", "y", "x"])
 
     def learn(batches: Iterator[pa.RecordBatch]) -> bytes:
@@ -156,12 +183,16 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", modulus: i
 
 
 def text_scores(forest: Forest, col: pa.Array) -> np.ndarray:
-    off, data = utf8(col)
-    return forest.score(statistics(["" if t is None else t for t in col.to_pylist()], off, data))
+    """Scores of a column of whole texts; a null counts as empty."""
+    return forest.score(statistics(*utf8(col)))
 
 
 def score_documents(docs: DataFrame, scores: Callable[[pa.Array], np.ndarray], modulus: int, held_out: int, threshold: float = KEEP, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, held_out, score and predicted (score >= threshold) of every whole text. No shuffle."""
+    """doc_id, held_out, score and predicted (score >= threshold) of every whole text. No shuffle.
+
+    A null text counts as empty, a null id is held out from nothing (held_out is false), rows that
+    repeat an id or a text are scored one by one; equal texts have equal scores.
+    """
     bound_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.crc32(F.col(id_col).cast("long").cast("string")) % modulus == held_out, F.lit(False)).alias("held_out"), F.col(text_col).cast("string").alias("text"))
 
@@ -175,7 +206,7 @@ def score_documents(docs: DataFrame, scores: Callable[[pa.Array], np.ndarray], m
 
 
 def keep_documents(docs: DataFrame, keep: Callable[[pa.Array], np.ndarray], text_col: str = "text") -> DataFrame:
-    """The rows of docs, all columns as they are, for whose texts keep is true. No shuffle."""
+    """The rows of docs, all columns as they are, for whose texts keep is true; null texts are handed on as such. No shuffle."""
     bound_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
