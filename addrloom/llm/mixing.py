@@ -47,28 +47,47 @@ def sizes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
     )
 
 
+def _weighted(by_source: DataFrame, few: bool) -> DataFrame:
+    """Adds each source's weight, by its place among the sources, and its cap. Few: in one task; else places are counted within ranges, of which the driver sees one count each."""
+    order = F.col("source").asc_nulls_last()
+    if few:
+        x = by_source.withColumn("place", F.row_number().over(Window.orderBy(order)).cast("long") - 1)
+    else:
+        own = stored(by_source.repartitionByRange(order).sortWithinPartitions(order).withColumn("_at", F.monotonically_increasing_id()))
+        part, before, total = F.shiftright("_at", 33), [], 0
+        for p, n in sorted(tuple(r) for r in own.groupBy(part.alias("p")).count().collect()):
+            before.append((p, total))
+            total += n
+        base = by_source.sparkSession.createDataFrame(before, "_p long, _before long")
+        x = own.withColumn("_p", part.cast("long")).join(F.broadcast(base), "_p").withColumn("place", F.col("_before") + F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))).drop("_p", "_before", "_at")
+    weight = F.element_at(F.array(*(F.lit(float(w)) for w in WEIGHTS)), (F.col("place") % len(WEIGHTS) + 1).cast("int"))
+    return x.withColumn("weight", weight).withColumn("cap", MOST * F.col("source_size").cast("double")).drop("place")
+
+
 def targets(by_source: DataFrame) -> DataFrame:
     """source, source_size, target: weights share SHARE of all mass; no target exceeds MOST times its source.
 
     Resharing the excess by weight until none is above ends where target = least(cap, weight * level)
-    with one level for all, and that level is the largest of (mass - caps below) / (weights from here)
-    in ascending order of cap / weight. The windows run over one short row per source.
+    with one level for all. The level is raised step by step, each step one sum over the sources:
+    those whose cap it reaches stay at their caps, the others share what these leave. It ends when
+    no further cap is reached, after about as many steps as there are orders of magnitude among
+    the sizes. A null source is one of the sources, the last; sizes of 0 have the target 0; without
+    sources there are no targets.
     """
-    rank = Window.orderBy(F.col("source").asc_nulls_last())
-    weight = F.element_at(F.array(*(F.lit(float(w)) for w in WEIGHTS)), (F.row_number().over(rank) - 1) % len(WEIGHTS) + 1)
-    x = by_source.withColumn("weight", weight).withColumn("cap", MOST * F.col("source_size").cast("double"))
-    up = Window.orderBy(F.col("cap") / F.col("weight"), F.col("source").asc_nulls_last())
-    all_rows = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    x = x.withColumn("below", F.coalesce(F.sum("cap").over(up.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0)))
-    x = x.withColumn("weights", F.sum("weight").over(up.rowsBetween(Window.currentRow, Window.unboundedFollowing)))
-    x = x.withColumn("mass", SHARE * F.sum("source_size").over(Window.orderBy(F.lit(1)).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).cast("double"))
-    del all_rows
-    level = F.max((F.col("mass") - F.col("below")) / F.col("weights")).over(Window.orderBy(F.lit(1)).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    return x.select("source", "source_size", F.least(F.col("cap"), F.col("weight") * level).alias("target"))
+    x = stored(_weighted(by_source, by_source.count() <= BROADCAST_SOURCES))
+    mass = SHARE * float(x.agg(F.sum("source_size")).first()[0] or 0)
+    level = -1.0
+    while True:
+        below = F.col("cap") <= F.col("weight") * F.lit(level)
+        held, weights = x.agg(F.coalesce(F.sum(F.when(below, F.col("cap"))), F.lit(0.0)), F.sum(F.when(~below, F.col("weight")))).first()
+        if not weights or (now := (mass - held) / weights) <= level:
+            break
+        level = now
+    return x.select("source", "source_size", F.least(F.col("cap"), F.col("weight") * F.lit(max(level, 0.0))).alias("target"))
 
 
 def plan(sized: DataFrame) -> DataFrame:
-    """One row per source: source_size, target, copies that every document gets, chance of one more, multiplier.
+    """One row per source: source_size, target, copies that every document gets, chance of one more, multiplier. No rows for an empty table.
 
     Of SEEDS seeds each source takes the one whose drawn mass is nearest its target (the first
     of equals). Sums only: map-side partial aggregates, then one row per source.
@@ -95,14 +114,18 @@ def with_rates(rows: DataFrame, rates: DataFrame, source: Column | None = None)
 
 
 def mix(sized: DataFrame) -> DataFrame:
-    """doc_id, size, source_size, target, taken: the words that the mix takes of each document, copies counted."""
+    """doc_id, size, source_size, target, taken: the words that the mix takes of each document, copies counted.
+
+    Rows that repeat an id share its coin, and so do rows without one. The source is compared as
+    text; null is a source of its own.
+    """
     x = with_rates(sized, plan(sized))
     more = (_coin(F.col("h"), F.col("m")) < F.col("chance") * PRIME).cast("long")
     return x.select("doc_id", "size", F.col("source_size").cast("long").alias("source_size"), "target", (F.col("size") * (F.col("whole") + more)).cast("long").alias("taken"))
 
 
 def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """The rows of docs, each as often as the mix takes it, with the same columns."""
+    """The rows of docs, each as often as the mix takes it, with the same columns, whatever their names. A null or empty text has size 0 and comes along by its coin like any other."""
     rates = plan(stored(sizes(docs, id_col, text_col, source_col)))
     x = with_rates(docs, rates, F.col(source_col).cast("string"))
     copies = (F.col("_mix_whole") + (_coin(_hash(F.col(id_col)), F.col("_mix_m")) < F.col("_mix_chance") * PRIME).cast("long")).cast("int")

@@ -20,7 +20,10 @@ PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
 def pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int = CAPACITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per piece: a document's ids and end_id, cut only where they exceed the capacity. No shuffle."""
+    """One row per piece: a document's ids and end_id, cut only where they exceed the capacity. No shuffle.
+
+    A null or empty text is the end id alone; rows that repeat an id are pieces of their own; a null id stays null.
+    """
     bound_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -228,6 +231,9 @@ def pack(rows: DataFrame, capacity: int = CAPACITY, group: int = GROUP, full: fl
     Groups of pieces are packed apart; what their underfull bins hold is gathered and packed
     again, in fewer groups, so that the waste doesn't grow with the number of groups. Rounds go on
     until one group holds the rest, or until a round saves no bin: its bins are then left as they were.
+    A bin filled to the part `full` counts as done. Of equal lengths the lesser id and piece goes
+    first, so a group's packing depends on its pieces alone; pieces with null or repeated ids are
+    pieces like any other, and an empty table gives an empty one.
     """
     columns = ["doc_id", "piece", "start", "length", "ids_crc32"]
     todo, done, number = stored(rows.select(columns)), [], 0

@@ -58,7 +58,8 @@ def read_digests(files: DataFrame) -> DataFrame:
     """doc_id, start, n_tokens and ids_crc32 of each document, from the files.
 
     The ids of all ranges before are summed from the n_tokens column alone; the driver sees one
-    row per range (at most 65,536), which is also what is broadcast.
+    row per range (at most 65,536), which is also what is broadcast. Null and repeated ids are
+    rows like any other; files without rows give none.
     """
     spark: SparkSession = files.sparkSession
     bound_batches(spark)

@@ -278,7 +278,10 @@ def test_mix_equals_sql(spark, docs, nothing):
     assert words == sum(r[4] for r in got)
 
 
-def test_targets_equal_stepwise_resharing(spark):
+@pytest.mark.parametrize("few", [100_000, 0])
+def test_targets_equal_stepwise_resharing(spark, monkeypatch, few):
+    monkeypatch.setattr(mixing, "BROADCAST_SOURCES", few)
+    assert mixing.targets(spark.createDataFrame([], "source string, source_size long")).count() == 0
     for seed in range(5):
         r = random.Random(seed)
         size = {f"s{k}": r.choice([0, 1, 10, 100, 5000]) for k in range(7)}
@@ -293,7 +296,7 @@ def test_targets_equal_stepwise_resharing(spark):
                 break
             capped |= over
         want = {s: 2 * size[s] if s in capped else share[s] for s in size}
-        got = {x.source: x.target for x in mixing.targets(spark.createDataFrame(list(size.items()), "source string, source_size long")).collect()}
+        got = {x.source: x.target for x in mixing.targets(spark.createDataFrame(list(size.items()), "source string, source_size long").repartition(3)).collect()}
         assert got == pytest.approx(want)
 
 
