@@ -103,14 +103,10 @@ def plan(sized: DataFrame) -> DataFrame:
     return stored(x.select("source", "source_size", "target", "whole", "chance", best["m"].cast("long").alias("m")))
 
 
-def with_rates(rows: DataFrame, rates: DataFrame, source: Column | None = None) -> DataFrame:
-    """Adds a source's rates to each of its rows; broadcast only after counting the sources."""
-    names = {c: f"_mix_{c}" for c in rates.columns}
-    own = rates.select(*(F.col(c).alias(n) for c, n in names.items()))
-    own = F.broadcast(own) if rates.count() <= BROADCAST_SOURCES else own
-    clash = source is not None
-    out = rows.join(own, (source if clash else rows["source"]).eqNullSafe(own["_mix_source"]))
-    return out if clash else out.select(rows["*"], *(F.col(n).alias(c) for c, n in names.items() if c != "source"))
+def with_rates(rows: DataFrame, rates: DataFrame) -> DataFrame:
+    """Adds a source's rates to each of its rows (with a column source); broadcast only after counting the sources."""
+    own = F.broadcast(rates) if rates.count() <= BROADCAST_SOURCES else rates
+    return rows.join(own.withColumnRenamed("source", "_rates_of"), F.col("source").eqNullSafe(F.col("_rates_of"))).drop("_rates_of")
 
 
 def mix(sized: DataFrame) -> DataFrame:
@@ -127,10 +123,10 @@ def mix(sized: DataFrame) -> DataFrame:
 def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """The rows of docs, each as often as the mix takes it, with the same columns, whatever their names. A null or empty text has size 0 and comes along by its coin like any other."""
     rates = plan(stored(sizes(docs, id_col, text_col, source_col)))
-    x = with_rates(docs, rates, F.col(source_col).cast("string"))
-    copies = (F.col("_mix_whole") + (_coin(_hash(F.col(id_col)), F.col("_mix_m")) < F.col("_mix_chance") * PRIME).cast("long")).cast("int")
-    x = x.withColumn("_mix_copy", F.explode(F.when(copies > 0, F.sequence(F.lit(1), copies)).otherwise(F.array().cast(T.ArrayType(T.IntegerType())))))
-    return x.select(*(F.col(f"`{c}`") for c in docs.columns))
+    rows = docs.select(F.struct("*").alias("row"), F.col(source_col).cast("string").alias("source"), _hash(F.col(id_col)).alias("h"))
+    copies = (F.col("whole") + (_coin(F.col("h"), F.col("m")) < F.col("chance") * PRIME).cast("long")).cast("int")
+    taken = F.explode(F.when(copies > 0, F.sequence(F.lit(1), copies)).otherwise(F.array().cast(T.ArrayType(T.IntegerType()))))
+    return with_rates(rows, rates).select("row", taken.alias("copy")).select("row.*")
 
 
 def mix_sql(docs: str = "documents") -> str:
