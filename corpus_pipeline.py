@@ -35,11 +35,11 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     one = rows.filter("n_shingles > 0").groupBy("component").agg(F.min("doc_id").alias("_id"), F.min("key").alias("_key"), (F.count(F.lit(1)) > 1).alias("_many"))
     bare = rows.filter("n_shingles = 0").select(F.col("doc_id").alias("_id"), F.col("key").alias("_key"), F.lit(False).alias("_many")).distinct()
     kept = stored(one.select("_id", "_key", "_many").unionByName(bare))
-    same = F.col("_doc").eqNullSafe(F.col("_id")) & (F.col("_text") == F.col("_key"))
-    out = docs.withColumn("_doc", F.col("doc_id").cast("long")).withColumn("_text", neardup.text_key(F.col("text"))).join(kept.hint("merge"), same)
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("id"), neardup.text_key(F.col("text")).alias("key"))
+    out = rows.join(kept.hint("merge"), F.col("id").eqNullSafe(F.col("_id")) & (F.col("key") == F.col("_key"))).select("row", "_id", "_key", "_many")
     if kept.filter("_many").isEmpty():
-        return out.select(*docs.columns)
-    return out.filter("not _many").unionByName(out.filter("_many").dropDuplicates(["_doc", "_text"])).select(*docs.columns)
+        return out.select("row.*")
+    return out.filter("not _many").unionByName(out.filter("_many").dropDuplicates(["_id", "_key"])).select("row.*")
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
