@@ -148,13 +148,14 @@ def ordered_ranges(df: DataFrame, id_col: str, text_col: str, range_bytes: int =
     are aggregated; the driver gets one boundary and one sum per fine range, at most MAX_RANGES.
     Rows of one id are never parted.
     """
-    n, size = df.agg(F.count(F.lit(1)), F.sum(F.octet_length(text_col))).first()
+    lengths = stored(df.select(F.col(id_col), F.octet_length(text_col).alias("_bytes")))  # so that the texts are read once for this
+    n, size = lengths.agg(F.count(F.lit(1)), F.sum("_bytes")).first()
     fine = int(min(MAX_RANGES, max(1, -(-8 * (size or 0) // range_bytes)), max(1, n)))
     cuts: list[float] = []
     if (size or 0) > range_bytes and fine > 1:
         at = [k / fine for k in range(1, fine)]
-        cuts = sorted(set(df.select(F.col(id_col).cast("double").alias("x")).approxQuantile("x", at, 0.2 / fine)))
-        sums_ = dict(_numbered(df, id_col, cuts).groupBy("_p").agg(F.sum(F.octet_length(text_col))).collect())
+        cuts = sorted(set(lengths.select(F.col(id_col).cast("double").alias("x")).approxQuantile("x", at, 0.2 / fine)))
+        sums_ = dict(_numbered(lengths, id_col, cuts).groupBy("_p").agg(F.sum("_bytes")).collect())
         kept, held = [], sums_.get(0) or 0
         for k, cut in enumerate(cuts, 1):
             own = sums_.get(k) or 0
@@ -163,6 +164,7 @@ def ordered_ranges(df: DataFrame, id_col: str, text_col: str, range_bytes: int =
                 held = 0
             held += own
         cuts = kept
+    discard(lengths)
     if not cuts:
         return df.withColumn("_p", F.lit(0)), 1
     return _numbered(df, id_col, cuts), len(cuts) + 1
