@@ -631,6 +631,45 @@ def csv_ingest(s, d):
     return back.select(F.col("row_id").cast("long").alias("row_id"), *(F.coalesce(c, F.lit("")).alias(c) for c in ("addr_text", "pincode", "city_id", "file_name")))
 
 
+@query
+def file_digest(s, d):
+    folder = _folder(s)
+    _table(s, d, "region").orderBy("r_regionkey").coalesce(1).select("r_name").write.text(f"{folder}/p5")
+    return readers.fingerprints(s, readers.discover(s, [f"{folder}/**/part-*.txt"])).select("size", "sha256")
+
+
+@query
+def discovered_files(s, d):
+    """Files by patterns and by numbers, by their names: p1 and p10 in the folder, p5 below it."""
+    folder = _folder(s)
+    one = s.createDataFrame([("x",)], "value string").coalesce(1)
+    for name in ("p1.csv", "p10.csv", "deep/p5.csv"):
+        one.write.text(f"{folder}/made/{name}-folder")
+        fs, made = readers._file_system(s, f"{folder}/{name}")
+        fs.mkdirs(made.getParent())
+        fs.rename(readers._file_system(s, readers.discover(s, [f"{folder}/made/{name}-folder/part-*"])[0])[1], made)
+    found = {"flat": readers.discover(s, [f"{folder}/*.csv"]), "deep": readers.discover(s, [f"{folder}/**/*.csv", f"{folder}/p1.csv"]), "numbered": readers.numbered(s, folder, 1, 9)}
+    rows = [(how, k, f.rsplit("/", 1)[1]) for how, files in found.items() for k, f in enumerate(files)]
+    return s.createDataFrame(rows, "how string, place int, name string")
+
+
+@query
+def address_columns(s, d):
+    """The column that each strategy takes for the addresses of three tables."""
+    tables = {"customer": _table(s, d, "customer"), "documents": _table(s, d, "documents"), "addresses": addresses(s, d)}
+    rows = [(t, how, readers.address_column(df, how)) for t, df in tables.items() for how in ("sample", "compare", "report")]
+    return s.createDataFrame(rows, "table string, strategy string, column string")
+
+
+@query
+def state_round_trip(s, d):
+    """A state that is saved twice: what is loaded is the second, whole."""
+    path = f"{_folder(s)}/state"
+    sinks.save_state(_table(s, d, "nation").select("n_nationkey"), path)
+    sinks.save_state(_table(s, d, "region").select("r_regionkey", "r_name"), path)
+    return sinks.load_state(s, path, "r_regionkey int, r_name string")
+
+
 @query
 def skip_files(s, d):
     files = addresses(s, d).select(F.col("source_file").alias("path"), F.lit(100).cast("long").alias("modified")).distinct()
@@ -775,7 +814,11 @@ def advice_batch(s, d):
 
 
 def _folder(s: SparkSession) -> str:
-    base = s.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="addrloom-stream-")
+    base = s.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not s.sparkContext.master.startswith("local[") and s.sparkContext.master != "local":
+            raise ValueError("spark.checkpoint.dir has to name a folder that driver and executors share")
+        base = "file://" + tempfile.mkdtemp(prefix="addrloom-")
     return f"{base.rstrip('/')}/stream-{uuid.uuid4().hex}"
 
 

@@ -13,6 +13,7 @@ from addrloom.functions.rules import rule_parse
 from addrloom.functions.similarity import common_subsequence, similarity_column, token_sort_similarity
 from addrloom.schema import FIELDS
 
+# Published sample addresses and the fields that they have.
 GOLDEN = [
     ("Flat 301, Kumar Paradise, Kalyani Nagar, Pune, Maharashtra 411006", "301", "Kumar Paradise", "", "", "Kalyani Nagar", "Pune", "Maharashtra", "411006"),
     ("A-204, Amanora Park Town, Hadapsar, Pune 411028", "A-204", "Amanora Park Town", "", "", "Hadapsar", "Pune", "", "411028"),
@@ -26,6 +27,15 @@ GOLDEN = [
     ("3rd Floor, Panchshil Tech Park, Yerwada, Pune, Maharashtra 411006", "3rd Floor", "Panchshil Tech Park", "", "", "Yerwada", "Pune", "Maharashtra", "411006"),
 ]
 
+# Addresses of our own, their fields read off the rules by hand.
+GOLDEN += [
+    ("Unit 9/C, Silver Oak Heights, opposite Town Hall, MG Road, Indiranagar, Bangalore, Karnataka 560038", "9/C", "Silver Oak Heights", "Town Hall", "MG Road", "Indiranagar", "Bangalore", "Karnataka", "560038"),
+    ("12th Floor, Lotus, Near Station, Thane 400601", "12th Floor", "Lotus", "Station", "", "Near Station", "Thane", "", "400601"),
+    ("  FLAT#7-B, rose villa, Sector 5, Jaipur", "7-B", "rose villa", "", "", "Sector 5", "Jaipur", "", ""),
+    ("no digits here", "", "", "", "", "", "", "", ""),
+    ("5/A, Old Town, Surat", "5/A", "", "", "", "Old Town", "Surat", "", ""),
+]
+
 
 def test_rule_parser_golden_rows(spark):
     df = spark.createDataFrame([(k, g[0]) for k, g in enumerate(GOLDEN)], "row_id int, addr_text string")
