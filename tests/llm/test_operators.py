@@ -160,6 +160,32 @@ def plain_phrases(names):
     return out
 
 
+def test_token_files_are_laid_out_for_selective_reads(spark, tmp_path):
+    """Footers: dictionary ids, delta-encoded ascending columns, page indexes, several pages; a selection reads no ids."""
+    from glob import glob
+
+    import pyarrow.parquet as pq
+
+    rows = spark.createDataFrame([(k, prose(60, k % 50)) for k in range(6000)], "doc_id long, text string").repartition(4)
+    files = token_files.write_token_files(rows, tokens.tokenizer_path(BYTE_BPE), end_id=2)
+    paths = glob(files._addrloom_path.removeprefix("file://") + "/*.parquet")
+    assert paths
+    for path in paths:
+        meta = pq.ParquetFile(path).metadata
+        for g in range(meta.num_row_groups):
+            columns = {c.path_in_schema: c for c in (meta.row_group(g).column(k) for k in range(meta.num_columns))}
+            assert meta.row_group(g).total_byte_size <= 40 << 20
+            assert "DELTA_BINARY_PACKED" in columns["doc_id"].encodings and not columns["doc_id"].has_dictionary_page and "DELTA_BINARY_PACKED" in columns["start_in_range"].encodings
+            ids = next(c for name, c in columns.items() if name.startswith("ids"))
+            assert ids.has_dictionary_page and ids.compression == "ZSTD" and columns["doc_id"].has_offset_index and columns["doc_id"].has_column_index
+    one = files.filter("doc_id = 4321").select("doc_id", "n_tokens")
+    plan = one._jdf.queryExecution().toString()
+    assert "ReadSchema: struct<doc_id:bigint,n_tokens:bigint>" in plan and "EqualTo(doc_id,4321)" in plan
+    assert [tuple(r) for r in one.collect()] == [(4321, len(ids_of(BYTE_BPE, prose(60, 4321 % 50))) + 1)]
+    whole = files.orderBy("range", "start_in_range").select("doc_id").collect()
+    assert [r.doc_id for r in whole] == list(range(6000))
+
+
 @settings(max_examples=60, deadline=None)
 @given(text=st.one_of(st.text(max_size=80), st.text(alphabet="ab", max_size=120), st.text(alphabet="a", max_size=30)), sizes=st.lists(st.integers(1, 9), min_size=1, max_size=4))
 def test_parsing_equals_a_plain_version_and_itself_in_pieces(text, sizes):
