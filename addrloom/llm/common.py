@@ -82,6 +82,11 @@ def discard(df: DataFrame) -> None:
             _STORED.remove(path)
 
 
+def tidy(spark: SparkSession) -> None:
+    """Collects the driver's garbage. An operator of a hundred exchanges leaves plans, statistics and shuffles behind, which Spark lets go, files included, only once their last reference is collected."""
+    spark._jvm.System.gc()
+
+
 def stored_so_far() -> int:
     return len(_STORED)
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import discard, stored
+from .common import discard, stored, tidy
 
 
 #: Parts into which a hub's edges fall while its least neighbour is found and told to them.
@@ -47,4 +47,5 @@ def components(links: DataFrame) -> DataFrame:
         now_edges = stored(_small(_large(edges)))
         discard(edges)
         edges = now_edges
+        tidy(edges.sparkSession)
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())

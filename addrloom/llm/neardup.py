@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import words
-from .common import bound_batches, by_bytes, discard, stored, utf8
+from .common import bound_batches, by_bytes, stored, tidy, utf8
 from .components import components
 
 #: Words of a shingle; threshold as a fraction.
@@ -36,6 +36,8 @@ BANDS = HASHES // ROWS
 BLOCK, TILE = 64, 256
 #: Parts of a component whose least ids are found apart.
 PARTS = 256
+#: Rows (of two numbers) up to which a counted table is broadcast.
+SMALL = 100_000
 #: Bytes of text whose shingles are made at once.
 SLICE = 1 << 20
 
@@ -393,11 +395,19 @@ def grouped(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     members = stored(bands.join(centres.hint("merge"), "bucket"))
     first = members.filter("node <> centre").select(F.col("node").alias("x"), F.col("centre").alias("y")).distinct()
     links = stored(confirmed(texts, reps, stored(_pruned(stored(first), reps))).distinct())
+    tidy(docs.sparkSession)
     comps = stored(components(links))
     more = stored(_cross(texts, members.drop("centre"), reps, comps).distinct())
     if not more.isEmpty():
-        discard(comps)
-        comps = stored(components(links.unionByName(more)))
+        # Components of the components that these links join, and from them those of the nodes.
+        of = comps.select(F.col("node").alias("_node"), "component")
+        end = lambda x, c: x.join(of.hint("merge"), F.col(c) == F.col("_node"), "left").withColumn(c, F.coalesce("component", c)).select("u", "v")
+        over = stored(components(stored(end(end(more, "u"), "v"))))
+        least = over.select(F.col("node").alias("_of"), F.col("component").alias("_least"))
+        least = F.broadcast(least) if over.count() <= SMALL else least.hint("merge")
+        joined = comps.join(least, F.col("component") == F.col("_of"), "left").select("node", F.coalesce("_least", "component").alias("component"))
+        lone = over.join(comps.select("node").hint("merge"), "node", "left_anti").select("node", "component")
+        comps = stored(joined.unionByName(lone))
     # The least id of a component, of any size: by parts of it, then of the parts, then back to the parts.
     own = stored(comps.hint("merge").join(classes.select("node", "least"), "node").withColumn("part", F.pmod(F.xxhash64("node"), F.lit(PARTS))))
     parts = own.groupBy("component", "part").agg(F.min("least").alias("least"))
