@@ -93,23 +93,23 @@ def lines(page: str) -> tuple[list[tuple[str, int]], bool]:
     depth = main_depth = at = linked = 0
     article = False
     holder, all_link = "", True  # the innermost block's tag, and whether the block's text so far is all link
-    skip, nested, inline, why = "", 0, False, SURE  # the element whose lines are dropped or open, and how many of its name are open
+    gone, loose = _Inside(), _Inside()  # the element whose lines are dropped, and the one whose lines are open
+    inline = False  # whether the dropped element is part of a line, which then goes on without it
 
     def flush() -> None:
         nonlocal all_link
         if block:
             if text := _SPACE.sub(" ", html.unescape("".join(block))).strip():
-                kind = why if why else SURE if depth and holder in TEXT and not (all_link and holder not in HEADINGS) else OPEN
+                kind = GONE if gone.name and not inline else SURE if depth and not loose.name and holder in TEXT and not (all_link and holder not in HEADINGS) else OPEN
                 out.append((text, kind, depth > 0))
             block.clear()
         all_link = True
 
     def put(text: str) -> None:
         nonlocal all_link
-        if skip and inline:  # a marked part of a line: left out, and the line goes on
-            return
-        block.append(text)
-        all_link = all_link and (linked > 0 or not text.strip())
+        if not inline:
+            block.append(text)
+            all_link = all_link and (linked > 0 or not text.strip())
 
     while m := _TAG.search(page, at):
         if m.start() > at:
@@ -118,34 +118,36 @@ def lines(page: str) -> tuple[list[tuple[str, int]], bool]:
         if m[2] is None:
             continue
         name, closing = m[2].lower(), bool(m[1])
-        if skip and name in ("article", "main") and not closing and skip not in ("article", "main") and not depth and not main_depth:
+        if name in RAW and not closing:  # no markup until its end
+            end = re.compile(rf"</{name}[\s/>]", re.I).search(page, at)
+            at = end.start() if end else len(page)
+            continue
+        if gone.name and name in ("article", "main") and not closing and gone.name not in ("article", "main") and not depth and not main_depth:
             flush()
-            skip, why = "", SURE  # what was to be left out was never closed
-        if skip:
-            done = False
-            if name == skip:
-                nested += -1 if closing else 1 if name not in ("p", "li") else 0
-                done = nested <= 0 or not closing and name in ("p", "li")
-            elif skip == "p" and name not in INLINE or skip == "li" and closing and name in ("ul", "ol"):
-                done = True
-            if done:
-                if not inline:
-                    flush()
-                skip, why, inline = "", SURE, False
-                if name == m[2].lower() and closing:
-                    continue
-            elif inline or why == GONE:
-                if name in RAW and not closing:
-                    end = re.compile(rf"</{name}[\s/>]", re.I).search(page, at)
-                    at = end.start() if end else len(page)
-                elif name not in INLINE and not inline:
+            gone.name, inline = "", False  # what was to be left out was never closed
+        if gone.name:
+            before = gone.name
+            if not gone.ends(name, closing):
+                if name not in INLINE and not inline:
                     flush()
                 continue
+            gone.name = before  # the text so far is still inside
+            if not inline:
+                flush()
+            gone.name, inline = "", False
+            if closing and name == before:
+                continue
+        if loose.name:
+            before = loose.name
+            if loose.ends(name, closing):
+                loose.name = before
+                flush()
+                loose.name = ""
         if name not in INLINE:
             flush()
             if closing:
                 holder = ""
-            elif name not in RAW and name not in VOID:
+            elif name not in VOID:
                 holder = name
         elif name == "a":
             linked = max(0, linked + (-1 if closing else 1))
@@ -155,19 +157,16 @@ def lines(page: str) -> tuple[list[tuple[str, int]], bool]:
             elif name == "main" and main_depth:
                 main_depth -= 1
             continue
-        if name in RAW:
-            end = re.compile(rf"</{name}[\s/>]", re.I).search(page, at)
-            at = end.start() if end else len(page)
-            continue
-        if not skip and name not in VOID and (found := verdict(name, m[3], depth > 0)) and not m[3].rstrip().endswith("/"):
-            skip, nested, why, inline = name, 1, found, name in INLINE and found == GONE
-            if name in INLINE and found == OPEN:
-                skip, why = "", SURE
-            elif name == "a" and inline:
-                linked = max(0, linked - 1)
-            if found == GONE and name == "article":
+        if name not in VOID and (found := verdict(name, m[3], depth > 0)) and not m[3].rstrip().endswith("/"):
+            if found == GONE:
+                gone.begins(name)
+                inline = name in INLINE
+                if name == "a":
+                    linked = max(0, linked - 1)
                 continue
-        if name == "article" and why != GONE:
+            if not loose.name and name not in INLINE:
+                loose.begins(name)
+        if name == "article":
             depth, article = depth + 1, True
         elif name == "main":
             main_depth += 1
@@ -178,6 +177,27 @@ def lines(page: str) -> tuple[list[tuple[str, int]], bool]:
     return [(text, GONE if article and not inside else kind) for text, kind, inside in out], article
 
 
+class _Inside:
+    """An element and how many of its name are open in it; name is empty while there is none."""
+
+    def __init__(self) -> None:
+        self.name, self.open = "", 0
+
+    def begins(self, name: str) -> None:
+        self.name, self.open = name, 1
+
+    def ends(self, name: str, closing: bool) -> bool:
+        """Takes the next tag into account; whether it ends the element. Paragraphs and list items also end without a tag of their own."""
+        if name == self.name:
+            self.open += -1 if closing else 1 if name not in ("p", "li") else 0
+            over = self.open <= 0 or not closing and name in ("p", "li")
+        else:
+            over = self.name == "p" and name not in INLINE or self.name == "li" and closing and name in ("ul", "ol")
+        if over:
+            self.name = ""
+        return over
+
+
 #: Bits of the table of a subsequence that are kept at once.
 TABLE_BITS = 1 << 27
 

@@ -345,6 +345,9 @@ def test_html_attributes_are_read_as_such():
     found, _ = html_extract.lines('<article><h2 id="related-work">R</h2><div class="social history"><p>x</p></div><p>One <a class=share>SHARE</a> two</p><div>bare</div><p><a href=x>all link</a></p></article><p>out</p>')
     assert found == [("R", html_extract.SURE), ("x", html_extract.OPEN), ("One two", html_extract.SURE), ("bare", html_extract.OPEN), ("all link", html_extract.OPEN), ("out", html_extract.GONE)]
     assert kept_lines("<article><p>a <span class=ad>buy <b>now</b></span> b<p>c") == ["a b", "c"]
+    assert kept_lines("<article><p>a <script>'<p>'</script>b<style>p{}</style> c</p><p>d") == ["a b c", "d"]
+    found, _ = html_extract.lines('<article><div class="social history"><p>x</p><nav>menu</nav><div><p>y</p></div></div><p>z</p><ul><li class="notice board">n<li>o</ul></article>')
+    assert found == [("x", html_extract.OPEN), ("menu", html_extract.GONE), ("y", html_extract.OPEN), ("z", html_extract.SURE), ("n", html_extract.OPEN), ("o", html_extract.SURE)]
 
 
 @pytest.mark.parametrize("bits", [1 << 27, 8])
