@@ -118,9 +118,10 @@ def lines(page: str) -> tuple[list[tuple[str, int]], bool]:
         if m[2] is None:
             continue
         name, closing = m[2].lower(), bool(m[1])
-        if name in RAW and not closing:  # no markup until its end
-            end = re.compile(rf"</{name}[\s/>]", re.I).search(page, at)
-            at = end.start() if end else len(page)
+        if name in RAW:  # no markup until its end, and no boundary of a block
+            if not closing:
+                end = re.compile(rf"</{name}[\s/>]", re.I).search(page, at)
+                at = end.start() if end else len(page)
             continue
         if gone.name and name in ("article", "main") and not closing and gone.name not in ("article", "main") and not depth and not main_depth:
             flush()
