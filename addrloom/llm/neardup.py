@@ -427,7 +427,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     component_id is the least doc_id reachable over links of 100 * intersection >= 75 * union,
     itself included. A null or empty text, or one without words, has n_shingles 0 and is linked
     with nothing. Links are those of the texts: a row without an id takes the least id of its
-    component, or null where no row of that has one; rows that share an id are in one component
-    only if their texts are, and then are all kept or all not.
+    component, or null where no row of that has one. Rows that share an id are in one component
+    only if their texts are, and then are all kept or all not; unlinked texts under one id are rows
+    of their own, each with the least id of its component, so both may be kept. Columns besides
+    id_col and text_col are not read; an empty table gives an empty one.
     """
     return grouped(docs, id_col, text_col).select("doc_id", "n_shingles", "component_id", "kept")
