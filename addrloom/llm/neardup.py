@@ -384,6 +384,7 @@ def _cross(texts: DataFrame, members: DataFrame, reps: DataFrame, comps: DataFra
 
 def grouped(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, key (of the text), n_shingles, component (names the group of near-duplicates; null without shingles), component_id and kept for every row."""
+    tidy(docs.sparkSession)
     texts = docs.select(text_key(F.col(text_col)).alias("key"), F.col(text_col).cast("string").alias("text"))
     every = stored(sketch(docs, id_col, text_col).withColumn("node", F.monotonically_increasing_id()))
     full = every.filter("n > 0")
@@ -393,11 +394,15 @@ def grouped(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     bands = reps.select("node", F.explode(F.array(*(band(k) for k in range(BANDS)))).alias("bucket"))
     centres = bands.groupBy("bucket").agg(F.min("node").alias("centre"), F.count(F.lit(1)).alias("many")).filter("many > 1").drop("many")
     members = stored(bands.join(centres.hint("merge"), "bucket"))
+    tidy(docs.sparkSession)
     first = members.filter("node <> centre").select(F.col("node").alias("x"), F.col("centre").alias("y")).distinct()
-    links = stored(confirmed(texts, reps, stored(_pruned(stored(first), reps))).distinct())
+    pairs = stored(_pruned(stored(first), reps))
+    tidy(docs.sparkSession)
+    links = stored(confirmed(texts, reps, pairs).distinct())
     tidy(docs.sparkSession)
     comps = stored(components(links))
     more = stored(_cross(texts, members.drop("centre"), reps, comps).distinct())
+    tidy(docs.sparkSession)
     if not more.isEmpty():
         # Components of the components that these links join, and from them those of the nodes.
         of = comps.select(F.col("node").alias("_node"), "component")
