@@ -41,7 +41,7 @@ def _configuration(a: argparse.Namespace, **more: object) -> config.Config:
 
 
 def consolidate(a: argparse.Namespace) -> int:
-    c = _configuration(a, input_path=a.input, output_path=a.output, fuzzy=a.fuzzy or None)
+    c = _configuration(a, input_path=a.input, output_path=a.output, report_path=a.report, fuzzy=a.fuzzy or None)
     print(consolidate_files(_spark(), c))
     return 0
 
@@ -95,7 +95,7 @@ def configure(a: argparse.Namespace) -> int:
 def arguments() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="addrloom", description="Parses and consolidates postal addresses.")
     sub = p.add_subparsers(dest="command", required=True)
-    x = _options(sub.add_parser("consolidate", help="one input to one output"), "input", "output", "threshold", "complexity")
+    x = _options(sub.add_parser("consolidate", help="one input to one output"), "input", "output", "report", "threshold", "complexity")
     x.add_argument("--fuzzy", action="store_true")
     x.set_defaults(run=consolidate)
     x = _options(sub.add_parser("batch", help="all files of some patterns"), "output", "complexity", "batch_size")

@@ -28,6 +28,7 @@ class ConfigurationError(ValueError):
 class Config:
     input_path: str = ""
     output_path: str = ""
+    report_path: str = ""
     batch_input: list[str] = field(default_factory=list)
     batch_output: str = ""
     parser_type: str = "rules"

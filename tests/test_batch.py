@@ -155,6 +155,7 @@ def test_command_line(spark, tmp_path, capsys, monkeypatch):
     src.write_text(HEAD + rows_of(4))
     for k, name in enumerate(config.PARSERS):
         assert cli.main(["--input", str(src), "--output", str(tmp_path / f"o{k}"), "--parser", name]) == 0
+    assert cli.main(["consolidate", "--input", str(src), "--output", str(tmp_path / "with"), "--report", str(tmp_path / "r.xlsx")]) == 0 and (tmp_path / "r.xlsx").stat().st_size > 500
     assert cli.main(["consolidate", "--input", str(src)]) == 1  # no output
     assert cli.main(["consolidate", "--input", str(tmp_path / "none.csv"), "--output", "x"]) == 2
     bad = tmp_path / "bad.csv"
@@ -250,3 +251,38 @@ def test_stream_of_several_batches_equals_batch(spark, tmp_path):
     out = spark.read.parquet(str(tmp_path / "out"))
     want = {(r.pin_key, r.name_key): r.leader for r in consolidate.fuzzy_leaders(df).collect()}
     assert {(r.pin_key, r.name_key): r.leader for r in out.collect()} == want and out.agg(F.sum("rows")).first()[0] == 60
+
+
+def test_workbooks_hold_what_the_tables_hold(spark, tmp_path):
+    import zipfile
+    from xml.etree import ElementTree
+
+    from addrloom.sources import workbook
+
+    rows = [(1, "a & <b>\n\x01 é", None, True, 1.5), (2, " kept ", 3, False, float("nan"))]
+    tables = {"details": spark.createDataFrame(rows, "id long, text string, n int, ok boolean, x double").orderBy("id"), "none/of:it": spark.createDataFrame([], "a string")}
+    path = str(tmp_path / "out.xlsx")
+    workbook.write_workbook(tables, path)
+    workbook.write_workbook(tables, path)  # replaces
+    tag = lambda x: x.tag.split("}")[1]
+    with zipfile.ZipFile(path) as z:
+        assert z.testzip() is None and all(ElementTree.fromstring(z.read(n)) is not None for n in z.namelist())
+        names = [s.get("name") for s in ElementTree.fromstring(z.read("xl/workbook.xml")).iter() if tag(s) == "sheet"]
+        sheet = [[(c.get("t"), "".join(c.itertext())) for c in r] for r in ElementTree.fromstring(z.read("xl/worksheets/sheet1.xml")).iter() if tag(r) == "row"]
+        assert sum(tag(r) == "row" for r in ElementTree.fromstring(z.read("xl/worksheets/sheet2.xml")).iter()) == 1
+    assert names == ["details", "none_of_it"] and [v for _, v in sheet[0]] == ["id", "text", "n", "ok", "x"]
+    assert sheet[1] == [(None, "1"), ("inlineStr", "a & <b>\n é"), (None, ""), ("b", "1"), (None, "1.5")]
+    assert sheet[2] == [(None, "2"), ("inlineStr", " kept "), (None, "3"), ("b", "0"), ("inlineStr", "nan")]
+    assert workbook.sheet_names(["x" * 40, "X" * 40, "", "[a]"]) == ["x" * 31, "X" * 29 + "_2", "Sheet", "_a_"]
+    with pytest.raises(ValueError):
+        workbook.write_workbook({}, path)
+
+
+def test_a_sheet_has_a_limit(spark, tmp_path, monkeypatch):
+    from addrloom.sources import workbook
+
+    monkeypatch.setattr(workbook, "MOST_ROWS", 3)
+    workbook.write_workbook({"a": spark.range(2)}, str(tmp_path / "a.xlsx"))
+    with pytest.raises(ValueError, match="a: a sheet holds 2 rows"):
+        workbook.write_workbook({"a": spark.range(3)}, str(tmp_path / "b.xlsx"))
+    assert [p.name for p in tmp_path.glob("*.xlsx")] == ["a.xlsx"]
