@@ -17,7 +17,7 @@ from .common import bound_batches, by_bytes, sums, utf8
 BLOCK, PAD = 192, 32
 RATE = 8000
 #: File format of the media and PCM columns: small row groups, since a cell can be large, and no dictionary for what hardly repeats.
-LAYOUT = {"compression": "zstd", "parquet__compression__codec__zstd__level": "9", "parquet__enable__dictionary": "false", "parquet__block__size": str(16 << 20)}
+LAYOUT = {"compression": "zstd", "parquet__compression__codec__zstd__level": "11", "parquet__page__size": str(4 << 20), "parquet__enable__dictionary": "false", "parquet__block__size": str(16 << 20)}
 
 # Fixed values of the IMA ADPCM format: step sizes follow its published table, index changes by nibble.
 # fmt: off
