@@ -7,7 +7,7 @@ from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import audio, fingerprint, html_extract, mixing, neardup, packing, quality, token_files, tokens, toxicity
+from . import audio, fingerprint, html_extract, mixing, neardup, packing, quality, token_files, tokens, topk, toxicity
 from .common import stored, table
 
 
@@ -56,6 +56,10 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_pivot_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: v for k, v in globals().items() if k.startswith("op") and callable(v)}
 
@@ -82,6 +86,14 @@ plain AS (SELECT page_id, url, list_filter(list_transform(b, lambda x: trim(rege
 joined AS (SELECT page_id, url, coalesce(array_to_string(b, chr(10)), '') AS text FROM plain)
 SELECT *, length(text)::BIGINT AS n_chars FROM joined"""
 
+#: The highest inner products by computing all of them.
+TOP_K_SQL = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+pairs AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e)::BIGINT AS score FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM pairs)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_source_mix": mixing.mix_sql(), "op6_page_text": PAGE_TEXT_SQL, "op10_near_duplicates": NEAR_DUPLICATES_SQL}
+    return {"op11_pivot_search": TOP_K_SQL, "op5_source_mix": mixing.mix_sql(), "op6_page_text": PAGE_TEXT_SQL, "op10_near_duplicates": NEAR_DUPLICATES_SQL}
