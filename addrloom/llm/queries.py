@@ -7,7 +7,7 @@ from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import audio, fingerprint, html_extract, mixing, neardup, packing, quality, token_files, tokens, topk, toxicity
+from . import audio, fingerprint, html_extract, merkle, mixing, neardup, packing, quality, token_files, tokens, topk, toxicity
 from .common import stored, table
 
 
@@ -60,6 +60,10 @@ def op11_pivot_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"))
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.verify(merkle.manifest(merkle.leaves(table(spark, sf_dir, "documents"))))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: v for k, v in globals().items() if k.startswith("op") and callable(v)}
 
@@ -94,6 +98,47 @@ pairs AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e)::B
 ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM pairs)
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10"""
 
+#: Leaves, all levels of both trees, and each leaf's walk up with its own and with the tampered digest.
+MERKLE_SQL = r"""
+WITH RECURSIVE fields AS (
+  SELECT doc_id, source, concat(
+    coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-'), coalesce(strlen(source) || ':' || source, '-'), coalesce(strlen(lang) || ':' || lang, '-'),
+    coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-')) AS head, text,
+    xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+      lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::BIGINT) ELSE c >> 1 END)), 4294967295::BIGINT) AS crc FROM documents),
+leaves AS (
+  SELECT doc_id, source, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+    CASE WHEN crc % 2 = 0 THEN sha256(head || coalesce(strlen(replace(text, chr(10), '')) || ':' || replace(text, chr(10), ''), '-')) END AS tampered FROM fields),
+placed AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY source) AS n FROM leaves),
+tree AS (
+  SELECT source, 0 AS level, pos, n, leaf AS d FROM placed
+  UNION ALL
+  SELECT source, level + 1, pos // 3, (any_value(n) + 2) // 3, sha256(string_agg(d, '' ORDER BY pos)) FROM tree WHERE n > 1 GROUP BY source, level, pos // 3),
+subroots AS (SELECT source, d AS subroot, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS pos, count(*) OVER () AS n FROM tree WHERE n = 1),
+top AS (
+  SELECT 0 AS level, pos, n, subroot AS d FROM subroots
+  UNION ALL
+  SELECT level + 1, pos // 3, (any_value(n) + 2) // 3, sha256(string_agg(d, '' ORDER BY pos)) FROM top WHERE n > 1 GROUP BY level, pos // 3),
+runs AS (SELECT source, level, pos // 3 AS run, list(d ORDER BY pos) AS ds FROM tree WHERE n > 1 GROUP BY ALL),
+tops AS (SELECT level, pos // 3 AS run, list(d ORDER BY pos) AS ds FROM top WHERE n > 1 GROUP BY ALL),
+walk AS (
+  SELECT source, pos AS start, 0 AS level, pos, coalesce(tampered, leaf) AS d, '' AS proof FROM placed
+  UNION ALL
+  SELECT w.source, w.start, w.level + 1, w.pos // 3,
+    sha256(array_to_string(list_concat(r.ds[:w.pos % 3], [w.d], r.ds[w.pos % 3 + 2:]), '')), w.proof || array_to_string(list_concat(r.ds[:w.pos % 3], r.ds[w.pos % 3 + 2:]), '')
+  FROM walk w JOIN runs r ON w.source IS NOT DISTINCT FROM r.source AND w.level = r.level AND w.pos // 3 = r.run),
+ended AS (SELECT source, start, arg_max(d, level) AS d, arg_max(proof, level) AS proof FROM walk GROUP BY source, start),
+climb AS (
+  SELECT e.source, e.start, 0 AS level, s.pos, e.d, e.proof FROM ended e JOIN subroots s ON e.source IS NOT DISTINCT FROM s.source
+  UNION ALL
+  SELECT w.source, w.start, w.level + 1, w.pos // 3,
+    sha256(array_to_string(list_concat(r.ds[:w.pos % 3], [w.d], r.ds[w.pos % 3 + 2:]), '')), w.proof || array_to_string(list_concat(r.ds[:w.pos % 3], r.ds[w.pos % 3 + 2:]), '')
+  FROM climb w JOIN tops r ON w.level = r.level AND w.pos // 3 = r.run),
+done AS (SELECT source, start, arg_max(d, level) AS folded, arg_max(proof, level) AS proof FROM climb GROUP BY source, start)
+SELECT p.doc_id, p.leaf, s.subroot, t.d AS root, sha256(x.proof) AS proof_sha256, x.folded AS folded_root, x.folded = t.d AS verified
+FROM placed p JOIN done x ON p.source IS NOT DISTINCT FROM x.source AND p.pos = x.start JOIN subroots s ON p.source IS NOT DISTINCT FROM s.source
+JOIN (SELECT d FROM top WHERE n = 1) t ON true"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op11_pivot_search": TOP_K_SQL, "op5_source_mix": mixing.mix_sql(), "op6_page_text": PAGE_TEXT_SQL, "op10_near_duplicates": NEAR_DUPLICATES_SQL}
+    return {"op13_merkle_manifest": MERKLE_SQL, "op11_pivot_search": TOP_K_SQL, "op5_source_mix": mixing.mix_sql(), "op6_page_text": PAGE_TEXT_SQL, "op10_near_duplicates": NEAR_DUPLICATES_SQL}
