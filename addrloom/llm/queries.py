@@ -7,7 +7,7 @@ from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import audio, fingerprint, html_extract, merkle, mixing, neardup, packing, quality, token_files, tokens, topk, toxicity
+from . import audio, divergence, fingerprint, html_extract, merkle, mixing, neardup, packing, quality, token_files, tokens, topk, toxicity
 from .common import stored, table
 
 
@@ -60,6 +60,10 @@ def op11_pivot_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"))
 
 
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.verify(merkle.manifest(merkle.leaves(table(spark, sf_dir, "documents"))))
 
@@ -139,6 +143,30 @@ SELECT p.doc_id, p.leaf, s.subroot, t.d AS root, sha256(x.proof) AS proof_sha256
 FROM placed p JOIN done x ON p.source IS NOT DISTINCT FROM x.source AND p.pos = x.start JOIN subroots s ON p.source IS NOT DISTINCT FROM s.source
 JOIN (SELECT d FROM top WHERE n = 1) t ON true"""
 
+#: Divergences of all pairs of sources by all kept terms of their language, in 128-bit integers.
+DIVERGENCE_SQL = r"""
+WITH words AS (
+  SELECT row_number() OVER () AS doc, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+seen AS (SELECT doc, lang, source, t, count(*)::HUGEINT AS n FROM (SELECT doc, lang, source, unnest(w) AS t FROM words) GROUP BY ALL),
+kept AS (SELECT lang, t, sum(n)::HUGEINT AS n FROM seen GROUP BY lang, t HAVING count(*) >= 3),
+langs AS (SELECT lang, count(*)::HUGEINT AS v, sum(n)::HUGEINT AS total FROM kept GROUP BY lang),
+per AS (SELECT lang, source, t, sum(s.n)::HUGEINT AS n FROM seen s JOIN kept k USING (lang, t) GROUP BY ALL),
+groups AS (
+  SELECT g.lang, g.source, coalesce(sum(p.n), 0)::HUGEINT AS total FROM (SELECT DISTINCT lang, source FROM words) g LEFT JOIN per p USING (lang, source) GROUP BY ALL),
+dense AS (
+  SELECT g.lang, g.source, k.t, coalesce(p.n, 0) AS n, 1 + (1000000000 * (coalesce(p.n, 0) + 1)) // (g.total + l.v) AS p, 1 + (1000000000 * (k.n + 1)) // (l.total + l.v) AS q
+  FROM groups g JOIN kept k USING (lang) JOIN langs l USING (lang) LEFT JOIN per p ON p.lang = g.lang AND p.source = g.source AND p.t = k.t),
+pairs AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value FROM dense a JOIN dense b ON a.lang = b.lang AND a.t = b.t AND a.source <> b.source GROUP BY ALL),
+found AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(p.value, 0)::BIGINT AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN pairs p ON p.lang = a.lang AND p.source = a.source AND p.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', t, ((p - q) * (p - q) // q)::BIGINT FROM dense WHERE n > 0 AND p > q),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank FROM found)
+SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 200"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op13_merkle_manifest": MERKLE_SQL, "op11_pivot_search": TOP_K_SQL, "op5_source_mix": mixing.mix_sql(), "op6_page_text": PAGE_TEXT_SQL, "op10_near_duplicates": NEAR_DUPLICATES_SQL}
+    return {"op12_source_divergence": DIVERGENCE_SQL, "op13_merkle_manifest": MERKLE_SQL, "op11_pivot_search": TOP_K_SQL, "op5_source_mix": mixing.mix_sql(), "op6_page_text": PAGE_TEXT_SQL, "op10_near_duplicates": NEAR_DUPLICATES_SQL}
