@@ -1,19 +1,22 @@
 """MinHash near-duplicates: banded candidates, sequential Bayesian pruning, exact verification.
 
-Documents with equal shingle sets form a class; classes are compared by one member. Signatures
+Documents with equal words form a class; classes are compared by one member. Signatures
 are cut into bands; classes that share a band are candidates. Of a pair's signatures batches are
 compared one after another, and the pair is dropped as soon as the posterior probability that its
 similarity reaches the threshold falls below MISS; every survivor is confirmed on both full
 shingle sets. Candidates are tried in two rounds: first each bucket's members with the bucket's
 least member, then, where a bucket still holds several components, all members of different ones.
 
-Rows are named by their place in the stored sketches and texts by an MD5 digest, so neither null
-nor repeated ids matter. Words are exact (see `words`), shingles are 64-bit keys of five words'
-keys, and a link of the first round is confirmed once more on the words themselves.
+Rows are named by their place in the stored sketches, texts by an MD5 digest and classes by a
+BLAKE2 digest of their words, so neither null nor repeated ids matter. Links of the first round
+are confirmed on the words themselves, those of the second by 64-bit keys of five words' keys.
+Keys are made with a secret that is drawn anew for each run, so that nobody can write words or
+shingles which share a key; by chance two given ones do once in 2**64.
 """
 
 from __future__ import annotations
 
+import secrets
 from collections.abc import Iterator
 from functools import reduce
 from math import comb
@@ -53,9 +56,9 @@ TUPLES = 1 << 21
 _TURN = _RNG.integers(1, 1 << 63, HASHES, np.uint64) | np.uint64(1)
 
 
-def shingles(off: np.ndarray, data: np.ndarray) -> list[np.ndarray]:
-    """The sorted 64-bit keys of each text's distinct shingles; a text of one to four words has one, one without words none."""
-    key, first = words.word_keys(~_SPACE, _LOWER[data], off)
+def shingles(off: np.ndarray, data: np.ndarray, seed: int = 0) -> list[np.ndarray]:
+    """The sorted 64-bit keys of each text's distinct shingles, keyed by the seed; a text of one to four words has one, one without words none."""
+    key, first = words.word_keys(~_SPACE, _LOWER[data], off, seed)
     n = np.diff(first)
     if len(key) >= WORDS:
         run = reduce(np.add, (key[j : len(key) - WORDS + 1 + j] * _PLACE[j] for j in range(WORDS)))
@@ -119,8 +122,8 @@ def text_key(text: Column) -> Column:
     return F.unhex(F.md5(F.coalesce(text.cast("string"), F.lit(""))))
 
 
-def sketch(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, key (of the text), n (shingles), c1 and c2 (a 128-bit key of the set) and sig for each row; no shuffle.
+def sketch(docs: DataFrame, seed: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, key (of the text), n (shingles), words (a digest of their sequence) and sig for each row; no shuffle.
 
     A null text counts as empty; texts without words have n = 0 and a signature without meaning.
     A long text's words are keyed slice by slice, so its arrays hold eight bytes a word.
@@ -130,15 +133,15 @@ def sketch(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for b in by_bytes(whole, "text", SLICE):
-                sets = shingles(*utf8(b.column("text")))
+                off, data = utf8(b.column("text"))
+                sets = shingles(off, data, seed)
                 sig = np.ascontiguousarray(signatures(sets), ">u2")
                 n = np.array([len(s) for s in sets], np.int64)
-                c1 = np.array([s.sum(dtype=np.uint64) for s in sets], np.uint64).view(np.int64)
-                c2 = np.array([words.finish(s ^ _PLACE[0]).sum(dtype=np.uint64) for s in sets], np.uint64).view(np.int64)
-                yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("key"), pa.array(n), pa.array(c1), pa.array(c2), pa.array([r.tobytes() for r in sig], pa.binary())], ["doc_id", "key", "n", "c1", "c2", "sig"])
+                own = [words.sequence_digest(data[x:y].tobytes()) for x, y in zip(off.tolist(), off[1:].tolist(), strict=False)]
+                yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("key"), pa.array(n), pa.array(own, pa.binary()), pa.array([r.tobytes() for r in sig], pa.binary())], ["doc_id", "key", "n", "words", "sig"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return rows.withColumn("key", text_key(F.col("text"))).mapInArrow(run, "doc_id long, key binary, n long, c1 long, c2 long, sig binary")
+    return rows.withColumn("key", text_key(F.col("text"))).mapInArrow(run, "doc_id long, key binary, n long, words binary, sig binary")
 
 
 def least_matches(hashes: int = HASHES, step: int = STEP, miss: float = MISS, similarity: float = ABOVE / BELOW) -> np.ndarray:
@@ -230,7 +233,7 @@ def _texts_of(docs: DataFrame, keys: DataFrame) -> DataFrame:
     return x.filter(byte.bitwiseAND(F.col("_one")) != 0).groupBy("key").agg(F.first("text").alias("text"))
 
 
-def confirmed(texts: DataFrame, reps: DataFrame, pairs: DataFrame) -> DataFrame:
+def confirmed(texts: DataFrame, reps: DataFrame, pairs: DataFrame, seed: int) -> DataFrame:
     """The stored pairs (x, y) for which 100 * intersection >= 75 * union on the full shingle sets, first by keys, then by the words themselves.
 
     texts: key and text of all rows; reps: node and the key of its text.
@@ -245,7 +248,7 @@ def confirmed(texts: DataFrame, reps: DataFrame, pairs: DataFrame) -> DataFrame:
             for b in by_bytes(whole, "text", SLICE):
                 xs, ys = [], []
                 off, data = utf8(b.column("text"))
-                for k, (block, y, role, x, s) in enumerate(zip(*(b.column(c).to_pylist() for c in ("block", "y", "role", "node")), shingles(off, data), strict=True)):
+                for k, (block, y, role, x, s) in enumerate(zip(*(b.column(c).to_pylist() for c in ("block", "y", "role", "node")), shingles(off, data, seed), strict=True)):
                     if role == 0:
                         now, keys, centre = (block, y), s, data[off[k] : off[k + 1]].tobytes()
                     elif now == (block, y) and len(s) and len(keys):
@@ -259,14 +262,14 @@ def confirmed(texts: DataFrame, reps: DataFrame, pairs: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "u long, v long")
 
 
-def _full_sets(texts: DataFrame, nodes: DataFrame) -> DataFrame:
+def _full_sets(texts: DataFrame, nodes: DataFrame, seed: int) -> DataFrame:
     """node and the shingle set (sorted 64-bit keys as bytes) of the nodes (with their keys)."""
     rows = nodes.hint("merge").join(_texts_of(texts, nodes.select("key")), "key").select("node", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for b in by_bytes(whole, "text", SLICE):
-                yield pa.RecordBatch.from_arrays([b.column("node"), pa.array([s.tobytes() for s in shingles(*utf8(b.column("text")))], pa.binary())], ["node", "keys"])
+                yield pa.RecordBatch.from_arrays([b.column("node"), pa.array([s.tobytes() for s in shingles(*utf8(b.column("text")), seed)], pa.binary())], ["node", "keys"])
 
     return rows.mapInArrow(run, "node long, keys binary")
 
@@ -328,7 +331,7 @@ def _tile_links(a: _Side, b: _Side) -> list[tuple[int, int]]:
     return links
 
 
-def _cross(texts: DataFrame, members: DataFrame, reps: DataFrame, comps: DataFrame) -> DataFrame:
+def _cross(texts: DataFrame, members: DataFrame, reps: DataFrame, comps: DataFrame, seed: int) -> DataFrame:
     """Links (u, v) that join components within buckets which hold several.
 
     In each bucket the members outside its largest component (the left side) are compared with
@@ -341,7 +344,7 @@ def _cross(texts: DataFrame, members: DataFrame, reps: DataFrame, comps: DataFra
     open_ = count.groupBy("bucket").agg(F.sum("size").alias("all"), F.max(F.struct("size", "comp")).alias("top"), F.count(F.lit(1)).alias("comps")).filter("comps > 1 and `all` > 2")
     open_ = open_.select("bucket", F.col("top.comp").alias("main"), F.ceil((F.col("all") - F.col("top.size")) / TILE).cast("int").alias("lefts"), F.ceil(F.col("all") / TILE).cast("int").alias("rights"))
     m = stored(m.join(open_.hint("merge"), "bucket"))
-    sets = _full_sets(texts, m.select("node").distinct().join(reps.select("node", "key").hint("merge"), "node"))
+    sets = _full_sets(texts, m.select("node").distinct().join(reps.select("node", "key").hint("merge"), "node"), seed)
     m = m.join(sets.join(reps.select("node", "sig").hint("merge"), "node").hint("merge"), "node")
     h = F.xxhash64("node")
     spread = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
@@ -386,9 +389,10 @@ def grouped(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     """doc_id, key (of the text), n_shingles, component (names the group of near-duplicates; null without shingles), component_id and kept for every row."""
     tidy(docs.sparkSession)
     texts = docs.select(text_key(F.col(text_col)).alias("key"), F.col(text_col).cast("string").alias("text"))
-    every = stored(sketch(docs, id_col, text_col).withColumn("node", F.monotonically_increasing_id()))
+    seed = secrets.randbits(63) | 1 << 63
+    every = stored(sketch(docs, seed, id_col, text_col).withColumn("node", F.monotonically_increasing_id()))
     full = every.filter("n > 0")
-    classes = stored(full.groupBy("c1", "c2", "n").agg(F.min(F.struct("node", "key", "sig")).alias("first"), F.min("doc_id").alias("least")).select("c1", "c2", "n", "first.*", "least"))
+    classes = stored(full.groupBy("words").agg(F.min(F.struct("node", "key", "n", "sig")).alias("first"), F.min("doc_id").alias("least")).select("words", "first.*", "least"))
     reps = classes.select("node", "key", "n", "sig")
     band = lambda k: F.xxhash64(F.lit(k), F.expr(f"substring(sig, {2 * ROWS * k + 1}, {2 * ROWS})"))
     bands = reps.select("node", F.explode(F.array(*(band(k) for k in range(BANDS)))).alias("bucket"))
@@ -398,10 +402,10 @@ def grouped(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     first = members.filter("node <> centre").select(F.col("node").alias("x"), F.col("centre").alias("y")).distinct()
     pairs = stored(_pruned(stored(first), reps))
     tidy(docs.sparkSession)
-    links = stored(confirmed(texts, reps, pairs).distinct())
+    links = stored(confirmed(texts, reps, pairs, seed).distinct())
     tidy(docs.sparkSession)
     comps = stored(components(links))
-    more = stored(_cross(texts, members.drop("centre"), reps, comps).distinct())
+    more = stored(_cross(texts, members.drop("centre"), reps, comps, seed).distinct())
     tidy(docs.sparkSession)
     if not more.isEmpty():
         # Components of the components that these links join, and from them those of the nodes.
@@ -418,9 +422,9 @@ def grouped(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     parts = own.groupBy("component", "part").agg(F.min("least").alias("least"))
     parts = parts.select("component", "part").join(parts.groupBy("component").agg(F.min("least").alias("_least")).hint("merge"), "component")
     named = own.join(parts.hint("merge"), ["component", "part"]).select("node", "component", "_least")
-    labels = classes.select("c1", "c2", "n", "node", "least").join(named.hint("merge"), "node", "left")
-    labels = labels.select("c1", "c2", "n", F.coalesce("component", "node").alias("component"), F.coalesce("_least", "least").alias("component_id"))
-    grouped_ = full.select("doc_id", "key", "c1", "c2", "n").join(labels.hint("merge"), ["c1", "c2", "n"]).select("doc_id", "key", F.col("n").alias("n_shingles"), "component", "component_id")
+    labels = classes.select("words", "node", "least").join(named.hint("merge"), "node", "left")
+    labels = labels.select("words", F.coalesce("component", "node").alias("component"), F.coalesce("_least", "least").alias("component_id"))
+    grouped_ = full.select("doc_id", "key", "words", "n").join(labels.hint("merge"), "words").select("doc_id", "key", F.col("n").alias("n_shingles"), "component", "component_id")
     # Rows without words, however many, are joined with nothing.
     bare = every.filter("n = 0").select("doc_id", "key", F.col("n").alias("n_shingles"), F.lit(None).cast("long").alias("component"), F.col("doc_id").alias("component_id"))
     return grouped_.unionByName(bare).withColumn("kept", F.col("component_id").eqNullSafe(F.col("doc_id")))

@@ -52,20 +52,38 @@ def packed(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.nda
     return low, high, np.flatnonzero(n > EXACT)
 
 
-def mixed(low: np.ndarray, high: np.ndarray) -> np.ndarray:
+def mixed(low: np.ndarray, high: np.ndarray, seed: int = 0) -> np.ndarray:
+    """Keys of the pairs. Without a seed anyone can find pairs that share a key; with a secret one, two given pairs share it by chance alone."""
+    if seed:
+        return finish(finish(low ^ np.uint64(seed)) + high * np.uint64(int(_HIGH) * (seed | 1) % (1 << 64)))
     return finish(finish(low) + high * _HIGH)
 
 
-def keys(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """64-bit keys of the byte strings between begin and end, equal for equal strings wherever they stand: mixed from all their bytes, or, of more than EXACT bytes, a BLAKE2 digest."""
+def keys(data: np.ndarray, begin: np.ndarray, end: np.ndarray, seed: int = 0) -> np.ndarray:
+    """64-bit keys of the byte strings between begin and end, equal for equal strings wherever they stand: mixed from all their bytes, or, of more than EXACT bytes, a BLAKE2 digest. They are keyed by the seed, if there is one."""
     low, high, long = packed(data, begin, end)
-    out = mixed(low, high)
+    out = mixed(low, high, seed)
+    key = seed.to_bytes(8, "little") if seed else b""
     for k in long.tolist():
-        out[k] = int.from_bytes(hashlib.blake2b(data[begin[k] : end[k]], digest_size=8).digest(), "little")
+        out[k] = int.from_bytes(hashlib.blake2b(data[begin[k] : end[k]], digest_size=8, key=key).digest(), "little")
     return out
 
 
-def word_keys(inside: np.ndarray, data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def sequence_digest(text: bytes) -> bytes:
+    """16 bytes (BLAKE2) that name the sequence of a text's words in lower case, however they are parted; taken in slices of about SLICE bytes, cut between words."""
+    digest, at, gap = hashlib.blake2b(digest_size=16), 0, b""
+    while at < len(text):
+        to = at + SLICE
+        while to < len(text) and text[to] not in b" \t\n\v\f\r":
+            to += 1
+        if some := text[at:to].lower().split():
+            digest.update(gap + b" ".join(some))
+            gap = b" "
+        at = to
+    return digest.digest()
+
+
+def word_keys(inside: np.ndarray, data: np.ndarray, off: np.ndarray, seed: int = 0) -> tuple[np.ndarray, np.ndarray]:
     """The keys of all words (runs of bytes for which inside is true) of the texts in data, and each offset's first word; in slices of about SLICE bytes, cut between words."""
     parts, at, first = [], 0, np.zeros(len(off), np.int64)
     while at < len(data) or not parts:
@@ -80,6 +98,6 @@ def word_keys(inside: np.ndarray, data: np.ndarray, off: np.ndarray) -> tuple[np
         own = np.clip(off, at, to) - at
         begin, end, number = spans(inside[data[at:to]], own)
         first[off >= at] = (number + sum(map(len, parts)))[off >= at]
-        parts.append(keys(data[at:to], begin, end))
+        parts.append(keys(data[at:to], begin, end, seed))
         at = to
     return np.concatenate(parts), first

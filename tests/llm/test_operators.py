@@ -12,7 +12,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from addrloom.llm import audio, components, fingerprint, html_extract, mixing, neardup, packing, quality, token_files, tokens, toxicity
+from addrloom.llm import audio, components, fingerprint, html_extract, mixing, neardup, packing, quality, token_files, tokens, toxicity, words
 from addrloom.llm.common import utf8
 
 RNG = random.Random(5)
@@ -805,6 +805,39 @@ def test_links_are_those_of_the_words(spark, monkeypatch):
                 assert neardup.exactly_linked(a.encode(), b.encode()) == (len({g for _, g in brute_groups([(1, a), (2, b)]).values()}) == 1 and n > 0), (n, changes)
 
 
+@pytest.mark.parametrize("tile", [512, 3])
+def test_words_that_shared_a_fixed_key(spark, monkeypatch, tile):
+    monkeypatch.setattr(neardup, "TILE", tile)
+    a, b = "abcdefghijklmno", "sfotvsbh+'t*wb5"  # equal under the mixing of words.mixed without a seed
+    one, other = (np.frombuffer(x.encode(), np.uint8) for x in (a, b))
+    plain, keyed = ([words.keys(x, np.array([0]), np.array([15]), seed)[0] for x in (one, other)] for seed in (0, 1 << 63 | 99))
+    assert plain[0] == plain[1] and keyed[0] != keyed[1]
+    base = prose(60, 77).split()
+    texts = [" ".join(w if k % 3 else x for k, w in enumerate(base)) for x in (a, b)]
+    near = [" ".join([*t.split()[:-1], "end"]) for t in texts]
+    rows = list(enumerate([*texts, texts[0].upper(), *near, *texts[1].split()[:2]]))
+    got = {x.doc_id: (x.n_shingles, x.component_id) for x in neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == brute_groups(rows) and got[1][1] != got[0][1]
+
+
+def test_equal_sets_of_different_words_are_linked(spark):
+    rows = [(1, "a a a a a a"), (2, "a a a a a a a a"), (3, "A  a\ta\na a a"), (4, "b c d e f b c d e f b c d e f"), (5, "b c d e f b c d e f b c d e f b c d e f"), (6, "c d e f b c d e f b c d e f b")]
+    got = {x.doc_id: (x.n_shingles, x.component_id) for x in neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == brute_groups(rows)
+
+
+def test_the_digest_of_words_knows_no_gaps(monkeypatch):
+    r = random.Random(8)
+    for size in (1, 5, 1 << 20):
+        monkeypatch.setattr(words, "SLICE", size)
+        for _ in range(50):
+            w = [r.choice(["a", "B", "é", "ccc"]) for _ in range(r.randint(0, 9))]
+            gap = lambda: r.choice([" ", "\n\t", "\v\f\r "])
+            a, b = gap().join(w), gap() + "".join(x.replace("B", "b") + gap() for x in w)
+            assert words.sequence_digest(a.encode()) == words.sequence_digest(b.encode())
+            assert words.sequence_digest(a.encode()) != words.sequence_digest((a + "x").encode())
+
+
 def test_a_hot_centre_is_dealt_in_blocks(spark):
     pairs = spark.createDataFrame([(k, 1) for k in range(2, 700)] + [(k, k - 1) for k in range(900, 950)], "x long, y long")
     got = neardup._dealt(pairs)
