@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -11,13 +10,13 @@ from pyspark.sql import functions as F
 
 from ..functions.similarity import common_subsequence, could_reach, sorted_tokens, token_sort_similarity
 from ..functions.text import is_blank, normalize_name
+from ..sources.shared import stored
 from ..workers import ship_package
+from . import similar
 
 UNMATCHED = "UNMATCHED"
 #: Similarity from which names belong together.
 THRESHOLD = 0.85
-#: Names of one code and one character that a task compares with all others of them.
-PAIR_BLOCK = 1024
 
 
 def keyed(df: DataFrame, normalize: bool = True) -> DataFrame:
@@ -32,14 +31,30 @@ def group_id(name, pin):
     return F.md5(F.concat(name, F.lit("|"), pin))
 
 
-def exact_groups(rows: DataFrame) -> DataFrame:
-    """group_id, society_name (of the first record), pin_code and record_count; one group UNMATCHED without name. Partial aggregates, one shuffle."""
+def named(rows: DataFrame) -> DataFrame:
+    """name_key, pin_key, society (of the first row), n and first_row of each distinct name and code; a null name is a name.
+
+    Rows are first counted by the shown name as well: sums and minima of numbers, which a hash
+    aggregate takes before the shuffle, without sorting. The first of the shown names is picked
+    from what is left.
+    """
     x = rows.select("row_id", "name_key", "pin_key", F.col("parsed.society_name").alias("society"))
-    none = F.col("name_key").isNull()
-    x = x.withColumn("gid", F.when(none, F.lit(UNMATCHED)).otherwise(group_id(F.col("name_key"), F.col("pin_key"))))
-    g = x.groupBy("gid").agg(F.min_by(F.struct("society", "pin_key"), "row_id").alias("first"), F.count(F.lit(1)).alias("record_count"), F.min("row_id").alias("first_row"))
-    un = F.col("gid") == UNMATCHED
-    return g.select(F.col("gid").alias("group_id"), F.when(un, F.lit("")).otherwise(F.col("first.society")).alias("society_name"), F.when(un, F.lit("")).otherwise(F.col("first.pin_key")).alias("pin_code"), "record_count", "first_row")
+    shown = x.groupBy("name_key", "pin_key", "society").agg(F.count(F.lit(1)).alias("n"), F.min("row_id").alias("first_row"))
+    return shown.groupBy("name_key", "pin_key").agg(F.min_by("society", "first_row").alias("society"), F.sum("n").alias("n"), F.min("first_row").alias("first_row"))
+
+
+def grouped(names: DataFrame, key: str = "name_key") -> DataFrame:
+    """group_id, society_name (of the first record), pin_code, record_count and first_row of names with a group key."""
+    none = F.col(key).isNull()
+    x = names.withColumn("group_id", F.when(none, F.lit(UNMATCHED)).otherwise(group_id(F.col(key), F.col("pin_key"))))
+    g = x.groupBy("group_id").agg(F.min_by(F.struct("society", "pin_key"), "first_row").alias("first"), F.sum("n").alias("record_count"), F.min("first_row").alias("first_row"))
+    shown = lambda c: F.when(F.col("group_id") == UNMATCHED, F.lit("")).otherwise(F.col(f"first.{c}"))
+    return g.select("group_id", shown("society").alias("society_name"), shown("pin_key").alias("pin_code"), "record_count", "first_row")
+
+
+def exact_groups(rows: DataFrame) -> DataFrame:
+    """group_id, society_name (of the first record), pin_code and record_count; one group UNMATCHED without name."""
+    return grouped(named(rows))
 
 
 def leaders_of(names: list[str], threshold: float) -> list[str]:
@@ -71,21 +86,24 @@ def leaders_of(names: list[str], threshold: float) -> list[str]:
     return out
 
 
-def fuzzy_leaders(rows: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """pin_key, name_key and leader for each distinct (code, name).
+def leader_table(names: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """Adds leader to names (pin_key, name_key, first_row, whatever else).
 
     What a row joins depends only on its code, its name and the leaders before it, so the distinct
-    names in order of their first rows decide for all rows. The scan over leaders is sequential
-    within a code by definition; it sees one row per distinct name, not per record.
+    names in order of their first rows decide for all rows: the first leader that a name is similar
+    enough to, else the name itself. Names without words lead themselves.
     """
-    ship_package(rows.sparkSession)
-    names = rows.filter("name_key is not null").groupBy("pin_key", "name_key").agg(F.min("row_id").alias("first_row"))
+    if threshold <= 0:  # a code's first name draws all but the empty ones
+        first = names.filter("name_key is not null").groupBy("pin_key").agg(F.min_by("name_key", "first_row").alias("leader"))
+        return names.join(first, "pin_key", "left").withColumn("leader", F.when(F.col("name_key") != "", F.col("leader")).otherwise(F.col("name_key")))
+    led = similar.leaders(similar.name_table(names.select("pin_key", "name_key", "first_row"), threshold - 1e-6), threshold)
+    return names.join(led, ["pin_key", "name_key"], "left").withColumn("leader", F.coalesce("leader", "name_key"))
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("first_row")
-        return pdf.assign(leader=leaders_of(pdf["name_key"].tolist(), threshold))[["pin_key", "name_key", "leader"]]
 
-    return names.groupBy("pin_key").applyInPandas(run, "pin_key string, name_key string, leader string")
+def fuzzy_leaders(rows: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """pin_key, name_key and leader for each distinct (code, name)."""
+    names = stored(rows.filter("name_key is not null").groupBy("pin_key", "name_key").agg(F.min("row_id").alias("first_row")))
+    return leader_table(names, threshold).select("pin_key", "name_key", "leader")
 
 
 def with_leaders(rows: DataFrame, leaders: DataFrame) -> DataFrame:
@@ -97,81 +115,25 @@ def with_leaders(rows: DataFrame, leaders: DataFrame) -> DataFrame:
 def fuzzy_groups(rows: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The groups of `exact_groups` with each name replaced by its leader's.
 
-    Rows are first counted by code and name, so they are read and parsed once; the scan for
-    leaders and the grouping see one row per distinct name. The names of rows without a code
-    are one code's names like any other's.
+    Rows are counted by code and name and stored, so they are read and parsed once; leaders and
+    groups are made of one row per distinct name. The names of rows without a code are one code's
+    names like any other's.
     """
-    ship_package(rows.sparkSession)
-    x = rows.select("row_id", "name_key", "pin_key", F.col("parsed.society_name").alias("society"))
-    names = x.groupBy("pin_key", "name_key").agg(F.count(F.lit(1)).alias("n"), F.min_by("society", "row_id").alias("society"), F.min("row_id").alias("first_row"))
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("first_row")
-        return pdf.assign(leader=leaders_of(pdf["name_key"].tolist(), threshold))
-
-    led = names.filter("name_key is not null").groupBy("pin_key").applyInPandas(run, "pin_key string, name_key string, n long, society string, first_row long, leader string")
-    first = [F.min_by(F.struct("society", "pin_key"), "first_row").alias("first"), F.sum("n").alias("record_count"), F.min("first_row").alias("first_row")]
-    named = led.groupBy(group_id(F.col("leader"), F.col("pin_key")).alias("group_id")).agg(*first).select("group_id", "first.society", "first.pin_key", "record_count", "first_row")
-    none = names.filter("name_key is null").groupBy(F.lit(UNMATCHED).alias("group_id")).agg(F.sum("n").alias("record_count"), F.min("first_row").alias("first_row"))
-    none = none.select("group_id", F.lit("").alias("society"), F.lit("").alias("pin_key"), "record_count", "first_row")
-    return named.unionByName(none).select("group_id", F.col("society").alias("society_name"), F.col("pin_key").alias("pin_code"), "record_count", "first_row")
-
-
-def _characters(name: str) -> list[str]:
-    """The characters of the sorted words, each with its number among equal ones: two names' common ones are at least as many as a common subsequence has."""
-    seen: Counter[str] = Counter()
-    out = []
-    for c in sorted_tokens(name):
-        seen[c] += 1
-        out.append(f"{c}{seen[c]}")
-    return out
+    return grouped(leader_table(stored(named(rows)), threshold), "leader")
 
 
 def candidate_pairs(rows: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """All pairs of distinct names of one code whose similarity reaches the threshold, as a join with a predicate.
-
-    A pair has at least least(n) = n * t / (2 - t) characters in common, n being either's length;
-    so one of the n - least(n) + 1 rarest characters of either is among the other's, and the names
-    are joined by code and such a character. Pairs are then held against the bounds by lengths and
-    by common characters; both are exact, so only pairs below the threshold are left out. A code's
-    hot character is dealt out in blocks of PAIR_BLOCK names. The similarity of what is left is
-    taken in Python workers, after these bounds. The distinct names are persisted: several joins
-    read them, and the optimizer doesn't carry the parser's expressions through each of them.
-    """
-    ship_package(rows.sparkSession)
-
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            yield pdf.assign(chars=[_characters(x) for x in pdf["name_key"]])
-
-    @F.pandas_udf("double")
-    def similarity(left: pd.Series, right: pd.Series) -> pd.Series:
-        return pd.Series([token_sort_similarity(x, y) for x, y in zip(left, right, strict=True)], dtype="float64")
-
+    """pin_key, left_name, right_name and similarity (six places) of all pairs of a code's distinct names that reach the threshold, the lesser name left."""
     limit = threshold - 1e-6  # similarities are rounded to six places
-    n = rows.filter("name_key is not null and name_key <> ''").select("pin_key", "name_key").distinct()
+    n = stored(rows.select("pin_key", "name_key").distinct()).filter("name_key <> ''")  # a filter before it would parse each row once more
     if limit <= 0:
         j = n.alias("a").join(n.alias("b"), (F.col("a.pin_key") == F.col("b.pin_key")) & (F.col("a.name_key") < F.col("b.name_key")))
+        ship_package(rows.sparkSession)
+        like = F.pandas_udf(lambda x, y: pd.Series([token_sort_similarity(a, b) for a, b in zip(x, y, strict=True)], dtype="float64"), "double")
+        out = j.select(F.col("a.pin_key").alias("pin_key"), F.col("a.name_key").alias("left_name"), F.col("b.name_key").alias("right_name"), like("a.name_key", "b.name_key").alias("similarity"))
     else:
-        chars = n.mapInPandas(cut, "pin_key string, name_key string, chars array<string>").persist()
-        each = chars.select("pin_key", "name_key", F.explode("chars").alias("char"))
-        often = each.groupBy("char").agg(F.count(F.lit(1)).alias("often"))
-        ranked = each.join(often, "char").groupBy("pin_key", "name_key").agg(F.array_sort(F.collect_list(F.struct("often", "char"))).alias("ranked"))
-        size = F.size("ranked")
-        least = F.ceil(size * (limit / (2 - limit)) - 1e-9).cast("int")
-        keys = ranked.select("pin_key", "name_key", F.col("ranked.char").alias("chars"), F.slice("ranked.char", F.lit(1), size - least + 1).alias("first"))
-        keys = keys.withColumn("char", F.explode("first"))
-        blocks = keys.groupBy("pin_key", "char").agg(F.ceil(F.count(F.lit(1)) / PAIR_BLOCK).cast("int").alias("blocks"))
-        keys = keys.join(blocks, ["pin_key", "char"])
-        a = keys.withColumn("block", F.pmod(F.xxhash64("name_key"), F.col("blocks")).cast("int")).alias("a")
-        b = keys.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).alias("b")
-        j = a.join(b, (F.col("a.pin_key") == F.col("b.pin_key")) & (F.col("a.char") == F.col("b.char")) & (F.col("a.block") == F.col("b.block")) & (F.col("a.name_key") < F.col("b.name_key")))
-        x, y = F.size("a.chars"), F.size("b.chars")
-        total = (x + y) * limit - 1e-9
-        j = j.filter((F.least(x, y) * 2 >= total) & (F.element_at(F.array_intersect("a.first", "b.first"), 1) == F.col("a.char")))  # once, at the first of the shared ones
-        j = j.filter(F.size(F.array_intersect("a.chars", "b.chars")) * 2 >= total)
-    pairs = j.select(F.col("a.pin_key").alias("pin_key"), F.col("a.name_key").alias("left_name"), F.col("b.name_key").alias("right_name"))
-    return pairs.withColumn("similarity", F.round(similarity("left_name", "right_name"), 6)).filter(F.col("similarity") >= threshold)
+        out = similar.pairs(similar.name_table(n, limit), limit).select("left.pin_key", F.col("left.name_key").alias("left_name"), F.col("right.name_key").alias("right_name"), "similarity")
+    return out.withColumn("similarity", F.round("similarity", 6)).filter(F.col("similarity") >= threshold)
 
 
 def group_members(rows: DataFrame, groups: DataFrame | None = None) -> DataFrame:

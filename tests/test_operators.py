@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from addrloom import config
 from addrloom.functions.similarity import token_sort_similarity
-from addrloom.operators import consolidate, metrics, routing
+from addrloom.operators import consolidate, metrics, routing, similar
 from addrloom.plans.pipeline import consolidate_files
 from addrloom.sources import readers, sinks
 from addrloom.streaming import incremental
@@ -40,7 +40,7 @@ def test_fuzzy_leaders_equal_row_by_row(spark, threshold):
 
 @pytest.mark.parametrize("threshold", [0.0, 0.5, 0.85, 1.0])
 def test_candidate_pairs_are_all_pairs(spark, monkeypatch, threshold):
-    monkeypatch.setattr(consolidate, "PAIR_BLOCK", 3)
+    monkeypatch.setattr(similar, "PAIR_BLOCK", 3)
     names = ["blue ridge", "ridge blue", "blue ridges", "the prestige lakeside", "prestige lakeside", "the kumar paradise", "kumar paradise", "the green valley homes", "green valley homes", "aaaa", "aaab", "a", "", "  ", "x y z", "z y x", None]
     rows = [(n, pin) for n in names for pin in ("", "411001")] + [("green valleys", "2"), ("blue ridge", "2"), ("green valley", "2")]
     df = spark.createDataFrame(rows, "name_key string, pin_key string")
@@ -143,3 +143,49 @@ def test_registered_queries_all_have_sql():
 
     q, o = queries.queries(), oracles.oracle_sql()
     assert set(o) <= set(q) and set(o) == set(q)
+
+
+@pytest.mark.parametrize(("threshold", "block"), [(0.85, 0), (0.85, 50_000), (0.6, 0), (0.72, 0)])
+def test_leaders_in_rounds_equal_the_sequential_scan(spark, monkeypatch, threshold, block):
+    monkeypatch.setattr(similar, "EDGE_BLOCK", block)
+    monkeypatch.setattr(similar, "PAIR_BLOCK", 16)
+    r = random.Random(int(threshold * 100) + block)
+    stems = ["".join(r.choice("abcd ") for _ in range(r.randint(3, 14))) for _ in range(25)]
+    names = ["", "  ", "a", "b a", "aaaaaaaaaaaaaaaaaaaa", "aaaaaaaaaaaaaaaaaaab"]
+    for stem in stems * 8:
+        x = list(stem)
+        for _ in range(r.randint(0, 3)):
+            x.insert(r.randint(0, len(x)), r.choice("abcdé"))
+        names.append("".join(x))
+    rows = [(k, n, r.choice(["1", "1", "1", "2", ""])) for k, n in enumerate(names)]
+    df = spark.createDataFrame(rows, "row_id long, name_key string, pin_key string").repartition(4)
+    got = {(x.pin_key, x.name_key): x.leader for x in consolidate.fuzzy_leaders(df, threshold).collect()}
+    for pin in ("1", "2", ""):
+        own = list(dict.fromkeys(n for _, n, p in rows if p == pin))
+        assert [got[pin, n] for n in own] == consolidate.leaders_of(own, threshold)
+
+
+def test_chains_settle_in_rounds(spark, monkeypatch):
+    monkeypatch.setattr(similar, "EDGE_BLOCK", 0)
+    edges = spark.createDataFrame([("x", k, k + 1, k, k + 1) for k in range(9)], "pin_key string, u long, v long, at_u long, at_v long")
+    assert sorted(x.v for x in similar.followers(edges).collect()) == [1, 3, 5, 7, 9]
+    assert similar.followers(edges.limit(0)).count() == 0
+
+
+def test_few_candidates_for_a_hot_code(spark):
+    r = random.Random(11)
+    parts = ["".join(r.choice("bcdfglmnprst") + r.choice("aeiou") for _ in range(r.randint(2, 4))) for _ in range(900)]
+    names = set()
+    while len(names) < 4000:
+        n = f"{r.choice(parts)} {r.choice(parts)} {r.choice(['residency', 'heights', 'apartment', 'society', 'park'])}"
+        k = r.randrange(len(n))
+        names |= {n, n[:k] + n[k + 1 :], n.replace("e", "ea", 1)}
+    table = similar.name_table(spark.createDataFrame([("411001", n) for n in names], "pin_key string, name_key string"), 0.85)
+    tried, like = similar.candidates(table, 0.85).count(), similar.pairs(table, 0.85).filter("similarity >= 0.85").count()
+    assert like > 3000 and tried < 10 * like, (tried, like)
+
+
+def test_one_scan_and_no_sort_before_the_first_shuffle(spark):
+    df = spark.createDataFrame([(1, "a", "p"), (2, "b", "p")], "row_id long, name string, pin_code string").select("row_id", F.struct(F.col("name").alias("society_name"), "pin_code").alias("parsed"))
+    plan = consolidate.exact_groups(consolidate.keyed(df))._jdf.queryExecution().executedPlan().toString()
+    assert "Sort" not in plan[plan.rindex("Exchange") :] and plan.count("Scan") == 1, plan
