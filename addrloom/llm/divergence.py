@@ -28,11 +28,12 @@ from .common import bound_batches, stored, utf8
 #: Documents of its language that a kept term is in; scale of a share, taken in STEPS digits' groups of 1000; terms that a group reports.
 LEAST, SCALE, STEPS, REPORTED = 3, 10**9, 3, 200
 #: Terms and sources of a tile; different terms that a task counts before it gives them on; bytes of a piece of text.
-TERMS, SOURCES, HELD, PIECE = 256, 64, 200_000, 1 << 20
+TERMS, SOURCES, HELD, PIECE = 256, 64, 400_000, 1 << 20
 #: Terms are runs of letters and of bytes from 0x80 on; A to Z are lower-cased, all other bytes part them.
 FOLD = bytes(b if b >= 0x80 or 0x61 <= b <= 0x7A else b + 32 if 0x41 <= b <= 0x5A else 0x20 for b in range(256))
 
 COUNTS = "lang string, source string, term binary, doc long, n long, docs long"
+COLUMNS = [c.split()[0] for c in COUNTS.split(", ")]
 
 
 def pieces(text: bytes, limit: int = PIECE) -> Iterator[bytes]:
@@ -55,9 +56,7 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def given() -> Iterator[pa.RecordBatch]:
         for g, own in n.items():
-            seen = docs[g]
-            for some in _slices(list(own.items())):
-                yield _batch([(*g, t, None, k, seen[t]) for t, k in some])
+            yield from _batches(g, own, None, docs[g])
 
     for b in batches:
         off, data = utf8(b.column("text"))
@@ -67,8 +66,7 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             groups.add(g)
             if to - at > PIECE:
                 for piece in pieces(raw[at:to]):
-                    for some in _slices(list(Counter(piece.split()).items())):
-                        yield _batch([(*g, t, doc, k, 0) for t, k in some])
+                    yield from _batches(g, Counter(piece.split()), doc, None)
                 continue
             own = n.get(g)
             if own is None:
@@ -82,21 +80,28 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield from given()
                 n, docs, held = {}, {}, 0
         if len(groups) > HELD:
-            yield _batch([(*g, None, None, 0, 0) for g in groups])
+            yield from _named(groups)
             groups = set()
     yield from given()
-    if groups:
-        yield _batch([(*g, None, None, 0, 0) for g in groups])
+    yield from _named(groups)
 
 
-def _slices(rows: list) -> Iterator[list]:
-    for k in range(0, len(rows), 1 << 14):
-        yield rows[k : k + (1 << 14)]
+def _batches(group: tuple[str, str], counts: Counter[bytes], doc: int | None, docs: Counter[bytes] | None) -> Iterator[pa.RecordBatch]:
+    """A group's counts, in batches of 16,384 terms."""
+    size = len(counts)
+    terms, n = pa.array(counts.keys(), pa.binary(), size=size), pa.array(counts.values(), pa.int64(), size=size)
+    seen = pa.array(map(docs.__getitem__, counts), pa.int64(), size=size) if docs is not None else pa.repeat(pa.scalar(0, pa.int64()), size)
+    same = [pa.repeat(pa.scalar(x, kind), size) for x, kind in ((group[0], pa.string()), (group[1], pa.string()), (doc, pa.int64()))]
+    whole = pa.RecordBatch.from_arrays([*same[:2], terms, same[2], n, seen], COLUMNS)
+    for at in range(0, size, 1 << 14):
+        yield whole.slice(at, 1 << 14)
 
 
-def _batch(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = (pa.string(), pa.string(), pa.binary(), pa.int64(), pa.int64(), pa.int64())
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], ["lang", "source", "term", "doc", "n", "docs"])
+def _named(groups: set[tuple[str, str]]) -> Iterator[pa.RecordBatch]:
+    if groups:
+        lang, source = zip(*groups, strict=True)
+        zeros = pa.array([0] * len(lang), pa.int64())
+        yield pa.RecordBatch.from_arrays([pa.array(lang), pa.array(source), pa.nulls(len(lang), pa.binary()), pa.nulls(len(lang), pa.int64()), zeros, zeros], COLUMNS)
 
 
 def term_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> tuple[DataFrame, DataFrame]:
@@ -126,12 +131,20 @@ def divergence(p: np.ndarray, q: np.ndarray) -> np.ndarray:
     return (p - q) * (p - q) // q
 
 
-def _tile(places: int, sources: dict, cells: list[dict] | None) -> tuple[np.ndarray, np.ndarray]:
-    """Counts and shares of a block of sources by a block of terms."""
-    n = np.zeros((len(sources["names"]), places), np.int64)
-    for c in cells or ():
-        n[c["sp"], c["tp"]] = c["n"]
-    return n, shares(n, np.asarray(sources["below"], np.int64)[:, None])
+class _Cells:
+    """A batch's lists of cells as arrays."""
+
+    def __init__(self, col: pa.ListArray):
+        self.at, self.size = np.asarray(col.offsets), np.asarray(col.value_lengths().fill_null(0))
+        self.columns = [np.asarray(col.values.field(k)) for k in range(3)]
+
+    def tile(self, row: int, places: int, sources: dict) -> tuple[np.ndarray, np.ndarray]:
+        """Counts and shares of a row's block of sources by its block of terms."""
+        n = np.zeros((len(sources["names"]), places), np.int64)
+        at = self.at[row]
+        source, term, count = (c[at : at + self.size[row]] for c in self.columns)
+        n[source, term] = count
+        return n, shares(n, np.asarray(sources["below"], np.int64)[:, None])
 
 
 def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -146,9 +159,10 @@ def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield _found(lang, "pair", [a[k] for k in g[other]], [b[k] for k in h[other]], m.ravel()[other])
 
     for batch in batches:
-        for x in batch.to_pylist():
+        cells_a, cells_b = _Cells(batch.column("cells_a")), _Cells(batch.column("cells_b"))
+        for row, x in enumerate(batch.drop_columns(["cells_a", "cells_b"]).to_pylist()):
             a, b, terms = x["a"], x["b"], x["terms"]
-            n, p = _tile(len(terms), a, x["cells_a"])
+            n, p = cells_a.tile(row, len(terms), a)
             if x["sa"] == x["sb"]:
                 of_lang = shares(np.asarray(x["lang_n"], np.int64), x["lang_below"])
                 for k, name in enumerate(a["names"]):
@@ -160,7 +174,7 @@ def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     del heap[REPORTED:]
                 q = p
             else:
-                _, q = _tile(len(terms), b, x["cells_b"])
+                _, q = cells_b.tile(row, len(terms), b)
             for key, one, other, u, w in (((x["lang"], x["sa"], x["sb"]), a, b, p, q), ((x["lang"], x["sb"], x["sa"]), b, a, q, p)):
                 total = divergence(u[:, None, :], w[None, :, :]).sum(2)
                 held = matrices.get(key)
@@ -198,7 +212,7 @@ def audit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", sourc
     counts = stored(counts, compression="zstd")
     terms = counts.groupBy("lang", "term").agg(F.sum("n").alias("lang_n"), F.sum("docs").alias("docs")).filter(F.col("docs") >= LEAST).drop("docs")
     terms = stored(terms, compression="zstd")
-    langs = terms.groupBy("lang").agg(F.count(F.lit(1)).alias("V"), F.sum("lang_n").alias("lang_total"))
+    langs = stored(terms.groupBy("lang").agg(F.count(F.lit(1)).alias("V"), F.sum("lang_n").alias("lang_total")))  # of known size, so that few languages are no reason for a shuffle
 
     def block(c: str, size: int, many: str):
         return F.pmod(F.xxhash64(c), F.greatest(F.lit(1), F.ceil(F.col(many) / size)))
