@@ -6,15 +6,20 @@ kept in an open-addressing table of numpy arrays, so that the rest of the work o
 is a few array operations. Chunks of up to 15 bytes are compared as the bytes they are, longer
 ones by a dictionary of their bytes, so no two chunks are ever taken for one another. A chunk whose
 isolated encoding could differ from the one in its text (white space at its ends, which joins a
-run of white space) sends its segment to the library: a long text is cut into segments at single
-spaces between ASCII letters, so neither arrays nor library calls grow with a text's length.
+run of white space) sends its segment to the library.
+
+A long text is cut into segments at single spaces between ASCII letters or, where there is none,
+between letters of any script at a space or before a mark that ends a clause, after the library
+has shown on the text around it that it makes the same tokens of both sides alone. So neither
+arrays nor library calls grow with a text's length, but for a run of letters without such a
+place, which is one word to the tokenizer and goes to the library whole.
 """
 
 from __future__ import annotations
 
 import os
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -37,31 +42,50 @@ _LETTER = np.zeros(256, bool)
 _LETTER[[*range(65, 91), *range(97, 123)]] = True
 
 
-def segments(off: np.ndarray, data: np.ndarray, segment: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Begin and end of each segment and the first segment of each text: a text of more than `segment` bytes ends one at the first single space between ASCII letters from there on, which belongs to neither side."""
-    begin, end, first = [off[:-1]], [off[1:]], np.arange(len(off))
-    long = np.flatnonzero(np.diff(off) > segment)
-    if len(long):
-        cuts = []
-        for k in long.tolist():
-            at, to = int(off[k]), int(off[k + 1])
-            while at + segment < to:
-                low = at + segment
-                while low < to - 1:  # looked for block by block
-                    part = data[low - 1 : min(low + segment, to)]
-                    found = np.flatnonzero((part[1:-1] == 32) & _LETTER[part[:-2]] & _LETTER[part[2:]])
-                    if len(found):
-                        cuts.append(low + int(found[0]))
-                        break
-                    low += segment - 1
-                if low >= to - 1:
-                    break
-                at = cuts[-1] + 1
-        at = np.array(cuts, np.int64)
-        first = first + np.searchsorted(at, off)
-        begin.append(at + 1)
-        end.append(at)
-    return np.sort(np.concatenate(begin), kind="stable"), np.sort(np.concatenate(end), kind="stable"), first
+#: A space between two letters; the place between a letter and a mark that ends a clause, which a letter follows.
+_GAP = re.compile(r"(?<=[^\W\d_])(?: (?=[^\W\d_])|(?=[。、，．！？；：…!?,.;:][^\W\d_]))")
+#: Characters on either side of a cut on which the library is asked; places of a block that it is asked about.
+AROUND, ASKED = 48, 64
+
+
+def segments(off: np.ndarray, data: np.ndarray, segment: int, agreed: Callable[[str, str, bool], bool]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Begin and end of each segment, whether it begins right at the end of the one before, and the first segment of each text.
+
+    A text of more than `segment` bytes ends one at the first place from there on that is safe: a
+    single space between ASCII letters, which belongs to neither side, or, in a block of `segment`
+    bytes without one, a place of _GAP that agreed (left, right, whether a space parts them) holds
+    for safe.
+    """
+    cuts: list[tuple[int, bool]] = []
+    for k in np.flatnonzero(np.diff(off) > segment).tolist():
+        at, to = int(off[k]), int(off[k + 1])
+        while at + segment < to:
+            low, cut = at + segment, None
+            while low < to - 1 and cut is None:  # looked for block by block
+                part = data[low - 1 : min(low + segment, to)]
+                found = np.flatnonzero((part[1:-1] == 32) & _LETTER[part[:-2]] & _LETTER[part[2:]])
+                cut = (low + int(found[0]), False) if len(found) else _agreed_cut(part[1:], low, agreed)
+                low += segment - 1
+            if cut is None:
+                break
+            cuts.append(cut)
+            at = cut[0] + (not cut[1])
+    place, bare = np.array([c for c, _ in cuts], np.int64), np.array([x for _, x in cuts], bool)
+    begin = np.concatenate([off[:-1], place + ~bare])
+    order = np.argsort(begin, kind="stable")
+    joined = np.concatenate([np.zeros(len(off) - 1, bool), bare])[order]
+    return begin[order], np.sort(np.concatenate([off[1:], place]), kind="stable"), joined, np.arange(len(off)) + np.searchsorted(place, off)
+
+
+def _agreed_cut(part: np.ndarray, low: int, agreed: Callable[[str, str, bool], bool]) -> tuple[int, bool] | None:
+    lead = int(np.argmax((part & 0xC0) != 0x80))  # bytes of a character that began before
+    text = part[lead:].tobytes().decode("utf-8", "ignore")
+    for n, m in enumerate(_GAP.finditer(text)):
+        if n == ASKED:
+            break
+        if agreed(text[max(0, m.start() - AROUND) : m.start()], text[m.end() : m.end() + AROUND], bool(m[0])):
+            return low + lead + len(text[: m.start()].encode()), not m[0]
+    return None
 
 
 class ChunkEncoder:
@@ -90,6 +114,11 @@ class ChunkEncoder:
             out += [e.ids for e in self.lib.encode_batch_fast(texts[k : k + TOGETHER], add_special_tokens=False)]
         return out
 
+    def _agreed(self, left: str, right: str, space: bool) -> bool:
+        """Whether the library makes the same tokens of both sides alone as of the whole."""
+        whole, a, b = self._lib([left + " " * space + right, left, self.lead * space + right])
+        return whole == a + b
+
     def _plain(self, chunks: list[str], runs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids and lengths of chunks of `runs` pre-tokens each, which one text of them all splits into as well."""
         e = self.lib.encode(self.lead + " ".join(chunks), add_special_tokens=False)
@@ -170,8 +199,7 @@ class ChunkEncoder:
         """Lengths of the texts that data holds between the offsets, and all their ids (none without with_ids)."""
         if len(off) < 2:
             return np.zeros(0, np.int64), np.zeros(0, np.uint32)
-        begin, end, first = segments(off, data, SEGMENT)
-        head = np.zeros(len(begin), bool)
+        begin, end, head, first = segments(off, data, SEGMENT, self._agreed)
         head[first[:-1]] = True
         lengths, ids, at = [], [], 0
         while at < len(begin):
@@ -183,7 +211,7 @@ class ChunkEncoder:
         return sums(np.concatenate(lengths), first), np.concatenate(ids)
 
     def _encode(self, seg_begin: np.ndarray, seg_end: np.ndarray, data: np.ndarray, head: np.ndarray, with_ids: bool) -> tuple[np.ndarray, np.ndarray]:
-        """The same for segments; between two of one text there is a space."""
+        """The same for segments; between two of one text there is a space, unless the second is a head."""
         if self.kept > SLOTS // 2 or self.used > POOL or self.long_bytes > LONG_KEPT:
             self.reset()
         space = np.flatnonzero(data == 32)

@@ -84,10 +84,30 @@ def test_long_texts_are_cut_where_it_is_safe(name, monkeypatch):
     texts = [prose(400, 3), "a  b " * 60 + "c d " * 60, "é" * 300, "", "don't 's a\n\nb  c" * 30, "x y" * 90]
     n, ids = tokens.ChunkEncoder(tokens.tokenizer_path(name)).encode(*utf8(pa.array(texts)))
     assert [x.tolist() for x in np.split(ids, np.cumsum(n)[:-1])] == [ids_of(name, t) for t in texts]
-    begin, end, first = tokens.segments(*utf8(pa.array(texts)), 40)
+    begin, end, _, first = tokens.segments(*utf8(pa.array(texts)), 40, lambda *_: False)
     assert first[-1] == len(begin) > 40 and (end >= begin).all()
 
 
+SCRIPTS = ["привет мир. Ещё слово, и ещё одно! Да", "你好，世界。今天天气很好！我们去公园。再见", "これはテストです、はい。もう一つ、日本語の文章！そう", "ภาษาไทย และ อังกฤษ. คำ", "سلام دنیا، این یک آزمون است. بله", "Füße, naïve; ça va? Oui", "a1,b2.c3 x,y", "हिन्दी भाषा, और शब्द।"]
+
+
+@pytest.mark.parametrize("name", [WORD_BPE, BYTE_BPE])
+def test_long_texts_of_all_scripts_are_cut(name, monkeypatch):
+    monkeypatch.setattr(tokens, "SEGMENT", 64)
+    monkeypatch.setattr(tokens, "GROUP", 300)
+    r = random.Random(5)
+    texts = [(x + r.choice(["", " ", "\n", "。"])) * 12 for x in SCRIPTS]
+    for _ in range(60):
+        words_ = [w for x in r.sample(SCRIPTS, 2) for w in x.split()]
+        texts.append("".join(r.choice(words_) + r.choice(["", " ", "  ", ",", "。", " <|endoftext|>", "'s", "\t", "e\u0301", " \u0301", "İ,", "½ ", "\u3000"]) for _ in range(r.randint(5, 60))))
+    tool = tokens.ChunkEncoder(tokens.tokenizer_path(name))
+    n, ids = tool.encode(*utf8(pa.array(texts)))
+    assert [x.tolist() for x in np.split(ids, np.cumsum(n)[:-1])] == [ids_of(name, t) for t in texts]
+    for t in texts[:5]:
+        begin, end, _, _ = tokens.segments(*utf8(pa.array([t])), 64, tool._agreed)
+        assert len(begin) > 3 and (end - begin).max() < 200, t
+
+
 def test_table_survives_being_full(monkeypatch):
     monkeypatch.setattr(tokens, "POOL", 50)
     tool = tokens.ChunkEncoder(tokens.tokenizer_path(BYTE_BPE))
