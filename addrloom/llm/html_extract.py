@@ -5,7 +5,9 @@ are the lines of elements that hold no article text (menus, page headers, footer
 notices, adverts, forms, comments...), by tag, role, class or id; scripts and styles give no lines
 at all. Where a page marks its article, its paragraphs, headings, list items, quotes and cells are
 sure; what else stands in it is open: blocks of no such kind, blocks that are all link, and blocks
-with an ambiguous class. On a page without that mark all that isn't dropped is open.
+with an ambiguous class. On a page without that mark all that isn't dropped is open. A class or id
+never drops what holds the page's article or half of its text, nor a paragraph, heading or quote
+of the article unless it names an advert.
 
 Every page is paired with the nearest page of its host by URL path that isn't a copy of it; the
 lines of both are aligned by longest common subsequence, and open lines that they share are deleted.
@@ -16,7 +18,7 @@ from __future__ import annotations
 import hashlib
 import html
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from urllib.parse import urlsplit
 
 import numpy as np
@@ -39,16 +41,20 @@ NAMES = {
     "sidebar", "sidebars", "skip", "social", "sponsor", "sponsored", "subscribe", "subscription", "toolbar", "topbar", "widget", "widgets",
 }
 # Fixed words that go with such names, as in comment-list or site-footer; and names that also stand for an article's subject.
-BESIDE = {"area", "bar", "block", "body", "bottom", "box", "btn", "button", "buttons", "container", "content", "form", "group", "holder", "icons", "inline", "inner", "item", "items", "js", "left", "link", "links", "list", "main", "outer", "page", "panel", "post", "posts", "reader", "right", "row", "section", "site", "thread", "top", "user", "wrap", "wrapper"}
+BESIDE = {"area", "bar", "block", "body", "bottom", "box", "btn", "button", "buttons", "container", "content", "form", "group", "holder", "icons", "inline", "inner", "item", "items", "js", "left", "link", "links", "list", "main", "outer", "page", "panel", "post", "posts", "reader", "right", "row", "section", "signup", "site", "slot", "slots", "sticky", "thread", "top", "unit", "user", "wrap", "wrapper", "zone"}
 AMBIGUOUS = {"banner", "banners", "comment", "consent", "copyright", "menu", "menus", "notice", "notices", "notification", "promotion", "recommended", "related", "respond", "share", "sharing", "skip", "social", "subscription", "widget", "widgets"}
+#: Names that say what a block is and never what an article is about; words of names that tell of a page's layout, as in has-sidebar.
+ADVERT = {"ad", "ads", "advert", "advertisement", "advertising", "adverts", "promoted", "sponsor", "sponsored"}
+COMMENTS = {"comment", "commentlist", "comments", "disqus", "respond"}
+LAYOUT = {"disabled", "enabled", "has", "no", "with", "without"}
 #: A block named header is the page's unless it is named after the article as well.
 HEADER, OF_ARTICLE = "header", {"article", "content", "entry", "post", "story"}
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 #: Blocks that are sure in a marked article.
 TEXT = HEADINGS | {"p", "li", "blockquote", "pre", "td", "th", "caption", "dd", "dt", "figcaption"}
 ROLES = {"alert", "alertdialog", "banner", "complementary", "contentinfo", "dialog", "form", "menu", "menubar", "navigation", "search", "toolbar"}
-#: What a line is; and, in a tag's verdict, that its element is left alone.
-SURE, OPEN, GONE = 0, 1, 2
+#: What a line is; in a tag's verdict SURE says that its element is left alone, and NAMED that it goes for its class or id, unless it holds the article, READERS that it goes whatever it holds.
+SURE, OPEN, GONE, NAMED, READERS = 0, 1, 2, 3, 4
 
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*"|'[^']*')*+)>|<[!?/][^>]*>""", re.S)
 _ATTRIBUTE = re.compile(r"""([^\s=/>"']+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
@@ -61,7 +67,7 @@ def verdict(name: str, attributes: str, in_article: bool) -> int:
     """What an element makes of the lines in it: GONE, OPEN, or SURE where it says nothing about them."""
     if name in DROPPED or name == "header" and not in_article:
         return GONE
-    if not attributes or name in KEPT and not (name == "article" and in_article):
+    if not attributes or name in KEPT and name != "article":
         return SURE
     tokens: set[str] = set()
     for m in _ATTRIBUTE.finditer(attributes):
@@ -72,18 +78,48 @@ def verdict(name: str, attributes: str, in_article: bool) -> int:
             tokens.update(value.split())
     if not tokens:
         return SURE
-    parts = [set(_WORD.findall(t)) for t in tokens]
+    if name == "article" and not in_article:
+        return READERS if tokens and set().union(*(_WORD.findall(t) for t in tokens)) <= COMMENTS | BESIDE and not COMMENTS.isdisjoint(tokens) else SURE
+    parts = [p for t in tokens if LAYOUT.isdisjoint(p := {w for w in _WORD.findall(t) if not w[0].isdigit()})]
     named = [p for p in parts if not NAMES.isdisjoint(p)]
     every = set().union(*parts)
+    kind = READERS if not COMMENTS.isdisjoint(every) and every <= COMMENTS | BESIDE else NAMED  # readers' comments, however long, hold no article
     if not in_article:
-        return GONE if named or name not in HEADINGS and HEADER in every and OF_ARTICLE.isdisjoint(every) else SURE
+        return kind if named or name not in HEADINGS and HEADER in every and OF_ARTICLE.isdisjoint(every) else SURE
     if not named:
         return SURE
     # Inside the article: a name alone, or with words that only go with one, is clear; beside other words it may be the subject.
     clear = [p for p in named if p <= NAMES | BESIDE]
-    if not clear or not (every <= NAMES | BESIDE) and every & NAMES <= AMBIGUOUS:
-        return OPEN
-    return GONE
+    if not clear or not (every <= NAMES | BESIDE) and every & NAMES <= AMBIGUOUS or name in TEXT and ADVERT.isdisjoint(every):
+        return OPEN  # so is a paragraph, heading or quote with any name but an advert's
+    return kind
+
+
+_QUIET = re.compile(r"<(" + "|".join(sorted(RAW - {"noscript"})) + r")\b.*?(?:</\1\s*>|\Z)", re.S | re.I)
+
+
+def visible(page: str) -> int:
+    """Characters of text, roughly: without markup, scripts and white space."""
+    return len(_SPACE.sub("", _TAG.sub("", _QUIET.sub("", page))))
+
+
+def extent(page: str, at: int, name: str) -> int:
+    """Where the element that began before `at` ends, by tags of its own name."""
+    depth = 1
+    for m in re.compile(rf"<(/?){name}(?=[\s/>])", re.I).finditer(page, at):
+        depth += -1 if m[1] else 1
+        if not depth:
+            return m.start()
+    return len(page)
+
+
+_ARTICLE = re.compile(r"<(?:article|main)[\s>]|<[a-z]+[^>]*\srole\s*=\s*[\"']?main\b", re.I)
+
+
+def holds_the_text(page: str, at: int, name: str, whole: Callable[[], int], article: bool) -> bool:
+    """Whether an element is a wrapper: it holds the page's first article, or half of its text."""
+    to = extent(page, at, name)
+    return not article and _ARTICLE.search(page, at, to) is not None or 2 * visible(page[at:to]) > whole()
 
 
 def lines(page: str) -> tuple[list[tuple[str, int]], bool]:
@@ -94,6 +130,8 @@ def lines(page: str) -> tuple[list[tuple[str, int]], bool]:
     article = False
     holder, all_link = "", True  # the innermost block's tag, and whether the block's text so far is all link
     gone, loose = _Inside(), _Inside()  # the element whose lines are dropped, and the one whose lines are open
+    size: list[int] = []
+    sealed = False  # whether not even an article ends what is dropped
     inline = False  # whether the dropped element is part of a line, which then goes on without it
 
     def flush() -> None:
@@ -105,6 +143,11 @@ def lines(page: str) -> tuple[list[tuple[str, int]], bool]:
             block.clear()
         all_link = True
 
+    def whole() -> int:
+        if not size:
+            size.append(visible(page))
+        return size[0]
+
     def put(text: str) -> None:
         nonlocal all_link
         if not inline:
@@ -123,7 +166,7 @@ def lines(page: str) -> tuple[list[tuple[str, int]], bool]:
                 end = re.compile(rf"</{name}[\s/>]", re.I).search(page, at)
                 at = end.start() if end else len(page)
             continue
-        if gone.name and name in ("article", "main") and not closing and gone.name not in ("article", "main") and not depth and not main_depth:
+        if gone.name and name in ("article", "main") and not closing and gone.name not in ("article", "main") and not depth and not main_depth and not article and not sealed:
             flush()
             gone.name, inline = "", False  # what was to be left out was never closed
         if gone.name:
@@ -159,13 +202,16 @@ def lines(page: str) -> tuple[list[tuple[str, int]], bool]:
                 main_depth -= 1
             continue
         if name not in VOID and (found := verdict(name, m[3], depth > 0)) and not m[3].rstrip().endswith("/"):
-            if found == GONE:
+            if found == NAMED:
+                found = SURE if name not in INLINE and holds_the_text(page, at, name, whole, article) else GONE
+            if found in (GONE, READERS):
                 gone.begins(name)
+                sealed = found == READERS
                 inline = name in INLINE
                 if name == "a":
                     linked = max(0, linked - 1)
                 continue
-            if not loose.name and name not in INLINE:
+            if found == OPEN and not loose.name and name not in INLINE:
                 loose.begins(name)
         if name == "article":
             depth, article = depth + 1, True

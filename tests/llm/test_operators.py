@@ -916,3 +916,24 @@ def test_components(spark):
     got = {x.node: x.component for x in components.components(spark.createDataFrame(edges, "u long, v long")).collect()}
     assert got == want
     assert components.components(spark.createDataFrame([], "u long, v long")).count() == 0
+
+
+#: Pages, and the lines that are not dropped.
+WRAPPED = [
+    ('<main><div class="layout has-sidebar"><article><h1>T</h1><p>Text.</p></article></div></main>', ["T", "Text."]),
+    ('<div class="content-with-sidebar"><p>Text.</p></div>', ["Text."]),
+    ('<div class="page ads-enabled"><div role="main"><p>Text here.</p></div></div>', ["Text here."]),
+    ('<main><div class="sidebar-layout"><article><p>Text.</p></article></div></main>', ["Text."]),
+    ('<article><p>One.</p><p class="related">Two.</p><h2 class="menu">Three</h2><p class="notice">Four.</p><blockquote class="social">Five.</blockquote></article>', ["One.", "Two.", "Three", "Four.", "Five."]),
+    ('<article><p>One long text.</p><div class="ad-slot">Buy</div><div class="advertisement-300x250">Buy now</div><div class="newsletter-signup">Mail</div><p class="ad">Ad</p></article>', ["One long text."]),
+    ('<div class="sidebar"><a href=x>link</a> stuff</div><div class="sidebar-page"><p>Most of the text is here, a lot of it.</p></div>', ["Most of the text is here, a lot of it."]),
+    ('<div class="related"><p>a</p></div><article><p>real text</p></article><div class="related"><article>teaser</article></div>', ["real text"]),
+    ('<div class="post"><p>Short.</p></div><div class="comments-area"><p>A reader goes on and on and on about it.</p><article class="comment">Me too, at length.</article></div>', ["Short."]),
+    ('<div class="post comments-open"><p>The text of it.</p><div class="comment-list">hear, hear</div></div>', ["The text of it."]),
+    ('<div class="related"><p>never closed<article><p>Text.</p></article>', ["Text."]),
+]
+
+
+@pytest.mark.parametrize(("page", "kept"), WRAPPED)
+def test_no_name_drops_what_holds_the_article(page, kept):
+    assert [t for t, kind in html_extract.lines(page)[0] if kind != html_extract.GONE] == kept
