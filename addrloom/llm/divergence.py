@@ -28,7 +28,7 @@ from .common import bound_batches, stored, utf8
 #: Documents of its language that a kept term is in; scale of a share, taken in STEPS digits' groups of 1000; terms that a group reports.
 LEAST, SCALE, STEPS, REPORTED = 3, 10**9, 3, 200
 #: Terms and sources of a tile; different terms that a task counts before it gives them on; bytes of a piece of text.
-TERMS, SOURCES, HELD, PIECE = 256, 64, 400_000, 1 << 20
+TERMS, SOURCES, HELD, PIECE = 256, 64, 800_000, 1 << 20
 #: Terms are runs of letters and of bytes from 0x80 on; A to Z are lower-cased, all other bytes part them.
 FOLD = bytes(b if b >= 0x80 or 0x61 <= b <= 0x7A else b + 32 if 0x41 <= b <= 0x5A else 0x20 for b in range(256))
 
@@ -220,19 +220,21 @@ def audit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", sourc
     # blocks of terms and of sources: a place within a block is what a tile's rows and columns are
     placed = terms.join(langs, "lang").withColumn("tb", block("term", TERMS, "V"))
     placed = stored(placed.withColumn("tp", F.row_number().over(Window.partitionBy("lang", "tb").orderBy("term")) - 1), compression="zstd")
-    cells = counts.drop("docs").join(placed.select("lang", "term", "tb", "tp"), ["lang", "term"])
-    sizes = stored(cells.groupBy("lang", "source").agg(F.sum("n").alias("N")))
     many = groups.groupBy("lang").agg(F.count(F.lit(1)).alias("S"))
-    own = groups.join(sizes, ["lang", "source"], "left").join(langs, "lang", "left").join(many, "lang")
-    own = own.select("lang", "source", F.coalesce("N", F.lit(0)).alias("N"), F.coalesce("V", F.lit(0)).alias("V"), block("source", SOURCES, "S").alias("sb"))
-    own = stored(own.withColumn("sp", F.row_number().over(Window.partitionBy("lang", "sb").orderBy("source")) - 1))
+    places = groups.join(many, "lang").withColumn("sb", block("source", SOURCES, "S")).drop("S")
+    places = stored(places.withColumn("sp", F.row_number().over(Window.partitionBy("lang", "sb").orderBy("source")) - 1))
+    cells = counts.drop("docs").join(placed.select("lang", "term", "tb", "tp"), ["lang", "term"]).join(places, ["lang", "source"])
+    cells = stored(cells.select("lang", "source", "sb", "sp", "tb", "tp", "n"), compression="zstd")
+    sizes = cells.groupBy("lang", "source").agg(F.sum("n").alias("N"))
+    own = places.join(sizes, ["lang", "source"], "left").join(langs, "lang", "left")
+    own = stored(own.select("lang", "source", F.coalesce("N", F.lit(0)).alias("N"), F.coalesce("V", F.lit(0)).alias("V"), "sb", "sp"))
 
     listed = lambda *c: F.array_sort(F.collect_list(F.struct(*c)))
     term_blocks = placed.groupBy("lang", "tb", "V", "lang_total").agg(listed("tp", "term", "lang_n").alias("t"))
     term_blocks = term_blocks.select("lang", "tb", F.col("t.term").alias("terms"), F.col("t.lang_n").alias("lang_n"), (F.col("lang_total") + F.col("V")).alias("lang_below"))
     source_blocks = own.filter("V > 0").groupBy("lang", "sb").agg(listed("sp", "source", "N", "V").alias("s"))
     source_blocks = stored(source_blocks.select("lang", "sb", F.struct(F.col("s.source").alias("names"), F.transform("s", lambda x: x["N"] + x["V"]).alias("below")).alias("s")))
-    tiles = cells.join(own.select("lang", "source", "sb", "sp"), ["lang", "source"]).groupBy("lang", "tb", "sb").agg(F.collect_list(F.struct("sp", "tp", "n")).alias("cells"))
+    tiles = cells.groupBy("lang", "tb", "sb").agg(F.collect_list(F.struct("sp", "tp", "n")).alias("cells"))
     tiles = stored(tiles, compression="zstd")
 
     side = lambda x: source_blocks.select("lang", F.col("sb").alias(f"s{x}"), F.col("s").alias(x))
