@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..config import build
 from ..functions import text
 from ..functions.complexity import complexity
 from ..functions.entities import label_inventory, map_components, map_entities, map_generic_entities
@@ -17,8 +18,9 @@ from ..functions.llm_json import answer_cost, keyword_parse, map_answers, prompt
 from ..functions.rules import rule_parse
 from ..operators import advice, compare, consolidate, devices, metrics, pins, routing
 from ..schema import FIELDS
-from ..sources import readers, sinks
+from ..sources import journal, readers, sinks
 from ..streaming import incremental
+from .batch import run_batch
 from .fixtures import addresses, with_answers, with_components, with_entities
 from .parsers import external
 
@@ -631,6 +633,21 @@ def csv_ingest(s, d):
     return back.select(F.col("row_id").cast("long").alias("row_id"), *(F.coalesce(c, F.lit("")).alias(c) for c in ("addr_text", "pincode", "city_id", "file_name")))
 
 
+@query
+def batch_journal(s, d):
+    """Files of like names in two folders, run twice: what the journal holds of each, and how often it was processed."""
+    folder = _folder(s)
+    rows = addresses(s, d).select("addr_hash_key", "addr_text", "city_id", "pincode", F.when(F.col("row_id") % 2 == 0, F.lit("north")).otherwise(F.lit("south")).alias("region"), F.col("source_file").alias("name"))
+    rows.repartition("name").write.partitionBy("region", "name").options(**sinks.CSV).csv(f"{folder}/in")
+    c = build({"batch_input": [f"{folder}/in/**/*.csv"], "batch_output": f"{folder}/out"})
+    run_batch(s, c)
+    run_batch(s, c)
+    entries = journal.entries(s, f"{folder}/out/_journal")
+    times = entries.groupBy("path").agg(F.count(F.lit(1)).alias("times"))
+    part = lambda c: F.regexp_extract("path", f"{c}=([^/]*)", 1).alias(c)
+    return journal.current(entries).join(times, "path").groupBy(part("region"), part("name"), "status").agg(F.sum("rows").alias("rows"), F.max("times").alias("times"))
+
+
 @query
 def file_digest(s, d):
     folder = _folder(s)
@@ -665,9 +682,9 @@ def address_columns(s, d):
 def state_round_trip(s, d):
     """A state that is saved twice: what is loaded is the second, whole."""
     path = f"{_folder(s)}/state"
-    sinks.save_state(_table(s, d, "nation").select("n_nationkey"), path)
-    sinks.save_state(_table(s, d, "region").select("r_regionkey", "r_name"), path)
-    return sinks.load_state(s, path, "r_regionkey int, r_name string")
+    journal.save_state(_table(s, d, "nation").select("n_nationkey"), path)
+    journal.save_state(_table(s, d, "region").select("r_regionkey", "r_name"), path)
+    return journal.load_state(s, path, "r_regionkey int, r_name string")
 
 
 @query

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from dataclasses import dataclass, field
 
 from pyspark.ml.feature import Bucketizer
@@ -245,22 +244,3 @@ def to_process(files: DataFrame, manifest: DataFrame, outputs: DataFrame) -> Dat
     newest = made.groupBy("base").agg(F.max("made").alias("made"))
     rest = files.join(done, "path", "left_anti").withColumn("base", name(F.col("path"))).join(newest, "base", "left")
     return rest.filter(F.col("made").isNull() | (F.col("made") <= F.col("modified"))).select("path", "modified")
-
-
-def save_state(state: DataFrame, path: str) -> None:
-    """Replaces the state at path: it is written beside it and then takes its place, so a reader finds the old or the new one, whole."""
-    spark, new = state.sparkSession, f"{path}-{uuid.uuid4().hex}"
-    state.write.parquet(new)
-    fs, target = _file_system(spark, path)
-    old = f"{path}-old-{uuid.uuid4().hex}"
-    path_of = lambda p: _file_system(spark, p)[1]
-    if fs.exists(target):
-        fs.rename(target, path_of(old))
-    fs.rename(path_of(new), target)
-    fs.delete(path_of(old), True)
-
-
-def load_state(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """The state at path; an empty one where none has been saved."""
-    fs, p = _file_system(spark, path)
-    return spark.read.schema(schema).parquet(path) if fs.exists(p) else spark.createDataFrame([], schema)

@@ -12,7 +12,7 @@ from addrloom.functions.rules import rule_parse
 from addrloom.operators import consolidate, routing
 from addrloom.plans import batch, parsers
 from addrloom.schema import FIELDS
-from addrloom.sources import readers, sinks
+from addrloom.sources import journal, readers, sinks
 from addrloom.streaming import incremental
 
 HEAD = "addr_hash_key,addr_text,city_id,pincode\n"
@@ -138,13 +138,12 @@ def test_batches_go_on_where_they_were(spark, tmp_path):
     c = config.build({"batch_input": [f"{src}/**/*.csv"], "batch_output": str(out)})
     report = batch.run_batch(spark, c)
     assert (report["files"], report["rows"], report["succeeded"]) == (3, 8, 8) and list(report["failed"]) == [f"file:{src}/bad.csv"]
-    written = {p.name.split("_processed_")[0]: p for p in out.iterdir() if "_processed_" in p.name and not p.name.startswith(".")}
+    written = {p.name.split("_processed_")[0][:-9]: p for p in out.iterdir() if "_processed_" in p.name and not p.name.startswith(".")}
     back = spark.read.option("header", True).option("escape", '"').csv(str(written["one"]))
     assert back.count() == 5 and back.columns[9:12] == ["UN", "SN", "LN"] and back.columns[-4:] == ["parse_success", "parse_error", "processing_method", "processing_time"]
     again = batch.run_batch(spark, c)
     assert again["files"] == 1 and len(again["skipped"]) == 2  # the failed one is tried again
     os.utime(src / "one.csv", (time.time() + 100,) * 2)
-    (out / "_manifest").rename(out / "_gone")
     assert batch.run_batch(spark, c)["rows"] == 5  # newer than its output
     assert any(p.name.endswith("batch_report.json") for p in out.iterdir())
 
@@ -202,13 +201,104 @@ def test_combinations_of_parameters(monkeypatch):
 
 def test_state_is_replaced_whole(spark, tmp_path):
     path = str(tmp_path / "state")
-    assert sinks.load_state(spark, path, "k long").count() == 0
+    assert journal.load_state(spark, path, "k long").count() == 0
     for k in range(3):
-        sinks.save_state(spark.createDataFrame([(k,)], "k long"), path)
-        assert [r.k for r in sinks.load_state(spark, path, "k long").collect()] == [k]
+        journal.save_state(spark.createDataFrame([(k,)], "k long"), path)
+        assert [r.k for r in journal.load_state(spark, path, "k long").collect()] == [k]
+        assert len([p for p in (tmp_path / "state").iterdir() if p.is_dir()]) == 1
     assert [p.name for p in tmp_path.iterdir()] == ["state"]
 
 
+def test_state_stays_while_its_successor_is_not_complete(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "state")
+    journal.save_state(spark.createDataFrame([(1,)], "k long"), path)
+    broken = spark.range(4).select(F.raise_error(F.lit("lost")).cast("long").alias("k"))
+    with pytest.raises(Exception, match="lost"):
+        journal.save_state(broken, path)
+    (tmp_path / "state" / "v0000000007-dead" / "_temporary").mkdir(parents=True)
+    assert [r.k for r in journal.load_state(spark, path, "k long").collect()] == [1]
+    journal.save_state(spark.createDataFrame([(2,)], "k long"), path)
+    assert [r.k for r in journal.load_state(spark, path, "k long").collect()] == [2]
+    assert [p.name[:11] for p in (tmp_path / "state").iterdir() if p.is_dir()] == ["v0000000008"]
+
+
+def test_a_refused_rename_is_no_entry(spark, tmp_path, monkeypatch):
+    (tmp_path / "journal").mkdir()
+    entry = {"path": "a", "status": "completed", "at": 5.0}
+    journal.append(spark, str(tmp_path / "journal"), entry)
+    fs, _ = readers._file_system(spark, str(tmp_path))
+
+    class Refusing:
+        def __getattr__(self, name):
+            return getattr(fs, name)
+
+        def rename(self, *_):
+            return False
+
+    monkeypatch.setattr(journal, "_file_system", lambda s, p: (Refusing(), readers._file_system(s, p)[1]))
+    with pytest.raises(OSError, match="journal"):
+        journal.append(spark, str(tmp_path / "journal"), entry | {"path": "b"})
+    assert [(r.path, r.at) for r in journal.entries(spark, str(tmp_path / "journal")).collect()] == [("a", 5.0)]
+    again = spark.createDataFrame([("a", None, "failed", 0, 0, 1.0, "x", 1, 6.0), ("a", "o", "completed", 3, 3, 1.0, None, 1, 5.0)], journal.ENTRY)
+    assert [(r.status, r.rows) for r in journal.current(again).collect()] == [("failed", 0)]
+
+
+def _texts(spark, out):
+    return sorted(r.addr_text for p in out.iterdir() if "_processed_" in p.name and (p / "_SUCCESS").exists() for r in spark.read.option("header", True).csv(str(p)).collect())
+
+
+def test_files_of_one_name_keep_their_own_outputs(spark, tmp_path):
+    for folder, first in (("north", 0), ("south", 100)):
+        (tmp_path / "in" / folder).mkdir(parents=True)
+        (tmp_path / "in" / folder / "a.csv").write_text(HEAD + rows_of(1, first))
+    c = config.build({"batch_input": [f"{tmp_path}/in/**/*.csv"], "batch_output": str(tmp_path / "out")})
+    assert batch.run_batch(spark, c)["rows"] == 2
+    assert [t[:9] for t in _texts(spark, tmp_path / "out")] == ["Flat 0, K", "Flat 100,"]
+    assert batch.run_batch(spark, c)["files"] == 0
+
+
+def test_an_output_that_was_not_finished_counts_for_nothing(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "b.csv").write_text(HEAD + rows_of(2))
+    (tmp_path / "in" / "empty.csv").write_text(HEAD)
+    c = config.build({"batch_input": [f"{tmp_path}/in/*.csv"], "batch_output": str(tmp_path / "out")})
+    key = journal.path_key(f"file:{tmp_path}/in/b.csv")
+    for name in (f"b-{key}_processed_20990101_000000", "b_processed_20990101_000000"):
+        (tmp_path / "out" / name / "_temporary").mkdir(parents=True)
+    assert batch.run_batch(spark, c)["rows"] == 2
+    assert batch.run_batch(spark, c)["files"] == 0
+    made = next(p for p in (tmp_path / "out").iterdir() if p.name.startswith("b-") and (p / "_SUCCESS").exists())
+    (made / "_SUCCESS").unlink()
+    assert batch.run_batch(spark, c)["rows"] == 2 and batch.run_batch(spark, c)["files"] == 0
+
+
+def test_a_run_that_was_killed_resumes(spark, tmp_path, monkeypatch):
+    (tmp_path / "in").mkdir()
+    for k in range(4):
+        (tmp_path / "in" / f"f{k}.csv").write_text(HEAD + rows_of(1, 10 * k))
+    c = config.build({"batch_input": [f"{tmp_path}/in/*.csv"], "batch_output": str(tmp_path / "out")})
+    append, seen = journal.append, []
+
+    def killed(s, folder, entry):
+        seen.append(entry["path"])
+        if len(seen) == 3:  # the third file's output is there, its entry isn't
+            raise KeyboardInterrupt
+        append(s, folder, entry)
+
+    monkeypatch.setattr(journal, "append", killed)
+    with pytest.raises(KeyboardInterrupt):
+        batch.run_batch(spark, c, together=1)
+    monkeypatch.setattr(journal, "append", append)
+    done = journal.current(journal.entries(spark, f"{tmp_path}/out/_journal")).collect()
+    assert len(done) >= 2 and all(r.status == "completed" for r in done)
+    report = batch.run_batch(spark, c)
+    assert report["files"] == 4 - len(done) and seen[2] not in {r.path for r in done}
+    last = journal.current(journal.entries(spark, f"{tmp_path}/out/_journal")).collect()
+    assert len(last) == 4 and sorted(r.rows for r in last) == [1] * 4
+    outputs = {r.output.removeprefix("file:") for r in last}
+    assert sorted(t[:7] for o in outputs for t in [spark.read.option("header", True).csv(o).first().addr_text]) == ["Flat 0,", "Flat 10", "Flat 20", "Flat 30"]
+
+
 def test_reports(spark):
     meta = {"total_rows": 1200, "successful": 1000, "failed": 200, "success_rate": 83.3}
     run = sinks.Run(at="now", seconds=2.0, gpu_rows=900, rate=600.0, errors=[f"e{k}" for k in range(7)], advice=["a", "b", "c", "d"])
