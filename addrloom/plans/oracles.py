@@ -285,6 +285,7 @@ z AS (SELECT o_orderkey, n, CASE WHEN (n - cpu) / n < 0.95 THEN greatest(floor(n
         "file_report": f"{RULES}, {FILES} SELECT * FROM fr",
         "batch_report": f"{RULES}, {FILES}, b AS (SELECT count(*) AS files, sum(rows)::BIGINT AS rows, sum(succeeded)::BIGINT AS succeeded, avg(CASE WHEN rate > 0 THEN rate END) AS m, max(rate) AS x, stddev_pop(CASE WHEN rate > 0 THEN rate END) AS sp FROM fr) SELECT files, rows, succeeded, round(m, 6) AS mean_rate, round(x, 6) AS peak_rate, round(sp / m, 6) AS variation, round(least(m / 1500 * 50, 50) + 30 + 14, 6) AS score, m >= 1500 AS rate_target_met, true AS utilisation_target_met, concat_ws('; ', CASE WHEN m < 1500 THEN 'raise throughput' END, 'raise efficiency', CASE WHEN sp / m > 0.3 THEN 'files differ much: like sizes, like batches' END) AS advice, files::INT AS details FROM b",
         "csv_ingest": f"WITH {A} SELECT row_id, addr_text, pincode, city_id, source_file AS file_name FROM addresses",
+        "csv_line_breaks": f"""WITH {A} SELECT row_id, CASE row_id % 3 WHEN 0 THEN replace(addr_text, ', ', ',' || chr(10)) WHEN 1 THEN '"' || addr_text || '"' || chr(10) ELSE addr_text END AS addr_text, pincode, city_id FROM addresses""",
         "batch_journal": f"{CHECKED} SELECT CASE WHEN row_id % 2 = 0 THEN 'north' ELSE 'south' END AS region, a.source_file AS name, 'completed' AS status, count(*)::BIGINT AS rows, 1::BIGINT AS times FROM y JOIN addresses a USING (row_id) WHERE reject_reason IS NULL GROUP BY ALL",
         "file_digest": "SELECT length(t)::BIGINT AS size, sha256(t) AS sha256 FROM (SELECT string_agg(r_name || chr(10), '' ORDER BY r_regionkey) AS t FROM region)",
         "discovered_files": "SELECT * FROM (VALUES ('flat', 0, 'p1.csv'), ('flat', 1, 'p10.csv'), ('deep', 0, 'p5.csv'), ('deep', 1, 'p1.csv'), ('deep', 2, 'p10.csv'), ('numbered', 0, 'p1.csv')) v(how, place, name)",

@@ -633,6 +633,16 @@ def csv_ingest(s, d):
     return back.select(F.col("row_id").cast("long").alias("row_id"), *(F.coalesce(c, F.lit("")).alias(c) for c in ("addr_text", "pincode", "city_id", "file_name")))
 
 
+@query
+def csv_line_breaks(s, d):
+    """The same with line breaks and quotes in the addresses, read as records over splits."""
+    folder = _folder(s)
+    broken = F.when(F.col("row_id") % 3 == 0, F.replace("addr_text", F.lit(", "), F.lit(",\n"))).when(F.col("row_id") % 3 == 1, F.concat(F.lit('"'), "addr_text", F.lit('"\n'))).otherwise(F.col("addr_text"))
+    addresses(s, d).select("row_id", broken.alias("addr_text"), "pincode", "city_id").coalesce(2).write.options(**sinks.CSV).csv(f"{folder}/a")
+    back = readers.read_addresses(s, f"{folder}/a/*.csv", split_bytes=0)
+    return back.select(F.col("row_id").cast("long").alias("row_id"), *(F.coalesce(c, F.lit("")).alias(c) for c in ("addr_text", "pincode", "city_id")))
+
+
 @query
 def batch_journal(s, d):
     """Files of like names in two folders, run twice: what the journal holds of each, and how often it was processed."""

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import is_blank, strip
 from ..schema import COUNT_FIELD, RAW_FIELDS, REQUIRED, raw_schema
+from .records import records
 
 # Column names that hold addresses, by strategy.
 _LONG = ["addr_text", "raw_address", "address", "customer_address", "full_address", "shipping_address", "delivery_address"]
@@ -61,13 +62,13 @@ def missing_columns(columns: list[str], required: list[str] = REQUIRED) -> list[
     return [c for c in required if c not in columns]
 
 
-def read_addresses(spark: SparkSession, paths: str | list[str], required: list[str] = REQUIRED, multi_line: bool = True) -> DataFrame:
+def read_addresses(spark: SparkSession, paths: str | list[str], required: list[str] = REQUIRED, multi_line: bool = True, split_bytes: int | None = None) -> DataFrame:
     """All columns as strings, unknown ones included, with source_file; short rows have nulls.
 
     Files are read by their own headers: those with like headers together, and their rows put
     together by name, so neither another order nor another set of columns shifts a value. Quoted
-    line breaks are part of a field; with multi_line off they end a record, and a large file is
-    split over tasks. Raises FileNotFoundError for a path that isn't there, ValueError for a file
+    line breaks are part of a field; with multi_line off they end a record. Files of more than a
+    split (split_bytes, else the session's) are read by many tasks either way (see `records`). Raises FileNotFoundError for a path that isn't there, ValueError for a file
     without a header or required column.
     """
     files = files_of(spark, paths)
@@ -80,6 +81,14 @@ def read_addresses(spark: SparkSession, paths: str | list[str], required: list[s
         if gone := missing_columns(own, required):
             raise ValueError(f"missing columns: {', '.join(gone)} ({f})")
         by.setdefault(tuple(own), []).append(f)
+    split = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes() if split_bytes is None else split_bytes
+    large = multi_line and any(fs.getFileStatus(p).getLen() > split for fs, p in (_file_system(spark, f) for f in files))
+    if large:
+        parts = []
+        for own, group in by.items():
+            found = records(spark, group).filter("not header")
+            parts.append(found.select(F.from_csv("record", ", ".join("`" + c.replace("`", "``") + "` string" for c in own), {"quote": '"', "escape": '"', "multiLine": "true"}).alias("r"), F.col("file").alias("source_file")).select("r.*", "source_file"))
+        return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     reader = spark.read.option("header", True).option("enforceSchema", True).option("multiLine", multi_line).option("quote", '"').option("escape", '"').option("encoding", "UTF-8")
     parts = [reader.schema(raw_schema(list(own))).csv(group).withColumn("source_file", F.col("_metadata.file_path")) for own, group in by.items()]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
