@@ -192,7 +192,12 @@ walk AS (SELECT pin_key, 0::BIGINT AS k, []::VARCHAR[] AS leaders, NULL::VARCHAR
   FROM walk w JOIN seq s ON s.pin_key = w.pin_key AND s.k = w.k + 1),
 led AS (SELECT coalesce(md5(w.leader || '|' || kn.pin_key), 'UNMATCHED') AS group_id, kn.row_id, kn.society_name, kn.pin_key FROM kn LEFT JOIN walk w ON w.pin_key = kn.pin_key AND w.name_key = kn.name_key)
 SELECT group_id, CASE WHEN group_id = 'UNMATCHED' THEN '' ELSE arg_min(society_name, row_id) END AS society_name, CASE WHEN group_id = 'UNMATCHED' THEN '' ELSE arg_min(pin_key, row_id) END AS pin_code, count(*) AS record_count FROM led GROUP BY group_id""",
-        "stream_consolidation": f"{fuzzy_names()} SELECT pin_key, sum(rows)::BIGINT AS rows, count(*) AS names FROM dn GROUP BY 1",
+        "stream_consolidation": f"""{fuzzy_names().replace('WITH ', 'WITH RECURSIVE ', 1)},
+near AS MATERIALIZED (SELECT name, list(other) AS others FROM (SELECT a AS name, b AS other FROM like_ WHERE similarity >= 0.85 UNION ALL SELECT b, a FROM like_ WHERE similarity >= 0.85) GROUP BY 1),
+seq AS MATERIALIZED (SELECT pin_key, name_key, coalesce(others, []) AS others, row_number() OVER (PARTITION BY pin_key ORDER BY first_row) AS k FROM dn LEFT JOIN near ON name = name_key),
+walk AS (SELECT pin_key, 0::BIGINT AS k, []::VARCHAR[] AS leaders, NULL::VARCHAR AS name_key, NULL::VARCHAR AS leader FROM (SELECT DISTINCT pin_key FROM dn)
+  UNION ALL SELECT w.pin_key, s.k, CASE WHEN len(list_filter(w.leaders, lambda l: list_contains(s.others, l))) > 0 THEN w.leaders ELSE list_append(w.leaders, s.name_key) END, s.name_key, coalesce(list_filter(w.leaders, lambda l: list_contains(s.others, l))[1], s.name_key)
+  FROM walk w JOIN seq s ON s.pin_key = w.pin_key AND s.k = w.k + 1) SELECT w.pin_key, w.name_key, w.leader, dn.rows::BIGINT AS rows, (sum(dn.rows) OVER (PARTITION BY w.pin_key, w.leader))::BIGINT AS leader_rows FROM walk w JOIN dn ON dn.pin_key = w.pin_key AND dn.name_key = w.name_key""",
         "consolidate_exact": f"{RULES}, {KEYED}, {GROUPS} SELECT group_id, society_name, pin_code, record_count FROM gs",
         "group_members": f"{RULES}, {KEYED} SELECT row_id, group_id FROM g",
         "group_stats": f"""{RULES}, {KEYED}, {GROUPS}, s AS (SELECT count(*) AS total_groups, sum(record_count)::BIGINT AS n, max(record_count) AS largest_group_size, arg_max(society_name, (record_count, (group_id <> 'UNMATCHED')::INT, -first_row)) AS largest_group_name, coalesce(sum(record_count) FILTER (group_id = 'UNMATCHED'), 0)::BIGINT AS unmatched_count FROM gs)

@@ -874,14 +874,23 @@ def stream_throughput(s, d):
 
 @query
 def stream_consolidation(s, d):
-    """Names and codes as a stream of a few files, consolidated with leaders as state; rows by leader over all batches."""
+    """Names and codes as a stream of a few files, consolidated with leaders as state: each name's leader, its rows, and its leader's, after all batches."""
     folder = _folder(s)
-    rows = consolidate.keyed(_recognised(s, d)).filter("name_key is not null").select("row_id", "pin_key", "name_key")
-    rows.repartitionByRange(3, "row_id").write.parquet(f"{folder}/in")
-    stream = incremental.consolidated_stream(incremental.address_stream(s, f"{folder}/in", rows.schema, 2, "parquet"))
+    rows = consolidate.keyed(_recognised(s, d)).select("row_id", "pin_key", "name_key")
+    rows.repartitionByRange(3, "row_id").sortWithinPartitions("row_id").write.parquet(f"{folder}/rows")
+    rows = s.read.parquet(f"{folder}/rows").filter("name_key is not null")
+    for third in range(3):  # one after the other, as the stream takes files in the order of their times
+        rows.filter(F.col("row_id").between(*_thirds(rows)[third])).coalesce(1).write.mode("append").parquet(f"{folder}/in")
+    stream = incremental.consolidated_stream(incremental.address_stream(s, f"{folder}/in", rows.schema, 1, "parquet"))
     incremental.run_to_parquet(stream, f"{folder}/out", f"{folder}/checkpoint")
     out = s.read.parquet(f"{folder}/out")
-    return out.groupBy("pin_key").agg(F.sum("rows").alias("rows"), F.countDistinct("name_key").alias("names"))
+    return out.groupBy("pin_key", "name_key", "leader").agg(F.sum("rows").alias("rows")).join(out.groupBy("pin_key", "leader").agg(F.max("leader_rows").alias("leader_rows")), ["pin_key", "leader"])
+
+
+def _thirds(rows: DataFrame) -> list[tuple[int, int]]:
+    low, high = rows.agg(F.min("row_id"), F.max("row_id")).first()
+    cuts = [low + (high - low) * k // 3 for k in range(1, 3)]
+    return [(low, cuts[0]), (cuts[0] + 1, cuts[1]), (cuts[1] + 1, high)]
 
 
 def queries() -> dict[str, Query]:

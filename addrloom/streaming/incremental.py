@@ -8,6 +8,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from ..functions.rules import rule_parse
 from ..operators.consolidate import THRESHOLD, leaders_of
@@ -36,23 +37,61 @@ def throughput(stream: DataFrame, ts: str = "ts", seconds: int = 1, late: str =
     return stream.withWatermark(ts, late).groupBy(F.window(ts, f"{seconds} seconds").alias("w")).agg(F.count(F.lit(1)).alias("n")).select(F.col("w.start").alias("at"), "n")
 
 
-def consolidated_stream(stream: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """pin_key, name_key, leader and rows per code and batch; input columns row_id, pin_key and name_key (not null).
+CONSOLIDATED = "pin_key string, name_key string, leader string, rows long, leader_rows long"
+_ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
-    The state of a code is its leaders in order. Within a batch names are taken in order of row_id,
-    so a stream whose batches follow that order gives what the batch operator gives.
-    """
-    ship_package(stream.sparkSession)
-    out = T.StructType([T.StructField("pin_key", T.StringType()), T.StructField("name_key", T.StringType()), T.StructField("leader", T.StringType()), T.StructField("rows", T.LongType())])
-    state = T.StructType([T.StructField("leaders", T.ArrayType(T.StringType()))])
 
-    def run(key: tuple, batches: Iterator[pd.DataFrame], held) -> Iterator[pd.DataFrame]:
-        leaders = list(held.get[0]) if held.exists else []
-        got = pd.concat(list(batches)).sort_values("row_id")
-        names = got["name_key"].drop_duplicates().tolist()
-        found = dict(zip(names, leaders_of([*leaders, *names], threshold)[len(leaders) :], strict=True))
-        held.update((leaders + [n for n in names if found[n] == n and n not in leaders],))
-        rows = got.groupby("name_key", sort=False).size()
-        yield pd.DataFrame({"pin_key": key[0], "name_key": names, "leader": [found[n] for n in names], "rows": [int(rows[n]) for n in names]})
+class _Leaders(StatefulProcessor):
+    """A code's leaders, a list in their order, and the rows that each has drawn, a map; both go once the code has been quiet."""
+
+    def __init__(self, threshold: float, quiet: int | None):
+        self.threshold, self.quiet = threshold, quiet
 
-    return stream.groupBy("pin_key").applyInPandasWithState(run, out, state, "append", "NoTimeout")
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.leaders = handle.getListState("leaders", "name string")
+        self.drawn = handle.getMapState("drawn", "name string", "rows long")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
+        got = pd.concat(list(rows)).sort_values("row_id")
+        names = got["name_key"].drop_duplicates().tolist()
+        known = [x[0] for x in self.leaders.get()] if self.leaders.exists() else []
+        found = dict(zip(names, leaders_of([*known, *names], self.threshold)[len(known) :], strict=True))
+        if new := [n for n in names if found[n] == n and n not in set(known)]:
+            self.leaders.appendList([(n,) for n in new])
+        each = got.groupby("name_key", sort=False).size()
+        more: dict[str, int] = {}
+        for n in names:
+            more[found[n]] = more.get(found[n], 0) + int(each[n])
+        total = {}
+        for leader, n in more.items():
+            total[leader] = n + (self.drawn.getValue((leader,))[0] if self.drawn.containsKey((leader,)) else 0)
+            self.drawn.updateValue((leader,), (total[leader],))
+        if self.quiet is not None:
+            for old in list(self.handle.listTimers()):
+                self.handle.deleteTimer(old)
+            self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.quiet)
+        yield pd.DataFrame({"pin_key": key[0], "name_key": names, "leader": [found[n] for n in names], "rows": [int(each[n]) for n in names], "leader_rows": [total[found[n]] for n in names]})
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
+        self.leaders.clear()
+        self.drawn.clear()
+        yield pd.DataFrame({"pin_key": pd.Series(dtype=str), "name_key": pd.Series(dtype=str), "leader": pd.Series(dtype=str), "rows": pd.Series(dtype="int64"), "leader_rows": pd.Series(dtype="int64")})
+
+    def close(self) -> None:
+        pass
+
+
+def consolidated_stream(stream: DataFrame, threshold: float = THRESHOLD, quiet: int | None = None) -> DataFrame:
+    """pin_key, name_key, leader, rows (of the name in this batch) and leader_rows (that its leader has drawn so far); input columns row_id, pin_key and name_key (not null).
+
+    A code's leaders are only ever added to, one entry each. Within a batch names are taken in
+    order of row_id, so a stream whose batches follow that order gives what the batch operator
+    gives. With quiet (milliseconds), the state of a code without rows for so long goes, and a
+    name that comes later starts anew; such a stream runs on until it is stopped, as timers need
+    batches without rows.
+    """
+    spark = stream.sparkSession
+    ship_package(spark)
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", _ROCKS)  # keyed state needs it
+    return stream.select("pin_key", "row_id", "name_key").groupBy("pin_key").transformWithStateInPandas(_Leaders(threshold, quiet), CONSOLIDATED, "Append", "ProcessingTime" if quiet is not None else "None")

@@ -1,6 +1,7 @@
 """Grouping, ranking and streams against plain row-by-row versions."""
 
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -63,6 +64,28 @@ def test_stream_of_one_batch_equals_batch(spark, tmp_path):
     assert got == {r.name_key: r.leader for r in consolidate.fuzzy_leaders(df).collect()}
 
 
+def test_the_state_of_a_quiet_code_goes(spark, tmp_path):
+    schema = "row_id long, pin_key string, name_key string"
+    (tmp_path / "in").mkdir()
+    stream = incremental.consolidated_stream(incremental.address_stream(spark, str(tmp_path / "in"), spark.createDataFrame([], schema).schema, 1, "parquet"), quiet=1)
+    q = stream.writeStream.format("memory").queryName("quiet").option("checkpointLocation", str(tmp_path / "cp")).start()
+
+    def until(n):
+        end = time.time() + 60
+        while spark.table("quiet").count() < n and time.time() < end:
+            time.sleep(0.5)
+        time.sleep(3)  # another batch or two, in which timers are seen to
+        return sorted(tuple(r) for r in spark.table("quiet").collect())
+
+    try:
+        spark.createDataFrame([(1, "1", "blue ridge"), (2, "1", "blue ridges")], schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        assert until(2) == [("1", "blue ridge", "blue ridge", 1, 2), ("1", "blue ridges", "blue ridge", 1, 2)]
+        spark.createDataFrame([(4, "1", "blue ridges")], schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        assert ("1", "blue ridges", "blue ridges", 1, 1) in until(3)  # it leads itself now
+    finally:
+        q.stop()
+
+
 def test_ranked_equals_sorted_place(spark):
     rng = random.Random(3)
     ids = rng.sample(range(10_000), 500)
