@@ -586,7 +586,7 @@ def report_json(s, d):
 
 @query
 def pins_by_size(s, d):
-    return sinks.ranked(pins.by_size(pins.pin_counts(_parsed(s, d))).withColumn("order", F.row_number().over(Window.orderBy(F.col("total_addresses").desc(), "pin_code"))), "order", "place").select("place", "pin_code", "total_addresses")
+    return sinks.placed(pins.pin_counts(_parsed(s, d)), F.col("total_addresses").desc(), F.col("pin_code")).select("place", "pin_code", "total_addresses")
 
 
 @query

@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -14,6 +14,7 @@ from ..operators.advice import about_batch
 from ..operators.metrics import LEAST_RATE, UTILISATION_TARGET, batch_score
 from ..schema import COMPARED, COUNT_FIELD, FIELDS, RAW_FIELDS, SHORT
 from .readers import _file_system
+from .shared import stored
 
 
 @dataclass
@@ -85,6 +86,22 @@ def ranked(rows: DataFrame, order: str, name: str = "ordinal", ranges: int | Non
     return x.join(F.broadcast(before), "_part").withColumn(name, place).drop("_part", "_before")
 
 
+def placed(rows: DataFrame, *order: Column, name: str = "place") -> DataFrame:
+    """Adds the 1-based place of each row in an order of any keys, which should be total, without gathering the rows in one task.
+
+    Rows are sorted in ranges by all keys and stored; a range's first place follows from the
+    numbers of rows in the ranges before it, of which the driver sees one for each.
+    """
+    own = stored(rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id()))
+    part, before, total = F.shiftright("_at", 33).cast("long"), [], 0
+    for p, n in sorted(tuple(r) for r in own.groupBy(part.alias("p")).count().collect()):
+        before.append((p, total))
+        total += n
+    base = own.sparkSession.createDataFrame(before, "_part long, _before long")
+    at = F.col("_before") + F.col("_at").bitwiseAND(F.lit((1 << 33) - 1)) + 1
+    return own.withColumn("_part", part).join(F.broadcast(base), "_part").withColumn(name, at).drop("_part", "_before", "_at")
+
+
 def comprehensive(rows: DataFrame, original: list[str], gpu_rows: int, order: str = "row_id") -> DataFrame:
     """The original columns, parsed_ fields, success and error, and the device of each row: GPU for the first gpu_rows."""
     x = ranked(rows, order)

@@ -93,6 +93,16 @@ def test_ranked_equals_sorted_place(spark):
     assert {r.row_id: r.ordinal for r in got} == {i: k + 1 for k, i in enumerate(sorted(ids))}
 
 
+def test_places_by_several_keys(spark):
+    rng = random.Random(8)
+    rows = [(rng.randint(0, 9), f"k{k}" if k % 7 else None) for k in range(400)]
+    df = spark.createDataFrame(rows, "n int, name string").repartition(5)
+    out = sinks.placed(df, F.col("n").desc(), F.col("name").asc_nulls_first())
+    want = sorted(rows, key=lambda r: (-r[0], r[1] is not None, r[1] or ""))
+    assert [(r.n, r.name) for r in sorted(out.collect(), key=lambda r: r.place)] == want
+    assert "SinglePartition" not in out._jdf.queryExecution().toString() and sinks.placed(df.limit(0), F.col("n")).count() == 0
+
+
 def test_threshold_is_the_indexed_score(spark):
     scores = [0.1, 0.2, 0.2, 0.3, 0.9, 0.4, 0.5]
     df = spark.createDataFrame([(s,) for s in scores], "complexity double")
