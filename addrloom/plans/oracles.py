@@ -241,6 +241,7 @@ SELECT row_id, ok1 OR ok2 AS parse_success, CASE WHEN ok1 THEN 'Parsed using ' |
         "agreement_by_row": f"{PAIRS} SELECT row_id, round(({' + '.join(f'same_{f}::INT' for f in COMPARED)}) / 11.0::DOUBLE * 100, 6) AS agreement_score FROM pairs",
         "field_verdicts": f"{PAIRS} " + " UNION ALL ".join(f"SELECT '{f}' AS field, count_if(a_{f} = b_{f})::BIGINT AS same, count_if(a_{f} <> b_{f})::BIGINT AS different FROM pairs" for f in COMPARED),
         "parser_metrics": f"{RULES}, {entities('>', 'x')}, {METRICS} SELECT * FROM m",
+        "measured_parsers": f"{RULES}, {entities('>', 'x')}, {METRICS} SELECT parser, success_rate, extraction_rate, n AS rows, round(success_rate * n / 100)::BIGINT AS succeeded, b AS bytes, true AS measured FROM m, (SELECT count(*) AS n, sum(strlen(addr_text))::BIGINT AS b FROM addresses)",
         "parser_score": f"{RULES}, {entities('>', 'x')}, {METRICS}, s AS (SELECT CASE WHEN x.success_rate > y.success_rate THEN 40 ELSE 0 END + CASE WHEN x.ms < y.ms THEN 30 ELSE 0 END + CASE WHEN x.extraction_rate > y.extraction_rate THEN 30 ELSE 0 END AS a FROM m x, m y WHERE x.parser = 'a' AND y.parser = 'b') SELECT a::INT AS score_a, (100 - a)::INT AS score_b FROM s",
         "best_parser": f"{RULES}, {entities('>', 'x')}, {METRICS} SELECT arg_min(parser, (-success_rate, parser)) AS best_success, arg_min(parser, (ms, parser)) AS fastest, arg_min(parser, (-extraction_rate, parser)) AS best_extraction FROM m",
         "row_winner": f"{PAIRS}, f AS (SELECT row_id, {COUNT('a', ['unit_number', 'society_name', 'locality', 'city', 'pin_code'])} AS fields_a, {COUNT('b', ['unit_number', 'society_name', 'locality', 'city', 'pin_code'])} AS fields_b FROM pairs) SELECT *, CASE WHEN fields_a > fields_b THEN 'a' WHEN fields_b > fields_a THEN 'b' ELSE 'Tie' END AS winner FROM f",

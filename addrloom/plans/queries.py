@@ -16,7 +16,7 @@ from ..functions.complexity import complexity
 from ..functions.entities import label_inventory, map_components, map_entities, map_generic_entities
 from ..functions.llm_json import answer_cost, keyword_parse, map_answers, prompt
 from ..functions.rules import rule_parse
-from ..operators import advice, compare, consolidate, devices, metrics, pins, routing
+from ..operators import advice, compare, consolidate, devices, measure, metrics, pins, routing
 from ..schema import FIELDS
 from ..sources import journal, readers, sinks
 from ..streaming import incremental
@@ -375,6 +375,15 @@ def parser_metrics(s, d):
     return compare.parser_metrics(_pairs(s, d), ms_a=0.3, ms_b=800.0)
 
 
+@query
+def measured_parsers(s, d):
+    """Both parsers' metrics beside a run that was measured: all but its times."""
+    rows = with_entities(addresses(s, d))
+    runs = measure.record(rows, {"a": lambda x: rule_parse(x), "b": lambda x: map_entities(x)}, f"{_folder(s)}/runs")
+    x = measure.with_measured(compare.parser_metrics(_pairs(s, d)), runs)
+    return x.select("parser", "success_rate", "extraction_rate", "rows", "succeeded", "bytes", ((F.col("ms") > 0) & (F.col("rate") > 0)).alias("measured"))
+
+
 @query
 def parser_score(s, d):
     return compare.parser_scores(parser_metrics(s, d))
