@@ -127,16 +127,17 @@ def followers(edges: DataFrame) -> DataFrame:
     Leaders are the lexicographically first independent set. Each round makes leaders of the names
     without an undecided earlier neighbour, and followers of these leaders' later neighbours; the
     edges of both then go. Names in no order need about as many rounds as the number's logarithm;
-    a chain of names in order, each like the next alone, needs one for every two of them. Codes with up to EDGE_BLOCK edges are settled in a
-    task each, which gives the same.
+    a chain of names in order, each like the next alone, needs one for every two of them. Codes
+    with up to EDGE_BLOCK edges are settled in a task each, which gives the same.
     """
-    hot = edges.groupBy("pin_key").count().filter(F.col("count") > EDGE_BLOCK).select("pin_key")
-    own = stored(edges.join(hot, "pin_key", "left_anti"))
-
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame({"v": _settled(pdf)}, dtype="int64")
 
-    done = [own.select("pin_key", "u", "v", "at_u", "at_v").groupBy("pin_key").applyInPandas(run, "v long")]
+    settled = lambda x: x.groupBy("pin_key").applyInPandas(run, "v long")
+    hot = edges.groupBy("pin_key").count().filter(F.col("count") > EDGE_BLOCK).select("pin_key")
+    if hot.isEmpty():
+        return settled(edges)
+    done = [settled(edges.join(hot, "pin_key", "left_anti"))]
     left = stored(edges.join(hot, "pin_key", "left_semi").select("u", "v"))
     while not left.isEmpty():
         lead = left.select("u").distinct().join(left.select(F.col("v").alias("u")).distinct(), "u", "left_anti")
