@@ -123,7 +123,8 @@ def read_wav(media: bytes) -> tuple[memoryview, int]:
 def store_telephony(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id and media: every whole text's UTF-8 bytes as 8-bit mu-law samples of a WAV file.
 
-    Padded with spaces to a positive multiple of 192, so an empty or null text is one block. No shuffle.
+    Padded with spaces to a positive multiple of 192, so an empty or null text is one block. No shuffle. Rows
+    without an id, or that repeat one, are rows like any other, and further columns aren't read; no rows give none.
     """
     bound_batches(docs.sparkSession)
 

@@ -38,7 +38,7 @@ def _coin(h: Column, m: Column) -> Column:
 
 
 def sizes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """doc_id, source, size (number of words; 0 for a null or empty text) and the hash that seeds the coin."""
+    """doc_id, source, size (number of words; 0 for a null or empty text) and the hash that seeds the coin. Rows that repeat an id have one hash, and so have those without one; a null source stays null; no rows give none."""
     return docs.select(
         F.col(id_col).cast("long").alias("doc_id"),
         F.col(source_col).cast("string").alias("source"),

@@ -386,7 +386,7 @@ def _cross(texts: DataFrame, members: DataFrame, reps: DataFrame, comps: DataFra
 
 
 def grouped(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, key (of the text), n_shingles, component (names the group of near-duplicates; null without shingles), component_id and kept for every row."""
+    """doc_id, key (of the text), n_shingles, component (names the group of near-duplicates; null without shingles), component_id and kept for every row. Null and repeated ids, empty texts and tables as in `near_duplicates`."""
     tidy(docs.sparkSession)
     texts = docs.select(text_key(F.col(text_col)).alias("key"), F.col(text_col).cast("string").alias("text"))
     seed = secrets.randbits(63) | 1 << 63

@@ -281,7 +281,9 @@ def count_tokens(docs: DataFrame, tokenizer: str, limit: int = 2048, id_col: str
     """doc_id, n_bytes, n_tokens and over_limit of every whole text; a null or empty text has 0 of both.
 
     Only lengths leave the worker. Batches hold up to batch_bytes of text, however many rows
-    that is, so a few very long texts cost as much per batch as many short ones. No shuffle.
+    that is, so a few very long texts cost as much per batch as many short ones. No shuffle. Rows
+    without an id, or that repeat one, are rows like any other, and further columns aren't read;
+    no rows give none.
     tokenizer: path of a file of the tokenizers library, the same on all machines.
     """
     bound_batches(docs.sparkSession)
