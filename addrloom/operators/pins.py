@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.text import effective_pin, none_if_empty, strip, title_case, truncated
+from ..sources.shared import stored
 
 
 def pin_counts(rows: DataFrame) -> DataFrame:
@@ -26,21 +27,40 @@ def _folded(c: Column, on: Column) -> Column:
     return F.when(on, none_if_empty(F.lower(strip(c))))
 
 
+def _combined(rows: DataFrame) -> DataFrame:
+    """pin_code, locality, society, n and ok: rows by code and both folded names (of successes), counted by hash and stored, so that rows are parsed once."""
+    ok = F.col("parsed.parse_success")
+    x = rows.select(effective_pin(F.col("parsed.pin_code"), F.col("pincode")).alias("pin_code"), ok.alias("ok"), _folded(F.col("parsed.locality"), ok).alias("locality"), _folded(F.col("parsed.society_name"), ok).alias("society"))
+    return stored(x.groupBy("pin_code", "locality", "society").agg(F.count(F.lit(1)).alias("n"), F.count_if("ok").alias("ok")))
+
+
+def pin_names(rows: DataFrame, combined: DataFrame | None = None) -> DataFrame:
+    """pin_code, kind (locality or society), name and addresses: the distinct names of each code as a long table, of which no row grows with a code."""
+    x = _combined(rows) if combined is None else combined
+    kinds = F.array(*(F.struct(F.lit(k).alias("kind"), F.col(k).alias("name")) for k in ("locality", "society")))
+    return x.select("pin_code", "n", F.inline(kinds)).filter("name is not null").groupBy("pin_code", "kind", "name").agg(F.sum("n").alias("addresses"))
+
+
 def pin_summary(rows: DataFrame, sample: int = 5, titles: bool = True) -> DataFrame:
     """One row per effective code: addresses, successes, rate, distinct localities and societies of successes (in any case), their lists.
 
-    Names are folded to lower case for counting; titles only shape the lists. success_rate_percent isn't rounded.
+    Names are folded to lower case for counting; titles only shape the lists. success_rate_percent
+    isn't rounded. Names are made distinct by grouping before any list; all_localities and
+    all_societies are as long as a code has names, for which `pin_names` is the table without bound.
     """
-    ok = F.col("parsed.parse_success")
-    x = rows.select(effective_pin(F.col("parsed.pin_code"), F.col("pincode")).alias("pin_code"), ok.alias("ok"), _folded(F.col("parsed.locality"), ok).alias("locality"), _folded(F.col("parsed.society_name"), ok).alias("society"))
-    g = x.groupBy("pin_code").agg(F.count(F.lit(1)).alias("total_addresses"), F.count_if("ok").alias("successful_parses"), F.array_sort(F.collect_set("locality")).alias("l"), F.array_sort(F.collect_set("society")).alias("s"))
-    shape = (lambda c: F.transform(c, title_case)) if titles else (lambda c: c)
+    combined = _combined(rows)
+    g = combined.groupBy("pin_code").agg(F.sum("n").alias("total_addresses"), F.sum("ok").alias("successful_parses"))
+    shape = title_case if titles else (lambda c: c)
+    of = lambda kind: F.when(F.col("kind") == kind, shape(F.col("name")))
+    by_name = lambda kind: F.transform(F.array_sort(F.collect_list(F.when(F.col("kind") == kind, F.struct(F.col("name"), of(kind).alias("shown"))))), lambda x: x["shown"])
+    lists = pin_names(rows, combined).groupBy("pin_code").agg(by_name("locality").alias("l"), by_name("society").alias("s"))
     short = lambda c: F.concat(F.array_join(F.slice(c, 1, sample), "; "), F.when(F.size(c) > sample, F.lit("...")).otherwise(F.lit("")))
-    g = g.withColumn("ll", shape(F.col("l"))).withColumn("ss", shape(F.col("s")))
+    none = F.array().cast("array<string>")
+    g = g.join(lists, "pin_code", "left").withColumn("l", F.coalesce("l", none)).withColumn("s", F.coalesce("s", none))
     return g.select(
         "pin_code", "total_addresses", "successful_parses", (F.col("successful_parses") / F.col("total_addresses") * 100).alias("success_rate_percent"),
-        F.size("l").cast("long").alias("distinct_localities_count"), F.size("s").cast("long").alias("distinct_societies_count"), short(F.col("ll")).alias("localities_sample"), short(F.col("ss")).alias("societies_sample"),
-        F.array_join("ll", "; ").alias("all_localities"), F.array_join("ss", "; ").alias("all_societies"),
+        F.size("l").cast("long").alias("distinct_localities_count"), F.size("s").cast("long").alias("distinct_societies_count"), short(F.col("l")).alias("localities_sample"), short(F.col("s")).alias("societies_sample"),
+        F.array_join("l", "; ").alias("all_localities"), F.array_join("s", "; ").alias("all_societies"),
     )
 
 

@@ -203,6 +203,7 @@ walk AS (SELECT pin_key, 0::BIGINT AS k, []::VARCHAR[] AS leaders, NULL::VARCHAR
         "group_stats": f"""{RULES}, {KEYED}, {GROUPS}, s AS (SELECT count(*) AS total_groups, sum(record_count)::BIGINT AS n, max(record_count) AS largest_group_size, arg_max(society_name, (record_count, (group_id <> 'UNMATCHED')::INT, -first_row)) AS largest_group_name, coalesce(sum(record_count) FILTER (group_id = 'UNMATCHED'), 0)::BIGINT AS unmatched_count FROM gs)
 SELECT n AS total_records, total_groups, round(n / total_groups, 6) AS avg_records_per_group, largest_group_size, largest_group_name, round((n - unmatched_count) / n * 100, 6) AS match_percentage, (SELECT count_if(parse_success) FROM p)::BIGINT AS parse_success_count, n - (SELECT count_if(parse_success) FROM p)::BIGINT AS parse_failure_count, unmatched_count FROM s""",
         "pin_summary": f"{RULES}, {summary()} SELECT * FROM u",
+        "pin_names": f"{RULES}, {summary()} SELECT pin AS pin_code, kind, name, count(*)::BIGINT AS addresses FROM (SELECT pin, 'locality' AS kind, l AS name FROM q WHERE ok UNION ALL SELECT pin, 'society', s FROM q WHERE ok) WHERE name IS NOT NULL GROUP BY ALL",
         "pin_summary_lower": f"{RULES}, {summary(10, False)} SELECT * FROM u",
         "consolidation_pct": f"""{RULES}, z AS (SELECT coalesce(nullif(pin_code, ''), 'Unknown') AS pin_code, count(*) AS total_addresses, count(DISTINCT nullif(society_name, '')) AS distinct_societies, count(DISTINCT nullif(locality, '')) AS distinct_localities FROM p WHERE parse_success GROUP BY 1)
 SELECT *, round((total_addresses - distinct_societies) / total_addresses * 100, 6) AS society_consolidation_pct, round((total_addresses - distinct_localities) / total_addresses * 100, 6) AS locality_consolidation_pct FROM z""",

@@ -194,6 +194,11 @@ def pin_summary(s, d):
     return pins.pin_summary(_parsed(s, d))
 
 
+@query
+def pin_names(s, d):
+    return pins.pin_names(_parsed(s, d))
+
+
 @query
 def pin_summary_lower(s, d):
     return pins.pin_summary(_parsed(s, d), sample=10, titles=False)
