@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -71,9 +72,14 @@ class _Reading:
         return (self.head, whole) if self.begun else (whole, None)
 
 
-def _lines(batches: Iterator[pa.RecordBatch], *columns: str) -> Iterator[tuple]:
+def _runs(batches: Iterator[pa.RecordBatch], *columns: str) -> Iterator[tuple[tuple, list[str]]]:
+    """What a split's lines have in common (file, start and further columns), and the lines, batch by batch."""
     for b in batches:
-        yield from zip(*(b.column(c).to_pylist() for c in columns), strict=True)
+        start, file = np.asarray(b.column("start")), np.asarray(b.column("file").dictionary_encode().indices)
+        cuts = np.flatnonzero((start[1:] != start[:-1]) | (file[1:] != file[:-1])) + 1
+        for at, to in zip([0, *cuts.tolist()], [*cuts.tolist(), b.num_rows], strict=True):
+            if to > at:
+                yield tuple(b.column(c)[at].as_py() for c in ("file", "start", *columns)), b.column("value").slice(at, to - at).to_pylist()
 
 
 def _scanned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -87,35 +93,36 @@ def _scanned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row = [*now, out.inside, inner.inside, out.some, crlf, tail, *(inner.rest() if inner is not out else (joined, tail))]
         return pa.RecordBatch.from_arrays([pa.array([x], kinds[k]) for x, (_, k) in zip(row, fields, strict=True)], [n for n, _ in fields])
 
-    for line, file, start in _lines(batches, "value", "file", "start"):
-        if (file, start) != now:
+    for split, lines in _runs(batches):
+        if split != now:
             if now:
                 yield done()
-            now, out, inner, joined, crlf = (file, start), _Reading(False), _Reading(True), None, line.endswith("\r")
-        out.add(line)
-        if inner is not out:
-            inner.add(line)
-            if not out.inside and not inner.inside:  # from here on both are the same
-                joined, inner = inner.head, out
+            now, out, inner, joined, crlf = split, _Reading(False), _Reading(True), None, lines[0].endswith("\r")
+        for line in lines:
+            if inner is out and not out.open and '"' not in line:
+                continue  # a record by itself
+            out.add(line)
+            if inner is not out:
+                inner.add(line)
+                if not out.inside and not inner.inside:  # from here on both are the same
+                    joined, inner = inner.head, out
     if now:
         yield done()
 
 
 def _put_together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     now, reading, first = None, None, False
-    records, files, heads = [], [], []
-    for line, file, start, inside, crlf in _lines(batches, "value", "file", "start", "inside", "crlf"):
-        if (file, start) != now:
-            now, reading, first = (file, start), _Reading(inside), start == 0
-        if (record := reading.add(line)) is not None:
-            records.append(record.replace("\r\n", "\n") if crlf else record)
-            files.append(file)
-            heads.append(first)
+    for (*split, inside, crlf), lines in _runs(batches, "inside", "crlf"):
+        if split != now:
+            now, reading, first = split, _Reading(inside), split[1] == 0
+        own = []
+        for line in lines:
+            record = line if reading.begun and not reading.open and '"' not in line else reading.add(line)
+            if record is not None:
+                own.append(record.replace("\r\n", "\n") if crlf else record)
+        if own:
+            yield _found(own, [split[0]] * len(own), [first] + [False] * (len(own) - 1))
             first = False
-            if len(records) == 4096:
-                yield _found(records, files, heads)
-                records, files, heads = [], [], []
-    yield _found(records, files, heads)
 
 
 def _found(records: list[str], files: list[str], heads: list[bool]) -> pa.RecordBatch:
