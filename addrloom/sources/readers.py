@@ -24,6 +24,9 @@ ADDRESS_COLUMNS = {
     "report": _LONG[:5],
 }
 
+#: Bytes of a file with quoted line breaks from which it is read over splits: that takes some six times the work of one task that reads it whole, and any number of tasks.
+SPLIT_BYTES = 1 << 30
+
 
 def _file_system(spark: SparkSession, path: str):
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -62,13 +65,13 @@ def missing_columns(columns: list[str], required: list[str] = REQUIRED) -> list[
     return [c for c in required if c not in columns]
 
 
-def read_addresses(spark: SparkSession, paths: str | list[str], required: list[str] = REQUIRED, multi_line: bool = True, split_bytes: int | None = None) -> DataFrame:
+def read_addresses(spark: SparkSession, paths: str | list[str], required: list[str] = REQUIRED, multi_line: bool = True, split_bytes: int = SPLIT_BYTES) -> DataFrame:
     """All columns as strings, unknown ones included, with source_file; short rows have nulls.
 
     Files are read by their own headers: those with like headers together, and their rows put
     together by name, so neither another order nor another set of columns shifts a value. Quoted
-    line breaks are part of a field; with multi_line off they end a record. Files of more than a
-    split (split_bytes, else the session's) are read by many tasks either way (see `records`). Raises FileNotFoundError for a path that isn't there, ValueError for a file
+    line breaks are part of a field; with multi_line off they end a record. Files of more than
+    split_bytes are read by many tasks either way (see `records`), smaller ones by one. Raises FileNotFoundError for a path that isn't there, ValueError for a file
     without a header or required column.
     """
     files = files_of(spark, paths)
@@ -81,8 +84,7 @@ def read_addresses(spark: SparkSession, paths: str | list[str], required: list[s
         if gone := missing_columns(own, required):
             raise ValueError(f"missing columns: {', '.join(gone)} ({f})")
         by.setdefault(tuple(own), []).append(f)
-    split = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes() if split_bytes is None else split_bytes
-    large = multi_line and any(fs.getFileStatus(p).getLen() > split for fs, p in (_file_system(spark, f) for f in files))
+    large = multi_line and any(fs.getFileStatus(p).getLen() > split_bytes for fs, p in (_file_system(spark, f) for f in files))
     if large:
         parts = []
         for own, group in by.items():

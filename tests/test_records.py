@@ -46,7 +46,7 @@ def test_records_over_splits_equal_whole_files(spark, tmp_path, splits, end):
         (tmp_path / f"f{k}.csv").write_bytes((HEAD.replace("\n", end) + written(rows, end)).encode())
     (tmp_path / "empty.csv").write_bytes(HEAD.encode())
     (tmp_path / "open.csv").write_bytes((HEAD + 'x,1,2,3\n"never closed,1\nmore,"",1,').encode())
-    got = readers.read_addresses(spark, str(tmp_path))
+    got = readers.read_addresses(spark, str(tmp_path), split_bytes=0)
     assert got.rdd.getNumPartitions() > 10
     whole = spark.read.schema(got.drop("source_file").schema).option("header", True).option("multiLine", True).option("quote", '"').option("escape", '"').csv(str(tmp_path))
     key = lambda df: sorted(repr(tuple(x)) for x in df.select("addr_text", "pincode", "city_id", "extra").collect())
