@@ -308,6 +308,26 @@ def test_audio_tables_blocks_and_round_trip(docs, nothing):
     assert by[5][0].feature == by[6][0].feature and audio.telephony_features(audio.store_telephony(nothing)).count() == 0
 
 
+def test_slices_of_a_recording_are_the_whole(monkeypatch):
+    r = np.random.default_rng(5)
+    media = [audio.wav(r.integers(0, 256, n, np.uint8).tobytes(), n) for n in (5000, 1, 192, 7000)]
+    b = pa.RecordBatch.from_arrays([pa.array([1, 2, 3, 4, 5]), pa.array([*media[:2], None, *media[2:]], pa.binary())], ["doc_id", "media"])
+    whole = audio.features_of(b, True)
+    monkeypatch.setattr(audio, "SLICE", 3 * 192)
+    assert audio.features_of(b, True).equals(whole) and audio.features_of(b, False).equals(whole.drop_columns(["pcm"]))
+    assert pa.concat_tables([pa.Table.from_batches([audio.features_of(b.slice(k, 1), True)]) for k in range(5)]).equals(pa.Table.from_batches([whole]))
+    size, crc = audio.pcm_digests(whole.column("pcm"))
+    for k, x in enumerate(b.column("media").to_pylist()):
+        if x is None:
+            assert size[k].as_py() is None and whole.column("pcm")[k].as_py() is None
+            continue
+        # Plainly: interpolation sample by sample, the last one held.
+        even = [int(v) for v in audio.MU_LAW[np.frombuffer(audio.read_wav(x)[0], np.uint8)]]
+        pcm = np.array([v for p, q in zip(even, [*even[1:], even[-1]], strict=True) for v in (p, p + q >> 1)], "<i2")
+        assert (crc[k].as_py(), size[k].as_py()) == (zlib.crc32(pcm.tobytes()), pcm.nbytes) and (audio.unpack_pcm(whole.column("pcm")[k].as_py()) == pcm).all()
+        assert f"crossings={sum((p < 0) != (q < 0) for p, q in zip(even, even[1:], strict=False))};" in whole.column("feature")[k].as_py()
+
+
 def test_mix_equals_sql(spark, docs, nothing):
     key = lambda r: (-1 if r[0] is None else r[0], *r[1:])
     got = sorted((tuple(r) for r in mixing.mix(mixing.sizes(docs)).collect()), key=key)
