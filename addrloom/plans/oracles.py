@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from ..functions import complexity, llm_json, rules
+from ..operators import sketches
 from ..schema import COMPARED, FIELDS, SHORT
 from .fixtures import addresses_sql
 
@@ -204,6 +205,10 @@ walk AS (SELECT pin_key, 0::BIGINT AS k, []::VARCHAR[] AS leaders, NULL::VARCHAR
 SELECT n AS total_records, total_groups, round(n / total_groups, 6) AS avg_records_per_group, largest_group_size, largest_group_name, round((n - unmatched_count) / n * 100, 6) AS match_percentage, (SELECT count_if(parse_success) FROM p)::BIGINT AS parse_success_count, n - (SELECT count_if(parse_success) FROM p)::BIGINT AS parse_failure_count, unmatched_count FROM s""",
         "pin_summary": f"{RULES}, {summary()} SELECT * FROM u",
         "pin_names": f"{RULES}, {summary()} SELECT pin AS pin_code, kind, name, count(*)::BIGINT AS addresses FROM (SELECT pin, 'locality' AS kind, l AS name FROM q WHERE ok UNION ALL SELECT pin, 'society', s FROM q WHERE ok) WHERE name IS NOT NULL GROUP BY ALL",
+        "pin_sketches": f"""{RULES}, q AS (SELECT {EPIN} AS pin, nullif({strip('lower(locality)')}, '') AS l, nullif({strip('lower(society_name)')}, '') AS s, nullif({strip('lower(addr_text)')}, '') AS a FROM p WHERE parse_success),
+h AS (SELECT DISTINCT pin AS pin_code, kind, ('0x' || substr(md5(name), 1, 15))::BIGINT AS hash FROM (SELECT pin, 'locality' AS kind, l AS name FROM q UNION ALL SELECT pin, 'society', s FROM q UNION ALL SELECT pin, 'address', a FROM q) WHERE name IS NOT NULL),
+r AS (SELECT *, row_number() OVER (PARTITION BY pin_code, kind ORDER BY hash) AS k FROM (SELECT * FROM h UNION SELECT 'ALL', kind, hash FROM h))
+SELECT pin_code, kind, count(*)::BIGINT AS kept, round(CASE WHEN count(*) < {sketches.K} THEN count(*)::DOUBLE ELSE {sketches.K - 1}::DOUBLE * {1 << 60}::DOUBLE / (max(hash) + 1)::DOUBLE END, 6) AS names FROM r WHERE k <= {sketches.K} GROUP BY ALL""",
         "pin_summary_lower": f"{RULES}, {summary(10, False)} SELECT * FROM u",
         "consolidation_pct": f"""{RULES}, z AS (SELECT coalesce(nullif(pin_code, ''), 'Unknown') AS pin_code, count(*) AS total_addresses, count(DISTINCT nullif(society_name, '')) AS distinct_societies, count(DISTINCT nullif(locality, '')) AS distinct_localities FROM p WHERE parse_success GROUP BY 1)
 SELECT *, round((total_addresses - distinct_societies) / total_addresses * 100, 6) AS society_consolidation_pct, round((total_addresses - distinct_localities) / total_addresses * 100, 6) AS locality_consolidation_pct FROM z""",
@@ -295,6 +300,7 @@ z AS (SELECT o_orderkey, n, CASE WHEN (n - cpu) / n < 0.95 THEN greatest(floor(n
         "csv_line_breaks": f"""WITH {A} SELECT row_id, CASE row_id % 3 WHEN 0 THEN replace(addr_text, ', ', ',' || chr(10)) WHEN 1 THEN '"' || addr_text || '"' || chr(10) ELSE addr_text END AS addr_text, pincode, city_id FROM addresses""",
         "batch_journal": f"{CHECKED} SELECT CASE WHEN row_id % 2 = 0 THEN 'north' ELSE 'south' END AS region, a.source_file AS name, 'completed' AS status, count(*)::BIGINT AS rows, 1::BIGINT AS times FROM y JOIN addresses a USING (row_id) WHERE reject_reason IS NULL GROUP BY ALL",
         "file_digest": "SELECT length(t)::BIGINT AS size, sha256(t) AS sha256 FROM (SELECT string_agg(r_name || chr(10), '' ORDER BY r_regionkey) AS t FROM region)",
+        "file_digests": "SELECT c_nationkey::INT AS c_nationkey, sum(length(c_name) + 1)::BIGINT AS size, sha256(string_agg(c_name || chr(10), '' ORDER BY c_custkey)) AS sha256, true AS readable FROM customer GROUP BY 1",
         "discovered_files": "SELECT * FROM (VALUES ('flat', 0, 'p1.csv'), ('flat', 1, 'p10.csv'), ('deep', 0, 'p5.csv'), ('deep', 1, 'p1.csv'), ('deep', 2, 'p10.csv'), ('numbered', 0, 'p1.csv')) v(how, place, name)",
         "address_columns": "SELECT * FROM (VALUES ('customer', 'sample', 'c_name'), ('customer', 'compare', 'c_name'), ('customer', 'report', 'c_custkey'), ('documents', 'sample', 'text'), ('documents', 'compare', 'text'), ('documents', 'report', 'doc_id'), ('addresses', 'sample', 'addr_text'), ('addresses', 'compare', 'addr_hash_key'), ('addresses', 'report', 'addr_text')) v(\"table\", strategy, \"column\")",
         "state_round_trip": "SELECT r_regionkey, r_name FROM region",

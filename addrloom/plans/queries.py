@@ -16,7 +16,7 @@ from ..functions.complexity import complexity
 from ..functions.entities import label_inventory, map_components, map_entities, map_generic_entities
 from ..functions.llm_json import answer_cost, keyword_parse, map_answers, prompt
 from ..functions.rules import rule_parse
-from ..operators import advice, compare, consolidate, devices, measure, metrics, pins, routing
+from ..operators import advice, compare, consolidate, devices, measure, metrics, pins, routing, sketches
 from ..schema import FIELDS
 from ..sources import journal, readers, sinks
 from ..streaming import incremental
@@ -199,6 +199,16 @@ def pin_names(s, d):
     return pins.pin_names(_parsed(s, d))
 
 
+@query
+def pin_sketches(s, d):
+    """Distinct names by code, and of all codes, from sketches stored for each source file."""
+    folder = _folder(s)
+    sketches.save(sketches.sketch(sketches.names(_parsed(s, d)), ["source", *sketches.KEY]), folder)
+    merged = sketches.merge(sketches.load(s, folder))
+    every = sketches.merge(merged.withColumn("pin_code", F.lit("ALL")))
+    return _rounded(sketches.estimate(merged.unionByName(every)), "names")
+
+
 @query
 def pin_summary_lower(s, d):
     return pins.pin_summary(_parsed(s, d), sample=10, titles=False)
@@ -679,6 +689,15 @@ def file_digest(s, d):
     return readers.fingerprints(s, readers.discover(s, [f"{folder}/**/part-*.txt"])).select("size", "sha256")
 
 
+@query
+def file_digests(s, d):
+    """Customers' names as a text file for each nation: what the data source reads of them."""
+    folder = _folder(s)
+    _table(s, d, "customer").repartition("c_nationkey").sortWithinPartitions("c_nationkey", "c_custkey").select("c_name", "c_nationkey").write.partitionBy("c_nationkey").text(folder)
+    found = readers.fingerprints(s, readers.discover(s, [f"{folder}/**/part-*.txt"]))
+    return found.select(F.regexp_extract("path", r"c_nationkey=(\d+)", 1).cast("int").alias("c_nationkey"), "size", "sha256", F.col("error").isNull().alias("readable"))
+
+
 @query
 def discovered_files(s, d):
     """Files by patterns and by numbers, by their names: p1 and p10 in the folder, p5 below it."""

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import is_blank, strip
 from ..schema import COUNT_FIELD, RAW_FIELDS, REQUIRED, raw_schema
+from .digests import digests
 from .records import records
 
 # Column names that hold addresses, by strategy.
@@ -187,8 +188,12 @@ def numbered(spark: SparkSession, folder: str, start: int, end: int) -> list[str
 
 
 def fingerprints(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """path, size and SHA-256 of whole files; a file is one cell, so Spark takes files of up to 2 GB."""
-    return spark.read.format("binaryFile").load(paths).select("path", F.col("length").alias("size"), F.sha2("content", 256).alias("sha256"))
+    """path, size, SHA-256 and error of whole files, read chunk by chunk in tasks of like bytes; see `digests`. The driver lists their sizes."""
+    listed = []
+    for p in paths:
+        fs, path = _file_system(spark, p)
+        listed.append((p, fs.getFileStatus(path).getLen()))
+    return digests(spark, listed)
 
 
 def part_number(c):
