@@ -788,6 +788,24 @@ def test_toxicity_held_out_and_edges(spark, docs, nothing):
     assert quality.score_documents(nothing, none.scores, 3, 1).count() == 0
 
 
+def test_cross_validation_keeps_to_training_rows(spark, nothing):
+    r = random.Random(8)
+    table = [(k, prose(r.randint(20, 60), k) + " scoundrel rascal" * (k % 4 == 0)) for k in range(240)]
+    df = spark.createDataFrame(table, "doc_id long, text string")
+    labels = spark.createDataFrame([(k, int(k % 4 == 0)) for k in range(240)], "doc_id long, toxic int")
+    got = toxicity.cross_validated(df, labels, [(20, 0.5), (1000, 0.0)], folds=2).collect()
+    learnt = [k for k in range(240) if zlib.crc32(str(k).encode()) % 3 != 1]
+    for setting in ((20, 0.5), (1000, 0.0)):
+        own = [x for x in got if (x.support, x.left_out) == setting]
+        assert sorted(x.fold for x in own) == [0, 1]
+        assert sum(x.hits + x.misses for x in own) == sum(k % 4 == 0 for k in learnt)
+        assert sum(x.hits + x.misses + x.false_alarms + x.passes for x in own) == len(learnt)
+        assert sum(x.hits for x in own) > 0.9 * sum(x.hits + x.misses for x in own)
+    first = toxicity.best_setting(spark.createDataFrame([(5, 0.0, 0, 3, 0, 1, 9, 2.0), (9, 0.0, 0, 3, 0, 1, 9, 1.0), (7, 0.5, 0, 4, 4, 0, 5, 0.1)], "support long, left_out double, fold long, hits long, false_alarms long, misses long, passes long, loss double")).first()
+    assert first.support == 9
+    assert toxicity.cross_validated(nothing, labels, [(20, 0.5)]).count() == 0
+
+
 def brute_groups(rows):
     def shingles(t):
         w = __import__("re").findall(r"[^\x20\x09-\x0D]+", "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t or ""))
