@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..schema import failed, parsed_struct
+from ..schema import failed, parsed_record, parsed_struct
 from .rules import EMPTY_ERROR, pin_code, with_rule_fields
-from .text import is_blank, none_if_empty, strip
+from .text import compiled, is_blank, none_if_empty, strip
 
 # Labels of each field.
 ENTITY_LABELS = {
@@ -32,7 +32,7 @@ ENTITY_NOTE, COMPONENT_NOTE, GENERIC_NOTE = "Parsed using entity recogniser", "P
 
 def entity_word(e: Column) -> Column:
     """A word without surrounding white space and trailing commas."""
-    return strip(F.regexp_replace(strip(F.coalesce(e["word"], F.lit(""))), ",+$", ""))
+    return strip(F.rtrim(strip(F.coalesce(e["word"], F.lit(""))), F.lit(",")))
 
 
 def confident(entities: Column, min_score: float = 0.5, strict: bool = True) -> Column:
@@ -49,12 +49,18 @@ def first_of(entities: Column, labels: list[str], clean=entity_word) -> Column:
 
 def map_entities(df: DataFrame, column: str = "addr_text", entities: str = "entities", out: str = "parsed", note: str = ENTITY_NOTE, min_score: float = 0.5, strict: bool = True) -> DataFrame:
     """Adds the parsed record that an entity list amounts to: the first word of each field, a postal code by rule, the city as district."""
-    kept = confident(F.col(entities), min_score, strict)
-    v = {f: first_of(kept, labels) for f, labels in ENTITY_LABELS.items()}
-    v["pin_code"] = F.coalesce(none_if_empty(v["pin_code"]), pin_code(F.col(column)))
-    v["district"] = F.coalesce(none_if_empty(v["district"]), v["city"])
+    # Labels and words of all entities are made once, in a column of their own; the fields pick from them.
+    words = F.transform(confident(F.col(entities), min_score, strict), lambda e: F.struct(F.lower(e["entity_group"]).alias("label"), entity_word(e).alias("word")))
+    x = compiled(df).withColumn("_entity_words", F.filter(words, lambda e: e["word"] != ""))
+    first = lambda labels: F.coalesce(F.get(F.filter("_entity_words", lambda e: e["label"].isin(labels)), F.lit(0))["word"], F.lit(""))
+    double = ["city", "district", "pin_code"]  # used twice below
+    x = x.withColumns({f"_entity_{f}": first(ENTITY_LABELS[f]) for f in double})
+    v = {f: F.col(f"_entity_{f}") if f in double else first(labels) for f, labels in ENTITY_LABELS.items()}
+    v["pin_code"] = F.when(v["pin_code"] != "", v["pin_code"]).otherwise(pin_code(F.col(column)))
+    v["district"] = F.when(v["district"] != "", v["district"]).otherwise(v["city"])
     v |= {"country": F.lit("India"), "note": F.lit(note)}
-    return df.withColumn(out, F.when(is_blank(F.col(column)), failed(F.lit(EMPTY_ERROR))).otherwise(parsed_struct(v, F.lit(True), F.lit(None))))
+    x = x.withColumn("_entity_blank", is_blank(F.col(column)))
+    return x.withColumn(out, parsed_record(v, F.col("_entity_blank"), F.lit(EMPTY_ERROR))).drop("_entity_words", "_entity_blank", *(f"_entity_{f}" for f in double))
 
 
 def map_generic_entities(df: DataFrame, column: str = "addr_text", entities: str = "entities", out: str = "parsed") -> DataFrame:

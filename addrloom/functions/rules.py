@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..schema import failed, parsed_struct
-from .text import is_blank, none_if_empty, squeeze, strip
+from ..schema import parsed_record
+from .text import compiled, is_blank, none_if_empty, squeeze, strip
 
 # Patterns and lists in the order in which they are tried.
 PIN = r"\b(\d{6})\b"
@@ -38,10 +41,37 @@ NOTE = "Parsed using local rule-based parser"
 EMPTY_ERROR = "Empty address text"
 
 
-def first_match(c: Column, patterns: list[str], ignore_case: bool = False) -> Column:
-    """Group 1 of the first pattern that matches, stripped; empty if none does. No group of these patterns can be blank."""
-    flag = "(?i)" if ignore_case else ""
-    return F.coalesce(*(none_if_empty(strip(F.regexp_extract(c, flag + p, 1))) for p in patterns), F.lit(""))
+#: What a text in small letters has to hold for a pattern to match it, any of the words: a plain search that spares most patterns most texts.
+_UNIT_NEEDS = ["flat", "apartment", "apt", "unit", "office", "shop", "villa", "bungalow"]
+NEEDS = {
+    UNIT[0]: _UNIT_NEEDS, UNIT[2]: ["floor"], UNIT[3]: ["-wing"], UNIT[4]: ["/"], SOCIETY[0]: _UNIT_NEEDS, SOCIETY[2]: ["-wing"], SOCIETY[3]: ["floor"],
+    LANDMARK: ["near", "opp"], ROAD[0]: ["road", "street", "marg"], ROAD[1]: ["rd"],
+}
+
+
+#: What an alternative or a word boundary has to be followed by: one look at a character, where the rest would be tried at every place. Matches stay the same.
+_AHEAD = {UNIT_WORDS: "(?=[FfAaUuOoSsVvBb])", "(?:Near|near|Opposite": "(?=[NnOo])", "(?:Road|road": "(?=[RrSsMm])", PIN: r"(?=\d)"}
+
+
+def _quick(pattern: str) -> str:
+    for part, ahead in _AHEAD.items():
+        pattern = pattern.replace(part, ahead + part)
+    return pattern
+
+
+def matched(c: Column, low: Column, pattern: str, ignore_case: bool = False) -> Column:
+    """Group 1 of a pattern, null where it doesn't match; low is c in small letters."""
+    p = "(?i)" * ignore_case + _quick(pattern)
+    there = reduce(or_, (low.contains(w) for w in NEEDS[pattern])) & c.rlike(p) if pattern in NEEDS else c.rlike(p)
+    return F.when(there, F.regexp_extract(c, p, 1))
+
+
+def first_match(c: Column, low: Column, patterns: list[str], ignore_case: bool = False) -> Column:
+    """Group 1 of the first pattern that matches, stripped; empty if none does. No group of these patterns can be blank.
+
+    A pattern that doesn't match is tried once, and those after the first that does not at all.
+    """
+    return strip(F.coalesce(*(matched(c, low, p, ignore_case) for p in patterns), F.lit("")))
 
 
 def first_listed(c: Column, names: list[str]) -> Column:
@@ -50,7 +80,7 @@ def first_listed(c: Column, names: list[str]) -> Column:
 
 
 def pin_code(c: Column) -> Column:
-    return F.regexp_extract(c, PIN, 1)
+    return F.regexp_extract(c, _quick(PIN), 1)
 
 
 def with_rule_fields(df: DataFrame, raw: Column, known: dict[str, Column] | None = None) -> tuple[DataFrame, dict[str, Column], list[str]]:
@@ -63,25 +93,24 @@ def with_rule_fields(df: DataFrame, raw: Column, known: dict[str, Column] | None
     """
     known = known or {}
     pick = lambda f, c: F.coalesce(none_if_empty(known[f]), c) if f in known else c
-    x = df.withColumn("_rule_text", strip(raw)).withColumn("_rule_low", F.lower("_rule_text"))
+    x = compiled(df).withColumn("_rule_text", strip(raw)).withColumn("_rule_low", F.lower("_rule_text"))
     a, low = F.col("_rule_text"), F.col("_rule_low")
     x = x.withColumn("_rule_city", pick("city", first_listed(low, CITIES)))
     city = F.col("_rule_city")
-    x = x.withColumn("_rule_at", F.when(city != "", F.instr(low, F.lower(city))).otherwise(F.lit(0)))
-    x = x.withColumn("_rule_parts", F.when(F.col("_rule_at") > 1, F.split(strip(F.substring(a, F.lit(1), F.col("_rule_at") - 1)), r"\s*,\s*", -1)))
+    at = F.instr(low, F.lower(city))
+    x = x.withColumn("_rule_parts", F.when((city != "") & (at > 1), F.split(strip(F.substring(a, F.lit(1), at - 1)), ",", -1)))
     parts = F.col("_rule_parts")
-    sub = F.when(F.size(parts) >= 2, F.element_at(parts, -1))
-    main = F.when(F.size(parts) >= 3, F.get(parts, F.size(parts) - 2))
+    sub = strip(F.when(F.size(parts) >= 2, F.element_at(parts, -1)))
+    main = strip(F.when(F.size(parts) >= 3, F.get(parts, F.size(parts) - 2)))
     fields = {
-        "unit_number": first_match(a, UNIT, ignore_case=True), "society_name": pick("society_name", squeeze(first_match(a, SOCIETY, ignore_case=True))),
-        "landmark": strip(F.regexp_extract(a, LANDMARK, 1)), "road": first_match(a, ROAD), "sub_locality": sub, "locality": main,
+        "unit_number": first_match(a, low, UNIT, ignore_case=True), "society_name": pick("society_name", squeeze(first_match(a, low, SOCIETY, ignore_case=True))),
+        "landmark": first_match(a, low, [LANDMARK]), "road": first_match(a, low, ROAD), "sub_locality": sub, "locality": main,
         "city": city, "district": city, "state": first_listed(low, STATES), "country": F.lit("India"), "pin_code": pin_code(a), "note": F.lit(NOTE),
     }
-    return x, fields, ["_rule_text", "_rule_low", "_rule_city", "_rule_at", "_rule_parts"]
+    return x, fields, ["_rule_text", "_rule_low", "_rule_city", "_rule_parts"]
 
 
 def rule_parse(df: DataFrame, column: str = "addr_text", out: str = "parsed") -> DataFrame:
     """Adds the parsed record. A null or blank address fails."""
     x, fields, helpers = with_rule_fields(df, F.col(column))
-    blank = is_blank(F.col(column))
-    return x.withColumn(out, F.when(blank, failed(F.lit(EMPTY_ERROR))).otherwise(parsed_struct(fields, F.lit(True), F.lit(None)))).drop(*helpers)
+    return x.withColumn(out, parsed_record(fields, is_blank(F.col("_rule_text")), F.lit(EMPTY_ERROR))).drop(*helpers)

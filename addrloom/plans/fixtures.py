@@ -26,7 +26,8 @@ STATES = ["Maharashtra", "Maharashtra", "", "Karnataka", "telangana"]
 NEAR = ["Near Osho Ashram", "near City Mall", "NEAR SBI BANK", "Opp. Post Office", "Opposite Big School", "", "", ""]
 
 
-def addresses_sql(orders: str = "orders", customer: str = "customer") -> str:
+def addresses_sql(source: str = "orders JOIN customer ON o_custkey = c_custkey") -> str:
+    """The relation over orders joined with customer; source: o_orderkey and c_nationkey of that join, where it is made outside."""
     k = "o_orderkey"
     society = pick(f"(({k} * 7 + 3) % 12)", SOCIETIES)
     variant = f"CASE ({k} % 31) WHEN 0 THEN '' WHEN 1 THEN '@@@' WHEN 2 THEN upper(s0) WHEN 3 THEN s0 || 's' WHEN 4 THEN 'The ' || s0 WHEN 5 THEN s0 || ' Phase' WHEN 6 THEN replace(s0, ' ', '-') WHEN 7 THEN '  ' || lower(s0) || '  ' WHEN 8 THEN s0 || '@2024' WHEN 9 THEN substring(s0, 1, length(s0) - 1) ELSE s0 END"
@@ -51,14 +52,15 @@ FROM (
       SELECT cast({k} as bigint) AS row_id, c_nationkey AS x_nation, {society} AS s0, {unit} AS x_unit, {pick(f"(({k} * 5 + 1) % 8)", NEAR)} AS x_near, {pick(f"(({k} * 3 + 2) % 7)", ROADS)} AS x_road,
         {pick(f"(({k} * 11 + 4) % 9)", LOCALITIES)} AS x_locality, {pick(f"(({k} * 13 + 5) % 7)", CITIES)} AS x_city, {pick(f"(({k} * 2 + 1) % 5)", STATES)} AS x_state, {pin} AS x_pin,
         cast(({k} * 37) % 100 as double) / 100 AS x_score
-      FROM {orders} JOIN {customer} ON o_custkey = c_custkey) a) b) c"""
+      FROM {source}) a) b) c"""
 
 
 def addresses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The relation over the tables in sf_dir."""
-    spread(spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", "o_custkey")).createOrReplaceTempView("addrloom_orders")
-    spark.read.parquet(f"{sf_dir}/customer.parquet").createOrReplaceTempView("addrloom_customer")
-    return spark.sql(addresses_sql("addrloom_orders", "addrloom_customer"))
+    orders, customer = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("orders", "customer"))
+    joined = orders.join(customer, F.col("o_custkey") == F.col("c_custkey")).select("o_orderkey", "c_nationkey")
+    spread(joined, orders.count()).createOrReplaceTempView("addrloom_orders")  # after the join, which deals rows out by its own keys
+    return spark.sql(addresses_sql("addrloom_orders"))
 
 
 def with_entities(df: DataFrame) -> DataFrame:

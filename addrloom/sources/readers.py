@@ -141,10 +141,18 @@ def with_address(df: DataFrame, column: str) -> DataFrame:
     return df.filter(~is_blank(F.col(column)))
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Deals a small input out over all cores, for the expensive projections that follow; an input with as many partitions as cores stays as it is."""
+#: Rows that a task of `spread` gets.
+TASK_ROWS = 50_000
+
+
+def spread(df: DataFrame, rows: int) -> DataFrame:
+    """Deals a table of about so many rows out evenly, for the expensive projections that follow: over all cores, and over more tasks as it grows, so none grows with it.
+
+    How many partitions there are doesn't tell: a file's splits may hold one row group among them,
+    and a join's partitions are put together by their bytes, which say little of what a row will cost.
+    """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+    return df.repartition(max(cores, -(-rows // TASK_ROWS)))
 
 
 def head(df: DataFrame, n: int, order: str) -> DataFrame:
