@@ -885,9 +885,10 @@ def _folder(s: SparkSession) -> str:
 @query
 def stream_rule_parse(s, d):
     folder = _folder(s)
-    addresses(s, d).select("row_id", "addr_text").repartition(4).write.parquet(f"{folder}/in")
+    half = max(2, -(-_table(s, d, "orders").count() // (2 * readers.TASK_ROWS)))  # two batches, of more files as the table grows: a file is a task's rows
+    addresses(s, d).select("row_id", "addr_text").repartition(2 * half).write.parquet(f"{folder}/in")
     x = s.read.parquet(f"{folder}/in")
-    stream = incremental.parsed_stream(incremental.address_stream(s, f"{folder}/in", x.schema, 2, "parquet"))
+    stream = incremental.parsed_stream(incremental.address_stream(s, f"{folder}/in", x.schema, half, "parquet"))
     incremental.run_to_parquet(_flat(stream, FIELDS, "parse_success"), f"{folder}/out", f"{folder}/checkpoint")
     return s.read.parquet(f"{folder}/out")
 

@@ -5,6 +5,7 @@ import random
 from pyspark.sql import functions as F
 
 from addrloom.functions import rules
+from addrloom.plans import queries
 from addrloom.plans.fixtures import addresses
 from addrloom.sources import readers
 
@@ -18,6 +19,13 @@ def test_rows_are_dealt_out_after_the_join(spark, monkeypatch):
     assert sum(sizes) == n and len(sizes) == -(-n // 100) and max(sizes) <= 200
 
 
+def test_stream_files_grow_in_number_and_not_in_size(spark, monkeypatch):
+    monkeypatch.setattr(readers, "TASK_ROWS", 100)
+    out = queries.stream_rule_parse(spark, SF)
+    assert out.count() == spark.read.parquet(f"{SF}/orders.parquet").count()
+    assert len(out.inputFiles()) > 4
+
+
 def test_quick_patterns_find_what_plain_ones_do(spark):
     r = random.Random(5)
     parts = ["Flat", "fLAT", "APT", "Unit", "shop", " ", "  ", "\t", ",", ", ", "#", "-", "/", "12", "411045", "4110456", "A-204", "B-Wing 4", "3rd Floor", "Near", "opp.", "OPP ", "Opposite ", "Baner", "Road", "MARG", "St", " Street", " Rd.", "Rd", "é", "K", "x", "\n"]
