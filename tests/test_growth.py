@@ -5,6 +5,7 @@ import random
 from pyspark.sql import functions as F
 
 from addrloom.functions import rules
+from addrloom.operators import compare
 from addrloom.plans import queries
 from addrloom.plans.fixtures import addresses
 from addrloom.sources import readers
@@ -26,6 +27,13 @@ def test_stream_files_grow_in_number_and_not_in_size(spark, monkeypatch):
     assert len(out.inputFiles()) > 4
 
 
+def test_metrics_of_both_parsers_are_one_pass(spark, tmp_path):
+    queries._pairs(spark, SF).write.parquet(str(tmp_path / "pairs"))
+    metrics = compare.parser_metrics(spark.read.parquet(str(tmp_path / "pairs")), ms_a=0.3, ms_b=800.0)
+    assert metrics._jdf.queryExecution().optimizedPlan().toString().count("Relation ") == 1
+    assert [(r["parser"], r["ms"]) for r in metrics.orderBy("parser").collect()] == [("a", 0.3), ("b", 800.0)]
+
+
 def test_quick_patterns_find_what_plain_ones_do(spark):
     r = random.Random(5)
     parts = ["Flat", "fLAT", "APT", "Unit", "shop", " ", "  ", "\t", ",", ", ", "#", "-", "/", "12", "411045", "4110456", "A-204", "B-Wing 4", "3rd Floor", "Near", "opp.", "OPP ", "Opposite ", "Baner", "Road", "MARG", "St", " Street", " Rd.", "Rd", "é", "K", "x", "\n"]
