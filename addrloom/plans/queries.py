@@ -911,7 +911,7 @@ def stream_consolidation(s, d):
     """Names and codes as a stream of a few files, consolidated with leaders as state: each name's leader, its rows, and its leader's, after all batches."""
     folder = _folder(s)
     rows = consolidate.keyed(_recognised(s, d)).select("row_id", "pin_key", "name_key")
-    rows.repartitionByRange(3, "row_id").sortWithinPartitions("row_id").write.parquet(f"{folder}/rows")
+    rows.write.parquet(f"{folder}/rows")  # as they are: ranges would have to be sampled, which parses all rows once more
     rows = s.read.parquet(f"{folder}/rows").filter("name_key is not null")
     for third in range(3):  # one after the other, as the stream takes files in the order of their times
         rows.filter(F.col("row_id").between(*_thirds(rows)[third])).coalesce(1).write.mode("append").parquet(f"{folder}/in")

@@ -27,6 +27,18 @@ def test_stream_files_grow_in_number_and_not_in_size(spark, monkeypatch):
     assert len(out.inputFiles()) > 4
 
 
+def test_stream_consolidation_parses_each_row_once(spark, monkeypatch):
+    seen, recognised = spark.sparkContext.accumulator(0), queries._recognised
+
+    def count(k):
+        seen.add(1)
+        return k
+
+    monkeypatch.setattr(queries, "_recognised", lambda s, d: recognised(s, d).withColumn("row_id", F.udf(count, "long").asNondeterministic()("row_id")))
+    assert queries.stream_consolidation(spark, SF).count() > 0
+    assert seen.value == spark.read.parquet(f"{SF}/orders.parquet").count()
+
+
 def test_metrics_of_both_parsers_are_one_pass(spark, tmp_path):
     queries._pairs(spark, SF).write.parquet(str(tmp_path / "pairs"))
     metrics = compare.parser_metrics(spark.read.parquet(str(tmp_path / "pairs")), ms_a=0.3, ms_b=800.0)
