@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..schema import failed, parsed_record, parsed_struct
+from ..schema import FIELDS, failed, parsed_record, parsed_struct
 from .rules import EMPTY_ERROR, pin_code, with_rule_fields
 from .text import compiled, is_blank, none_if_empty, strip
 
@@ -47,20 +47,26 @@ def first_of(entities: Column, labels: list[str], clean=entity_word) -> Column:
     return F.coalesce(F.get(F.filter(words, lambda w: w != ""), F.lit(0)), F.lit(""))
 
 
-def map_entities(df: DataFrame, column: str = "addr_text", entities: str = "entities", out: str = "parsed", note: str = ENTITY_NOTE, min_score: float = 0.5, strict: bool = True) -> DataFrame:
-    """Adds the parsed record that an entity list amounts to: the first word of each field, a postal code by rule, the city as district."""
+def map_entities(df: DataFrame, column: str = "addr_text", entities: str = "entities", out: str = "parsed", note: str = ENTITY_NOTE, min_score: float = 0.5, strict: bool = True, fields: list[str] = FIELDS) -> DataFrame:
+    """Adds the parsed record that an entity list amounts to: the first word of each field, a postal code by rule, the city as district. fields: those that the record has, others are not computed."""
+    read = [f for f in ENTITY_LABELS if f in fields or (f == "city" and "district" in fields)]
     # Labels and words of all entities are made once, in a column of their own; the fields pick from them.
-    words = F.transform(confident(F.col(entities), min_score, strict), lambda e: F.struct(F.lower(e["entity_group"]).alias("label"), entity_word(e).alias("word")))
+    own = confident(F.col(entities), min_score, strict)
+    if len(read) < len(ENTITY_LABELS):  # only words that a field takes are cleaned
+        own = F.filter(own, lambda e: F.lower(e["entity_group"]).isin([x for f in read for x in ENTITY_LABELS[f]]))
+    words = F.transform(own, lambda e: F.struct(F.lower(e["entity_group"]).alias("label"), entity_word(e).alias("word")))
     x = compiled(df).withColumn("_entity_words", F.filter(words, lambda e: e["word"] != ""))
     first = lambda labels: F.coalesce(F.get(F.filter("_entity_words", lambda e: e["label"].isin(labels)), F.lit(0))["word"], F.lit(""))
-    double = ["city", "district", "pin_code"]  # used twice below
+    double = [f for f in ("city", "district", "pin_code") if f in read]  # used twice below
     x = x.withColumns({f"_entity_{f}": first(ENTITY_LABELS[f]) for f in double})
-    v = {f: F.col(f"_entity_{f}") if f in double else first(labels) for f, labels in ENTITY_LABELS.items()}
-    v["pin_code"] = F.when(v["pin_code"] != "", v["pin_code"]).otherwise(pin_code(F.col(column)))
-    v["district"] = F.when(v["district"] != "", v["district"]).otherwise(v["city"])
+    v = {f: F.col(f"_entity_{f}") if f in double else first(ENTITY_LABELS[f]) for f in read}
+    if "pin_code" in read:
+        v["pin_code"] = F.when(v["pin_code"] != "", v["pin_code"]).otherwise(pin_code(F.col(column)))
+    if "district" in read:
+        v["district"] = F.when(v["district"] != "", v["district"]).otherwise(v["city"])
     v |= {"country": F.lit("India"), "note": F.lit(note)}
     x = x.withColumn("_entity_blank", is_blank(F.col(column)))
-    return x.withColumn(out, parsed_record(v, F.col("_entity_blank"), F.lit(EMPTY_ERROR))).drop("_entity_words", "_entity_blank", *(f"_entity_{f}" for f in double))
+    return x.withColumn(out, parsed_record(v, F.col("_entity_blank"), F.lit(EMPTY_ERROR), fields)).drop("_entity_words", "_entity_blank", *(f"_entity_{f}" for f in double))
 
 
 def map_generic_entities(df: DataFrame, column: str = "addr_text", entities: str = "entities", out: str = "parsed") -> DataFrame:

@@ -8,7 +8,7 @@ from operator import or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..schema import parsed_record
+from ..schema import FIELDS, parsed_record
 from .text import compiled, is_blank, none_if_empty, squeeze, strip
 
 # Patterns and lists in the order in which they are tried.
@@ -110,7 +110,7 @@ def with_rule_fields(df: DataFrame, raw: Column, known: dict[str, Column] | None
     return x, fields, ["_rule_text", "_rule_low", "_rule_city", "_rule_parts"]
 
 
-def rule_parse(df: DataFrame, column: str = "addr_text", out: str = "parsed") -> DataFrame:
-    """Adds the parsed record. A null or blank address fails."""
-    x, fields, helpers = with_rule_fields(df, F.col(column))
-    return x.withColumn(out, parsed_record(fields, is_blank(F.col("_rule_text")), F.lit(EMPTY_ERROR))).drop(*helpers)
+def rule_parse(df: DataFrame, column: str = "addr_text", out: str = "parsed", fields: list[str] = FIELDS) -> DataFrame:
+    """Adds the parsed record. A null or blank address fails. fields: those that the record has, others are not computed."""
+    x, values, helpers = with_rule_fields(df, F.col(column))
+    return x.withColumn(out, parsed_record(values, is_blank(F.col("_rule_text")), F.lit(EMPTY_ERROR), fields)).drop(*helpers)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections import Counter
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.similarity import common_subsequence, could_reach, sorted_tokens, token_sort_similarity
@@ -15,15 +15,19 @@ from ..workers import ship_package
 from . import similar
 
 UNMATCHED = "UNMATCHED"
+#: Fields of the parsed record that grouping reads.
+READ = ["society_name", "pin_code"]
 #: Similarity from which names belong together.
 THRESHOLD = 0.85
 
 
+def _name_key(society: Column, normalize: bool = True) -> Column:
+    return F.when(~is_blank(society), normalize_name(society) if normalize else society)
+
+
 def keyed(df: DataFrame, normalize: bool = True) -> DataFrame:
     """Adds name_key and pin_key, from the parsed record; name_key is null where there is no society: such rows stay unmatched."""
-    society = F.col("parsed.society_name")
-    key = normalize_name(society) if normalize else society
-    return df.withColumn("name_key", F.when(~is_blank(society), key)).withColumn("pin_key", F.coalesce(F.col("parsed.pin_code"), F.lit("")))
+    return df.withColumn("name_key", _name_key(F.col("parsed.society_name"), normalize)).withColumn("pin_key", F.coalesce(F.col("parsed.pin_code"), F.lit("")))
 
 
 def group_id(name, pin):
@@ -36,10 +40,15 @@ def named(rows: DataFrame) -> DataFrame:
 
     Rows are first counted by the shown name as well: sums and minima of numbers, which a hash
     aggregate takes before the shuffle, without sorting. The first of the shown names is picked
-    from what is left.
+    from what is left. Rows without keys (parsed records that `keyed` hasn't seen) get them once
+    for each shown name and code, not row by row.
     """
-    x = rows.select("row_id", "name_key", "pin_key", F.col("parsed.society_name").alias("society"))
-    shown = x.groupBy("name_key", "pin_key", "society").agg(F.count(F.lit(1)).alias("n"), F.min("row_id").alias("first_row"))
+    society, pin = F.col("parsed.society_name"), F.coalesce(F.col("parsed.pin_code"), F.lit(""))
+    bare = "name_key" not in rows.columns
+    x = rows.select("row_id", society.alias("society"), pin.alias("pin_key")) if bare else rows.select("row_id", "name_key", "pin_key", society.alias("society"))
+    shown = x.groupBy(*(c for c in x.columns if c != "row_id")).agg(F.count(F.lit(1)).alias("n"), F.min("row_id").alias("first_row"))
+    if bare:
+        shown = shown.withColumn("name_key", _name_key(F.col("society")))
     return shown.groupBy("name_key", "pin_key").agg(F.min_by("society", "first_row").alias("society"), F.sum("n").alias("n"), F.min("first_row").alias("first_row"))
 
 

@@ -45,6 +45,11 @@ def _recognised(s: SparkSession, d: str) -> DataFrame:
     return map_entities(with_entities(addresses(s, d)))
 
 
+def _named(s: SparkSession, d: str) -> DataFrame:
+    """What grouping reads of `_recognised`."""
+    return map_entities(with_entities(addresses(s, d)), fields=consolidate.READ)
+
+
 def _flat(df: DataFrame, fields: list[str] = FIELDS, *more: str) -> DataFrame:
     return df.select("row_id", *(F.col(f"parsed.{f}") for f in fields), *(F.col(f"parsed.{m}") for m in more))
 
@@ -165,17 +170,17 @@ def part_numbers(s, d):
 
 @query
 def consolidate_exact(s, d):
-    return consolidate.exact_groups(consolidate.keyed(_parsed(s, d))).drop("first_row")
+    return consolidate.exact_groups(rule_parse(addresses(s, d), fields=consolidate.READ)).drop("first_row")
 
 
 @query
 def consolidate_fuzzy(s, d):
-    return consolidate.fuzzy_groups(consolidate.keyed(_recognised(s, d))).drop("first_row")
+    return consolidate.fuzzy_groups(_named(s, d)).drop("first_row")
 
 
 @query
 def similarity_pairs(s, d):
-    return consolidate.candidate_pairs(consolidate.keyed(_recognised(s, d)))
+    return consolidate.candidate_pairs(consolidate.keyed(_named(s, d)))
 
 
 @query

@@ -38,10 +38,13 @@ def parsed_struct(values: dict[str, Column], success: Column, error: Column) ->
     return F.struct(*fields, success.cast("boolean").alias("parse_success"), error.cast("string").alias("parse_error"))
 
 
-def parsed_record(values: dict[str, Column], blank: Column, error: Column) -> Column:
-    """The record of a text: that of `failed` where it is blank. Values are stripped ones, so none is of white space alone; each may be null."""
-    fields = [F.when(blank, F.lit("")).otherwise(F.coalesce(values.get(f, F.lit("")).cast("string"), F.lit(""))).alias(f) for f in FIELDS]
-    return F.struct(*fields, (~blank).alias("parse_success"), F.when(blank, error).cast("string").alias("parse_error"))
+def parsed_record(values: dict[str, Column], blank: Column, error: Column, fields: list[str] = FIELDS) -> Column:
+    """The record of a text: that of `failed` where it is blank. Values are stripped ones, so none is of white space alone; each may be null.
+
+    fields: those that the record has beside success and error. A record is made whole, whatever is read of it, so those left out are what isn't computed.
+    """
+    own = [F.when(blank, F.lit("")).otherwise(F.coalesce(values.get(f, F.lit("")).cast("string"), F.lit(""))).alias(f) for f in FIELDS if f in fields]
+    return F.struct(*own, (~blank).alias("parse_success"), F.when(blank, error).cast("string").alias("parse_error"))
 
 
 def failed(error: Column) -> Column:

@@ -4,10 +4,10 @@ import random
 
 from pyspark.sql import functions as F
 
-from addrloom.functions import rules
-from addrloom.operators import compare
+from addrloom.functions import entities, rules
+from addrloom.operators import compare, consolidate
 from addrloom.plans import queries
-from addrloom.plans.fixtures import addresses
+from addrloom.plans.fixtures import addresses, with_entities
 from addrloom.sources import readers
 
 SF = "/root/testdata/sf0.001"
@@ -57,3 +57,21 @@ def test_quick_patterns_find_what_plain_ones_do(spark):
         own = df.filter(~plain(patterns, "(?i)" * ignore_case).eqNullSafe(rules.first_match(t, low, patterns, ignore_case)))
         assert own.take(3) == [], patterns
     assert df.filter(~rules.pin_code(t).eqNullSafe(F.regexp_extract(t, rules.PIN, 1))).take(3) == []
+
+
+def test_grouping_computes_only_what_it_reads_and_keys_names_once_counted(spark):
+    ways = (queries._recognised(spark, SF), queries._named(spark, SF)), (queries._parsed(spark, SF), queries.rule_parse(addresses(spark, SF), fields=consolidate.READ))
+    for whole, part in ways:
+        cols = ["name_key", "pin_key", "society", "n", "first_row"]
+        want, got = (sorted(map(repr, consolidate.named(x).select(cols).collect())) for x in (consolidate.keyed(whole), part))
+        assert got == want and len(got) > 10
+        plan = consolidate.named(part)._jdf.queryExecution().optimizedPlan().toString()
+        rows = plan.split("Project [row_id", 1)[1]  # below the counting
+        assert "struct(society_name, " in rows and "sub_locality" not in rows and "[-_]" not in rows
+
+
+def test_fields_left_out_change_no_other(spark):
+    for f in ("district", "city", "pin_code", "unit_number"):
+        for parse, rows in ((entities.map_entities, with_entities(addresses(spark, SF))), (rules.rule_parse, addresses(spark, SF))):
+            whole, part = (parse(rows, **k).select("row_id", f"parsed.{f}", "parsed.parse_success", "parsed.parse_error") for k in ({}, {"fields": [f]}))
+            assert whole.exceptAll(part).isEmpty() and part.count() == whole.count()
