@@ -16,8 +16,12 @@ from ..sources import journal, readers, sinks
 from .parsers import parser, with_inputs
 
 def parsed_file(spark: SparkSession, path: str, c: Config) -> DataFrame:
-    """The valid rows of a file, by the configuration's parser."""
+    """The valid rows of a file, by the configuration's parser. One task reads the file (many if it is a large one); many parse its rows, which keep their order."""
     raw = readers.read_addresses(spark, path, c.required_columns)
+    if len(files := readers.files_of(spark, path)) == 1:
+        fs, p = readers._file_system(spark, files[0])
+        if (size := fs.getFileStatus(p).getLen()) <= readers.SPLIT_BYTES:
+            raw = readers.spread_in_order(raw, size)
     rows = readers.valid(readers.classified(raw, c.required_columns))
     return parser(c.parser_type, c.complexity_threshold)(with_inputs(rows, c.parser_type), "addr_text", "parsed")
 
@@ -51,7 +55,7 @@ def _qualified(spark: SparkSession, path: str) -> str:
 def run_batch(spark: SparkSession, c: Config, skip: bool = True, together: int = 4) -> dict:
     """Processes all files that the patterns find and that aren't done yet; returns the batch report.
 
-    Files run `together` at a time, each as one job over all its splits. Each file's entry is added
+    Files run `together` at a time, each as one job over all blocks of its rows. Each file's entry is added
     to the journal in the output folder as soon as its output is there, so a run that was broken
     off at any point goes on where it was: what has no output written to its end, or no entry, is
     processed again, into an output of its own. Files of one name in different folders have

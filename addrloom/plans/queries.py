@@ -672,12 +672,18 @@ def csv_line_breaks(s, d):
     return back.select(F.col("row_id").cast("long").alias("row_id"), *(F.coalesce(c, F.lit("")).alias(c) for c in ("addr_text", "pincode", "city_id")))
 
 
+#: Rows of a file of `batch_journal`, about.
+FILE_ROWS = 500_000
+
+
 @query
 def batch_journal(s, d):
-    """Files of like names in two folders, run twice: what the journal holds of each, and how often it was processed."""
+    """Files of like names in two folders, run twice: what the journal holds of each name and folder, and how often a file was processed."""
     folder = _folder(s)
+    slices = -(-_table(s, d, "orders").count() // (14 * FILE_ROWS))  # 14 names and folders, of more files as the table grows
     rows = addresses(s, d).select("addr_hash_key", "addr_text", "city_id", "pincode", F.when(F.col("row_id") % 2 == 0, F.lit("north")).otherwise(F.lit("south")).alias("region"), F.col("source_file").alias("name"))
-    rows.repartition("name").write.partitionBy("region", "name").options(**sinks.CSV).csv(f"{folder}/in")
+    task = (readers.part_number("name") - 1) * 2 + (F.col("region") == "south").cast("int")
+    rows.repartitionById(14 * slices, (task * slices + F.pmod(F.xxhash64("addr_hash_key"), F.lit(slices))).cast("int")).write.partitionBy("region", "name").options(**sinks.CSV).csv(f"{folder}/in")
     c = build({"batch_input": [f"{folder}/in/**/*.csv"], "batch_output": f"{folder}/out"})
     run_batch(s, c)
     run_batch(s, c)

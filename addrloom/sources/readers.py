@@ -155,6 +155,23 @@ def spread(df: DataFrame, rows: int) -> DataFrame:
     return df.repartition(max(cores, -(-rows // TASK_ROWS)))
 
 
+#: Bytes that a file's record has at least, most likely; shorter ones make the last block of `spread_in_order` longer.
+LEAST_RECORD = 20
+
+
+def spread_in_order(df: DataFrame, size: int) -> DataFrame:
+    """Deals the rows of a file of so many bytes, which one task has to read, out for what follows: in blocks of TASK_ROWS, one after another as in the file.
+
+    How many rows there are isn't known before they are read, so there are blocks for as many as the
+    file may hold; those beyond its rows are empty and cost next to nothing.
+    """
+    blocks = -(-size // (TASK_ROWS * LEAST_RECORD))
+    if blocks <= 1:
+        return df
+    at = df.withColumn("_at", F.monotonically_increasing_id())  # of one partition: 0, 1, 2, ...
+    return at.repartitionById(blocks, F.least(F.floor(F.col("_at") / TASK_ROWS), F.lit(blocks - 1)).cast("int")).sortWithinPartitions("_at").drop("_at")
+
+
 def head(df: DataFrame, n: int, order: str) -> DataFrame:
     return df.orderBy(order).limit(n)
 

@@ -4,9 +4,10 @@ import random
 
 from pyspark.sql import functions as F
 
+from addrloom import config
 from addrloom.functions import entities, rules
 from addrloom.operators import compare, consolidate
-from addrloom.plans import queries
+from addrloom.plans import batch, queries
 from addrloom.plans.fixtures import addresses, with_entities
 from addrloom.sources import readers
 
@@ -75,3 +76,24 @@ def test_fields_left_out_change_no_other(spark):
         for parse, rows in ((entities.map_entities, with_entities(addresses(spark, SF))), (rules.rule_parse, addresses(spark, SF))):
             whole, part = (parse(rows, **k).select("row_id", f"parsed.{f}", "parsed.parse_success", "parsed.parse_error") for k in ({}, {"fields": [f]}))
             assert whole.exceptAll(part).isEmpty() and part.count() == whole.count()
+
+
+def test_a_file_s_rows_are_parsed_in_many_tasks_and_keep_their_order(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(readers, "TASK_ROWS", 100)
+    texts = [f"Flat {k}, Kumar Paradise, Baner Road, Pune {411000 + k % 90}" for k in range(950)]
+    (tmp_path / "a.csv").write_text("addr_text,pincode,city_id\n" + "".join(f'"{t}",4110{k % 90:02d},"C\n{k}"\n' for k, t in enumerate(texts)))
+    rows = batch.parsed_file(spark, str(tmp_path / "a.csv"), config.build({"batch_input": [f"{tmp_path}/*.csv"], "batch_output": str(tmp_path / "out")}))
+    sizes = [r["count"] for r in rows.groupBy(F.spark_partition_id().alias("p")).count().orderBy("p").collect()]
+    assert sizes == [100] * 9 + [50]
+    assert [r.addr_text for r in rows.collect()] == texts
+    monkeypatch.setattr(readers, "LEAST_RECORD", 20_000)  # rows are shorter than thought
+    assert [r.addr_text for r in readers.spread_in_order(readers.read_addresses(spark, str(tmp_path / "a.csv")), 5_000_000).collect()] == texts
+
+
+def test_journal_s_files_grow_in_number(spark, monkeypatch):
+    want = sorted(map(repr, queries.batch_journal(spark, SF).collect()))
+    made, run = [], queries.run_batch
+    monkeypatch.setattr(queries, "run_batch", lambda s, c: made.append(run(s, c)))
+    monkeypatch.setattr(queries, "FILE_ROWS", 100)
+    assert sorted(map(repr, queries.batch_journal(spark, SF).collect())) == want
+    assert made[0]["files"] == 28 and made[1]["files"] == 0
