@@ -42,13 +42,24 @@ def bound_batches(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir. Where that is unset, a temporary one, but on one machine only: elsewhere each executor would write to a disk of its own."""
-    if not (base := spark.conf.get("spark.checkpoint.dir", None)):
-        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
-            raise ValueError("spark.checkpoint.dir has to name a folder that driver and executors share")
+    """The folder that driver and executors share: spark.checkpoint.dir. Where that is unset, a temporary one in local mode, and otherwise the warehouse.
+
+    A warehouse that may be Spark's default (spark-warehouse on a local disk, below the driver's
+    working folder) counts as shared on one machine only: elsewhere each executor would write to a
+    disk of its own.
+    """
+    if base := spark.conf.get("spark.checkpoint.dir", None):
+        return base.rstrip("/")
+    master = spark.sparkContext.master
+    if master == "local" or master.startswith("local["):
         base = "file://" + tempfile.mkdtemp(prefix="addrloom-shared-")
         spark.conf.set("spark.checkpoint.dir", base)
-    return base.rstrip("/")
+        return base
+    base = (spark.conf.get("spark.sql.warehouse.dir", None) or "").rstrip("/")
+    own = base.startswith(("file:", "/")) and base.endswith("/spark-warehouse")
+    if not base or own and not master.startswith("local-cluster["):
+        raise ValueError("spark.checkpoint.dir or spark.sql.warehouse.dir has to name a folder that driver and executors share")
+    return base
 
 
 #: Paths of stored tables, oldest first.

@@ -265,6 +265,21 @@ def test_tables_are_not_kept_on_a_machine_of_a_cluster():
         shared_dir(fake)
 
 
+def test_without_a_checkpoint_folder_tables_go_to_the_warehouse():
+    from types import SimpleNamespace
+
+    from addrloom.llm.common import shared_dir
+
+    def at(master, warehouse):
+        return shared_dir(SimpleNamespace(conf=SimpleNamespace(get={"spark.checkpoint.dir": "", "spark.sql.warehouse.dir": warehouse}.get), sparkContext=SimpleNamespace(master=master)))
+
+    assert at("spark://host:7077", "hdfs://names/warehouse/") == "hdfs://names/warehouse"
+    assert at("spark://host:7077", "file:/mnt/shared/tables") == "file:/mnt/shared/tables"
+    assert at("local-cluster[3,4,10240]", "file:/home/me/spark-warehouse") == "file:/home/me/spark-warehouse"
+    with pytest.raises(ValueError, match="checkpoint.dir"):
+        at("spark://host:7077", "file:/home/me/spark-warehouse")
+
+
 def test_edited_text():
     assert fingerprint.edited("abcdefgh", "XYZ") == "abcdefXY" and fingerprint.edited("abcdefgh", "") == "abcdef" and fingerprint.edited("", "x") == ""
 
